@@ -2,15 +2,19 @@
 
 Every query reads the given tables (or data Spark derives from them) at full
 size.  Double results that come out of aggregations are passed through
-``float`` in both engines (``_fl`` / ``_fsql``) so that last-bit differences of
-summation order do not break the value hash; the library itself returns full
-doubles.
+20 significant bits in both engines (see ``_norm_col``: plain IEEE steps,
+``_fl`` / ``_fsql``) so that last-bit differences of summation order do not
+break the value hash; the library itself returns full doubles.
 """
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,18 +44,39 @@ def _reg(name: str, sql: str | None = None):
     return deco
 
 
+# Check-only normalisation of doubles, the same IEEE steps in Spark and DuckDB:
+# snap |x| < 1e-9 to 0, scale by pi/4 (so decimal data never sits on a binary
+# tie), keep 20 significant bits (Veltkamp split), scale back.
+_SPLIT = 2 ** 33 + 1
+_SCALE = 0.7853981633974483
+
+
+def _norm_col(c):
+    z = F.when(F.abs(c) < F.lit(1e-9), F.lit(0.0)).otherwise(c.cast("double"))
+    t = z * F.lit(_SCALE)
+    x = t * F.lit(float(_SPLIT))
+    return (x - (x - t)) / F.lit(_SCALE)
+
+
+def _norm_sql(c: str) -> str:
+    z = f"(CASE WHEN abs({c}) < CAST(1e-9 AS DOUBLE) THEN CAST(0 AS DOUBLE) ELSE CAST({c} AS DOUBLE) END)"
+    t = f"({z} * CAST('{_SCALE!r}' AS DOUBLE))"
+    x = f"({t} * CAST({_SPLIT} AS DOUBLE))"
+    return f"(({x} - ({x} - {t})) / CAST('{_SCALE!r}' AS DOUBLE))"
+
+
 def _fl(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Round double columns (all, or ``cols``) through float (both engines do the same)."""
+    """Normalise double columns (all, or ``cols``) for the value hash."""
     def hit(f):
         return isinstance(f.dataType, T.DoubleType) and (cols is None or f.name in cols)
-    return df.select(*[F.col(f"`{f.name}`").cast("float").cast("double").alias(f.name)
+    return df.select(*[_norm_col(F.col(f"`{f.name}`")).alias(f.name)
                        if hit(f) else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
 def _fsql(inner: str, doubles: list[str]) -> str:
     if not doubles:
         return inner
-    rep = ", ".join(f'CAST(CAST("{c}" AS FLOAT) AS DOUBLE) AS "{c}"' for c in doubles)
+    rep = ", ".join(f'{_norm_sql(chr(34) + c + chr(34))} AS "{c}"' for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM ({inner}) _q"
 
 
@@ -302,3 +327,35 @@ def oracle_sql() -> dict[str, str]:
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the full 380-feature train/test frame at sf0.001."""
     return _Q["label_month"](spark, SF_SMOKE)
+
+
+# ------------------------------------------------------- window builders K6-K9
+from sqlcheck import features as SQ  # noqa: E402
+
+_ANCH = [TRAIN, TARGET]
+
+
+def _dbl(df: DataFrame) -> DataFrame:
+    return _fl(df)
+
+
+_reg("trend_features", SQ.trend_sql(_ANCH, season=False))(
+    lambda spark, sf: _dbl(WN.trend_features(_log(spark, sf), _ANCH)))
+_reg("season_features", SQ.trend_sql(_ANCH, trend=False, season=True))(
+    lambda spark, sf: _dbl(WN.season_features(_log(spark, sf), _ANCH)))
+_reg("season_features_compat", SQ.trend_sql(_ANCH, trend=False, season=True, compat=True))(
+    lambda spark, sf: _dbl(WN.season_features(_log(spark, sf), _ANCH, compat=True)))
+_reg("cycle_1224", SQ.cycle_sql(_ANCH))(
+    lambda spark, sf: _dbl(WN.cycle_1224(_log(spark, sf), _ANCH)))
+
+# ------------------------------------------------------------ builders K2-K5
+
+_reg("fe_baseline", SQ.simple_sql(TARGET, [(c, STATS7) for c in ["quantity", "price", "total"]]))(
+    lambda spark, sf: _dbl(FE.fe_baseline(_log(spark, sf), TARGET).frame))
+_reg("fe_cumulative", SQ.simple_sql(TARGET, [(c, STATS7) for c in ["quantity", "price", "total", *FE.CUMSUM_COLS]],
+                                    cumsum=True, distinct=True))(
+    lambda spark, sf: _dbl(FE.fe_cumulative(_log(spark, sf), TARGET).frame))
+_reg("fe_compact", SQ.simple_sql(TARGET, FE.COMPACT_SPEC, cycle=True))(
+    lambda spark, sf: _dbl(FE.fe_compact(_log(spark, sf), TARGET).frame))
+_reg("fe_full", SQ.full_sql(TARGET))(
+    lambda spark, sf: _dbl(FE.fe_full(_log(spark, sf), TARGET).frame))

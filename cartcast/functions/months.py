@@ -62,7 +62,9 @@ def in_month(ym: str, c: str = "order_date") -> Column:
 def unix_seconds(c: str | Column = "order_date") -> Column:
     """Seconds since epoch of a zone-less timestamp, as double."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.unix_timestamp(c.cast("timestamp")).cast("double")
+    # difference of two zone-less timestamps: independent of the session zone
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", epoch, c.cast("timestamp_ntz")).cast("double")
 
 
 def shift_ym_col(ym_col: Column, k: int) -> Column:

@@ -61,7 +61,10 @@ def window_long(log: DataFrame, anchors: list[str], trend: bool = True,
         tags += [F.when((b >= k) & (b <= k + 2), F.lit(f"season{i}")) for i, k in enumerate(SEASON_BACK)]
     ex = rows.select("customer_id", "year_month", *WINDOW_VALUES,
                      F.explode(F.array_compact(F.array(*tags))).alias("win"))
-    return ex.groupBy("customer_id", "year_month", "win").agg(*agg_columns(WINDOW_SPEC))
+    # counts are doubles: in the reference they pass through merges that leave NaN
+    aggs = [a.cast("double").alias(n) if n.endswith("-count") else a
+            for a, n in zip(agg_columns(WINDOW_SPEC), spec_names(WINDOW_SPEC))]
+    return ex.groupBy("customer_id", "year_month", "win").agg(*aggs)
 
 
 def window_wide(long: DataFrame, labels: list[str]) -> DataFrame:
