@@ -359,3 +359,146 @@ _reg("fe_compact", SQ.simple_sql(TARGET, FE.COMPACT_SPEC, cycle=True))(
     lambda spark, sf: _dbl(FE.fe_compact(_log(spark, sf), TARGET).frame))
 _reg("fe_full", SQ.full_sql(TARGET))(
     lambda spark, sf: _dbl(FE.fe_full(_log(spark, sf), TARGET).frame))
+
+
+# ------------------------------------------------------------- metrics O1-O10
+from cartcast.operators import metrics as MT  # noqa: E402
+
+
+def _bin_scores(spark, sf) -> DataFrame:
+    """Labels of the target month with two scores: the previous month's spend
+    (a real baseline predictor, many ties at 0) and a fixed hash score in [0, 1)."""
+    log = _log(spark, sf)
+    lab = LB.label_month(log, TARGET).select("customer_id", "label")
+    prev = (log.filter(in_month(TRAIN)).groupBy("customer_id").agg(F.sum("total").alias("_ps")))
+    return (lab.join(prev, "customer_id", "left")
+               .select("customer_id", "label", F.coalesce("_ps", F.lit(0.0)).alias("score_prev"),
+                       ((F.col("customer_id") * 7919) % 1000).cast("double").__truediv__(1000.0).alias("score")))
+
+
+_BIN = (
+    f"lab1 AS (SELECT c.customer_id, CAST(coalesce(g.t, 0.0) > 300 AS INTEGER) AS label "
+    f"FROM (SELECT DISTINCT customer_id FROM txn WHERE order_date < {_ts(TARGET)}) c LEFT JOIN "
+    f"(SELECT customer_id, sum(total) AS t FROM txn WHERE strftime(order_date, '%Y-%m') = '{TARGET}' GROUP BY 1) g "
+    f"USING (customer_id))",
+    f"bs AS (SELECT l.customer_id, l.label, coalesce(p.t, 0.0) AS score_prev, "
+    f"CAST((l.customer_id * 7919) % 1000 AS DOUBLE) / 1000 AS score FROM lab1 l LEFT JOIN "
+    f"(SELECT customer_id, sum(total) AS t FROM txn WHERE strftime(order_date, '%Y-%m') = '{TRAIN}' GROUP BY 1) p "
+    f"USING (customer_id))",
+)
+
+
+def _auc_sql(src: str, score: str, label: str = "label", by: str | None = None) -> str:
+    k = f"{by}, " if by else ""
+    part = f"PARTITION BY {by} " if by else ""
+    return (f"SELECT {k}CASE WHEN sum(p) > 0 AND sum(n) > 0 THEN sum(p * (coalesce(nb, 0) + 0.5 * n)) / (sum(p) * sum(n)) END AS auc "
+            f"FROM (SELECT *, sum(n) OVER ({part}ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nb FROM "
+            f"(SELECT {k}CAST({score} AS DOUBLE) AS s, sum({label}) AS p, sum(1 - {label}) AS n FROM {src} GROUP BY {k}s) a) b"
+            + (f" GROUP BY {by}" if by else ""))
+
+
+_reg("roc_auc", _fsql(W(*_BIN) + _auc_sql("bs", "score_prev"), ["auc"]))(
+    lambda spark, sf: _fl(MT.roc_auc(_bin_scores(spark, sf), "label", "score_prev")))
+_reg("metric_gini", _fsql(W(*_BIN) + f"SELECT greatest(2 * auc - 1, 0.0) AS gini FROM ({_auc_sql('bs', 'score_prev')}) a",
+                          ["gini"]))(
+    lambda spark, sf: _fl(MT.gini(_bin_scores(spark, sf), "label", "score_prev")))
+_reg("metric_custom_2auc", _fsql(W(*_BIN) + f"SELECT 2 * auc AS value FROM ({_auc_sql('bs', 'score')}) a", ["value"]))(
+    lambda spark, sf: _fl(MT.custom_2auc().fn(_bin_scores(spark, sf), "label", "score")))
+
+_reg("threshold_metrics", _fsql(W(*_BIN, "c AS (SELECT sum(CASE WHEN score > 0.5 AND label = 1 THEN 1 ELSE 0 END) AS tp, "
+     "sum(CASE WHEN score > 0.5 AND label = 0 THEN 1 ELSE 0 END) AS fp, sum(CASE WHEN score <= 0.5 AND label = 1 THEN 1 ELSE 0 END) AS fn, "
+     "sum(CASE WHEN score <= 0.5 AND label = 0 THEN 1 ELSE 0 END) AS tn FROM bs)") +
+     "SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn, "
+     "(tp + tn) / (tp + fp + fn + tn) AS accuracy, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision, "
+     "CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall, "
+     "CASE WHEN tp > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM c",
+     ["accuracy", "precision", "recall", "f1"]))(
+    lambda spark, sf: _fl(MT.threshold_metrics(_bin_scores(spark, sf)).select(
+        *[F.col(c).cast("long") for c in ["tp", "fp", "fn", "tn"]], "accuracy", "precision", "recall", "f1")))
+
+_reg("metric_table", _fsql(W(*_BIN, "ev AS (SELECT *, CASE WHEN customer_id % 5 = 0 THEN 'valid' ELSE 'train' END AS eval_set FROM bs)") +
+     f"SELECT eval_set, eval_set || '_auc' AS metric, auc AS value FROM ({_auc_sql('ev', 'score', by='eval_set')}) a UNION ALL "
+     "SELECT eval_set, eval_set || '_accuracy', avg(CASE WHEN (score > 0.5) = (label = 1) THEN 1.0 ELSE 0.0 END) FROM ev GROUP BY 1 "
+     "UNION ALL SELECT eval_set, eval_set || '_logloss', -avg(ln(CASE WHEN label = 1 THEN least(greatest(score, 1e-15), 1 - 1e-15) "
+     "ELSE 1 - least(greatest(score, 1e-15), 1 - 1e-15) END)) FROM ev GROUP BY 1", ["value"]))(
+    lambda spark, sf: _fl(MT.metric_table(
+        _bin_scores(spark, sf).withColumn("eval_set", F.when(F.col("customer_id") % 5 == 0, "valid").otherwise("train")),
+        ["auc", "accuracy", "logloss"])))
+
+
+# multi-class: the first 10 embedding dimensions as class logits, labels 0-9
+def _mc(spark, sf) -> DataFrame:
+    e = read_table(spark, sf, "embeddings")
+    p = MT.softmax(F.slice(F.col("embedding"), 1, 10))
+    return e.select("vec_id", "label", p.alias("proba")).withColumn("pred", MT.argmax(F.col("proba")))
+
+
+_MC = ("e AS (SELECT vec_id, label, i - 1 AS class, CAST(embedding[i] AS DOUBLE) AS z FROM embeddings, range(1, 11) t(i))",
+       "m AS (SELECT vec_id, max(z) AS mz FROM e GROUP BY vec_id)",
+       "x AS (SELECT e.vec_id, e.label, e.class, exp(e.z - m.mz) AS ez FROM e JOIN m USING (vec_id))",
+       "pr AS (SELECT vec_id, label, class, ez / sum(ez) OVER (PARTITION BY vec_id) AS proba FROM x)",
+       "am AS (SELECT vec_id, label, CAST(arg_max(class, z) AS INTEGER) AS pred FROM e GROUP BY vec_id, label)")
+
+_reg("softmax_scores", _fsql("WITH " + ",\n".join(_MC[:4]) + " SELECT vec_id, CAST(class AS INTEGER) AS class, proba FROM pr",
+                             ["proba"]))(
+    lambda spark, sf: _fl(_mc(spark, sf).select("vec_id", F.posexplode("proba").alias("class", "proba"))))
+_reg("argmax_class", "WITH " + ",\n".join(_MC) + " SELECT vec_id, label, pred FROM am")(
+    lambda spark, sf: _mc(spark, sf).select("vec_id", "label", "pred"))
+_reg("metric_accuracy", _fsql("WITH " + ",\n".join(_MC) + " SELECT avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) AS accuracy FROM am",
+                              ["accuracy"]))(
+    lambda spark, sf: _fl(MT.accuracy(_mc(spark, sf))))
+_reg("metric_balanced_accuracy", _fsql("WITH " + ",\n".join(_MC) + " SELECT avg(r) AS balanced_accuracy FROM "
+     "(SELECT label, avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) AS r FROM am GROUP BY label) a", ["balanced_accuracy"]))(
+    lambda spark, sf: _fl(MT.balanced_accuracy(_mc(spark, sf))))
+_reg("metric_logloss", _fsql("WITH " + ",\n".join(_MC[:4]) + ", cl AS (SELECT vec_id, label, class, "
+     "least(greatest(proba, 1e-15), 1 - 1e-15) AS q FROM pr) SELECT -avg(ln(q / s)) AS logloss FROM "
+     "(SELECT vec_id, label, class, q, sum(q) OVER (PARTITION BY vec_id) AS s FROM cl) a WHERE class = label",
+     ["logloss"]))(
+    lambda spark, sf: _fl(MT.log_loss(_mc(spark, sf))))
+
+
+def _decode(spark, sf):
+    # Class id -> name through a dictionary table derived from the data
+    # (nation names keyed by nation key); a broadcast join on a 25-row dimension.
+    names = read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("pred"), F.col("n_name").alias("pred_name"))
+    return _mc(spark, sf).join(F.broadcast(names), "pred", "left").select("vec_id", "pred", "pred_name")
+
+
+_reg("decode_predictions", "WITH " + ",\n".join(_MC) +
+     " SELECT am.vec_id, am.pred, n.n_name AS pred_name FROM am LEFT JOIN nation n ON am.pred = n.n_nationkey")(_decode)
+
+
+def _reg_scores(spark, sf):
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    pt = read_table(spark, sf, "part").select("p_partkey", "p_retailprice")
+    return li.join(pt, li.l_partkey == pt.p_partkey).select(
+        F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * F.col("p_retailprice")).alias("pred"))
+
+
+_RG = "rg AS (SELECT l.l_extendedprice AS y, l.l_quantity * p.p_retailprice AS pred FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"
+_reg("metric_mae", _fsql(f"WITH {_RG} SELECT avg(abs(pred - y)) AS mae FROM rg", ["mae"]))(
+    lambda spark, sf: _fl(MT.regression_metrics(_reg_scores(spark, sf)).select("mae")))
+_reg("metric_mse_rmse", _fsql(f"WITH {_RG} SELECT avg((pred - y) * (pred - y)) AS mse, sqrt(avg((pred - y) * (pred - y))) AS rmse FROM rg",
+                              ["mse", "rmse"]))(
+    lambda spark, sf: _fl(MT.regression_metrics(_reg_scores(spark, sf)).select("mse", "rmse")))
+_reg("metric_rmsle", _fsql(f"WITH {_RG}, le AS (SELECT ln(1 + greatest(pred, 0.0)) - ln(1 + y) AS d FROM rg) "
+                           f"SELECT avg(d * d) AS rmsle, sqrt(avg(d * d)) AS rmsle_root FROM le",
+                           ["rmsle", "rmsle_root"]))(
+    lambda spark, sf: _fl(MT.regression_metrics(_reg_scores(spark, sf)).select("rmsle", "rmsle_root")))
+
+
+def _masked(spark, sf):
+    e = read_table(spark, sf, "embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 8)).alias("col", "x"))
+    e = e.withColumn("x", F.col("x").cast("double")).withColumn(
+        "mask", (((F.col("vec_id") * 7919 + F.col("col") * 104729) % 10) < 2).cast("int"))
+    mean = e.groupBy("col").agg(F.avg("x").alias("pred"))
+    return MT.masked_reconstruction(e.join(F.broadcast(mean), "col"), row="vec_id")
+
+
+_reg("metric_masked_reconstruction", _fsql(
+    "WITH e AS (SELECT vec_id, i - 1 AS col, CAST(embedding[i] AS DOUBLE) AS x, "
+    "CASE WHEN (vec_id * 7919 + (i - 1) * 104729) % 10 < 2 THEN 1 ELSE 0 END AS mask FROM embeddings, range(1, 9) t(i)), "
+    "s AS (SELECT col, avg(x) AS pred, var_samp(x) AS v FROM e GROUP BY col), "
+    "r AS (SELECT e.vec_id, sum(e.mask * (s.pred - e.x) * (s.pred - e.x) / (coalesce(s.v, 0) + CAST(1e-9 AS DOUBLE))) AS l, "
+    "CAST(sum(e.mask) AS DOUBLE) AS m FROM e JOIN s USING (col) GROUP BY e.vec_id) "
+    "SELECT avg(l / (m + CAST(1e-9 AS DOUBLE))) AS unsup_loss FROM r", ["unsup_loss"]))(_masked)
