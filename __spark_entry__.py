@@ -499,6 +499,6 @@ _reg("metric_masked_reconstruction", _fsql(
     "WITH e AS (SELECT vec_id, i - 1 AS col, CAST(embedding[i] AS DOUBLE) AS x, "
     "CASE WHEN (vec_id * 7919 + (i - 1) * 104729) % 10 < 2 THEN 1 ELSE 0 END AS mask FROM embeddings, range(1, 9) t(i)), "
     "s AS (SELECT col, avg(x) AS pred, var_samp(x) AS v FROM e GROUP BY col), "
-    "r AS (SELECT e.vec_id, sum(e.mask * (s.pred - e.x) * (s.pred - e.x) / (coalesce(s.v, 0) + CAST(1e-9 AS DOUBLE))) AS l, "
+    "r AS (SELECT e.vec_id, sum(e.mask * (s.pred - e.x) * (s.pred - e.x) / (coalesce(s.v, CAST(0 AS DOUBLE)) + CAST(1e-9 AS DOUBLE))) AS l, "
     "CAST(sum(e.mask) AS DOUBLE) AS m FROM e JOIN s USING (col) GROUP BY e.vec_id) "
     "SELECT avg(l / (m + CAST(1e-9 AS DOUBLE))) AS unsup_loss FROM r", ["unsup_loss"]))(_masked)
