@@ -492,7 +492,7 @@ def _masked(spark, sf):
     e = e.withColumn("x", F.col("x").cast("double")).withColumn(
         "mask", (((F.col("vec_id") * 7919 + F.col("col") * 104729) % 10) < 2).cast("int"))
     mean = e.groupBy("col").agg(F.avg("x").alias("pred"))
-    return MT.masked_reconstruction(e.join(F.broadcast(mean), "col"), row="vec_id")
+    return _fl(MT.masked_reconstruction(e.join(F.broadcast(mean), "col"), row="vec_id"))
 
 
 _reg("metric_masked_reconstruction", _fsql(
