@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartcast.functions.months import before, in_month, unix_seconds, year_month, ym_shift
+from cartcast.functions.months import shift_ym_col as WN_shift
 from cartcast.functions.stats import STATS7, STATS7_WINDOW, agg_columns, mode
 from cartcast.operators import labels as LB
 from cartcast.operators import rowfeat as RF
@@ -502,3 +503,248 @@ _reg("metric_masked_reconstruction", _fsql(
     "r AS (SELECT e.vec_id, sum(e.mask * (s.pred - e.x) * (s.pred - e.x) / (coalesce(s.v, CAST(0 AS DOUBLE)) + CAST(1e-9 AS DOUBLE))) AS l, "
     "CAST(sum(e.mask) AS DOUBLE) AS m FROM e JOIN s USING (col) GROUP BY e.vec_id) "
     "SELECT avg(l / (m + CAST(1e-9 AS DOUBLE))) AS unsup_loss FROM r", ["unsup_loss"]))(_masked)
+
+
+# ----------------------------------------------------------- sources / sinks
+from cartcast.operators import prep as PR  # noqa: E402
+from cartcast.operators import profile as PF  # noqa: E402
+from cartcast.operators import report as RP  # noqa: E402
+from cartcast.operators import split as SP  # noqa: E402
+from cartcast.sources import files as IO  # noqa: E402
+
+_CUST_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def _headerless(spark, sf):
+    # A2 + A8: write the customer table as headerless gzip CSV next to another
+    # file set, then read back only the files picked by a name pattern.
+    base = IO.scratch_path(spark, "headerless")
+    cust = read_table(spark, sf, "customer").select(*_CUST_COLS)
+    IO.write_csv(cust, base, header=False, compression="gzip")
+    IO.write_csv(read_table(spark, sf, "nation"), base + "/other", header=False)
+    return IO.read_headerless_csv(spark, base, _CUST_COLS,
+                                  [T.LongType(), T.StringType(), T.IntegerType(), T.DoubleType(), T.StringType()],
+                                  glob="*.csv.gz")
+
+
+_reg("scan_headerless_csv", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")(_headerless)
+
+
+def _csv_roundtrip(spark, sf):
+    # A5 then A1: the log written as header CSV and read back with its schema.
+    path = IO.scratch_path(spark, "log")
+    log = transactions(spark, sf).select(*[f.name for f in IO.LOG_SCHEMA.fields])
+    IO.write_csv(log, path)
+    return IO.read_log_csv(spark, path)
+
+
+_reg("sink_csv_roundtrip", W() + "SELECT order_id, product_id, description, quantity, order_date, price, customer_id, "
+     "country, total FROM txn")(_csv_roundtrip)
+
+
+def _feature_list(spark, sf):
+    fs = FE.fe_full(_log(spark, sf), TARGET)
+    return IO.write_feature_list(spark, fs.features, IO.scratch_path(spark, "features"))
+
+
+_reg("feature_list")(_feature_list)
+
+
+def _fold_preds(spark, sf) -> DataFrame:
+    """Fixed per-fold predictions for the target-month customers (5 folds)."""
+    lab = LB.label_month(_log(spark, sf), TARGET).select("customer_id", "label")
+    f = lab.select("customer_id", "label", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("fold"))
+    return f.withColumn("p", (((F.col("customer_id") * 7919 + F.col("fold") * 104729) % 1000).cast("double") + 0.5) / 1000.0)
+
+
+_FP = _BIN[:1] + ("fp AS (SELECT l.customer_id, l.label, CAST(f.fold AS INTEGER) AS fold, "
+                  "(CAST((l.customer_id * 7919 + f.fold * 104729) % 1000 AS DOUBLE) + 0.5) / 1000 AS p "
+                  "FROM lab1 l, range(0, 5) f(fold))",)
+
+_reg("submission", _fsql(W(*_FP) + "SELECT l.customer_id, a.probability FROM lab1 l LEFT JOIN "
+     "(SELECT customer_id, avg(p) AS probability FROM fp GROUP BY 1) a USING (customer_id)", ["probability"]))(
+    lambda spark, sf: _fl(IO.submission(LB.label_month(_log(spark, sf), TARGET),
+                                        RP.fold_average(_fold_preds(spark, sf), "customer_id"))))
+_reg("fold_average", _fsql(W(*_FP) + "SELECT customer_id, avg(p) AS probability FROM fp GROUP BY 1", ["probability"]))(
+    lambda spark, sf: _fl(RP.fold_average(_fold_preds(spark, sf), "customer_id")))
+_reg("fold_geomean", _fsql(W(*_FP) + f"SELECT customer_id, exp(avg(ln(p + CAST('{RP.EPS!r}' AS DOUBLE)))) AS probability "
+                           "FROM fp GROUP BY 1", ["probability"]))(
+    lambda spark, sf: _fl(RP.fold_geomean(_fold_preds(spark, sf), "customer_id")))
+
+# ------------------------------------------------------ projections, B11-B19
+
+_BASE_SPEC = [(c, STATS7) for c in ["quantity", "price", "total"]]
+_reg("feature_columns", f"SELECT * EXCLUDE (customer_id, year_month, label) FROM ({SQ.simple_sql(TARGET, _BASE_SPEC)}) b")(
+    lambda spark, sf: _fl(FE.fe_baseline(_log(spark, sf), TARGET).frame.drop("customer_id", "year_month", "label")))
+
+_PICK = [c for c in FE.PICKED if c in FE.full_feature_names()]
+_reg("picked_features", "SELECT customer_id, year_month, " + ", ".join(f'"{c}"' for c in _PICK) +
+     f" FROM ({SQ.full_sql(TARGET)}) f")(
+    lambda spark, sf: _fl(FE.fe_full(_log(spark, sf), TARGET).frame.select(
+        "customer_id", "year_month", *[F.col(f"`{c}`") for c in _PICK])))
+
+_reg("relabel_target", "SELECT doc_id, CASE WHEN quality = 0 THEN 'wealthy' ELSE CAST(quality AS VARCHAR) END AS quality FROM labels")(
+    lambda spark, sf: read_table(spark, sf, "labels").select(
+        "doc_id", F.when(F.col("quality") == 0, "wealthy").otherwise(F.col("quality").cast("string")).alias("quality")))
+
+_FILL_COLS = [f"{c}-{s}" for c in ["quantity", "price", "total"] for s in STATS7]
+_reg("fill_constants", _fsql(
+    "SELECT customer_id, year_month, label, " + ", ".join(
+        f'coalesce("{c}", 0{".0" if not c.endswith("-count") else ""}) AS "{c}"' for c in _FILL_COLS) +
+    f" FROM ({SQ.simple_sql(TARGET, _BASE_SPEC, impute=False, normalize=False)}) b",
+    [c for c in _FILL_COLS if not c.endswith("-count")]))(
+    lambda spark, sf: _fl(PR.fill_constants(FE.fe_baseline(_log(spark, sf), TARGET, impute=False).frame)))
+
+_reg("columns_by_type", "SELECT column_name AS \"column\" FROM (DESCRIBE lineitem) WHERE column_type = 'DOUBLE'")(
+    lambda spark, sf: spark.createDataFrame(
+        [(c,) for c in SP.columns_of_type(read_table(spark, sf, "lineitem"), [T.DoubleType])], "column string"))
+
+_reg("multi_target", "SELECT doc_id, quality, quality AS quality_0, quality AS quality_1, quality AS quality_2 FROM labels")(
+    lambda spark, sf: PR.multi_target(read_table(spark, sf, "labels").select("doc_id", "quality"), "quality", 3))
+_reg("random_target")(
+    lambda spark, sf: PR.random_int_target(read_table(spark, sf, "labels").select("doc_id"), "doc_id", 10, 15, seed=0))
+
+# -------------------------------------------------------------------- joins
+
+
+def _join_blocks(spark, sf):
+    log = _log(spark, sf).filter(before(TARGET))
+    a = log.groupBy("customer_id").agg(*agg_columns(FE.BASE_SPEC))
+    b = log.groupBy("customer_id").agg(*agg_columns(FE.DISTINCT_SPEC))
+    return _fl(a.join(b, "customer_id", "left"))
+
+
+_reg("join_feature_blocks", _fsql(W(
+    f"a AS (SELECT customer_id, {_sel(sql_stats(['quantity', 'price', 'total'], STATS7))} FROM txn "
+    f"WHERE order_date < {_ts(TARGET)} GROUP BY 1)",
+    f"b AS (SELECT customer_id, count(DISTINCT order_id) AS \"order_id-nunique\", count(DISTINCT product_id) AS "
+    f"\"product_id-nunique\" FROM txn WHERE order_date < {_ts(TARGET)} GROUP BY 1)") +
+    "SELECT * FROM a LEFT JOIN b USING (customer_id)",
+    [f"{c}-{s}" for c in ["quantity", "price", "total"] for s in STATS7 if s != "count"]))(_join_blocks)
+
+_DESC_SQL = (f"SELECT customer_id, string_agg(description, ', ' ORDER BY {ORD}) AS description FROM txn "
+             f"WHERE order_date < {_ts(TARGET)} GROUP BY customer_id")
+_reg("customer_descriptions", W() + _DESC_SQL)(
+    lambda spark, sf: FE.customer_descriptions(_log(spark, sf, description=True), TARGET))
+_reg("features_with_text", f"SELECT f.*, d.description FROM ({SQ.simple_sql(TARGET, FE.COMPACT_SPEC, cycle=True)}) f "
+     f"LEFT JOIN ({W() + _DESC_SQL}) d USING (customer_id) WHERE f.year_month = '{TARGET}'")(
+    lambda spark, sf: _fl(FE.features_with_text(FE.fe_compact(_log(spark, sf), TARGET), _log(spark, sf, description=True),
+                                                anchor=TARGET).filter(F.col("year_month") == TARGET)))
+
+_reg("unseen_labels", W() + f"SELECT DISTINCT product_id FROM txn WHERE strftime(order_date, '%Y-%m') = '{TARGET}' "
+     f"AND product_id NOT IN (SELECT product_id FROM txn WHERE order_date < {_ts(TARGET)})")(
+    lambda spark, sf: PR.unseen_labels(_log(spark, sf).filter(before(TARGET)), _log(spark, sf).filter(in_month(TARGET)),
+                                       "product_id"))
+
+
+def _eval_join(spark, sf):
+    # Ground truth and predictions paired on the key (never by position)
+    gt = LB.label_month(_log(spark, sf), TARGET).select("customer_id", "label")
+    pr = _bin_scores(spark, sf).select("customer_id", F.col("score").alias("probability"))
+    j = gt.join(pr, "customer_id")
+    a = MT.roc_auc(j, "label", "probability")
+    n = j.agg(F.count("*").alias("rows"))
+    return _fl(a.join(n, how="inner"))
+
+
+_reg("eval_join", _fsql(W(*_BIN) + f"SELECT a.auc, c.rows FROM ({_auc_sql('bs', 'score')}) a, "
+                        "(SELECT count(*) AS rows FROM bs) c", ["auc"]))(_eval_join)
+
+_reg("calendar_grid", W() + "SELECT c.customer_id, strftime(m.d, '%Y-%m') AS year_month FROM (SELECT DISTINCT customer_id FROM txn) c, "
+     "(SELECT unnest(generate_series(date_trunc('month', min(order_date)), date_trunc('month', max(order_date)), "
+     "INTERVAL 1 MONTH)) AS d FROM txn) m")(
+    lambda spark, sf: WN.calendar_grid(_log(spark, sf)))
+_reg("calendar_days", W() + "SELECT strftime(d, '%Y-%m') AS year_month, count(*) AS days FROM (SELECT unnest(generate_series("
+     "CAST(min(order_date) AS DATE), CAST(max(order_date) AS DATE), INTERVAL 1 DAY)) AS d FROM txn) x GROUP BY 1")(
+    lambda spark, sf: WN.calendar_days(_log(spark, sf)))
+_reg("monthly_dense", _fsql(W() + f"SELECT c.customer_id, '{ym_shift(TARGET, -12)}' AS year_month, coalesce(g.t, 0.0) AS total "
+     f"FROM (SELECT DISTINCT customer_id FROM txn WHERE order_date < {_ts(TARGET)}) c LEFT JOIN (SELECT customer_id, sum(total) AS t "
+     f"FROM txn WHERE strftime(order_date, '%Y-%m') = '{ym_shift(TARGET, -12)}' GROUP BY 1) g USING (customer_id)", ["total"]))(
+    lambda spark, sf: _fl(WN.monthly_dense(_log(spark, sf).filter(before(TARGET)), ym_shift(TARGET, -12))))
+
+# --------------------------------------------------------------- aggregates
+
+_SPEC_D3 = [("quantity", ["mean", "max"]), ("total", ["sum", "count"]), ("order_id", ["nunique"])]
+_reg("agg_spec", _fsql(W() + 'SELECT customer_id, avg(quantity) AS "quantity-mean", max(quantity) AS "quantity-max", '
+     'coalesce(sum(total), 0.0) AS "total-sum", count(total) AS "total-count", count(DISTINCT order_id) AS "order_id-nunique" '
+     "FROM txn GROUP BY 1", ["quantity-mean", "quantity-max", "total-sum"]))(
+    lambda spark, sf: _fl(_log(spark, sf).groupBy("customer_id").agg(*agg_columns(_SPEC_D3))))
+_reg("agg_spec_custom", _fsql(W() + 'SELECT customer_id, max(total) - min(total) AS "total-mode", avg(price) AS "price-mean" '
+     "FROM txn GROUP BY 1", ["total-mode", "price-mean"]))(
+    lambda spark, sf: _fl(_log(spark, sf).groupBy("customer_id").agg(
+        *agg_columns([("total", [lambda c: F.max(c) - F.min(c)]), ("price", ["mean"])]))))
+
+_DESC_COLS = ["quantity", "price", "total"]
+_reg("describe_numeric", _fsql(W() + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min, "
+    f"quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50, quantile_cont({c}, 0.75) AS p75, max({c}) AS max FROM txn"
+    for c in _DESC_COLS), ["mean", "std", "min", "p25", "p50", "p75", "max"]))(
+    lambda spark, sf: _fl(PF.describe_numeric(_log(spark, sf), _DESC_COLS)))
+_reg("column_cardinality", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS nunique FROM customer" for c in _CUST_COLS))(
+    lambda spark, sf: PF.column_cardinality(read_table(spark, sf, "customer").select(*_CUST_COLS)))
+_reg("categorical_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS nunique, "
+    f"({'TRUE' if t == 'VARCHAR' else 'FALSE'} OR count(DISTINCT {c}) < 200) AS categorical FROM customer"
+    for c, t in zip(_CUST_COLS, ["BIGINT", "VARCHAR", "INTEGER", "DOUBLE", "VARCHAR"])))(
+    lambda spark, sf: PF.categorical_columns(read_table(spark, sf, "customer").select(*_CUST_COLS)))
+_reg("class_counts", "SELECT label, count(*) AS count FROM embeddings GROUP BY 1")(
+    lambda spark, sf: PF.class_counts(read_table(spark, sf, "embeddings"), "label"))
+_reg("id_patterns", W() + "SELECT regexp_replace(product_id, '[0-9]', '_', 'g') AS pattern, count(*) AS rows, "
+     "count(DISTINCT product_id) AS ids, NOT regexp_full_match(regexp_replace(product_id, '[0-9]', '_', 'g'), '_+') AS nonnumeric "
+     "FROM txn GROUP BY 1")(
+    lambda spark, sf: PF.id_patterns(_log(spark, sf), "product_id"))
+_reg("target_type", "SELECT 'quality' AS target, CASE WHEN max(CASE WHEN quality <> floor(quality) THEN 1 ELSE 0 END) = 1 "
+     "THEN 'continuous' WHEN count(DISTINCT quality) <= 2 THEN 'binary' ELSE 'multiclass' END AS target_type FROM labels "
+     "UNION ALL SELECT 'label', CASE WHEN count(DISTINCT label) <= 2 THEN 'binary' ELSE 'multiclass' END FROM embeddings "
+     "UNION ALL SELECT 'l_extendedprice', CASE WHEN max(CASE WHEN l_extendedprice <> floor(l_extendedprice) THEN 1 ELSE 0 END) = 1 "
+     "THEN 'continuous' ELSE 'multiclass' END FROM lineitem "
+     "UNION ALL SELECT 'quality,toxic', 'multilabel-indicator' FROM (SELECT 1) WHERE (SELECT count(*) FROM labels "
+     "WHERE quality NOT IN (0, 1) OR toxic NOT IN (0, 1)) = 0")(
+    lambda spark, sf: PF.target_type(read_table(spark, sf, "labels"), ["quality"])
+    .unionByName(PF.target_type(read_table(spark, sf, "embeddings"), ["label"]))
+    .unionByName(PF.target_type(read_table(spark, sf, "lineitem"), ["l_extendedprice"]))
+    .unionByName(PF.target_type(read_table(spark, sf, "labels"), ["quality", "toxic"])))
+_reg("nonfinite_counts", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(*) FILTER (WHERE isnan({c})) AS nans, "
+    f"count(*) FILTER (WHERE isinf({c})) AS infs FROM lineitem" for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))(
+    lambda spark, sf: PF.nonfinite_counts(read_table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice",
+                                                                                    "l_discount", "l_tax")))
+_reg("target_type_mix", W() + "SELECT count(*) FILTER (WHERE TRY_CAST(product_id AS DOUBLE) IS NOT NULL) AS numeric, "
+     "count(*) FILTER (WHERE TRY_CAST(product_id AS DOUBLE) IS NULL AND product_id IS NOT NULL) AS non_numeric, "
+     "(count(*) FILTER (WHERE TRY_CAST(product_id AS DOUBLE) IS NOT NULL) > 0 AND count(*) FILTER (WHERE "
+     "TRY_CAST(product_id AS DOUBLE) IS NULL AND product_id IS NOT NULL) > 0) AS mixed FROM txn")(
+    lambda spark, sf: PF.target_type_mix(_log(spark, sf), "product_id"))
+_ORD_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+              ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+_reg("table_info", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{t}' AS dtype, count({c}) AS non_null, count(*) AS rows FROM orders" for c, t in _ORD_TYPES))(
+    lambda spark, sf: PF.table_info(read_table(spark, sf, "orders")))
+
+
+def _schema_check(spark, sf):
+    fs = FE.fe_baseline(_log(spark, sf), TARGET)
+    return PF.schema_check(fs.train, {"valid": fs.test, "test_no_label": fs.test.drop("label")}, fs.features, ["label"])
+
+
+_reg("schema_check")(_schema_check)
+
+# -------------------------------------------------------------- sorts, limits
+_reg("head_sample", f"SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM lineitem "
+     f"ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice LIMIT 1000")(
+    lambda spark, sf: read_table(spark, sf, "lineitem")
+    .orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").limit(1000)
+    .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
+_reg("manual_positive_sorted", W() + f"SELECT {KEYCOLS}, customer_id, total FROM txn WHERE product_id = 'M' AND total > 0 "
+     f"ORDER BY total, {KEYCOLS}")(
+    lambda spark, sf: _log(spark, sf).filter((F.col("product_id") == "M") & (F.col("total") > 0))
+    .select(*LOG_ORDER[1:], "customer_id", "total").orderBy("total", *LOG_ORDER[1:]))
+
+# ------------------------------------------------------- scalar, set ops
+_reg("month_shift", W() + "SELECT ym, strftime(strptime(ym, '%Y-%m') - INTERVAL 1 MONTH, '%Y-%m') AS prev_month, "
+     "strftime(strptime(ym, '%Y-%m') - INTERVAL 12 MONTH, '%Y-%m') AS prev_year, "
+     "strftime(strptime(ym, '%Y-%m') + INTERVAL 1 MONTH, '%Y-%m') AS next_month "
+     "FROM (SELECT DISTINCT strftime(order_date, '%Y-%m') AS ym FROM txn) m")(
+    lambda spark, sf: _log(spark, sf).select(year_month("order_date").alias("ym")).distinct().select(
+        "ym", WN_shift(F.col("ym"), -1).alias("prev_month"), WN_shift(F.col("ym"), -12).alias("prev_year"),
+        WN_shift(F.col("ym"), 1).alias("next_month")))

@@ -79,15 +79,15 @@ def quantile_table(df: DataFrame, cols: Sequence[str], n_quantiles: int) -> Data
     range emits only the quantile positions that fall in it.  No task ever
     holds a whole column.  Output: (col, j, ref, q).
     """
-    cnt = _long(df, cols).groupBy("col", "v").agg(F.count("*").cast("double").alias("n"))
-    tot = cnt.groupBy("col").agg(F.sum("n").cast("long").alias("N"))
-    cum = ordered_scan(cnt, "col", ["v"], ScanSpec(cumsum={"_cum": "n"}))
+    cnt = _long(df, cols).groupBy("col", "v").agg(F.count("*").cast("double").alias("_cnt"))
+    tot = cnt.groupBy("col").agg(F.sum("_cnt").cast("long").alias("_tot"))
+    cum = ordered_scan(cnt, "col", ["v"], ScanSpec(cumsum={"_cum": "_cnt"}))
     # tot has one row per column: a size bound fixed by the caller.
     c = cum.join(F.broadcast(tot), "col")
-    Q = F.least(F.lit(int(n_quantiles)).cast("long"), F.col("N"))
+    Q = F.least(F.lit(int(n_quantiles)).cast("long"), F.col("_tot"))
     b = F.col("_cum").cast("long")
-    a = b - F.col("n").cast("long")
-    n1 = F.col("N") - 1
+    a = b - F.col("_cnt").cast("long")
+    n1 = F.col("_tot") - 1
     q1 = Q - 1
     # positions h_j = (N-1) j / (Q-1); lo_j = floor(h_j), hi_j = ceil(h_j)
     lo_min = F.when(n1 == 0, F.lit(0)).otherwise(F.floor((a * q1 + n1 - 1) / n1))
@@ -96,16 +96,16 @@ def quantile_table(df: DataFrame, cols: Sequence[str], n_quantiles: int) -> Data
     hi_max = F.when(n1 == 0, q1).otherwise(F.floor(((b - 1) * q1) / n1))
     lo_rng = F.when(lo_min <= lo_max, F.sequence(lo_min.cast("long"), lo_max.cast("long")))
     hi_rng = F.when(hi_min <= hi_max, F.sequence(hi_min.cast("long"), hi_max.cast("long")))
-    lo = c.select("col", "v", "N", Q.alias("Q"), F.explode(lo_rng).alias("j"), F.lit("lo").alias("side"))
-    hi = c.select("col", "v", "N", Q.alias("Q"), F.explode(hi_rng).alias("j"), F.lit("hi").alias("side"))
+    lo = c.select("col", "v", "_tot", Q.alias("Q"), F.explode(lo_rng).alias("j"), F.lit("lo").alias("side"))
+    hi = c.select("col", "v", "_tot", Q.alias("Q"), F.explode(hi_rng).alias("j"), F.lit("hi").alias("side"))
     both = lo.unionByName(hi).where((F.col("j") >= 0) & (F.col("j") <= F.col("Q") - 1))
-    g = both.groupBy("col", "j", "N", "Q").agg(
+    g = both.groupBy("col", "j", "_tot", "Q").agg(
         F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("vlo"),
         F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("vhi"))
     den = (F.col("Q") - 1).cast("double")
     ref = F.when(F.col("Q") == 1, F.lit(0.0)).otherwise(F.col("j").cast("double") / den)
     h = F.when(F.col("Q") == 1, F.lit(0.0)).otherwise(
-        (F.col("N") - 1).cast("double") * F.col("j").cast("double") / den)
+        (F.col("_tot") - 1).cast("double") * F.col("j").cast("double") / den)
     frac = h - F.floor(h)
     q = F.when(F.col("vhi") == F.col("vlo"), F.col("vlo")).otherwise(
         F.col("vlo") + frac * (F.col("vhi") - F.col("vlo")))

@@ -154,7 +154,8 @@ def calendar_grid(log: DataFrame) -> DataFrame:
     months = F.sequence(F.lit(f"{lo:%Y-%m}-01").cast("date"), F.lit(f"{hi:%Y-%m}-01").cast("date"),
                         F.expr("interval 1 month"))
     cust = log.select("customer_id").distinct()
-    return cust.select("customer_id", F.date_format(F.explode(months), "yyyy-MM").alias("year_month"))
+    grid = cust.select("customer_id", F.explode(months).alias("_m"))
+    return grid.select("customer_id", F.date_format("_m", "yyyy-MM").alias("year_month"))
 
 
 def monthly_dense(log: DataFrame, ym: str) -> DataFrame:

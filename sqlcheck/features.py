@@ -288,7 +288,7 @@ def impute_select(names_kinds, src: str, train_filter: str) -> str:
 
 
 def simple_sql(ym: str, spec: list[tuple[str, list[str]]], impute: bool = True, cumsum: bool = False,
-               distinct: bool = False, cycle: bool = False) -> str:
+               distinct: bool = False, cycle: bool = False, normalize: bool = True) -> str:
     """Builders K2/K3/K5: labels of M-1 and M, aggregates over rows before the
     anchor, median fill from the train rows."""
     tr = ym_shift(ym, -1)
@@ -324,4 +324,6 @@ def simple_sql(ym: str, spec: list[tuple[str, list[str]]], impute: bool = True,
                 impute_select(feats, "j", f"year_month = '{tr}'") + " FROM j")
     else:
         body = "SELECT * FROM j"
+    if not normalize:
+        return with_(*ctes, joined) + body
     return wrap_float(with_(*ctes, joined) + body, [n for n, k in feats if k == "d"])
