@@ -748,3 +748,204 @@ _reg("month_shift", W() + "SELECT ym, strftime(strptime(ym, '%Y-%m') - INTERVAL
     lambda spark, sf: _log(spark, sf).select(year_month("order_date").alias("ym")).distinct().select(
         "ym", WN_shift(F.col("ym"), -1).alias("prev_month"), WN_shift(F.col("ym"), -12).alias("prev_year"),
         WN_shift(F.col("ym"), 1).alias("next_month")))
+
+
+# --------------------------------------------------- preprocessing L1-L8
+_ANCH3 = [ym_shift(TARGET, -2), TRAIN, TARGET]
+
+
+def _multi_anchor_sql() -> str:
+    aggs = ",\n  ".join(f'{SQ.stat(chr(34) + c + chr(34), s)} AS "{c}-{s}"' for c in ["quantity", "price", "total"]
+                        for s in STATS7)
+    inner = SQ.with_(SQ.anchors_cte(_ANCH3, "txn", "ra"),
+                     f"blk AS (SELECT customer_id, year_month,\n  {aggs}\nFROM ra GROUP BY 1, 2)",
+                     SQ.labels_cte(_ANCH3)) + \
+        "SELECT lab.customer_id, lab.year_month, lab.label, blk.* EXCLUDE (customer_id, year_month) FROM lab " \
+        "LEFT JOIN blk USING (customer_id, year_month)"
+    return SQ.wrap_float(inner, [f"{c}-{s}" for c in ["quantity", "price", "total"] for s in STATS7 if s != "count"])
+
+
+_reg("multi_anchor_train", _multi_anchor_sql())(
+    lambda spark, sf: _fl(FE.multi_anchor_features(_log(spark, sf), _ANCH3, FE.BASE_SPEC)))
+
+
+def _cust_cat(spark, sf):
+    cu = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    na = read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return cu.join(F.broadcast(na), "c_nationkey").select("c_custkey", "n_name", "c_mktsegment")
+
+
+_CC = ("cc AS (SELECT c.c_custkey, n.n_name, c.c_mktsegment FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)",)
+
+
+def _enc_sql(src: str, cols: list[str], fit: str | None = None) -> str:
+    fit = fit or src
+    sel = ", ".join(f"(SELECT code FROM (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM "
+                    f"(SELECT DISTINCT {c} AS v FROM {fit} WHERE {c} IS NOT NULL) d) e WHERE e.v = s.{c}) AS {c}"
+                    for c in cols)
+    return sel
+
+
+_reg("label_encode", "WITH " + _CC[0] + " SELECT s.c_custkey, " + _enc_sql("cc", ["n_name", "c_mktsegment"]) + " FROM cc s")(
+    lambda spark, sf: PR.label_encode(_cust_cat(spark, sf), ["n_name", "c_mktsegment"]))
+
+
+def _enc_cat(spark, sf):
+    df = _cust_cat(spark, sf).withColumn("split", F.when(F.col("c_custkey") % 2 == 0, "train").otherwise("test"))
+    tr, te = PR.encode_categoricals(df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test"),
+                                    ["n_name", "c_mktsegment"])
+    return tr.unionByName(te)
+
+
+_reg("encode_categoricals", "WITH " + _CC[0] + ", cs AS (SELECT c_custkey, coalesce(n_name, 'VV_likely') AS n_name, "
+     "coalesce(c_mktsegment, 'VV_likely') AS c_mktsegment, CASE WHEN c_custkey % 2 = 0 THEN 'train' ELSE 'test' END AS split FROM cc) "
+     "SELECT s.c_custkey, " + _enc_sql("cs", ["n_name", "c_mktsegment"]) + ", s.split FROM cs s")(_enc_cat)
+
+_reg("unique_labels", "SELECT v AS label, dense_rank() OVER (ORDER BY v) - 1 AS \"index\" FROM (SELECT DISTINCT v FROM ("
+     "SELECT CAST(quality AS VARCHAR) AS v FROM labels UNION ALL SELECT CAST(toxic AS VARCHAR) FROM labels UNION ALL "
+     "SELECT CAST(label AS VARCHAR) FROM embeddings) a WHERE v IS NOT NULL) d")(
+    lambda spark, sf: SP.unique_labels((read_table(spark, sf, "labels"), "quality"), (read_table(spark, sf, "labels"), "toxic"),
+                                       (read_table(spark, sf, "embeddings"), "label")))
+
+_IMP_COLS = [f"{c}-{s}" for c in ["quantity", "price", "total"] for s in ["std", "skew"]]
+_STATS_SQL = (f"cs AS (SELECT customer_id, {_sel(sql_stats(['quantity', 'price', 'total'], ['std', 'skew']))} FROM txn "
+              f"WHERE order_date < {_ts(TARGET)} GROUP BY 1)")
+
+
+def _cust_nulls(spark, sf):
+    return (_log(spark, sf).filter(before(TARGET)).groupBy("customer_id")
+            .agg(*agg_columns([(c, ["std", "skew"]) for c in ["quantity", "price", "total"]])))
+
+
+_reg("median_impute", _fsql(W(_STATS_SQL) + "SELECT customer_id, " + ", ".join(
+    f'coalesce("{c}", (SELECT median("{c}") FROM cs)) AS "{c}"' for c in _IMP_COLS) + " FROM cs", _IMP_COLS))(
+    lambda spark, sf: _fl(PR.median_impute(_cust_nulls(spark, sf), None, _IMP_COLS)[0]))
+_reg("mean_fill", _fsql(W(_STATS_SQL) + "SELECT customer_id, " + ", ".join(
+    f'coalesce("{c}", (SELECT avg("{c}") FROM cs)) AS "{c}"' for c in _IMP_COLS) + " FROM cs", _IMP_COLS))(
+    lambda spark, sf: _fl(PR.mean_fill(_cust_nulls(spark, sf), None, _IMP_COLS)[0]))
+
+_QT_COLS = ["total-sum", "total-mean", "quantity-mean"]
+
+
+def _qt(spark, sf, output="uniform"):
+    fs = FE.fe_baseline(_log(spark, sf), TARGET)
+    tr, te = PR.quantile_transform(fs.train, fs.test, _QT_COLS, 1000, output=output)
+    return te.select("customer_id", *[F.col(f"`{c}`") for c in _QT_COLS])
+
+
+def _qt_sql() -> str:
+    base = SQ.simple_sql(TARGET, _BASE_SPEC, normalize=False)
+    tl = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST(\"{c}\" AS DOUBLE) AS v FROM b WHERE year_month = '{TRAIN}'" for c in _QT_COLS)
+    xl = " UNION ALL ".join(f"SELECT customer_id, '{c}' AS col, CAST(\"{c}\" AS DOUBLE) AS x FROM b WHERE year_month = '{TARGET}'"
+                            for c in _QT_COLS)
+    q = f"""WITH b AS ({base}),
+tl AS (SELECT * FROM ({tl}) t WHERE v IS NOT NULL),
+rk AS (SELECT col, v, row_number() OVER (PARTITION BY col ORDER BY v) - 1 AS r, count(*) OVER (PARTITION BY col) AS n FROM tl),
+qq AS (SELECT DISTINCT col, n, least(1000, n) AS Q FROM rk),
+hq AS (SELECT qq.col, s.j, qq.Q, CASE WHEN qq.Q = 1 THEN 0 ELSE ((qq.n - 1) * s.j) // (qq.Q - 1) END AS lo,
+       CASE WHEN qq.Q = 1 THEN 0.0 ELSE CAST(((qq.n - 1) * s.j) % (qq.Q - 1) AS DOUBLE) / (qq.Q - 1) END AS fr,
+       CASE WHEN qq.Q = 1 THEN 0.0 ELSE CAST(s.j AS DOUBLE) / (qq.Q - 1) END AS ref
+       FROM qq, range(0, 1000) s(j) WHERE s.j < qq.Q),
+qv AS (SELECT hq.col, hq.j, hq.ref, CASE WHEN hq.fr = 0 THEN a.v ELSE a.v + hq.fr * (c.v - a.v) END AS q0
+       FROM hq JOIN rk a ON a.col = hq.col AND a.r = hq.lo LEFT JOIN rk c ON c.col = hq.col AND c.r = hq.lo + 1),
+qm AS (SELECT col, j, ref, max(q0) OVER (PARTITION BY col ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS q,
+       count(*) OVER (PARTITION BY col) AS Q FROM qv),
+xs AS ({xl}),
+ab AS (SELECT xs.customer_id, xs.col, xs.x, max(qm.j) FILTER (WHERE qm.q <= xs.x) AS a, min(qm.j) FILTER (WHERE qm.q >= xs.x) AS b,
+       min(qm.q) AS qmin, max(qm.q) AS qmax, max(qm.Q) AS Q FROM xs JOIN qm USING (col) GROUP BY 1, 2, 3),
+iv AS (SELECT ab.*,
+  CASE WHEN ab.x <= ab.qmin THEN 0.0 WHEN ab.x >= ab.qmax THEN 1.0
+       ELSE qa.ref + (ab.x - qa.q) * (qa1.ref - qa.ref) / (qa1.q - qa.q) END AS ir,
+  CASE WHEN ab.x <= ab.qmin THEN 0.0 WHEN ab.x > ab.qmax THEN 1.0
+       ELSE qb.ref - (qb.q - ab.x) * (qb.ref - qb1.ref) / (qb.q - qb1.q) END AS il
+  FROM ab LEFT JOIN qm qa ON qa.col = ab.col AND qa.j = ab.a LEFT JOIN qm qa1 ON qa1.col = ab.col AND qa1.j = ab.a + 1
+          LEFT JOIN qm qb ON qb.col = ab.col AND qb.j = ab.b LEFT JOIN qm qb1 ON qb1.col = ab.col AND qb1.j = ab.b - 1),
+fin AS (SELECT customer_id, col, CASE WHEN x - 1e-7 < qmin THEN 0.0 WHEN x + 1e-7 > qmax THEN 1.0 ELSE 0.5 * (ir + il) END AS u FROM iv)
+SELECT customer_id, {", ".join(f"max(u) FILTER (WHERE col = '{c}') AS \"{c}\"" for c in _QT_COLS)} FROM fin GROUP BY customer_id"""
+    return q
+
+
+_reg("quantile_uniform", _fsql(_qt_sql(), _QT_COLS))(lambda spark, sf: _fl(_qt(spark, sf)))
+_reg("quantile_normal")(lambda spark, sf: _qt(spark, sf, "normal"))
+_reg("mask_features")(
+    lambda spark, sf: PR.mask_features(FE.fe_baseline(_log(spark, sf), TARGET).frame, "customer_id", _QT_COLS, 0.2, seed=0))
+
+# ------------------------------------------------------------- splits M1-M5
+
+
+def _lab(spark, sf):
+    return LB.label_month(_log(spark, sf), TARGET).select("customer_id", "label")
+
+
+_LAB1 = _BIN[:1]
+_reg("random_split")(lambda spark, sf: SP.random_split(_lab(spark, sf), "customer_id", seed=0))
+_reg("two_step_split")(lambda spark, sf: SP.two_step_split(_lab(spark, sf), "customer_id", seed=0))
+_reg("stratified_folds", W(*_LAB1) + "SELECT customer_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY customer_id) - 1) "
+     "% 10 AS INTEGER) AS fold FROM lab1")(
+    lambda spark, sf: SP.stratified_folds(_lab(spark, sf), "label", "customer_id", 10))
+_reg("class_weights", _fsql(W(*_LAB1) + "SELECT customer_id, label, 1.0 / count(*) OVER (PARTITION BY label) AS weight FROM lab1",
+                            ["weight"]))(
+    lambda spark, sf: _fl(SP.class_weights(_lab(spark, sf), "label", 1)))
+_reg("weighted_resample")(
+    lambda spark, sf: SP.weighted_resample(SP.class_weights(_lab(spark, sf), "label", 1), "weight", "customer_id", seed=0))
+
+# ----------------------------------------------- importance reports (fixed)
+
+
+def _importance(spark, sf) -> DataFrame:
+    """Fixed importance table from the data: |corr(feature, label)| on the
+    rows of each of 5 stratified folds of the baseline train frame."""
+    fs = FE.fe_baseline(_log(spark, sf), TARGET)
+    tr = SP.stratified_folds(fs.train, "label", "customer_id", 5)
+    long = tr.select((F.col("fold") + 1).alias("fold"), F.col("label").cast("double").alias("label"), F.explode(F.array(
+        *[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in fs.features])).alias("_p"))
+    c = F.corr("_p.value", "label")
+    return long.groupBy(F.col("_p.feature").alias("feature"), "fold").agg(
+        F.when(c.isNull() | F.isnan(c), F.lit(0.0)).otherwise(F.round(F.abs(c), 10)).alias("importance"))
+
+
+def _imp_sql() -> str:
+    base = SQ.simple_sql(TARGET, _BASE_SPEC, normalize=False)
+    feats = [f"{c}-{s}" for c in ["quantity", "price", "total"] for s in STATS7]
+    un = " UNION ALL ".join(f"SELECT '{c}' AS feature, fold, label, CAST(\"{c}\" AS DOUBLE) AS value FROM tf" for c in feats)
+    return (f"WITH b AS ({base}), tf AS (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY customer_id) - 1) % 5 + 1 "
+            f"AS INTEGER) AS fold, CAST(label AS DOUBLE) AS yl FROM b WHERE year_month = '{TRAIN}'), "
+            f"lg AS ({un.replace('fold, label,', 'fold, yl AS label,')}), "
+            "fi AS (SELECT feature, fold, CASE WHEN corr(value, label) IS NULL OR isnan(corr(value, label)) THEN 0.0 "
+            "ELSE round(abs(corr(value, label)), 10) END AS importance FROM lg GROUP BY 1, 2)")
+
+
+_reg("importance_mean", _fsql(_imp_sql() + " SELECT feature, avg(importance) AS importance FROM fi GROUP BY 1", ["importance"]))(
+    lambda spark, sf: _fl(RP.importance_mean(_importance(spark, sf))))
+_RANK_SQL = (", m AS (SELECT feature, avg(importance) AS importance FROM fi GROUP BY 1), "
+             "r AS (SELECT feature, importance, importance / sum(importance) OVER () AS importance_normalized, "
+             "row_number() OVER (ORDER BY importance DESC, feature) AS rank FROM m), "
+             "c AS (SELECT *, sum(importance_normalized) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+             "AS cumulative_importance FROM r)")
+_reg("importance_cumulative", _fsql(_imp_sql() + _RANK_SQL + " SELECT feature, importance, importance_normalized, "
+                                    "CAST(rank AS INTEGER) AS rank, cumulative_importance FROM c",
+                                    ["importance", "importance_normalized", "cumulative_importance"]))(
+    lambda spark, sf: _fl(RP.importance_ranked(RP.importance_mean(_importance(spark, sf)))))
+_reg("importance_top20", _fsql(_imp_sql() + _RANK_SQL + " SELECT feature, importance, importance_normalized, "
+                               "CAST(rank AS INTEGER) AS rank, cumulative_importance FROM c WHERE rank <= 20",
+                               ["importance", "importance_normalized", "cumulative_importance"]))(
+    lambda spark, sf: _fl(RP.importance_top(RP.importance_mean(_importance(spark, sf)), 20)))
+
+
+def _rollup(spark, sf):
+    fi = _importance(spark, sf)
+    mapping = fi.select("feature").distinct().select("feature", F.split("feature", "-")[0].alias("source"))
+    return _fl(RP.importance_rollup(fi, mapping))
+
+
+_reg("importance_rollup", _fsql(_imp_sql() + " SELECT split_part(feature, '-', 1) AS source, sum(importance) / "
+                                "(SELECT sum(importance) FROM fi) AS importance FROM fi GROUP BY 1", ["importance"]))(_rollup)
+
+
+def _fold_auc(spark, sf):
+    s = SP.stratified_folds(_bin_scores(spark, sf), "label", "customer_id", 5)
+    return _fl(MT.roc_auc(s, "label", "score", by="fold"))
+
+
+_reg("fold_auc", _fsql(W(*_BIN, "fb AS (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY customer_id) - 1) % 5 "
+                       "AS INTEGER) AS fold FROM bs)") + _auc_sql("fb", "score", by="fold"), ["auc"]))(_fold_auc)

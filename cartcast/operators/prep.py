@@ -104,9 +104,9 @@ def quantile_table(df: DataFrame, cols: Sequence[str], n_quantiles: int) -> Data
         F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("vhi"))
     den = (F.col("Q") - 1).cast("double")
     ref = F.when(F.col("Q") == 1, F.lit(0.0)).otherwise(F.col("j").cast("double") / den)
-    h = F.when(F.col("Q") == 1, F.lit(0.0)).otherwise(
-        (F.col("_tot") - 1).cast("double") * F.col("j").cast("double") / den)
-    frac = h - F.floor(h)
+    # exact fraction of the position (N-1) j / (Q-1)
+    frac = F.when(F.col("Q") == 1, F.lit(0.0)).otherwise(
+        F.pmod((F.col("_tot") - 1) * F.col("j"), F.col("Q") - 1).cast("double") / den)
     q = F.when(F.col("vhi") == F.col("vlo"), F.col("vlo")).otherwise(
         F.col("vlo") + frac * (F.col("vhi") - F.col("vlo")))
     return g.select("col", "j", ref.alias("ref"), q.alias("q"))

@@ -6,8 +6,6 @@ key with the range-partitioned ordered scan: a class holding most rows is
 still split over many tasks.
 """
 
-from __future__ import annotations
-
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -62,7 +60,7 @@ def stratified_folds(df: DataFrame, label: str, key: str, n_splits: int = 10, sh
     return out.drop("_one", "_rn", "_h")
 
 
-def class_weights(df: DataFrame, label: str, weights: int | dict | str = 1, col: str = "weight") -> DataFrame:
+def class_weights(df: DataFrame, label: str, weights=1, col: str = "weight") -> DataFrame:
     """M4/M5: per-row sample weight.  ``1`` = inverse class frequency,
     ``0`` = no weighting (1.0), a dict = weight per class, a column name = given
     weights.  Other values raise, as the reference's argument checks do."""
