@@ -949,3 +949,112 @@ def _fold_auc(spark, sf):
 
 _reg("fold_auc", _fsql(W(*_BIN, "fb AS (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY customer_id) - 1) % 5 "
                        "AS INTEGER) AS fold FROM bs)") + _auc_sql("fb", "score", by="fold"), ["auc"]))(_fold_auc)
+
+
+# ------------------------------------------------------ models N1-N14, A7
+from cartcast.operators import model as MD  # noqa: E402
+
+_GBT_Q = MD.GBTParams(max_iter=40)
+
+
+def _compact(spark, sf, ym=TARGET):
+    fs = FE.fe_compact(_log(spark, sf), ym)
+    return fs, fs.train, fs.test
+
+
+def _oof(spark, sf):
+    fs, tr, te = _compact(spark, sf)
+    r = MD.oof_predictions(tr, te, fs.features, folds=10, params=_GBT_Q)
+    return r.oof
+
+
+def _gbt(spark, sf):
+    fs, tr, te = _compact(spark, sf)
+    return MD.gbt_scores(tr, te, fs.features, params=_GBT_Q)
+
+
+def _emb_cols(spark, sf, d=16):
+    e = read_table(spark, sf, "embeddings")
+    cols = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(d)]
+    return e.select("vec_id", "label", *cols), [f"e{i}" for i in range(d)]
+
+
+def _multiclass(spark, sf):
+    df, feats = _emb_cols(spark, sf)
+    df = SP.random_split(df, "vec_id", probs=(0.8, 0.2), names=("train", "test"), seed=1)
+    m = MD.fit_multiclass(df.filter(F.col("Set") == "train"), feats, "label", num_trees=30)
+    return MD.predict_class(m, df.filter(F.col("Set") == "test"), "vec_id")
+
+
+def _predict_class(spark, sf):
+    df, feats = _emb_cols(spark, sf)
+    df = SP.random_split(df, "vec_id", probs=(0.8, 0.2), names=("train", "test"), seed=1)
+    m = MD.fit_multiclass(df.filter(F.col("Set") == "train"), feats, "label", num_trees=30)
+    names = read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("class"), F.col("n_name").alias("pred_name"))
+    out = MD.predict_class(m, df.filter(F.col("Set") == "test"), "vec_id", names)
+    return out.withColumn("argmax", MT.argmax(F.col("proba")))
+
+
+def _regression(spark, sf):
+    fs, tr, te = _compact(spark, sf)
+    tot = LB.label_months(_log(spark, sf), [TRAIN, TARGET]).select("customer_id", "year_month", "total")
+    tr = PR.multi_target(tr.join(tot, ["customer_id", "year_month"]), "total", 2)
+    te = te.join(tot, ["customer_id", "year_month"])
+    return MD.regression_scores(tr, te, fs.features, ["total_0", "total_1"], "customer_id", max_iter=20)
+
+
+def _doc_features(spark, sf):
+    d = read_table(spark, sf, "documents")
+    lab = read_table(spark, sf, "labels")
+    t = F.col("text")
+    n = F.greatest(F.length(t), F.lit(1)).cast("double")
+    feats = d.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+                     F.size(F.split(t, "\\\\s+")).cast("double").alias("words"),
+                     (F.length(F.regexp_replace(t, "[^0-9]", "")) / n).alias("digit_share"),
+                     (F.length(F.regexp_replace(t, "[^A-Z]", "")) / n).alias("upper_share"),
+                     F.size(F.split(t, "\\n")).cast("double").alias("lines"))
+    return feats.join(lab, "doc_id"), ["n_chars", "words", "digit_share", "upper_share", "lines"]
+
+
+def _multitask(spark, sf):
+    df, feats = _doc_features(spark, sf)
+    df = SP.random_split(df, "doc_id", probs=(0.8, 0.2), names=("train", "test"), seed=2)
+    return MD.multitask_scores(df.filter(F.col("Set") == "train"), df.filter(F.col("Set") == "test"), feats,
+                               ["quality", "toxic"], "doc_id")
+
+
+def _model_selection(spark, sf):
+    fs, tr, te = _compact(spark, sf)
+    return MD.model_selection(tr, fs.features, folds=3)
+
+
+def _learning_curve(spark, sf):
+    fs, tr, te = _compact(spark, sf)
+    return MD.learning_curve(tr, fs.features, params=MD.GBTParams(max_iter=30, early_stop=False))
+
+
+def _backtest(spark, sf):
+    # Build at the previous month, score it and compare with its known labels
+    fs, tr, te = _compact(spark, sf, TRAIN)
+    r = MD.oof_predictions(tr, te, fs.features, folds=5, params=MD.GBTParams(max_iter=20))
+    scored = te.select("customer_id", "label").join(r.test, "customer_id")
+    auc = MT.roc_auc(scored, "label", "probability")
+    thr = MT.threshold_metrics(scored, "label", "probability")
+    return auc.join(thr, how="inner").join(r.oof_auc.withColumnRenamed("auc", "oof_auc"), how="inner")
+
+
+def _roundtrip(spark, sf):
+    fs, tr, te = _compact(spark, sf)
+    return MD.save_load_roundtrip(tr, te, fs.features, IO.scratch_path(spark, "model"))
+
+
+_reg("oof_predictions")(_oof)
+_reg("gbt_scores")(_gbt)
+_reg("multiclass_scores")(_multiclass)
+_reg("predict_class")(_predict_class)
+_reg("regression_scores")(_regression)
+_reg("multitask_scores")(_multitask)
+_reg("model_selection")(_model_selection)
+_reg("gbt_learning_curve")(_learning_curve)
+_reg("backtest_month")(_backtest)
+_reg("model_roundtrip_scores")(_roundtrip)

@@ -36,15 +36,21 @@ def mode(c: str | Column) -> Column:
     return F.mode(_c(c), deterministic=True)
 
 
+def _ordering(order: Sequence[str]) -> Column:
+    # one numeric column keeps the aggregation buffer fixed-width (hash
+    # aggregate); a struct of several columns forces a sort-based aggregate
+    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order])
+
+
 def first_in_order(c: str | Column, order: Sequence[str]) -> Column:
     """First non-null value in the given order."""
     x = _c(c)
-    return F.min_by(x, F.when(x.isNotNull(), F.struct(*[F.col(o) for o in order])))
+    return F.min_by(x, F.when(x.isNotNull(), _ordering(order)))
 
 
 def last_in_order(c: str | Column, order: Sequence[str]) -> Column:
     x = _c(c)
-    return F.max_by(x, F.when(x.isNotNull(), F.struct(*[F.col(o) for o in order])))
+    return F.max_by(x, F.when(x.isNotNull(), _ordering(order)))
 
 
 def stat(c: str, name: str | Callable, order: Sequence[str] | None = None) -> Column:

@@ -140,10 +140,9 @@ def median_impute(train: DataFrame, test: DataFrame | None, cols: Sequence[str],
     """
     need = list(cols)
     if skip_if_complete:
-        nc = null_counts(train, cols)
-        if test is not None:
-            nt = null_counts(test, cols)
-            nc = {c: nc[c] + nt[c] for c in cols}
+        both = train if test is None else train.select(*[F.col(f"`{c}`") for c in cols]).unionByName(
+            test.select(*[F.col(f"`{c}`") for c in cols]))
+        nc = null_counts(both, cols)
         need = [c for c in cols if nc[c] > 0]
     if not need:
         return train, test, {}

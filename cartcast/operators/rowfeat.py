@@ -36,9 +36,13 @@ def with_order_ts(log: DataFrame) -> DataFrame:
 
 def customer_scan(log: DataFrame, order=LOG_ORDER, with_cumsum=True, num_partitions=None) -> DataFrame:
     """One scan by customer: running sums, previous-row values, last positive time."""
-    df = with_order_ts(log).withColumn("_pos", F.col("total") > 0)
+    df = with_order_ts(log).withColumn("_pos", F.col("total") > 0).withColumn("_one", F.lit(1.0))
+    cums = {f"cumsum_{v}_by_cust_id": v for v in VALUES} if with_cumsum else {}
+    # _rn: position of the row in its customer's history (log order); a
+    # fixed-width ordering for first/last keeps the aggregates hash-based.
+    cums["_rn"] = "_one"
     spec = ScanSpec(
-        cumsum={f"cumsum_{v}_by_cust_id": v for v in VALUES} if with_cumsum else {},
+        cumsum=cums,
         lag={f"_prev_{c}": c for c in ["order_ts", "quantity", "price", "total"]},
         last_before={"_prev_pos_ts": ("order_ts", "_pos")},
     )
@@ -51,7 +55,7 @@ def customer_scan(log: DataFrame, order=LOG_ORDER, with_cumsum=True, num_partiti
                .withColumn("order_ts_plus_diff",
                            F.coalesce(F.when(F.col("_pos"), F.col("order_ts") - F.col("_prev_pos_ts")),
                                       F.lit(0.0)))
-               .drop("_prev_order_ts", "_prev_quantity", "_prev_price", "_prev_total", "_prev_pos_ts", "_pos"))
+               .drop("_prev_order_ts", "_prev_quantity", "_prev_price", "_prev_total", "_prev_pos_ts", "_pos", "_one"))
 
 
 def row_features(log: DataFrame, order=LOG_ORDER, num_partitions=None) -> DataFrame:

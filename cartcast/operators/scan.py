@@ -7,7 +7,7 @@ holds a third of the data.  Instead:
 
 1. ``repartitionByRange(n, key, *order)``: Spark samples the sort key and cuts
    it into ``n`` balanced ranges, so a hot key is split over many partitions.
-2. ``sortWithinPartitions`` + one Arrow-batched ``mapInPandas`` pass computes
+2. ``sortWithinPartitions`` + one Arrow-batched ``mapInArrow`` pass computes
    the running values inside each partition (no second shuffle) and emits one
    extra *edge* row per partition: the partition-local totals of its last key.
 3. The edge rows (exactly one per partition, so at most ``n`` rows: a proven
@@ -15,9 +15,10 @@ holds a third of the data.  Instead:
    partition must add for a key that started in earlier partitions.
 4. The carries are broadcast and joined on ``(partition - 1, key)``.
 
-The scanned data is persisted once so steps 2-4 see the same partition ids; a
-lost cached block is recomputed from the same range-shuffle output and sort, so
-recomputation is deterministic (the order key is unique).
+The scanned data is persisted and materialised once (an eager count) so steps
+2-4 see the same partition ids and the scan runs once; a lost cached block is
+recomputed from the same range-shuffle output and sort, so recomputation is
+deterministic (the order key is unique).
 """
 
 from __future__ import annotations
@@ -48,75 +49,114 @@ class ScanSpec:
     last_before: dict = field(default_factory=dict)
 
 
-def _local_scan(key, spec: ScanSpec, out_cols):
+def _local_scan(key, spec: ScanSpec, in_names, out_schema):
+    """Per-partition pass over Arrow batches sorted by (key, order).
+
+    Pass-through columns stay Arrow arrays (no pandas conversion); the running
+    values are numpy segment operations on the numeric columns.
+    """
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
     cs_items = list(spec.cumsum.items())
     lag_items = list(spec.lag.items())
     lb_items = list(spec.last_before.items())
+    kidx = in_names.index(key)
+    arrow_schema = None
+
+    def num(col):
+        return pc.cast(col, pa.float64()).to_numpy(zero_copy_only=False)
+
+    def as_arrow(x):
+        return pa.array(x, type=pa.float64(), mask=np.isnan(x))
 
     def run(batches):
+        nonlocal arrow_schema
         from pyspark import TaskContext
+        from pyspark.sql.pandas.types import to_arrow_schema
 
+        if arrow_schema is None:
+            arrow_schema = to_arrow_schema(out_schema)
         pid = TaskContext.get().partitionId()
-        cur_key = None          # key of the last row seen in this partition
+        cur_key = None
         has_rows = False
         c_sum = {o: 0.0 for o, _ in cs_items}
-        c_lag = {o: None for o, _ in lag_items}
-        c_lb = {o: None for o, _ in lb_items}
-        last_row = None
-        for pdf in batches:
-            if pdf.empty:
+        c_lag = {o: np.nan for o, _ in lag_items}
+        c_lb = {o: np.nan for o, _ in lb_items}
+        last = None
+        for rb in batches:
+            n = rb.num_rows
+            if n == 0:
                 continue
-            k = pdf[key]
-            new = k.ne(k.shift())
-            cont = has_rows and (k.iloc[0] == cur_key or (pd.isna(k.iloc[0]) and pd.isna(cur_key)))
-            new.iloc[0] = not cont
-            gid = new.cumsum()
-            first_grp = gid == gid.iloc[0]
-            out = pdf
-            out["_head"] = new.to_numpy()
+            kcol = rb.column(kidx)
+            isnull = pc.is_null(kcol).to_numpy(zero_copy_only=False)
+            starts = np.ones(n, dtype=bool)
+            if n > 1:
+                neq = pc.fill_null(pc.not_equal(kcol.slice(1), kcol.slice(0, n - 1)), True)
+                neq = neq.to_numpy(zero_copy_only=False)
+                both_null = isnull[1:] & isnull[:-1]
+                starts[1:] = neq & ~both_null
+            first = kcol[0].as_py()
+            cont = has_rows and first == cur_key
+            starts[0] = not cont
+            seg = np.cumsum(starts) - 1
+            sidx = np.flatnonzero(starts)
+            if cont:
+                sidx = np.concatenate([[0], sidx])
+            row_start = sidx[seg + (1 if cont else 0)]
+            in_first = row_start == 0
+            outs = []
             for o, c in cs_items:
-                v = pdf[c].astype("float64")
-                tot = v.fillna(0.0).groupby(gid).cumsum()
-                if cont:
-                    tot = tot + np.where(first_grp, c_sum[o], 0.0)
-                c_sum[o] = float(tot.iloc[-1])
-                out[o] = tot.where(v.notna())
+                v = num(rb.column(in_names.index(c)))
+                ok = ~np.isnan(v)
+                tot = np.cumsum(np.where(ok, v, 0.0))
+                base = np.where(row_start > 0, tot[np.maximum(row_start - 1, 0)], 0.0)
+                run_tot = tot - base + np.where(in_first & cont, c_sum[o], 0.0)
+                c_sum[o] = float(run_tot[-1])
+                outs.append(as_arrow(np.where(ok, run_tot, np.nan)))
+            idx = np.arange(n)
             for o, c in lag_items:
-                v = pdf[c].astype("float64")
-                lg = v.groupby(gid).shift(1)
+                v = num(rb.column(in_names.index(c)))
+                lg = np.empty(n)
+                lg[1:] = v[:-1]
+                lg[starts] = np.nan
                 if cont:
-                    lg.iloc[0] = np.nan if c_lag[o] is None else c_lag[o]
-                c_lag[o] = v.iloc[-1]
-                out[o] = lg
+                    lg[0] = c_lag[o]
+                c_lag[o] = v[-1]
+                outs.append(as_arrow(lg))
             for o, (c, cond) in lb_items:
-                m = pdf[c].astype("float64").where(pdf[cond].fillna(False).astype(bool))
-                ff = m.groupby(gid).ffill()
-                prev = ff.groupby(gid).shift(1)
-                if cont and c_lb[o] is not None:
-                    prev = prev.where(~(first_grp & prev.isna()), c_lb[o])
-                    ff = ff.where(~(first_grp & ff.isna()), c_lb[o])
-                last_ff = ff.iloc[-1]
-                c_lb[o] = None if pd.isna(last_ff) else float(last_ff)
-                out[o] = prev
-            cur_key = k.iloc[-1]
+                v = num(rb.column(in_names.index(c)))
+                m = pc.fill_null(rb.column(in_names.index(cond)), False).to_numpy(zero_copy_only=False) & ~np.isnan(v)
+                last_pos = np.maximum.accumulate(np.where(m, idx, -1))
+                prev_pos = np.empty(n, dtype=np.int64)
+                prev_pos[0] = -1
+                prev_pos[1:] = last_pos[:-1]
+                valid = prev_pos >= row_start
+                prev = np.where(valid, v[np.maximum(prev_pos, 0)], np.nan)
+                if cont:
+                    prev = np.where(in_first & ~valid, c_lb[o], prev)
+                lp = last_pos[-1]
+                if lp >= row_start[-1]:
+                    c_lb[o] = float(v[lp])
+                elif not (cont and row_start[-1] == 0):
+                    c_lb[o] = np.nan
+                outs.append(as_arrow(prev))
+            cur_key = kcol[n - 1].as_py()
             has_rows = True
-            out["_pid"] = pid
-            out["_seg"] = 0
-            last_row = out.iloc[[-1]].copy()
-            yield out[out_cols]
+            extra = [pa.array(starts, type=pa.bool_()), pa.array(np.full(n, pid, dtype=np.int32)),
+                     pa.array(np.zeros(n, dtype=np.int32))]
+            out = pa.RecordBatch.from_arrays(list(rb.columns) + outs + extra, schema=arrow_schema)
+            last = out.slice(n - 1, 1)
+            yield out
         if has_rows:
-            edge = last_row
-            for o, _ in cs_items:
-                edge[o] = c_sum[o]
-            for o, _ in lag_items:
-                edge[o] = np.nan if c_lag[o] is None else c_lag[o]
-            for o, _ in lb_items:
-                edge[o] = np.nan if c_lb[o] is None else c_lb[o]
-            edge["_seg"] = 1
-            yield edge[out_cols]
+            cols = list(last.columns)
+            base = len(in_names)
+            vals = [c_sum[o] for o, _ in cs_items] + [c_lag[o] for o, _ in lag_items] + [c_lb[o] for o, _ in lb_items]
+            for i, v in enumerate(vals):
+                cols[base + i] = as_arrow(np.array([v], dtype="float64"))
+            cols[-1] = pa.array([1], type=pa.int32())
+            yield pa.RecordBatch.from_arrays(cols, schema=arrow_schema)
 
     return run
 
@@ -133,11 +173,13 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
         + [T.StructField("_head", T.BooleanType(), True),
            T.StructField("_pid", T.IntegerType(), False),
            T.StructField("_seg", T.IntegerType(), False)])
-    out_cols = schema.fieldNames()
     scanned = (df.repartitionByRange(n, key, *order)
                  .sortWithinPartitions(key, *order)
-                 .mapInPandas(_local_scan(key, spec, out_cols), schema)
+                 .mapInArrow(_local_scan(key, spec, df.columns, schema), schema)
                  .persist(StorageLevel.MEMORY_AND_DISK))
+    # Materialise once: the edge branch (a broadcast job) and the row branch
+    # would otherwise both compute the scan side by side before the cache exists.
+    scanned.count()
     rows = scanned.filter(F.col("_seg") == 0)
     edges = scanned.filter(F.col("_seg") == 1).select(
         F.col("_pid").alias("_cpid"), F.col(key).alias("_ckey"), *outs)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ from cartcast.operators.windows import cycle_1224, trend_season_features
 from cartcast.sources.tables import LOG_ORDER
 
 KEYS = ["customer_id", "year_month"]
+# Row position within the customer's history, set by the customer scan.
+ROW_ORDER = ["_rn"]
 
 BASE_SPEC = [(c, STATS7) for c in ["quantity", "price", "total"]]
 
@@ -129,6 +132,10 @@ def fe_baseline(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute:
 def _impute_split(fs: FeatureSet, impute: bool) -> FeatureSet:
     if not impute:
         return fs
+    # The frame is aggregated (one row per customer and anchor); keep it once
+    # for the null count, the median job and the fill instead of recomputing
+    # the whole feature plan three times.
+    fs = FeatureSet(fs.frame.persist(StorageLevel.MEMORY_AND_DISK), fs.features, fs.train_month, fs.test_month)
     tr, te, _ = median_impute(fs.train, fs.test, fs.features)
     return FeatureSet(tr.unionByName(te), fs.features, fs.train_month, fs.test_month)
 
@@ -152,7 +159,7 @@ def row_feature_blocks(rows_anchored: DataFrame) -> list[DataFrame]:
     """The 127 row-feature aggregates of K4 as two blocks on the same key:
     algebraic stats (hash aggregate) and distinct counts + modes (their own
     Expand / object aggregate, so the wide block is not replicated)."""
-    return [aggregate_blocks(rows_anchored, FULL_SPEC),
+    return [aggregate_blocks(rows_anchored, FULL_SPEC, order=ROW_ORDER),
             aggregate_blocks(rows_anchored, DISTINCT_SPEC + MODE_SPEC)]
 
 
@@ -183,6 +190,8 @@ def fe_full(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, compat: boo
     num = [c for c in feats if c != "year_month-mode-mode"]
     frame = frame.fillna(0.0, subset=num).fillna(0, subset=num)
     if encode:
+        # aggregated (customers x anchors): kept once for the code dictionary and the output
+        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
         frame = label_encode(frame, ["year_month-mode-mode"])
     frame = frame.select(*KEYS, "label", *[F.col(f"`{c}`") for c in feats])
     return FeatureSet(frame, feats, tr_ym, ym)
@@ -198,7 +207,7 @@ def fe_compact(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute:
     cut = log.filter(F.col("order_date") < month_start(ym))
     rows = customer_scan(cut, with_cumsum=False, num_partitions=num_partitions)
     ex = explode_anchors(rows, anchors)
-    blocks = [aggregate_blocks(ex, COMPACT_SPEC), cycle_1224(cut, anchors)]
+    blocks = [aggregate_blocks(ex, COMPACT_SPEC, order=ROW_ORDER), cycle_1224(cut, anchors)]
     frame = _join_all(_labels(log, anchors, threshold), blocks)
     # densified grid: a labelled customer always has rows before its anchor,
     # so a missing cycle value means 0 spend in both months

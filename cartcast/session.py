@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "100000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
