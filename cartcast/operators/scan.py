@@ -164,6 +164,14 @@ def _local_scan(key, spec: ScanSpec, in_names, out_schema):
 def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
                  num_partitions: int | None = None) -> DataFrame:
     """Add the running columns of ``spec`` to ``df`` (see module doc)."""
+    return ordered_scan_cached(df, key, order, spec, num_partitions)[0]
+
+
+def ordered_scan_cached(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
+                        num_partitions: int | None = None):
+    """``ordered_scan`` plus the persisted scan output, so a caller chaining
+    scans can release it once the next scan has been materialised (a lost or
+    released block is rebuilt from the same physical plan, deterministically)."""
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
     outs = list(spec.cumsum) + list(spec.lag) + list(spec.last_before)
@@ -208,4 +216,4 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
     for o in spec.last_before:
         fixed.append(F.when(null_key, None).otherwise(
             F.coalesce(F.col(o), F.when(hit, F.col(f"_c_{o}")))).alias(o))
-    return j.select(*[F.col(c) for c in df.columns], *fixed)
+    return j.select(*[F.col(c) for c in df.columns], *fixed), scanned
