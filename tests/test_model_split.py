@@ -1,4 +1,4 @@
-"""Model and split invariants (the reference's notebook assertions)."""
+"""Model and split invariants (save/load equality, out-of-fold coverage)."""
 
 import pytest
 from pyspark.sql import functions as F
