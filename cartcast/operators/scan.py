@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartcast.session import shuffle_partitions
 
 
 @dataclass
@@ -172,8 +171,6 @@ def ordered_scan_cached(df: DataFrame, key: str, order: list[str], spec: ScanSpe
     """``ordered_scan`` plus the persisted scan output, so a caller chaining
     scans can release it once the next scan has been materialised (a lost or
     released block is rebuilt from the same physical plan, deterministically)."""
-    spark = df.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
     outs = list(spec.cumsum) + list(spec.lag) + list(spec.last_before)
     schema = T.StructType(
         list(df.schema.fields)
@@ -181,7 +178,12 @@ def ordered_scan_cached(df: DataFrame, key: str, order: list[str], spec: ScanSpe
         + [T.StructField("_head", T.BooleanType(), True),
            T.StructField("_pid", T.IntegerType(), False),
            T.StructField("_seg", T.IntegerType(), False)])
-    scanned = (df.repartitionByRange(n, key, *order)
+    # Without an explicit count the range exchange may be coalesced by AQE,
+    # which only merges adjacent ranges (never splits them), so partition ids
+    # stay in key order; an explicit count fixes the number of ranges.
+    ranged = (df.repartitionByRange(num_partitions, key, *order) if num_partitions
+              else df.repartitionByRange(key, *order))
+    scanned = (ranged
                  .sortWithinPartitions(key, *order)
                  .mapInArrow(_local_scan(key, spec, df.columns, schema), schema)
                  .persist(StorageLevel.MEMORY_AND_DISK))
