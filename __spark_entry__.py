@@ -9,6 +9,7 @@ break the value hash; the library itself returns full doubles.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -1047,12 +1048,27 @@ _reg("backtest_month")(_backtest)
 _reg("model_roundtrip_scores")(_roundtrip)
 
 
+def _optional(name: str):
+    """A module of the training-data part, or None if that part isn't there."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as e:
+        if (e.name or "").split(".")[0] == "corpus_pipeline" or (e.name or "").startswith("cartcast.llm"):
+            return None
+        raise
+
+
+_LLM = _optional("cartcast.llm.queries")
+_PIPELINE = _optional("corpus_pipeline")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_Q)
+    return _Q | (_LLM.QUERIES if _LLM else {}) | ({"pipeline": _PIPELINE.run} if _PIPELINE else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_S)
+    return _S | (_LLM.SQL if _LLM else {}) | (
+        {"pipeline": _PIPELINE.ORACLE_SQL} if _PIPELINE and _PIPELINE.ORACLE_SQL else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
