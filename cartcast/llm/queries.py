@@ -23,3 +23,13 @@ def op1_byte_bpe(spark, sf):
 
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return bpe.token_digests(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).drop("text")
+
+
+@_query
+def op8_string_kernel_toxicity(spark, sf):
+    from cartcast.llm import toxic
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxic.fit(docs, table(spark, sf, "labels"))
+    out = toxic.scores(docs, model, keep=["doc_id"])
+    return out.select("doc_id", toxic.held_out().alias("held_out"), "score", "predicted")
