@@ -33,3 +33,10 @@ def op8_string_kernel_toxicity(spark, sf):
     model = toxic.fit(docs, table(spark, sf, "labels"))
     out = toxic.scores(docs, model, keep=["doc_id"])
     return out.select("doc_id", toxic.held_out().alias("held_out"), "score", "predicted")
+
+
+@_query
+def op2_ngram_jaccard(spark, sf):
+    from cartcast.llm import jaccard
+
+    return jaccard.near_duplicates(table(spark, sf, "documents"))
