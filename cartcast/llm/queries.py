@@ -40,3 +40,11 @@ def op2_ngram_jaccard(spark, sf):
     from cartcast.llm import jaccard
 
     return jaccard.near_duplicates(table(spark, sf, "documents"))
+
+
+@_query
+def op7_weak_supervision_pii(spark, sf):
+    from cartcast.llm import pii
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pii.digests(docs, pii.fit(docs)).drop("text")
