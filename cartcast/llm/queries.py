@@ -89,3 +89,50 @@ FROM e LEFT JOIN n USING (place) GROUP BY doc_id, source, size, copy"""
 
 
 SQL["op6_low_discrepancy_mix"] = _mix_sql()
+
+
+@_query
+def op9_host_rules(spark, sf):
+    from cartcast.llm import hostrules
+
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return hostrules.verdicts(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _host_sql() -> str:
+    from cartcast.llm.hostrules import BASE_RULES, LEAST_STRENGTH, LIMIT, RULES
+
+    word = "[^\\x20\\x09-\\x0D]+"
+    flags = ", ".join(f"({e}) AS f_{r}" for r, e in RULES.items())
+    sums = ", ".join(f"count(*) FILTER (f_{r}) AS {r}" for r in RULES)
+    rates = ", ".join(f"sum({r}) / sum(n) AS m_{r}" for r in RULES)
+    spread = ", ".join(f"sum(n * pow({r} / n - m_{r}, 2)) / sum(n) AS v_{r}" for r in RULES)
+    k = {r: f"least(greatest(m_{r} * (1 - m_{r}) / greatest(v_{r} - m_{r} * (1 - m_{r}) * hosts / docs, 1e-6) - 1, {LEAST_STRENGTH}), 1e6)" for r in RULES}
+    on = ", ".join(f"CASE WHEN m_{r} IN (0, 1) OR hosts < 2 THEN m_{r} ELSE ({r} + m_{r} * {k[r]}) / (n + {k[r]}) END > {LIMIT} AS e_{r}" for r in RULES)
+    base = " OR ".join(f"f_{r}" for r in BASE_RULES)
+    host = " OR ".join(f"(f_{r} AND e_{r})" for r in RULES)
+    return f"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{word}') AS w FROM documents),
+w AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM t),
+x AS (SELECT doc_id, i, array_to_string(list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING), ' ') AS win,
+        count(*) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS len FROM w),
+y AS (SELECT doc_id, i, CASE WHEN len = 8 AND count(*) OVER (PARTITION BY doc_id, win, len) > 1 THEN 1 ELSE 0 END AS twin FROM x),
+z AS (SELECT doc_id, max(twin) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS inside FROM y),
+r AS (SELECT doc_id, sum(inside) AS n_repeat_words FROM z GROUP BY doc_id),
+l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda v : regexp_matches(v, '{word}')) AS lines FROM t),
+c AS (SELECT t.doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+      FROM t JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+f AS (SELECT *, {flags} FROM c),
+h AS (SELECT source, count(*) AS n, {sums} FROM f GROUP BY source),
+m AS (SELECT count(*) AS hosts, sum(n) AS docs, {rates} FROM h),
+v AS (SELECT {spread} FROM h, m),
+e AS (SELECT source, {on} FROM h, m, v)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({base}) AS base_failed, NOT (({base}) OR {host}) AS kept
+FROM f JOIN e ON f.source IS NOT DISTINCT FROM e.source"""
+
+
+SQL["op9_host_rules"] = _host_sql()
