@@ -51,7 +51,7 @@ FLOOR = -0.5
 ROUNDS = 2
 MAX_POSITIVE, MAX_NEGATIVE, MAX_HARD = 400, 3000, 1500
 NEGATIVE_LANDMARKS = 100
-_SEEN = 400_000     # units that a task remembers as far from toxic
+_SEEN = 150_000     # units that a task remembers as far from toxic
 _OFFSETS = [(a, b) for a in range(GAP + 1) for b in range(GAP + 1 - a)]
 
 
@@ -166,8 +166,8 @@ class Folded:
         import numpy as np
 
         out = np.full(len(batch), FLOOR)
-        for k in range(0, len(batch), 8192):
-            codes, weights = _features(batch[k:k + 8192])
+        for k in range(0, len(batch), 2048):
+            codes, weights = _features(batch[k:k + 2048])
             some = self.weight_of(codes) * weights
             total = some.sum(axis=1)
             least = np.sqrt((np.where(codes > 0, weights, 0.0) ** 2).sum(axis=1))  # equal codes only make it longer
