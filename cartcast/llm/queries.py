@@ -173,3 +173,10 @@ FROM p GROUP BY conv_id"""
 
 
 SQL["op3_chat_format"] = _chat_sql()
+
+
+@_query
+def op4_exact_shards(spark, sf):
+    from cartcast.llm import shard
+
+    return shard.text_shards(table(spark, sf, "documents"), 24)
