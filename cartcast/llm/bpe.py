@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Most pieces that a worker remembers before it starts its dictionary anew.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 500_000
 #: Pieces that are held at a time while a text is read.
 BLOCK_PIECES = 100_000
 
@@ -44,7 +44,8 @@ class Vocabulary:
     def __init__(self, raw: bytes, pattern: str):
         import regex
 
-        self.find = regex.compile(pattern).finditer
+        compiled = regex.compile(pattern)
+        self.find, self.find_all = compiled.finditer, compiled.findall
         self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines()) if a}
         self.token = {i: b for b, i in self.rank.items()}
         self.longest = max(map(len, self.rank))
@@ -56,8 +57,9 @@ class Vocabulary:
                 self.halves[i] = (self.rank[parts[0]], self.rank[parts[1]])
         #: Tokens that merging their own bytes makes; no other can be in an encoding.
         self.usable = {self.token[i]: i for i in self.halves}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, str] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
+        #: The ids of a piece as decimals joined by spaces.
+        self.piece_text = _Pieces(self)
 
     def _merged(self, b: bytes, below: int) -> list[bytes]:
         """Parts of ``b`` after all merges of a rank below ``below``."""
@@ -74,9 +76,6 @@ class Vocabulary:
 
     def stable(self, left: int, right: int) -> bool:
         """Whether ``left`` and ``right`` stay apart when their bytes are merged."""
-        known = self._pairs.get((left, right))
-        if known is not None:
-            return known
         x, y = left, right
         x_ends = y_ends = len(self.token) + 1  # rank at which x and y are merged within their own side
         verdict = True
@@ -94,9 +93,9 @@ class Vocabulary:
                 x_ends, x = x, hx[1]
             else:
                 y_ends, y = y, hy[0]
-        if len(self._pairs) >= 1_000_000:
-            self._pairs.clear()
-        self._pairs[left, right] = verdict
+        if len(self.pairs) >= 1_000_000:
+            self.pairs.clear()
+        self.pairs[left, right] = verdict
         return verdict
 
     def piece(self, b: bytes) -> list[int]:
@@ -104,31 +103,39 @@ class Vocabulary:
             return [whole]
         return PrefixTable(self, b).ids()
 
-    def piece_text(self, piece: str) -> str:
-        """The ids of a piece as decimals joined by spaces, remembered."""
-        known = self._pieces.get(piece)
-        if known is None:
-            known = " ".join(map(str, self.piece(piece.encode())))
-            if len(self._pieces) >= CACHE_PIECES:
-                self._pieces.clear()
-            if len(piece) <= 64:
-                self._pieces[piece] = known
-        return known
-
     def blocks(self, text: str):
         """Blocks of pieces of ``text``."""
+        if len(text) <= BLOCK_PIECES:
+            if text:
+                yield self.find_all(text)
+            return
         found = (m.group() for m in self.find(text))
         while block := list(islice(found, BLOCK_PIECES)):
             yield block
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for block in self.blocks(text) for p in block for i in self.piece_text(p).split(" ")]
+        return [int(i) for block in self.blocks(text) for p in block for i in self.piece_text[p].split(" ")]
 
     def decode(self, ids) -> bytes:
         """Bytes of ``ids``; an unknown id is an error."""
         return b"".join([self.token[i] for i in ids])
 
 
+class _Pieces(dict):
+    """Remembers the ids of pieces; starts anew when it is full."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.v = vocabulary
+
+    def __missing__(self, piece: str) -> str:
+        if len(self) >= CACHE_PIECES:
+            self.clear()
+        ids = " ".join(map(str, self.v.piece(piece.encode())))
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
+
+
 class PrefixTable:
     """Last token of each byte prefix of one piece."""
 
@@ -139,11 +146,12 @@ class PrefixTable:
     def append(self, more: bytes) -> None:
         """Exact: entries of shorter prefixes stay as they are."""
         b = self.bytes = self.bytes + more
-        usable, stable, last = self.v.usable, self.v.stable, self.last
+        usable, stable, known, last = self.v.usable.get, self.v.stable, self.v.pairs.get, self.last
+        longest = self.v.longest
         for end in range(len(last), len(b) + 1):
-            for start in range(max(0, end - self.v.longest), end):
-                t = usable.get(b[start:end])
-                if t is not None and (start == 0 or stable(last[start], t)):
+            for start in range(end - longest if end > longest else 0, end):
+                t = usable(b[start:end])
+                if t is not None and (start == 0 or ((ok := known((last[start], t))) is None and stable(last[start], t)) or ok):
                     last.append(t)
                     break
             else:
@@ -279,7 +287,7 @@ def token_digests(df: DataFrame, path: str, pattern: str, col: str = "text") ->
     def one(v: Vocabulary, back: dict[str, bytes], text: str):
         ids, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
         for block in v.blocks(text):
-            s = " ".join(map(v.piece_text, block))
+            s = " ".join(map(v.piece_text.__getitem__, block))
             ids.update((" " + s if n else s).encode())
             each = s.split(" ")
             n += len(each)
