@@ -180,3 +180,10 @@ def op4_exact_shards(spark, sf):
     from cartcast.llm import shard
 
     return shard.text_shards(table(spark, sf, "documents"), 24)
+
+
+@_query
+def op5_hidden_markov_score(spark, sf):
+    from cartcast.llm import hmm
+
+    return hmm.scores(table(spark, sf, "documents"))
