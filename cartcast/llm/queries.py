@@ -187,3 +187,10 @@ def op5_hidden_markov_score(spark, sf):
     from cartcast.llm import hmm
 
     return hmm.scores(table(spark, sf, "documents"))
+
+
+@_query
+def op10_kmeans_tree_search(spark, sf):
+    from cartcast.llm import ann
+
+    return ann.search(table(spark, sf, "embeddings"), F.col("id") % 50 == 0)
