@@ -279,26 +279,28 @@ def decode(df: DataFrame, path: str, pattern: str, col: str = "ids", out: str =
     return _by_row(df, [T.StructField(out, T.BinaryType())], work)
 
 
-def token_digests(df: DataFrame, path: str, pattern: str, col: str = "text") -> DataFrame:
+def token_digests(df: DataFrame, path: str, pattern: str, col: str = "text", ids: str | None = None) -> DataFrame:
     """Adds ``n_tokens``, the digest of the ids and the digest of the bytes
-    decoded from those ids, block by block: no list of all ids is kept."""
+    decoded from those ids, block by block; with ``ids``, also the ids in a column of that name."""
     raw, at = _raw(df.sparkSession, path), df.columns.index(col)
 
     def one(v: Vocabulary, back: dict[str, bytes], text: str):
-        ids, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
+        digest, decoded, n, all_ids = hashlib.sha256(), hashlib.sha256(), 0, []
         for block in v.blocks(text):
             s = " ".join(map(v.piece_text.__getitem__, block))
-            ids.update((" " + s if n else s).encode())
+            digest.update((" " + s if n else s).encode())
             each = s.split(" ")
             n += len(each)
             decoded.update(b"".join(map(back.__getitem__, each)))
-        return n, ids.hexdigest(), decoded.hexdigest()
+            if ids:
+                all_ids.extend(map(int, each))
+        return n, digest.hexdigest(), decoded.hexdigest(), *([all_ids] if ids else [])
 
     def work(rb):
         v = _vocabulary(raw.value, pattern)
         back = v.__dict__.setdefault("back", {str(i): b for i, b in v.token.items()})
         rows = [one(v, back, t or "") for t in rb.column(at).to_pylist()]
-        return list(zip(*rows, strict=True)) if rows else [[], [], []]
+        return list(zip(*rows, strict=True)) if rows else [[]] * (3 + bool(ids))
 
-    return _by_row(df, [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                        T.StructField("decoded_sha256", T.StringType())], work)
+    return _by_row(df, [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
+                        *([T.StructField(ids, T.ArrayType(T.IntegerType()))] if ids else [])], work)
