@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartcast.functions.months import unix_seconds, year_month
-from cartcast.operators.scan import ScanSpec, ordered_scan, ordered_scan_cached
+from cartcast.operators.scan import ScanSpec, ordered_scan
 from cartcast.sources.tables import LOG_ORDER
 
 VALUES = ["total", "quantity", "price"]
@@ -36,10 +36,6 @@ def with_order_ts(log: DataFrame) -> DataFrame:
 
 def customer_scan(log: DataFrame, order=LOG_ORDER, with_cumsum=True, num_partitions=None) -> DataFrame:
     """One scan by customer: running sums, previous-row values, last positive time."""
-    return _customer_scan(log, order, with_cumsum, num_partitions)[0]
-
-
-def _customer_scan(log: DataFrame, order=LOG_ORDER, with_cumsum=True, num_partitions=None):
     df = with_order_ts(log).withColumn("_pos", F.col("total") > 0).withColumn("_one", F.lit(1.0))
     cums = {f"cumsum_{v}_by_cust_id": v for v in VALUES} if with_cumsum else {}
     # _rn: position of the row in its customer's history (log order); a
@@ -50,7 +46,7 @@ def _customer_scan(log: DataFrame, order=LOG_ORDER, with_cumsum=True, num_partit
         lag={f"_prev_{c}": c for c in ["order_ts", "quantity", "price", "total"]},
         last_before={"_prev_pos_ts": ("order_ts", "_pos")},
     )
-    out, cached = ordered_scan_cached(df, "customer_id", list(order), spec, num_partitions)
+    out = ordered_scan(df, "customer_id", list(order), spec, num_partitions)
     return (out.withColumn("order_ts_diff", F.col("order_ts") - F.col("_prev_order_ts"))
                .withColumn("quantity_diff", F.col("quantity") - F.col("_prev_quantity"))
                .withColumn("price_diff", F.col("price") - F.col("_prev_price"))
@@ -59,30 +55,24 @@ def _customer_scan(log: DataFrame, order=LOG_ORDER, with_cumsum=True, num_partit
                .withColumn("order_ts_plus_diff",
                            F.coalesce(F.when(F.col("_pos"), F.col("order_ts") - F.col("_prev_pos_ts")),
                                       F.lit(0.0)))
-               .drop("_prev_order_ts", "_prev_quantity", "_prev_price", "_prev_total", "_prev_pos_ts", "_pos", "_one"),
-            cached)
+               .drop("_prev_order_ts", "_prev_quantity", "_prev_price", "_prev_total", "_prev_pos_ts", "_pos", "_one"))
 
 
-def _chain(df: DataFrame, keys, order, num_partitions, prev=None) -> DataFrame:
-    """Scans by several keys one after another; each scan's cached output is
-    released once the next one is materialised, so at most two copies of the
-    rows are held at any time and one remains at the end."""
+def _chain(df: DataFrame, log: DataFrame, keys, order, num_partitions) -> DataFrame:
+    """Scans by several keys one after another; bounds come from the plain log."""
     for key in keys:
-        df, cached = ordered_scan_cached(df, key, list(order), cumsum_spec(key), num_partitions)
-        if prev is not None:
-            prev.unpersist(blocking=False)
-        prev = cached
+        df = ordered_scan(df, key, list(order), cumsum_spec(key), num_partitions, bounds_from=log)
     return df
 
 
 def row_features(log: DataFrame, order=LOG_ORDER, num_partitions=None) -> DataFrame:
     """All row-level columns used by the full builder (K4)."""
-    df, cached = _customer_scan(log, order, True, num_partitions)
-    df = _chain(df, ["product_id", "order_id"], order, num_partitions, prev=cached)
+    df = customer_scan(log, order, True, num_partitions)
+    df = _chain(df, log, ["product_id", "order_id"], order, num_partitions)
     return (df.withColumn("month-mode", F.month("order_date"))
               .withColumn("year_month-mode", year_month("order_date")))
 
 
 def cumsum_features(log: DataFrame, order=LOG_ORDER, num_partitions=None) -> DataFrame:
     """Running sums by customer, product and order (K3 inputs)."""
-    return _chain(log, ["customer_id", "product_id", "order_id"], order, num_partitions)
+    return _chain(log, log, ["customer_id", "product_id", "order_id"], order, num_partitions)

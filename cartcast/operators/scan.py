@@ -5,31 +5,27 @@ A plain ``Window.partitionBy(key).orderBy(order)`` sends every row of a key to
 one task; with one product or customer holding a third of the log that task
 holds a third of the data.  Instead:
 
-1. ``repartitionByRange(n, key, *order)``: Spark samples the sort key and cuts
-   it into ``n`` balanced ranges, so a hot key is split over many partitions.
-2. ``sortWithinPartitions`` + one Arrow-batched ``mapInArrow`` pass computes
-   the running values inside each partition (no second shuffle) and emits one
-   extra *edge* row per partition: the partition-local totals of its last key.
-3. The edge rows (exactly one per partition, so at most ``n`` rows: a proven
-   size bound) get a tiny window by key over partition id, giving what each
-   partition must add for a key that started in earlier partitions.
-4. The carries are broadcast and joined on ``(partition - 1, key)``.
-
-The scanned data is persisted and materialised once (an eager count) so steps
-2-4 see the same partition ids and the scan runs once; a lost cached block is
-recomputed from the same range-shuffle output and sort, so recomputation is
-deterministic (the order key is unique).
+1. Bounds of (key, order) are taken once from a bounded hash sample (the only
+   job that building the plan starts).  A row's range number is the number of
+   bounds that are not above it: a function of the row, whatever partition it is in.
+2. ``Window.partitionBy(range, key)`` computes the running values in the JVM; a
+   hot key is cut into many ranges.
+3. Only a key that is itself in a bound can span ranges.  For these keys, totals per
+   (key, range) are summed over the ranges before: at most two rows a bound, which is
+   the only thing broadcast.
+
+Nothing is persisted and the result is lazy; a lost task gives the same rows again.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+MAX_RANGES = 1024
+_SAMPLE_PER_RANGE = 32
 
 
 @dataclass
@@ -48,174 +44,84 @@ class ScanSpec:
     last_before: dict = field(default_factory=dict)
 
 
-def _local_scan(key, spec: ScanSpec, in_names, out_schema):
-    """Per-partition pass over Arrow batches sorted by (key, order).
+def range_bounds(df: DataFrame, key: str, order: list[str], ranges: int | None = None) -> list:
+    """At most ``ranges`` - 1 rows of (key, *order) that cut ``df`` into ranges of
+    similar size, from a sample of the smallest hashes."""
+    n = min(MAX_RANGES, ranges or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cols = [key, *order]
+    sample = df.select(*cols).where(F.col(key).isNotNull()).orderBy(F.xxhash64(*cols)).limit(n * _SAMPLE_PER_RANGE)
+    rows = sample.orderBy(*cols).collect()
+    step = max(1, len(rows) // n)
+    return [tuple(r) for r in rows[step::step]]
 
-    Pass-through columns stay Arrow arrays (no pandas conversion); the running
-    values are numpy segment operations on the numeric columns.
-    """
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    cs_items = list(spec.cumsum.items())
-    lag_items = list(spec.lag.items())
-    lb_items = list(spec.last_before.items())
-    kidx = in_names.index(key)
-    arrow_schema = None
-
-    def num(col):
-        return pc.cast(col, pa.float64()).to_numpy(zero_copy_only=False)
-
-    def as_arrow(x):
-        return pa.array(x, type=pa.float64(), mask=np.isnan(x))
-
-    def run(batches):
-        nonlocal arrow_schema
-        from pyspark import TaskContext
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        if arrow_schema is None:
-            arrow_schema = to_arrow_schema(out_schema)
-        pid = TaskContext.get().partitionId()
-        cur_key = None
-        has_rows = False
-        c_sum = {o: 0.0 for o, _ in cs_items}
-        c_lag = {o: np.nan for o, _ in lag_items}
-        c_lb = {o: np.nan for o, _ in lb_items}
-        last = None
-        for rb in batches:
-            n = rb.num_rows
-            if n == 0:
-                continue
-            kcol = rb.column(kidx)
-            isnull = pc.is_null(kcol).to_numpy(zero_copy_only=False)
-            starts = np.ones(n, dtype=bool)
-            if n > 1:
-                neq = pc.fill_null(pc.not_equal(kcol.slice(1), kcol.slice(0, n - 1)), True)
-                neq = neq.to_numpy(zero_copy_only=False)
-                both_null = isnull[1:] & isnull[:-1]
-                starts[1:] = neq & ~both_null
-            first = kcol[0].as_py()
-            cont = has_rows and first == cur_key
-            starts[0] = not cont
-            seg = np.cumsum(starts) - 1
-            sidx = np.flatnonzero(starts)
-            if cont:
-                sidx = np.concatenate([[0], sidx])
-            row_start = sidx[seg + (1 if cont else 0)]
-            in_first = row_start == 0
-            outs = []
-            for o, c in cs_items:
-                v = num(rb.column(in_names.index(c)))
-                ok = ~np.isnan(v)
-                tot = np.cumsum(np.where(ok, v, 0.0))
-                base = np.where(row_start > 0, tot[np.maximum(row_start - 1, 0)], 0.0)
-                run_tot = tot - base + np.where(in_first & cont, c_sum[o], 0.0)
-                c_sum[o] = float(run_tot[-1])
-                outs.append(as_arrow(np.where(ok, run_tot, np.nan)))
-            idx = np.arange(n)
-            for o, c in lag_items:
-                v = num(rb.column(in_names.index(c)))
-                lg = np.empty(n)
-                lg[1:] = v[:-1]
-                lg[starts] = np.nan
-                if cont:
-                    lg[0] = c_lag[o]
-                c_lag[o] = v[-1]
-                outs.append(as_arrow(lg))
-            for o, (c, cond) in lb_items:
-                v = num(rb.column(in_names.index(c)))
-                m = pc.fill_null(rb.column(in_names.index(cond)), False).to_numpy(zero_copy_only=False) & ~np.isnan(v)
-                last_pos = np.maximum.accumulate(np.where(m, idx, -1))
-                prev_pos = np.empty(n, dtype=np.int64)
-                prev_pos[0] = -1
-                prev_pos[1:] = last_pos[:-1]
-                valid = prev_pos >= row_start
-                prev = np.where(valid, v[np.maximum(prev_pos, 0)], np.nan)
-                if cont:
-                    prev = np.where(in_first & ~valid, c_lb[o], prev)
-                lp = last_pos[-1]
-                if lp >= row_start[-1]:
-                    c_lb[o] = float(v[lp])
-                elif not (cont and row_start[-1] == 0):
-                    c_lb[o] = np.nan
-                outs.append(as_arrow(prev))
-            cur_key = kcol[n - 1].as_py()
-            has_rows = True
-            extra = [pa.array(starts, type=pa.bool_()), pa.array(np.full(n, pid, dtype=np.int32)),
-                     pa.array(np.zeros(n, dtype=np.int32))]
-            out = pa.RecordBatch.from_arrays(list(rb.columns) + outs + extra, schema=arrow_schema)
-            last = out.slice(n - 1, 1)
-            yield out
-        if has_rows:
-            cols = list(last.columns)
-            base = len(in_names)
-            vals = [c_sum[o] for o, _ in cs_items] + [c_lag[o] for o, _ in lag_items] + [c_lb[o] for o, _ in lb_items]
-            for i, v in enumerate(vals):
-                cols[base + i] = as_arrow(np.array([v], dtype="float64"))
-            cols[-1] = pa.array([1], type=pa.int32())
-            yield pa.RecordBatch.from_arrays(cols, schema=arrow_schema)
-
-    return run
+
+def _range_id(df: DataFrame, cols: list[str], bounds: list, row: str) -> Column:
+    """How many of the sorted ``bounds`` are not above the struct column ``row``: a search by halves."""
+    if not bounds:
+        return F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    array = F.array(*[F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b, strict=True)]) for b in bounds])
+    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
+
+    def search(low, step):
+        at = low + step
+        return F.when(at > len(bounds), low).when(F.get(array, at - 1) <= F.col(row), at).otherwise(low)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), search)
+
+
+def _number(c: str) -> Column:
+    v = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
-                 num_partitions: int | None = None) -> DataFrame:
-    """Add the running columns of ``spec`` to ``df`` (see module doc)."""
-    return ordered_scan_cached(df, key, order, spec, num_partitions)[0]
-
-
-def ordered_scan_cached(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
-                        num_partitions: int | None = None):
-    """``ordered_scan`` plus the persisted scan output, so a caller chaining
-    scans can release it once the next scan has been materialised (a lost or
-    released block is rebuilt from the same physical plan, deterministically)."""
-    outs = list(spec.cumsum) + list(spec.lag) + list(spec.last_before)
-    schema = T.StructType(
-        list(df.schema.fields)
-        + [T.StructField(o, T.DoubleType(), True) for o in outs]
-        + [T.StructField("_head", T.BooleanType(), True),
-           T.StructField("_pid", T.IntegerType(), False),
-           T.StructField("_seg", T.IntegerType(), False)])
-    # Without an explicit count the range exchange may be coalesced by AQE,
-    # which only merges adjacent ranges (never splits them), so partition ids
-    # stay in key order; an explicit count fixes the number of ranges.
-    ranged = (df.repartitionByRange(num_partitions, key, *order) if num_partitions
-              else df.repartitionByRange(key, *order))
-    scanned = (ranged
-                 .sortWithinPartitions(key, *order)
-                 .mapInArrow(_local_scan(key, spec, df.columns, schema), schema)
-                 .persist(StorageLevel.MEMORY_AND_DISK))
-    # Materialise once: the edge branch (a broadcast job) and the row branch
-    # would otherwise both compute the scan side by side before the cache exists.
-    scanned.count()
-    rows = scanned.filter(F.col("_seg") == 0)
-    edges = scanned.filter(F.col("_seg") == 1).select(
-        F.col("_pid").alias("_cpid"), F.col(key).alias("_ckey"), *outs)
-
-    # Carry into partition p+1 from edges q <= p of the same key (contiguous).
-    w_all = Window.partitionBy("_ckey").orderBy("_cpid").rowsBetween(Window.unboundedPreceding, 0)
-    carry = edges.select(
-        "_cpid", "_ckey",
-        *[F.sum(o).over(w_all).alias(f"_c_{o}") for o in spec.cumsum],
-        *[F.col(o).alias(f"_c_{o}") for o in spec.lag],
-        *[F.last(o, ignorenulls=True).over(w_all).alias(f"_c_{o}") for o in spec.last_before],
-        F.lit(True).alias("_hit"))
-
-    j = rows.join(F.broadcast(carry),
-                  (rows["_pid"] - 1 == carry["_cpid"]) & (rows[key] == carry["_ckey"]),
-                  "left")
-    hit = F.coalesce(F.col("_hit"), F.lit(False))
+                 num_partitions: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
+    """Add the running columns of ``spec`` to ``df`` (see module doc).
+
+    ``bounds_from`` is a cheaper frame with the same rows' key and order, when
+    ``df`` already carries expensive columns."""
+    cols = [key, *order]
+    bounds = range_bounds(bounds_from if bounds_from is not None else df, key, order, num_partitions)
+    d = df.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in cols]))
+    d = d.withColumn("_rid", _range_id(df, cols, bounds, "_row")).drop("_row")
+    w = Window.partitionBy("_rid", key).orderBy(*order)
+    upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     null_key = F.col(key).isNull()
-    fixed = []
-    for o in spec.cumsum:
-        fixed.append(F.when(null_key, None).otherwise(
-            F.col(o) + F.when(hit, F.col(f"_c_{o}")).otherwise(0.0)).alias(o))
+    match = {o: F.when(F.col(cond), _number(c)) for o, (c, cond) in spec.last_before.items()}
+    local = {**{o: F.sum(_number(c)).over(upto) for o, c in spec.cumsum.items()},
+             **{o: F.lag(_number(c)).over(w) for o, c in spec.lag.items()},
+             **{o: F.last(m, ignorenulls=True).over(before) for o, m in match.items()},
+             "_at": F.row_number().over(w)}
+    rows = d.withColumns(local)
+    cut = list({b[0] for b in bounds})
+    hit = F.lit(False)
+    if cut:
+        last_first = F.struct(*[F.col(f"`{c}`") for c in order])
+        totals = d.where(F.col(key).isin(cut)).groupBy(F.col(key).alias("_ckey"), F.col("_rid").alias("_crid")).agg(
+            *[F.sum(_number(c)).alias(f"_c_{o}") for o, c in spec.cumsum.items()],
+            *[F.max_by(F.struct(_number(c).alias("v")), last_first).alias(f"_c_{o}") for o, c in spec.lag.items()],
+            *[F.max_by(match[o], F.when(match[o].isNotNull(), last_first)).alias(f"_c_{o}") for o in match],
+            F.count("*").alias("_n"))
+        wk = Window.partitionBy("_ckey").orderBy("_crid")
+        earlier = wk.rowsBetween(Window.unboundedPreceding, -1)
+        carry = totals.select(
+            "_ckey", "_crid", (F.row_number().over(wk) > 1).alias("_hit"),
+            *[F.sum(f"_c_{o}").over(earlier).alias(f"_c_{o}") for o in spec.cumsum],
+            *[F.lag(f"_c_{o}").over(wk)["v"].alias(f"_c_{o}") for o in spec.lag],
+            *[F.last(f"_c_{o}", ignorenulls=True).over(earlier).alias(f"_c_{o}") for o in match])
+        # at most two rows a bound
+        rows = rows.join(F.broadcast(carry.where("_hit")), (F.col("_ckey") == F.col(key)) & (F.col("_crid") == F.col("_rid")), "left")
+        hit = F.coalesce(F.col("_hit"), F.lit(False))
+
+    def carried(o):
+        return F.col(f"_c_{o}") if cut else F.lit(None).cast("double")
+
+    out = []
+    for o, c in spec.cumsum.items():
+        out.append(F.when(~null_key & _number(c).isNotNull(), F.col(o) + F.coalesce(carried(o), F.lit(0.0))).alias(o))
     for o in spec.lag:
-        fixed.append(F.when(null_key, None).when(F.col("_head") & hit, F.col(f"_c_{o}"))
-                     .otherwise(F.col(o)).alias(o))
-    for o in spec.last_before:
-        fixed.append(F.when(null_key, None).otherwise(
-            F.coalesce(F.col(o), F.when(hit, F.col(f"_c_{o}")))).alias(o))
-    return j.select(*[F.col(c) for c in df.columns], *fixed), scanned
+        out.append(F.when(~null_key, F.when(hit & (F.col("_at") == 1), carried(o)).otherwise(F.col(o))).alias(o))
+    for o in match:
+        out.append(F.when(~null_key, F.coalesce(F.col(o), carried(o))).alias(o))
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], *out)
