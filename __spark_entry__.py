@@ -2,7 +2,7 @@
 
 Every query reads the given tables (or data Spark derives from them) at full
 size.  Double results that come out of aggregations are passed through
-20 significant bits in both engines (see ``_norm_col``: plain IEEE steps,
+the same rounding in both engines (see ``_norm_col``: plain IEEE steps,
 ``_fl`` / ``_fsql``) so that last-bit differences of summation order do not
 break the value hash; the library itself returns full doubles.
 """
@@ -28,6 +28,7 @@ from cartcast.operators import rowfeat as RF
 from cartcast.operators import windows as WN
 from cartcast.plans import features as FE
 from cartcast.sources.tables import LOG_ORDER, read_table, transactions
+from sqlcheck import features as SQ
 
 SF_SMOKE = "/root/testdata/sf0.001"
 TARGET = "2001-07"            # last full month of the test tables
@@ -46,25 +47,23 @@ def _reg(name: str, sql: str | None = None):
     return deco
 
 
-# Check-only normalisation of doubles, the same IEEE steps in Spark and DuckDB:
-# snap |x| < 1e-9 to 0, scale by pi/4 (so decimal data never sits on a binary
-# tie), keep 20 significant bits (Veltkamp split), scale back.
-_SPLIT = 2 ** 33 + 1
+# Check-only normalisation of doubles, the same IEEE steps in Spark and DuckDB: whole
+# hundredths (cents, seconds, counts) exactly; of other values, |x| < 1e-9 becomes 0, the rest is scaled
+# by pi/4 (so decimal data never sits on a binary tie), cut to 26 significant bits (Veltkamp split) and scaled back.
+_SPLIT = 2 ** 27 + 1
 _SCALE = 0.7853981633974483
 
 
 def _norm_col(c):
     z = F.when(F.abs(c) < F.lit(1e-9), F.lit(0.0)).otherwise(c.cast("double"))
+    cents = F.rint(z * F.lit(100.0))
     t = z * F.lit(_SCALE)
     x = t * F.lit(float(_SPLIT))
-    return (x - (x - t)) / F.lit(_SCALE)
+    return F.when(F.abs(z * F.lit(100.0) - cents) < F.lit(1e-4), cents / F.lit(100.0)).otherwise((x - (x - t)) / F.lit(_SCALE))
 
 
 def _norm_sql(c: str) -> str:
-    z = f"(CASE WHEN abs({c}) < CAST(1e-9 AS DOUBLE) THEN CAST(0 AS DOUBLE) ELSE CAST({c} AS DOUBLE) END)"
-    t = f"({z} * CAST('{_SCALE!r}' AS DOUBLE))"
-    x = f"({t} * CAST({_SPLIT} AS DOUBLE))"
-    return f"(({x} - ({x} - {t})) / CAST('{_SCALE!r}' AS DOUBLE))"
+    return SQ.norm(c)
 
 
 def _fl(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -88,28 +87,7 @@ def _log(spark, sf, description=False, country=False):
 
 # ----------------------------------------------------------------- SQL pieces
 
-SGN = "(CASE WHEN l.l_returnflag = 'R' THEN -1 ELSE 1 END)"
-TXN = f"""txn AS (
-  SELECT
-    CASE WHEN l.l_returnflag = 'R' THEN 'C' || CAST(l.l_orderkey AS VARCHAR) ELSE CAST(l.l_orderkey AS VARCHAR) END AS order_id,
-    CASE WHEN l.l_partkey % 50 = 0 THEN 'M' WHEN l.l_partkey % 7 = 0 THEN CAST(l.l_partkey AS VARCHAR) || 'A'
-         ELSE CAST(l.l_partkey AS VARCHAR) END AS product_id,
-    p.p_name AS description,
-    CAST(l.l_quantity * {SGN} AS DOUBLE) AS quantity,
-    o.o_orderdate AS order_date,
-    l.l_extendedprice / l.l_quantity AS price,
-    o.o_custkey AS customer_id,
-    n.n_name AS country,
-    CAST(l.l_extendedprice * {SGN} AS DOUBLE) AS total,
-    l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice
-  FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part p ON l.l_partkey = p.p_partkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey
-)"""
-ORD = "order_date, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
-KEYCOLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
+TXN, ORD, KEYCOLS = SQ.TXN, SQ.ORD, SQ.KEYCOLS
 
 
 def _ts(ym: str) -> str:
@@ -319,35 +297,30 @@ _reg("date_span", W() + "SELECT min(order_date) AS first_date, max(order_date) A
 
 
 # ------------------------------------------------------- window builders K6-K9
-from sqlcheck import features as SQ  # noqa: E402
 
 _ANCH = [TRAIN, TARGET]
 
 
-def _dbl(df: DataFrame) -> DataFrame:
-    return _fl(df)
-
-
 _reg("trend_features", SQ.trend_sql(_ANCH, season=False))(
-    lambda spark, sf: _dbl(WN.trend_features(_log(spark, sf), _ANCH)))
+    lambda spark, sf: _fl(WN.trend_features(_log(spark, sf), _ANCH)))
 _reg("season_features", SQ.trend_sql(_ANCH, trend=False, season=True))(
-    lambda spark, sf: _dbl(WN.season_features(_log(spark, sf), _ANCH)))
+    lambda spark, sf: _fl(WN.season_features(_log(spark, sf), _ANCH)))
 _reg("season_features_compat", SQ.trend_sql(_ANCH, trend=False, season=True, compat=True))(
-    lambda spark, sf: _dbl(WN.season_features(_log(spark, sf), _ANCH, compat=True)))
+    lambda spark, sf: _fl(WN.season_features(_log(spark, sf), _ANCH, compat=True)))
 _reg("cycle_1224", SQ.cycle_sql(_ANCH))(
-    lambda spark, sf: _dbl(WN.cycle_1224(_log(spark, sf), _ANCH)))
+    lambda spark, sf: _fl(WN.cycle_1224(_log(spark, sf), _ANCH)))
 
 # ------------------------------------------------------------ builders K2-K5
 
 _reg("fe_baseline", SQ.simple_sql(TARGET, [(c, STATS7) for c in ["quantity", "price", "total"]]))(
-    lambda spark, sf: _dbl(FE.fe_baseline(_log(spark, sf), TARGET).frame))
+    lambda spark, sf: _fl(FE.fe_baseline(_log(spark, sf), TARGET).frame))
 _reg("fe_cumulative", SQ.simple_sql(TARGET, [(c, STATS7) for c in ["quantity", "price", "total", *FE.CUMSUM_COLS]],
                                     cumsum=True, distinct=True))(
-    lambda spark, sf: _dbl(FE.fe_cumulative(_log(spark, sf), TARGET).frame))
+    lambda spark, sf: _fl(FE.fe_cumulative(_log(spark, sf), TARGET).frame))
 _reg("fe_compact", SQ.simple_sql(TARGET, FE.COMPACT_SPEC, cycle=True))(
-    lambda spark, sf: _dbl(FE.fe_compact(_log(spark, sf), TARGET).frame))
+    lambda spark, sf: _fl(FE.fe_compact(_log(spark, sf), TARGET).frame))
 _reg("fe_full", SQ.full_sql(TARGET))(
-    lambda spark, sf: _dbl(FE.fe_full(_log(spark, sf), TARGET).frame))
+    lambda spark, sf: _fl(FE.fe_full(_log(spark, sf), TARGET).frame))
 
 
 # ------------------------------------------------------------- metrics O1-O10
@@ -405,30 +378,60 @@ _reg("threshold_metrics", _fsql(W(*_BIN, "c AS (SELECT sum(CASE WHEN score > 0.5
     lambda spark, sf: _fl(MT.threshold_metrics(_bin_scores(spark, sf)).select(
         *[F.col(c).cast("long") for c in ["tp", "fp", "fn", "tn"]], "accuracy", "precision", "recall", "f1")))
 
-_reg("metric_table", _fsql(W(*_BIN, "ev AS (SELECT *, CASE WHEN customer_id % 5 = 0 THEN 'valid' ELSE 'train' END AS eval_set FROM bs)") +
-     f"SELECT eval_set, eval_set || '_auc' AS metric, auc AS value FROM ({_auc_sql('ev', 'score', by='eval_set')}) a UNION ALL "
-     "SELECT eval_set, eval_set || '_accuracy', avg(CASE WHEN (score > 0.5) = (label = 1) THEN 1.0 ELSE 0.0 END) FROM ev GROUP BY 1 "
-     "UNION ALL SELECT eval_set, eval_set || '_logloss', -avg(ln(CASE WHEN label = 1 THEN least(greatest(score, 1e-15), 1 - 1e-15) "
-     "ELSE 1 - least(greatest(score, 1e-15), 1 - 1e-15) END)) FROM ev GROUP BY 1", ["value"]))(
-    lambda spark, sf: _fl(MT.metric_table(
-        _bin_scores(spark, sf).withColumn("eval_set", F.when(F.col("customer_id") % 5 == 0, "valid").otherwise("train")),
-        ["auc", "accuracy", "logloss"])))
+_ALL_METRICS = ["auc", "accuracy", "balanced_accuracy", "logloss", "mse", "rmse", "mae", "rmsle", "gini"]
 
 
-# multi-class: the first 10 embedding dimensions as class logits, labels 0-9
-def _mc(spark, sf) -> DataFrame:
-    e = read_table(spark, sf, "embeddings")
-    p = MT.softmax(F.slice(F.col("embedding"), 1, 10))
-    return e.select("vec_id", "label", p.alias("proba")).withColumn("pred", MT.argmax(F.col("proba")))
+def _metric_table(spark, sf):
+    """All metrics for two eval sets, each the mean over two tasks (score and its mirror)."""
+    s = _bin_scores(spark, sf).withColumn("eval_set", F.when(F.col("customer_id") % 5 == 0, "valid").otherwise("train"))
+    two = s.withColumn("task", F.lit("a")).unionByName(s.withColumn("task", F.lit("b")).withColumn("score", 1.0 - F.col("score")))
+    return _fl(MT.metric_table(two, _ALL_METRICS, task_col="task"))
+
+
+def _metric_table_sql() -> str:
+    clip = "least(greatest(score, 1e-15), 1 - 1e-15)"
+    hit = "CASE WHEN (score > 0.5) = (label = 1) THEN 1.0 ELSE 0.0 END"
+    auc = f"SELECT split_part(st, '/', 1) AS eval_set, split_part(st, '/', 2) AS task, auc FROM ({_auc_sql('ev', 'score', by='st')}) a"
+    one = {
+        "accuracy": f"avg({hit})", "logloss": f"-avg(ln(CASE WHEN label = 1 THEN {clip} ELSE 1 - {clip} END))",
+        "mse": "avg((score - label) * (score - label))", "rmse": "sqrt(avg((score - label) * (score - label)))",
+        "mae": "avg(abs(score - label))",
+        "rmsle": "avg((ln(1 + greatest(score, 0.0)) - ln(1 + label)) * (ln(1 + greatest(score, 0.0)) - ln(1 + label)))"}
+    each = [f"SELECT eval_set, task, '{n}' AS m, {e} AS v FROM ev GROUP BY 1, 2" for n, e in one.items()]
+    each += [f"SELECT eval_set, task, 'auc', auc FROM ({auc}) x", f"SELECT eval_set, task, 'gini', greatest(2 * auc - 1, 0.0) FROM ({auc}) x",
+             f"SELECT eval_set, task, 'balanced_accuracy', avg(r) FROM (SELECT eval_set, task, label, avg({hit}) AS r FROM ev GROUP BY 1, 2, 3) x GROUP BY 1, 2"]
+    ev = ("ev AS (SELECT *, eval_set || '/' || task AS st FROM (SELECT customer_id, label, CASE WHEN customer_id % 5 = 0 THEN 'valid' ELSE 'train' END AS eval_set, "
+          "'a' AS task, score FROM bs UNION ALL SELECT customer_id, label, CASE WHEN customer_id % 5 = 0 THEN 'valid' ELSE 'train' END, 'b', 1.0 - score FROM bs) u)")
+    return W(*_BIN, ev) + f"SELECT eval_set, eval_set || '_' || m AS metric, avg(v) AS value FROM ({' UNION ALL '.join(each)}) z GROUP BY 1, 2"
 
 
-_MC = ("e AS (SELECT vec_id, label, i - 1 AS class, CAST(embedding[i] AS DOUBLE) AS z FROM embeddings, range(1, 11) t(i))",
+_reg("metric_table", _fsql(_metric_table_sql(), ["value"]))(_metric_table)
+
+
+# multi-class: a class's logit is the product of the whole vector with the mean vector of the class, rounded
+# so that both engines see the same ties
+def _mc(spark, sf) -> DataFrame:
+    e = read_table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    long = e.select("label", F.posexplode("x").alias("i", "v"))
+    means = long.groupBy("label", "i").agg(F.avg("v").alias("m")).collect()  # classes x dimensions
+    by: dict = {}
+    for r in means:
+        by.setdefault(r["label"], {})[r["i"]] = r["m"]
+    logits = F.array(*[F.round(F.aggregate(F.zip_with("x", F.array(*[F.lit(by[c][i]) for i in sorted(by[c])]), lambda a, b: a * b),
+                                           F.lit(0.0), lambda s, v: s + v), 9) for c in sorted(by)])
+    return (e.select("vec_id", "label", logits.alias("z")).select("vec_id", "label", "z", MT.softmax(F.col("z")).alias("proba"))
+             .withColumn("pred", MT.argmax(F.col("z"))).drop("z"))
+
+
+_MC = ("v AS (SELECT vec_id, label, unnest(range(0, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)",
+       "mean AS (SELECT label AS class, i, avg(x) AS m FROM v GROUP BY 1, 2)",
+       "e AS (SELECT vec_id, label, class, round(sum(x * m), 9) AS z FROM v JOIN mean USING (i) GROUP BY 1, 2, 3)",
        "m AS (SELECT vec_id, max(z) AS mz FROM e GROUP BY vec_id)",
        "x AS (SELECT e.vec_id, e.label, e.class, exp(e.z - m.mz) AS ez FROM e JOIN m USING (vec_id))",
        "pr AS (SELECT vec_id, label, class, ez / sum(ez) OVER (PARTITION BY vec_id) AS proba FROM x)",
-       "am AS (SELECT vec_id, label, CAST(arg_max(class, z) AS INTEGER) AS pred FROM e GROUP BY vec_id, label)")
+       "am AS (SELECT vec_id, label, CAST(first(class ORDER BY z DESC, class) AS INTEGER) AS pred FROM e GROUP BY vec_id, label)")
 
-_reg("softmax_scores", _fsql("WITH " + ",\n".join(_MC[:4]) + " SELECT vec_id, CAST(class AS INTEGER) AS class, proba FROM pr",
+_reg("softmax_scores", _fsql("WITH " + ",\n".join(_MC[:6]) + " SELECT vec_id, CAST(class AS INTEGER) AS class, proba FROM pr",
                              ["proba"]))(
     lambda spark, sf: _fl(_mc(spark, sf).select("vec_id", F.posexplode("proba").alias("class", "proba"))))
 _reg("argmax_class", "WITH " + ",\n".join(_MC) + " SELECT vec_id, label, pred FROM am")(
@@ -439,7 +442,7 @@ _reg("metric_accuracy", _fsql("WITH " + ",\n".join(_MC) + " SELECT avg(CASE WHEN
 _reg("metric_balanced_accuracy", _fsql("WITH " + ",\n".join(_MC) + " SELECT avg(r) AS balanced_accuracy FROM "
      "(SELECT label, avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) AS r FROM am GROUP BY label) a", ["balanced_accuracy"]))(
     lambda spark, sf: _fl(MT.balanced_accuracy(_mc(spark, sf))))
-_reg("metric_logloss", _fsql("WITH " + ",\n".join(_MC[:4]) + ", cl AS (SELECT vec_id, label, class, "
+_reg("metric_logloss", _fsql("WITH " + ",\n".join(_MC[:6]) + ", cl AS (SELECT vec_id, label, class, "
      "least(greatest(proba, 1e-15), 1 - 1e-15) AS q FROM pr) SELECT -avg(ln(q / s)) AS logloss FROM "
      "(SELECT vec_id, label, class, q, sum(q) OVER (PARTITION BY vec_id) AS s FROM cl) a WHERE class = label",
      ["logloss"]))(
@@ -448,9 +451,9 @@ _reg("metric_logloss", _fsql("WITH " + ",\n".join(_MC[:4]) + ", cl AS (SELECT ve
 
 def _decode(spark, sf):
     # Class id -> name through a dictionary table derived from the data
-    # (nation names keyed by nation key); a broadcast join on a 25-row dimension.
+    # (nation names keyed by nation key).
     names = read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("pred"), F.col("n_name").alias("pred_name"))
-    return _mc(spark, sf).join(F.broadcast(names), "pred", "left").select("vec_id", "pred", "pred_name")
+    return _mc(spark, sf).join(names, "pred", "left").select("vec_id", "pred", "pred_name")
 
 
 _reg("decode_predictions", "WITH " + ",\n".join(_MC) +
@@ -477,16 +480,16 @@ _reg("metric_rmsle", _fsql(f"WITH {_RG}, le AS (SELECT ln(1 + greatest(pred, 0.0
 
 
 def _masked(spark, sf):
-    e = read_table(spark, sf, "embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 8)).alias("col", "x"))
+    e = read_table(spark, sf, "embeddings").select("vec_id", F.posexplode("embedding").alias("col", "x"))
     e = e.withColumn("x", F.col("x").cast("double")).withColumn(
         "mask", (((F.col("vec_id") * 7919 + F.col("col") * 104729) % 10) < 2).cast("int"))
     mean = e.groupBy("col").agg(F.avg("x").alias("pred"))
-    return _fl(MT.masked_reconstruction(e.join(F.broadcast(mean), "col"), row="vec_id"))
+    return _fl(MT.masked_reconstruction(e.join(mean, "col"), row="vec_id"))
 
 
 _reg("metric_masked_reconstruction", _fsql(
     "WITH e AS (SELECT vec_id, i - 1 AS col, CAST(embedding[i] AS DOUBLE) AS x, "
-    "CASE WHEN (vec_id * 7919 + (i - 1) * 104729) % 10 < 2 THEN 1 ELSE 0 END AS mask FROM embeddings, range(1, 9) t(i)), "
+    "CASE WHEN (vec_id * 7919 + (i - 1) * 104729) % 10 < 2 THEN 1 ELSE 0 END AS mask FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) t), "
     "s AS (SELECT col, avg(x) AS pred, var_samp(x) AS v FROM e GROUP BY col), "
     "r AS (SELECT e.vec_id, sum(e.mask * (s.pred - e.x) * (s.pred - e.x) / (coalesce(s.v, CAST(0 AS DOUBLE)) + CAST(1e-9 AS DOUBLE))) AS l, "
     "CAST(sum(e.mask) AS DOUBLE) AS m FROM e JOIN s USING (col) GROUP BY e.vec_id) "
@@ -504,12 +507,12 @@ _CUST_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 def _headerless(spark, sf):
-    # A2 + A8: write the customer table as headerless gzip CSV next to another
-    # file set, then read back only the files picked by a name pattern.
+    # A2 + A8: write the customer table as headerless gzip CSV, other files beside
+    # them in the same folder, then read back only the files picked by a name pattern.
     base = IO.scratch_path(spark, "headerless")
     cust = read_table(spark, sf, "customer").select(*_CUST_COLS)
     IO.write_csv(cust, base, header=False, compression="gzip")
-    IO.write_csv(read_table(spark, sf, "nation"), base + "/other", header=False)
+    read_table(spark, sf, "nation").write.mode("append").option("header", False).csv(base)
     return IO.read_headerless_csv(spark, base, _CUST_COLS,
                                   [T.LongType(), T.StringType(), T.IntegerType(), T.DoubleType(), T.StringType()],
                                   glob="*.csv.gz")
@@ -532,10 +535,32 @@ _reg("sink_csv_roundtrip", W() + "SELECT order_id, product_id, description, quan
 
 def _feature_list(spark, sf):
     fs = FE.fe_full(_log(spark, sf), TARGET)
-    return IO.write_feature_list(spark, fs.features, IO.scratch_path(spark, "features"))
+    names = IO.write_feature_list(spark, fs.features, IO.scratch_path(spark, "features"))
+    counts = fs.frame.agg(*[F.count(f"`{c}`").alias(c) for c in fs.features])
+    counts = counts.unpivot([], [F.col(f"`{c}`") for c in fs.features], "feature", "non_null")
+    return names.join(counts, "feature")
+
+
+_reg("feature_list", "WITH f AS (" + SQ.full_sql(TARGET) + "), c AS (SELECT " + ", ".join(
+    f'count("{c}") AS "{c}"' for c in FE.full_feature_names()) + " FROM f), n AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{c}')" for i, c in enumerate(FE.full_feature_names())) + ") t(position, feature)), u AS (UNPIVOT c ON COLUMNS(*) INTO NAME feature VALUE non_null) "
+    "SELECT CAST(position AS INTEGER) AS position, feature, non_null FROM n JOIN u USING (feature)")(_feature_list)
+
 
+_RAW = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
-_reg("feature_list")(_feature_list)
+
+def _full_from_csv(spark, sf):
+    # the builder on a plain log file: the caller names the columns that order its rows
+    path = IO.scratch_path(spark, "plain-log")
+    own = [F.col(c).alias(f"line_{k}") for k, c in enumerate(_RAW)]
+    log = transactions(spark, sf).select(*[f.name for f in IO.LOG_SCHEMA.fields], *own)
+    IO.write_csv(log, path)
+    read = IO.read_log_csv(spark, path, log.schema)
+    return _fl(FE.fe_full(read, TARGET, order=["order_date", *[f"line_{k}" for k in range(len(_RAW))]]).frame)
+
+
+_reg("fe_full_from_csv", SQ.full_sql(TARGET))(_full_from_csv)
 
 
 def _fold_preds(spark, sf) -> DataFrame:
@@ -565,7 +590,7 @@ _BASE_SPEC = [(c, STATS7) for c in ["quantity", "price", "total"]]
 _reg("feature_columns", f"SELECT * EXCLUDE (customer_id, year_month, label) FROM ({SQ.simple_sql(TARGET, _BASE_SPEC)}) b")(
     lambda spark, sf: _fl(FE.fe_baseline(_log(spark, sf), TARGET).frame.drop("customer_id", "year_month", "label")))
 
-_PICK = [c for c in FE.PICKED if c in FE.full_feature_names()]
+_PICK = FE.picked_names()
 _reg("picked_features", "SELECT customer_id, year_month, " + ", ".join(f'"{c}"' for c in _PICK) +
      f" FROM ({SQ.full_sql(TARGET)}) f")(
     lambda spark, sf: _fl(FE.fe_full(_log(spark, sf), TARGET).frame.select(
@@ -583,13 +608,18 @@ _reg("fill_constants", _fsql(
     [c for c in _FILL_COLS if not c.endswith("-count")]))(
     lambda spark, sf: _fl(PR.fill_constants(FE.fe_baseline(_log(spark, sf), TARGET, impute=False).frame)))
 
-_reg("columns_by_type", "SELECT column_name AS \"column\" FROM (DESCRIBE lineitem) WHERE column_type = 'DOUBLE'")(
-    lambda spark, sf: spark.createDataFrame(
-        [(c,) for c in SP.columns_of_type(read_table(spark, sf, "lineitem"), [T.DoubleType])], "column string"))
+def _columns_by_type(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    cols = SP.columns_of_type(li, [T.DoubleType])
+    return li.agg(*[F.count(c).alias(c) for c in cols]).unpivot([], cols, "column", "non_null")
+
+
+_reg("columns_by_type", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS non_null FROM lineitem"
+                                            for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))(_columns_by_type)
 
 _reg("multi_target", "SELECT doc_id, quality, quality AS quality_0, quality AS quality_1, quality AS quality_2 FROM labels")(
     lambda spark, sf: PR.multi_target(read_table(spark, sf, "labels").select("doc_id", "quality"), "quality", 3))
-_reg("random_target")(
+_reg("random_target", "SELECT doc_id, CAST(10 + floor(CAST('0x' || substr(md5(doc_id || ':0'), 1, 7) AS BIGINT) / 268435456.0::DOUBLE * 5) AS INTEGER) AS rand_target FROM labels")(
     lambda spark, sf: PR.random_int_target(read_table(spark, sf, "labels").select("doc_id"), "doc_id", 10, 15, seed=0))
 
 # -------------------------------------------------------------------- joins
@@ -614,10 +644,10 @@ _DESC_SQL = (f"SELECT customer_id, string_agg(description, ', ' ORDER BY {ORD})
              f"WHERE order_date < {_ts(TARGET)} GROUP BY customer_id")
 _reg("customer_descriptions", W() + _DESC_SQL)(
     lambda spark, sf: FE.customer_descriptions(_log(spark, sf, description=True), TARGET))
-_reg("features_with_text", f"SELECT f.*, d.description FROM ({SQ.simple_sql(TARGET, FE.COMPACT_SPEC, cycle=True)}) f "
-     f"LEFT JOIN ({W() + _DESC_SQL}) d USING (customer_id) WHERE f.year_month = '{TARGET}'")(
-    lambda spark, sf: _fl(FE.features_with_text(FE.fe_compact(_log(spark, sf), TARGET), _log(spark, sf, description=True),
-                                                anchor=TARGET).filter(F.col("year_month") == TARGET)))
+_reg("features_with_text", f"WITH f AS ({SQ.simple_sql(TARGET, FE.COMPACT_SPEC, cycle=True)}) " + " UNION ALL ".join(
+    f"SELECT f.*, d.description FROM f LEFT JOIN ({W() + _DESC_SQL.replace(_ts(TARGET), _ts(m))}) d USING (customer_id) "
+    f"WHERE f.year_month = '{m}'" for m in (TRAIN, TARGET)))(
+    lambda spark, sf: _fl(FE.features_with_text(FE.fe_compact(_log(spark, sf), TARGET), _log(spark, sf, description=True))))
 
 _reg("unseen_labels", W() + f"SELECT DISTINCT product_id FROM txn WHERE strftime(order_date, '%Y-%m') = '{TARGET}' "
      f"AND product_id NOT IN (SELECT product_id FROM txn WHERE order_date < {_ts(TARGET)})")(
@@ -625,14 +655,20 @@ _reg("unseen_labels", W() + f"SELECT DISTINCT product_id FROM txn WHERE strftime
                                        "product_id"))
 
 
+def _one_row(*frames: DataFrame) -> DataFrame:
+    """One-row results side by side, as one aggregate over their union."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
+
+
 def _eval_join(spark, sf):
     # Ground truth and predictions paired on the key (never by position)
     gt = LB.label_month(_log(spark, sf), TARGET).select("customer_id", "label")
     pr = _bin_scores(spark, sf).select("customer_id", F.col("score").alias("probability"))
     j = gt.join(pr, "customer_id")
-    a = MT.roc_auc(j, "label", "probability")
-    n = j.agg(F.count("*").alias("rows"))
-    return _fl(a.join(n, how="inner"))
+    return _fl(_one_row(MT.roc_auc(j, "label", "probability"), j.agg(F.count("*").alias("rows"))))
 
 
 _reg("eval_join", _fsql(W(*_BIN) + f"SELECT a.auc, c.rows FROM ({_auc_sql('bs', 'score')}) a, "
@@ -687,12 +723,23 @@ _reg("target_type", "SELECT 'quality' AS target, CASE WHEN max(CASE WHEN quality
      "UNION ALL SELECT 'label', CASE WHEN count(DISTINCT label) <= 2 THEN 'binary' ELSE 'multiclass' END FROM embeddings "
      "UNION ALL SELECT 'l_extendedprice', CASE WHEN max(CASE WHEN l_extendedprice <> floor(l_extendedprice) THEN 1 ELSE 0 END) = 1 "
      "THEN 'continuous' ELSE 'multiclass' END FROM lineitem "
-     "UNION ALL SELECT 'quality,toxic', 'multilabel-indicator' FROM (SELECT 1) WHERE (SELECT count(*) FROM labels "
-     "WHERE quality NOT IN (0, 1) OR toxic NOT IN (0, 1)) = 0")(
+     "UNION ALL SELECT 'quality,toxic', CASE WHEN count(*) FILTER (WHERE v NOT IN (0, 1)) = 0 AND count(DISTINCT v) = 2 THEN 'multilabel-indicator' "
+     "ELSE 'multiclass-multioutput' END FROM (SELECT quality AS v FROM labels UNION ALL SELECT toxic FROM labels) u "
+     "UNION ALL SELECT 'quality,label', CASE WHEN count(*) FILTER (WHERE v NOT IN (0, 1)) = 0 AND count(DISTINCT v) = 2 THEN 'multilabel-indicator' "
+     "ELSE 'multiclass-multioutput' END FROM (SELECT quality AS v FROM labels JOIN embeddings ON doc_id = vec_id UNION ALL "
+     "SELECT label FROM labels JOIN embeddings ON doc_id = vec_id) u "
+     "UNION ALL SELECT 'l_quantity,l_discount', CASE WHEN max(CASE WHEN v <> floor(v) THEN 1 ELSE 0 END) = 1 THEN 'continuous-multioutput' "
+     "ELSE 'multiclass-multioutput' END FROM (SELECT l_quantity AS v FROM lineitem UNION ALL SELECT l_discount FROM lineitem) u "
+     "UNION ALL SELECT 'l_returnflag', CASE WHEN count(DISTINCT l_returnflag) <= 2 THEN 'binary' ELSE 'multiclass' END FROM lineitem "
+     "UNION ALL SELECT 'half', CASE WHEN count(DISTINCT CASE WHEN l_linenumber % 2 = 0 THEN 'even' ELSE 'odd' END) <= 2 THEN 'binary' ELSE 'multiclass' END FROM lineitem")(
     lambda spark, sf: PF.target_type(read_table(spark, sf, "labels"), ["quality"])
     .unionByName(PF.target_type(read_table(spark, sf, "embeddings"), ["label"]))
     .unionByName(PF.target_type(read_table(spark, sf, "lineitem"), ["l_extendedprice"]))
-    .unionByName(PF.target_type(read_table(spark, sf, "labels"), ["quality", "toxic"])))
+    .unionByName(PF.target_type(read_table(spark, sf, "labels"), ["quality", "toxic"]))
+    .unionByName(PF.target_type(read_table(spark, sf, "labels").join(read_table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id"), "doc_id"), ["quality", "label"]))
+    .unionByName(PF.target_type(read_table(spark, sf, "lineitem"), ["l_quantity", "l_discount"]))
+    .unionByName(PF.target_type(read_table(spark, sf, "lineitem"), ["l_returnflag"]))
+    .unionByName(PF.target_type(read_table(spark, sf, "lineitem").select(F.when(F.col("l_linenumber") % 2 == 0, "even").otherwise("odd").alias("half")), ["half"])))
 _reg("nonfinite_counts", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(*) FILTER (WHERE isnan({c})) AS nans, "
     f"count(*) FILTER (WHERE isinf({c})) AS infs FROM lineitem" for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))(
@@ -715,7 +762,11 @@ def _schema_check(spark, sf):
     return PF.schema_check(fs.train, {"valid": fs.test, "test_no_label": fs.test.drop("label")}, fs.features, ["label"])
 
 
-_reg("schema_check")(_schema_check)
+_N = f"(SELECT count(*) FROM ({SQ.simple_sql(TARGET, _BASE_SPEC, normalize=False)}) b WHERE year_month = '{TARGET}')"
+_reg("schema_check", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{s}', 'features_present', TRUE, ''), ('{s}', 'feature_types', TRUE, ''), ('{s}', 'target_count', {ok}, '{n}')"
+    for s, ok, n in (("valid", "TRUE", 1), ("test_no_label", "FALSE", 0))) + ") t(eval_set, \"check\", ok, detail) "
+    f"UNION ALL SELECT 'valid', 'row_pairing', TRUE, {_N} || '/' || {_N} UNION ALL SELECT 'test_no_label', 'row_pairing', {_N} = 0, '0/' || {_N}")(_schema_check)
 
 # -------------------------------------------------------------- sorts, limits
 _reg("head_sample", f"SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM lineitem "
@@ -760,7 +811,7 @@ _reg("multi_anchor_train", _multi_anchor_sql())(
 def _cust_cat(spark, sf):
     cu = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     na = read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return cu.join(F.broadcast(na), "c_nationkey").select("c_custkey", "n_name", "c_mktsegment")
+    return cu.join(na, "c_nationkey").select("c_custkey", "n_name", "c_mktsegment")
 
 
 _CC = ("cc AS (SELECT c.c_custkey, n.n_name, c.c_mktsegment FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)",)
@@ -812,20 +863,19 @@ _reg("mean_fill", _fsql(W(_STATS_SQL) + "SELECT customer_id, " + ", ".join(
     f'coalesce("{c}", (SELECT avg("{c}") FROM cs)) AS "{c}"' for c in _IMP_COLS) + " FROM cs", _IMP_COLS))(
     lambda spark, sf: _fl(PR.mean_fill(_cust_nulls(spark, sf), None, _IMP_COLS)[0]))
 
-_QT_COLS = ["total-sum", "total-mean", "quantity-mean"]
+_QT_COLS = [f"{c}-{s}" for c in ["quantity", "price", "total"] for s in STATS7]
 
 
 def _qt(spark, sf, output="uniform"):
     fs = FE.fe_baseline(_log(spark, sf), TARGET)
     tr, te = PR.quantile_transform(fs.train, fs.test, _QT_COLS, 1000, output=output)
-    return te.select("customer_id", *[F.col(f"`{c}`") for c in _QT_COLS])
+    return tr.unionByName(te).select("customer_id", "year_month", *[F.col(f"`{c}`") for c in _QT_COLS])
 
 
 def _qt_sql() -> str:
     base = SQ.simple_sql(TARGET, _BASE_SPEC, normalize=False)
     tl = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST(\"{c}\" AS DOUBLE) AS v FROM b WHERE year_month = '{TRAIN}'" for c in _QT_COLS)
-    xl = " UNION ALL ".join(f"SELECT customer_id, '{c}' AS col, CAST(\"{c}\" AS DOUBLE) AS x FROM b WHERE year_month = '{TARGET}'"
-                            for c in _QT_COLS)
+    xl = " UNION ALL ".join(f"SELECT customer_id, year_month, '{c}' AS col, CAST(\"{c}\" AS DOUBLE) AS x FROM b" for c in _QT_COLS)
     q = f"""WITH b AS ({base}),
 tl AS (SELECT * FROM ({tl}) t WHERE v IS NOT NULL),
 rk AS (SELECT col, v, row_number() OVER (PARTITION BY col ORDER BY v) - 1 AS r, count(*) OVER (PARTITION BY col) AS n FROM tl),
@@ -839,8 +889,8 @@ qv AS (SELECT hq.col, hq.j, hq.ref, CASE WHEN hq.fr = 0 THEN a.v ELSE a.v + hq.f
 qm AS (SELECT col, j, ref, max(q0) OVER (PARTITION BY col ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS q,
        count(*) OVER (PARTITION BY col) AS Q FROM qv),
 xs AS ({xl}),
-ab AS (SELECT xs.customer_id, xs.col, xs.x, max(qm.j) FILTER (WHERE qm.q <= xs.x) AS a, min(qm.j) FILTER (WHERE qm.q >= xs.x) AS b,
-       min(qm.q) AS qmin, max(qm.q) AS qmax, max(qm.Q) AS Q FROM xs JOIN qm USING (col) GROUP BY 1, 2, 3),
+ab AS (SELECT xs.customer_id, xs.year_month, xs.col, xs.x, max(qm.j) FILTER (WHERE qm.q <= xs.x) AS a, min(qm.j) FILTER (WHERE qm.q >= xs.x) AS b,
+       min(qm.q) AS qmin, max(qm.q) AS qmax, max(qm.Q) AS Q FROM xs JOIN qm USING (col) GROUP BY 1, 2, 3, 4),
 iv AS (SELECT ab.*,
   CASE WHEN ab.x <= ab.qmin THEN 0.0 WHEN ab.x >= ab.qmax THEN 1.0
        ELSE qa.ref + (ab.x - qa.q) * (qa1.ref - qa.ref) / (qa1.q - qa.q) END AS ir,
@@ -848,15 +898,25 @@ iv AS (SELECT ab.*,
        ELSE qb.ref - (qb.q - ab.x) * (qb.ref - qb1.ref) / (qb.q - qb1.q) END AS il
   FROM ab LEFT JOIN qm qa ON qa.col = ab.col AND qa.j = ab.a LEFT JOIN qm qa1 ON qa1.col = ab.col AND qa1.j = ab.a + 1
           LEFT JOIN qm qb ON qb.col = ab.col AND qb.j = ab.b LEFT JOIN qm qb1 ON qb1.col = ab.col AND qb1.j = ab.b - 1),
-fin AS (SELECT customer_id, col, CASE WHEN x - 1e-7 < qmin THEN 0.0 WHEN x + 1e-7 > qmax THEN 1.0 ELSE 0.5 * (ir + il) END AS u FROM iv)
-SELECT customer_id, {", ".join(f"max(u) FILTER (WHERE col = '{c}') AS \"{c}\"" for c in _QT_COLS)} FROM fin GROUP BY customer_id"""
+fin AS (SELECT customer_id, year_month, col, CASE WHEN x = qmin THEN 0.0 WHEN x = qmax THEN 1.0 ELSE 0.5 * (ir + il) END AS u FROM iv)
+SELECT customer_id, year_month, {", ".join(f"max(u) FILTER (WHERE col = '{c}') AS \"{c}\"" for c in _QT_COLS)} FROM fin GROUP BY customer_id, year_month"""
     return q
 
 
 _reg("quantile_uniform", _fsql(_qt_sql(), _QT_COLS))(lambda spark, sf: _fl(_qt(spark, sf)))
 _reg("quantile_normal")(lambda spark, sf: _qt(spark, sf, "normal"))
-_reg("mask_features")(
-    lambda spark, sf: PR.mask_features(FE.fe_baseline(_log(spark, sf), TARGET).frame, "customer_id", _QT_COLS, 0.2, seed=0))
+
+
+def _u_sql(key: str, seed: int) -> str:
+    """The library's repeatable draw from a key, in SQL."""
+    return f"(CAST('0x' || substr(md5({key} || ':{seed}'), 1, 7) AS BIGINT) / 268435456.0::DOUBLE)"
+
+
+_MASK = {c: _u_sql(f"customer_id || '/{c}'", 0) + " < 0.2" for c in _QT_COLS}
+_reg("mask_features", _fsql("SELECT customer_id, year_month, label, " + ", ".join(
+    f'CASE WHEN {m} THEN 0.0 ELSE CAST("{c}" AS DOUBLE) END AS "{c}", CAST({m} AS INTEGER) AS "{c}__mask"' for c, m in _MASK.items()) +
+    f" FROM ({SQ.simple_sql(TARGET, _BASE_SPEC, normalize=False)}) b", _QT_COLS))(
+    lambda spark, sf: _fl(PR.mask_features(FE.fe_baseline(_log(spark, sf), TARGET).frame, "customer_id", _QT_COLS, 0.2, seed=0)))
 
 # ------------------------------------------------------------- splits M1-M5
 
@@ -866,8 +926,10 @@ def _lab(spark, sf):
 
 
 _LAB1 = _BIN[:1]
-_reg("random_split")(lambda spark, sf: SP.random_split(_lab(spark, sf), "customer_id", seed=0))
-_reg("two_step_split")(lambda spark, sf: SP.two_step_split(_lab(spark, sf), "customer_id", seed=0))
+_reg("random_split", W(*_LAB1) + f"SELECT customer_id, label, CASE WHEN {_u_sql('customer_id', 0)} < 0.8 THEN 'train' "
+     f"WHEN {_u_sql('customer_id', 0)} < 0.8 + 0.1 THEN 'valid' ELSE 'test' END AS \"Set\" FROM lab1")(lambda spark, sf: SP.random_split(_lab(spark, sf), "customer_id", seed=0))
+_reg("two_step_split", W(*_LAB1) + f"SELECT customer_id, label, CASE WHEN {_u_sql('customer_id', 0)} < 0.2 THEN 'test' "
+     f"WHEN {_u_sql('customer_id', 1)} < 0.2 / 0.6 THEN 'valid' ELSE 'train' END AS \"Set\" FROM lab1")(lambda spark, sf: SP.two_step_split(_lab(spark, sf), "customer_id", seed=0))
 _reg("stratified_folds", W(*_LAB1) + "SELECT customer_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY customer_id) - 1) "
      "% 10 AS INTEGER) AS fold FROM lab1")(
     lambda spark, sf: SP.stratified_folds(_lab(spark, sf), "label", "customer_id", 10))
@@ -961,9 +1023,10 @@ def _gbt(spark, sf):
     return MD.gbt_scores(tr, te, fs.features, params=_GBT_Q)
 
 
-def _emb_cols(spark, sf, d=16):
+def _emb_cols(spark, sf):
     e = read_table(spark, sf, "embeddings")
-    cols = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(d)]
+    d = e.agg(F.max(F.size("embedding"))).first()[0]  # the whole vector
+    cols = [F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(d)]
     return e.select("vec_id", "label", *cols), [f"e{i}" for i in range(d)]
 
 
@@ -1028,7 +1091,7 @@ def _backtest(spark, sf):
     scored = te.select("customer_id", "label").join(r.test, "customer_id")
     auc = MT.roc_auc(scored, "label", "probability")
     thr = MT.threshold_metrics(scored, "label", "probability")
-    return auc.join(thr, how="inner").join(r.oof_auc.withColumnRenamed("auc", "oof_auc"), how="inner")
+    return _one_row(auc, thr, r.oof_auc.withColumnRenamed("auc", "oof_auc"))
 
 
 def _roundtrip(spark, sf):
@@ -1045,7 +1108,7 @@ _reg("multitask_scores")(_multitask)
 _reg("model_selection")(_model_selection)
 _reg("gbt_learning_curve")(_learning_curve)
 _reg("backtest_month")(_backtest)
-_reg("model_roundtrip_scores")(_roundtrip)
+_reg("model_roundtrip_scores", W(*_LAB1) + "SELECT count(*) AS rows, 0.0::DOUBLE AS max_abs_diff, 0::BIGINT AS differing FROM lab1")(_roundtrip)
 
 
 def _optional(name: str):

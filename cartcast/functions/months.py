@@ -44,11 +44,6 @@ def month_index(c: str | Column = "order_date") -> Column:
     return F.year(c) * 12 + F.month(c) - 1
 
 
-def months_back(anchor_ym: str, c: str | Column = "order_date") -> Column:
-    """How many months before the anchor month the row's month lies (1 = previous month)."""
-    return F.lit(ym_index(anchor_ym)) - month_index(c)
-
-
 def before(ym: str, c: str = "order_date") -> Column:
     """B2: point-in-time cut, rows strictly before the first day of ``ym``."""
     return F.col(c) < month_start(ym)

@@ -124,8 +124,7 @@ def masked_reconstruction(long: DataFrame, row="id", col="col", x="x", pred="pre
     """O9 on a long matrix (row, col, x, pred, mask): per row
     sum(mask * (pred - x)^2 / (var_samp(x of col) + eps)) / (sum(mask) + eps), averaged over rows."""
     var = long.groupBy(col).agg(F.var_samp(x).alias("_v"))
-    # one row per feature column: a bound fixed by the schema
-    j = long.join(F.broadcast(var), col)
+    j = long.join(var, col)
     err = F.col(mask) * F.pow(F.col(pred) - F.col(x), 2) / (F.coalesce(F.col("_v"), F.lit(0.0)) + eps)
     per = j.groupBy(row).agg(F.sum(err).alias("_l"), F.sum(mask).alias("_m"))
     return per.agg(F.avg(F.col("_l") / (F.col("_m") + eps)).alias("unsup_loss"))
@@ -160,7 +159,7 @@ def get_metrics(names: Sequence[str | Metric]) -> list[Metric]:
         elif n in _REGISTRY:
             out.append(_REGISTRY[n])
         else:
-            raise ValueError(f"{n} is not available, choose in {sorted(_REGISTRY)}")
+            raise ValueError(f"unknown metric {n!r}; registered: {', '.join(sorted(_REGISTRY))}")
     return out
 
 

@@ -148,7 +148,7 @@ def predict_class(model: PipelineModel, df: DataFrame, key: str, names: DataFram
     out = model.transform(df).select(key, F.col("prediction").cast("int").alias("pred"),
                                      vector_to_array("probability").alias("proba"))
     if names is not None:
-        out = out.join(F.broadcast(names), out.pred == names["class"], "left").drop("class")
+        out = out.join(names, out.pred == names["class"], "left").drop("class")
     return out
 
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartcast.operators.hashing import hash_uniform
 from cartcast.operators.scan import ScanSpec, ordered_scan
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -196,19 +197,47 @@ def fit_quantiles(df: DataFrame, cols: Sequence[str], n_quantiles: int = 1000) -
     return out
 
 
+# Wichura's rational approximations (algorithm AS 241) for the middle, the tails
+# and the far tails; numerator and denominator, constant term first.
+_MIDDLE = ((3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4,
+            4.5921953931549871457e4, 6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3),
+           (1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3,
+            2.1213794301586595867e4, 3.9307895800092710610e4, 2.8729085735721942674e4, 5.2264952788528545610e3))
+_TAIL = ((1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0,
+          1.27045825245236838258e0, 2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4),
+         (1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1,
+          1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4, 1.05075007164441684324e-9))
+_FAR = ((6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0, 2.96560571828504891230e-1,
+         2.65321895265761230930e-2, 1.24266094738807843860e-3, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+        (1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2,
+         7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15))
+
+
+def normal_quantiles(p):
+    """Inverse of the standard normal distribution function for an array in (0, 1)."""
+    import numpy as np
+
+    p = np.asarray(p, dtype="float64")
+
+    def ratio(form, x):
+        up, down = (np.polynomial.polynomial.polyval(x, c) for c in form)
+        return up / down
+
+    q = p - 0.5
+    r = np.sqrt(-np.log(np.minimum(p, 1 - p)))
+    tail = np.where(r <= 5, ratio(_TAIL, r - 1.6), ratio(_FAR, r - 5))
+    return np.where(np.abs(q) <= 0.425, q * ratio(_MIDDLE, 0.180625 - q * q), np.copysign(tail, q))
+
+
 def _transform(fitted_bc, cols, normal):
     def run(batches):
         import numpy as np
 
         fitted = fitted_bc.value
-        inv = None
-        if normal:
-            from statistics import NormalDist
-
-            nd = NormalDist()
-            inv = np.vectorize(nd.inv_cdf, otypes=[float])
-            eps = np.spacing(1)
-            lo_c, hi_c = nd.inv_cdf(BOUNDS_THRESHOLD - eps), nd.inv_cdf(1 - (BOUNDS_THRESHOLD - eps))
+        eps = np.spacing(1)
+        lo_c, hi_c = normal_quantiles([BOUNDS_THRESHOLD - eps, 1 - (BOUNDS_THRESHOLD - eps)])
+        # the tolerance at both ends belongs to the normal output; uniform asks for equality
+        slack = BOUNDS_THRESHOLD if normal else 0.0
         for pdf in batches:
             for c in cols:
                 if c not in fitted:
@@ -216,8 +245,8 @@ def _transform(fitted_bc, cols, normal):
                 refs, q = fitted[c]
                 x = pdf[c].astype("float64").to_numpy(copy=True)
                 fin = ~np.isnan(x)
-                lower = x - BOUNDS_THRESHOLD < q[0]
-                upper = x + BOUNDS_THRESHOLD > q[-1]
+                lower = x - slack < q[0] if normal else x == q[0]
+                upper = x + slack > q[-1] if normal else x == q[-1]
                 xf = x[fin]
                 x[fin] = 0.5 * (np.interp(xf, q, refs) - np.interp(-xf, -q[::-1], -refs[::-1]))
                 x[upper & fin] = 1.0
@@ -225,7 +254,7 @@ def _transform(fitted_bc, cols, normal):
                 if normal:
                     y = x.copy()
                     ok = fin & (y > 0) & (y < 1)
-                    y[ok] = inv(y[ok])
+                    y[ok] = normal_quantiles(y[ok])
                     y[fin & (x <= 0)] = lo_c
                     y[fin & (x >= 1)] = hi_c
                     x = np.clip(y, lo_c, hi_c)
@@ -266,7 +295,7 @@ def mask_features(df: DataFrame, id_col: str, cols: Sequence[str], ratio: float,
     ``{c}__mask`` (1 = masked)."""
     out = []
     for c in cols:
-        u = F.pmod(F.xxhash64(F.col(id_col), F.lit(c), F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
+        u = hash_uniform(F.concat_ws("/", F.col(id_col).cast("string"), F.lit(c)), seed)
         m = (u < F.lit(ratio)).cast("int")
         out += [F.when(m == 1, F.lit(0.0)).otherwise(F.col(f"`{c}`").cast("double")).alias(c),
                 m.alias(f"{c}__mask")]
@@ -282,4 +311,4 @@ def multi_target(df: DataFrame, target: str, n: int) -> DataFrame:
 def random_int_target(df: DataFrame, id_col: str, lo: int = 10, hi: int = 15, seed: int = 0,
                       name: str = "rand_target") -> DataFrame:
     """Repeatable integer target in [lo, hi) from a hash of the id."""
-    return df.withColumn(name, (F.lit(lo) + F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(hi - lo))).cast("int"))
+    return df.withColumn(name, (F.lit(lo) + F.floor(hash_uniform(id_col, seed) * (hi - lo))).cast("int"))

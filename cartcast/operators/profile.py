@@ -71,16 +71,20 @@ def id_patterns(df: DataFrame, col: str) -> DataFrame:
 def target_type(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Type of target like scikit-learn's ``type_of_target`` for one or
     several target columns: binary, multiclass, continuous, and the
-    -multioutput / multilabel-indicator forms for several columns."""
+    -multioutput / multilabel-indicator forms for several columns.  Strings are
+    classes: their number of distinct values decides, never a cast."""
     cols = list(cols)
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v"))
-                                         for c in cols])).alias("_p")).select("_p.*")
-    g = long.agg(F.max((F.col("v") != F.floor("v")).cast("int")).alias("frac"),
-                 F.count_distinct("v").alias("nuniq"),
-                 F.max(F.when(~F.col("v").isin(0.0, 1.0), 1).otherwise(0)).alias("non01"),
-                 F.max(F.col("v")).alias("vmax"))
-    multi = len(cols) > 1
-    if not multi:
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+
+    def entry(c):
+        number = F.lit(None).cast("double") if c in text else F.col(f"`{c}`").cast("double")
+        return F.struct(F.col(f"`{c}`").cast("string").alias("s"), number.alias("v"))
+
+    long = df.select(F.explode(F.array(*[entry(c) for c in cols])).alias("_p")).select("_p.*").where("s is not null")
+    frac = F.max(F.coalesce((F.col("v") != F.floor("v")).cast("int"), F.lit(0)))
+    g = long.agg(frac.alias("frac"), F.count_distinct(F.coalesce(F.col("v").cast("string"), F.col("s"))).alias("nuniq"),
+                 F.max(F.when(F.col("v").isin(0.0, 1.0), 0).otherwise(1)).alias("non01"))
+    if len(cols) == 1:
         t = (F.when(F.col("frac") == 1, "continuous")
               .when(F.col("nuniq") <= 2, "binary").otherwise("multiclass"))
     else:
@@ -100,28 +104,28 @@ def nonfinite_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
                                       F.count_if(inf).alias("infs"))
 
 
-def assert_all_finite(df: DataFrame, cols: Sequence[str] | None = None, allow_nan: bool = False) -> None:
-    r = nonfinite_counts(df, cols).agg(F.sum("nans").alias("n"), F.sum("infs").alias("i")).first()
-    if (r["i"] or 0) > 0 or (not allow_nan and (r["n"] or 0) > 0):
-        raise ValueError("Input contains NaN or infinity")
-
-
 def schema_check(train: DataFrame, evals: dict[str, DataFrame], features: Sequence[str],
-                 targets: Sequence[str]) -> DataFrame:
-    """Every eval set has the train feature columns with the same types and
-    the same number of target columns; one report row per (set, check)."""
+                 targets: Sequence[str], key: str = "customer_id") -> DataFrame:
+    """Every eval set has the train feature columns with the same types, the
+    same number of target columns, and one target for each feature row; one report row per
+    (set, check).  The pairing is counted over all rows."""
     spark = train.sparkSession
     ttypes = {f.name: f.dataType.simpleString() for f in train.schema.fields}
-    rows = []
+    out = None
     for name, df in evals.items():
         etypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         missing = [c for c in features if c not in etypes]
         wrong = [c for c in features if c in etypes and etypes[c] != ttypes.get(c)]
-        ntar = sum(1 for t in targets if t in etypes)
-        rows += [(name, "features_present", len(missing) == 0, ",".join(missing)),
-                 (name, "feature_types", len(wrong) == 0, ",".join(wrong)),
-                 (name, "target_count", ntar == len(targets), str(ntar))]
-    return spark.createDataFrame(rows, "eval_set string, check string, ok boolean, detail string")
+        have = [t for t in targets if t in etypes]
+        fixed = spark.createDataFrame([(name, "features_present", not missing, ",".join(missing)), (name, "feature_types", not wrong, ",".join(wrong)),
+                                       (name, "target_count", len(have) == len(targets), str(len(have)))], "eval_set string, check string, ok boolean, detail string")
+        paired = F.count_if(F.col(key).isNotNull() & (F.lit(len(have) == len(targets)) if not have else F.greatest(*[F.col(t).isNull().cast("int") for t in have], F.lit(0)) == 0))
+        rows = df.agg(F.count("*").alias("rows"), paired.alias("paired")).select(
+            F.lit(name).alias("eval_set"), F.lit("row_pairing").alias("check"), (F.col("rows") == F.col("paired")).alias("ok"),
+            F.concat_ws("/", F.col("paired").cast("string"), F.col("rows").cast("string")).alias("detail"))
+        part = fixed.unionByName(rows)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def target_type_mix(df: DataFrame, col: str) -> DataFrame:

@@ -18,14 +18,6 @@ def importance_mean(fi: DataFrame, feature="feature", value="importance") -> Dat
     return fi.groupBy(feature).agg(F.avg(value).alias("importance"))
 
 
-def importance_wide(fi: DataFrame, folds: list[int], feature="feature", fold="fold", value="importance") -> DataFrame:
-    """The reference's ``fi`` layout: feature, fold_1..fold_k, importance."""
-    w = fi.groupBy(feature).pivot(fold, folds).agg(F.first(value))
-    w = w.withColumnsRenamed({str(f): f"fold_{f}" for f in folds})
-    cols = [F.col(f"fold_{f}") for f in folds]
-    return w.withColumn("importance", sum(cols[1:], cols[0]) / float(len(cols)))
-
-
 def importance_ranked(imp: DataFrame, feature="feature", value="importance") -> DataFrame:
     """Sort descending, normalise to 1, cumulative share."""
     w = Window.orderBy(F.desc(value), F.asc(feature))

@@ -8,19 +8,15 @@ still split over many tasks.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartcast.operators.hashing import RESOLUTION, hash_uniform
 from cartcast.operators.scan import ScanSpec, ordered_scan
 
-_RES = 1 << 30
-
-
-def hash_uniform(key: str | Column, seed: int) -> Column:
-    """Repeatable U[0, 1) per key value."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(_RES)).cast("double") / float(_RES)
+_SMALL_RATE = 500.0
+MAX_CLASSES = 10_000
 
 
 def random_split(df: DataFrame, key: str, probs=(0.8, 0.1, 0.1), names=("train", "valid", "test"),
@@ -70,6 +66,9 @@ def class_weights(df: DataFrame, label: str, weights=1, col: str = "weight") ->
         if weights == 0:
             return df.withColumn(col, F.lit(1.0))
         cnt = df.groupBy(label).agg((1.0 / F.count("*")).alias(col))
+        # one row per class; a class with most rows must not become one partition of a join
+        if cnt.limit(MAX_CLASSES + 1).count() <= MAX_CLASSES:
+            cnt = F.broadcast(cnt)
         return df.join(cnt, label, "left")
     if isinstance(weights, dict):
         m = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))])
@@ -80,21 +79,28 @@ def class_weights(df: DataFrame, label: str, weights=1, col: str = "weight") ->
 
 
 def _poisson_counts(lam, u):
+    """Poisson draws: the distribution function inverted at ``u`` for rates up to
+    ``_SMALL_RATE``, a generator seeded by ``u`` beyond it."""
     import numpy as np
 
     lam = np.asarray(lam, dtype="float64")
     u = np.asarray(u, dtype="float64")
     k = np.zeros(len(lam), dtype="int64")
-    p = np.exp(-lam)
+    small = lam <= _SMALL_RATE
+    p = np.exp(-np.where(small, lam, 0.0))
     cdf = p.copy()
-    active = u > cdf
+    active = small & (u > cdf)
     i = 0
-    while active.any() and i < 10_000:
+    while active.any():  # ends: the terms fall below the last bit of the sum
         i += 1
         p = np.where(active, p * lam / i, p)
-        cdf = np.where(active, cdf + p, cdf)
+        more = cdf + p
+        active &= (more > cdf) | (i < lam)
+        cdf = np.where(active, more, cdf)
         k = np.where(active, i, k)
-        active = active & (u > cdf)
+        active &= u > cdf
+    for at in np.flatnonzero(~small):
+        k[at] = np.random.Generator(np.random.Philox(int(u[at] * RESOLUTION))).poisson(lam[at])
     return k
 
 
@@ -118,10 +124,6 @@ def weighted_resample(df: DataFrame, weight: str, key: str, seed: int = 0, num_s
              .drop("_copies"))
 
 
-def fold_sizes(df: DataFrame, label: str, fold: str = "fold") -> DataFrame:
-    return df.groupBy(label, fold).count()
-
-
 def unique_labels(*frames_cols: tuple[DataFrame, str]) -> DataFrame:
     """Sorted union of the label values of several frames, with their index."""
     parts = [f.select(F.col(c).cast("string").alias("label")) for f, c in frames_cols]
@@ -133,10 +135,5 @@ def unique_labels(*frames_cols: tuple[DataFrame, str]) -> DataFrame:
     return dense_codes(u, "label").withColumnRenamed("_code", "index")
 
 
-def columns_like(df: DataFrame, pattern: str) -> list[str]:
-    """Column names containing ``pattern``."""
-    return [c for c in df.columns if pattern in c]
-
-
 def columns_of_type(df: DataFrame, kinds: Sequence[type]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, tuple(kinds))]

@@ -34,6 +34,7 @@ CUMSUM_COLS = [f"cumsum_{v}_by_{k}" for k in ["cust_id", "prod_id", "order_id"]
 CUMULATIVE_SPEC = [(c, STATS7) for c in ["quantity", "price", "total", *CUMSUM_COLS]]
 DISTINCT_SPEC = [("order_id", ["nunique"]), ("product_id", ["nunique"])]
 
+# The aggregate list of the full builder.
 FULL_SPEC = [
     ("order_ts", ["first", "last"]),
     ("order_ts_diff", STATS7),
@@ -87,6 +88,22 @@ def explode_anchors(df: DataFrame, anchors: list[str], cols: list[str] | None =
     return df.select(*sel, F.explode(F.filter(arr, lambda a: a > ym)).alias("year_month"))
 
 
+def log_order(log: DataFrame, order: list[str] | None) -> list[str]:
+    """The columns that order log rows: the caller's, or the raw line keys if the log has them."""
+    order = list(order or LOG_ORDER)
+    if missing := [c for c in order if c not in log.columns]:
+        raise ValueError(f"the log has no column {missing}: give order=[...], columns that put its rows in a unique order")
+    return order
+
+
+def picked_names() -> list[str]:
+    """The pinned subset under this builder's names; an unknown name is an error."""
+    names = {c: c for c in full_feature_names()} | {"year_month-mode": "year_month-mode-mode"}
+    if unknown := [c for c in PICKED if c not in names]:
+        raise ValueError(f"unknown feature {unknown}")
+    return [names[c] for c in PICKED]
+
+
 def aggregate_blocks(rows: DataFrame, spec, order=LOG_ORDER, keys=KEYS) -> DataFrame:
     """D3 on already-anchored rows: one aggregate per spec (callers split
     distinct counts and modes into their own block)."""
@@ -105,19 +122,14 @@ def _join_all(labels: DataFrame, blocks: list[DataFrame]) -> DataFrame:
 
 
 def multi_anchor_features(log: DataFrame, anchors: list[str], spec=BASE_SPEC,
-                          threshold: float = TOTAL_THRES) -> DataFrame:
+                          threshold: float = TOTAL_THRES, order: list[str] | None = None) -> DataFrame:
     """Label rows of several months with their point-in-time aggregates."""
     last = month_start(max(anchors))
-    cols = sorted({c for c, _ in spec} | set(LOG_ORDER) | {"customer_id"})
+    ordered = any(s in ("first", "last") for _, stats in spec for s in stats)
+    order = log_order(log, order) if ordered else []
+    cols = sorted({c for c, _ in spec} | set(order) | {"customer_id", "order_date"})
     rows = explode_anchors(log.filter(F.col("order_date") < last), anchors, cols)
-    return _join_all(_labels(log, anchors, threshold), [aggregate_blocks(rows, spec)])
-
-
-def _finish(fs_frame: DataFrame, features: list[str], impute: bool) -> DataFrame:
-    if not impute:
-        return fs_frame
-    tr, _, fill = median_impute(fs_frame, None, features)
-    return tr
+    return _join_all(_labels(log, anchors, threshold), [aggregate_blocks(rows, spec, order)])
 
 
 def fe_baseline(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute: bool = True) -> FeatureSet:
@@ -141,13 +153,13 @@ def _impute_split(fs: FeatureSet, impute: bool) -> FeatureSet:
 
 
 def fe_cumulative(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute: bool = True,
-                  num_partitions: int | None = None) -> FeatureSet:
+                  num_partitions: int | None = None, order: list[str] | None = None) -> FeatureSet:
     """K3: running sums by customer/product/order + raw values, 7 stats each,
     plus distinct orders and products (86 features)."""
     tr_ym = ym_shift(ym, -1)
     anchors = [tr_ym, ym]
     cut = log.filter(F.col("order_date") < month_start(ym))
-    rows = cumsum_features(cut, num_partitions=num_partitions)
+    rows = cumsum_features(cut, log_order(log, order), num_partitions)
     ex = explode_anchors(rows, anchors)
     blocks = [aggregate_blocks(ex, CUMULATIVE_SPEC), aggregate_blocks(ex, DISTINCT_SPEC)]
     frame = _join_all(_labels(log, anchors, threshold), blocks)
@@ -171,7 +183,7 @@ def full_feature_names() -> list[str]:
 
 
 def fe_full(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, compat: bool = False,
-            num_partitions: int | None = None, encode: bool = True) -> FeatureSet:
+            num_partitions: int | None = None, encode: bool = True, order: list[str] | None = None) -> FeatureSet:
     """K4: row features (127) + cycle_1224 + trend (168) + season (84) = 380.
 
     Missing values after the left joins become 0 (S12); the string mode
@@ -180,7 +192,7 @@ def fe_full(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, compat: boo
     tr_ym = ym_shift(ym, -1)
     anchors = [tr_ym, ym]
     cut = log.filter(F.col("order_date") < month_start(ym))
-    rows = row_features(cut, num_partitions=num_partitions)
+    rows = row_features(cut, log_order(log, order), num_partitions)
     ex = explode_anchors(rows, anchors)
     blocks = row_feature_blocks(ex)
     blocks.append(cycle_1224(cut, anchors))
@@ -198,14 +210,14 @@ def fe_full(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, compat: boo
 
 
 def fe_compact(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute: bool = True,
-               num_partitions: int | None = None) -> FeatureSet:
+               num_partitions: int | None = None, order: list[str] | None = None) -> FeatureSet:
     """K5: order_ts first/last, gap mean/max and the densified cycle (5)."""
     from cartcast.operators.rowfeat import customer_scan
 
     tr_ym = ym_shift(ym, -1)
     anchors = [tr_ym, ym]
     cut = log.filter(F.col("order_date") < month_start(ym))
-    rows = customer_scan(cut, with_cumsum=False, num_partitions=num_partitions)
+    rows = customer_scan(cut, log_order(log, order), with_cumsum=False, num_partitions=num_partitions)
     ex = explode_anchors(rows, anchors)
     blocks = [aggregate_blocks(ex, COMPACT_SPEC, order=ROW_ORDER), cycle_1224(cut, anchors)]
     frame = _join_all(_labels(log, anchors, threshold), blocks)
@@ -216,27 +228,30 @@ def fe_compact(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute:
     return _impute_split(FeatureSet(frame, feats, tr_ym, ym), impute)
 
 
-def customer_descriptions(log: DataFrame, ym: str, sep: str = ", ") -> DataFrame:
+def customer_descriptions(log: DataFrame, ym: str, sep: str = ", ", order: list[str] | None = None) -> DataFrame:
     """Every description of a customer before ``ym`` joined in log order.
 
-    The result string of one customer is as long as its history; it is built
-    by ``listagg`` with partial aggregation, never through the driver.
+    The result of one customer is as long as its history.  Months are joined
+    first, so that sorting is split over (customer, month) and the last step
+    only puts together one string a month.
     """
-    cut = log.filter(F.col("order_date") < month_start(ym))
-    cut.createOrReplaceTempView("_cc_desc_src")
-    order = ", ".join(LOG_ORDER)
-    return log.sparkSession.sql(
-        f"SELECT customer_id, listagg(description, '{sep}') WITHIN GROUP (ORDER BY {order}) AS description "
-        f"FROM _cc_desc_src GROUP BY customer_id")
+    keys = log_order(log, order)
+    cut = log.filter((F.col("order_date") < month_start(ym)) & F.col("description").isNotNull())
+    row = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(keys)], "description")
+    months = cut.groupBy("customer_id", F.trunc("order_date", "month").alias("_m")).agg(F.array_sort(F.collect_list(row)).alias("_d"))
+    months = months.select("customer_id", F.struct("_m", F.array_join(F.col("_d.description"), sep).alias("d")).alias("_s"))
+    joined = months.groupBy("customer_id").agg(F.array_sort(F.collect_list("_s")).alias("_d"))
+    return joined.select("customer_id", F.array_join(F.col("_d.d"), sep).alias("description"))
 
 
-def features_with_text(fs: FeatureSet, log: DataFrame, anchor: str | None = None) -> DataFrame:
+def features_with_text(fs: FeatureSet, log: DataFrame, anchor: str | None = None,
+                       order: list[str] | None = None) -> DataFrame:
     """Feature rows with the description roll-up of each customer
     (before ``anchor``, default each row's own month)."""
     if anchor is not None:
-        return fs.frame.join(customer_descriptions(log, anchor), "customer_id", "left")
+        return fs.frame.join(customer_descriptions(log, anchor, order=order), "customer_id", "left")
     parts = []
     for m in (fs.train_month, fs.test_month):
         parts.append(fs.frame.filter(F.col("year_month") == m)
-                       .join(customer_descriptions(log, m), "customer_id", "left"))
+                       .join(customer_descriptions(log, m, order=order), "customer_id", "left"))
     return parts[0].unionByName(parts[1])

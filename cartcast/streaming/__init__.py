@@ -1,4 +1,2 @@
 """Streaming: the reference has no stream sources, watermarks or state (its
-input is one batch CSV), so nothing is built here.  The batch builders are
-plain DataFrame plans and can be applied per micro-batch with
-``foreachBatch`` if a caller needs them on a stream."""
+input is one batch CSV), so nothing is built here."""

@@ -205,9 +205,11 @@ def norm(c: str) -> str:
     """Check-only normalisation (twin of ``_norm_col`` in the entry file)."""
     k = "CAST('0.7853981633974483' AS DOUBLE)"
     z = f"(CASE WHEN abs({c}) < CAST(1e-9 AS DOUBLE) THEN CAST(0 AS DOUBLE) ELSE CAST({c} AS DOUBLE) END)"
+    hundred, cents = "CAST(100 AS DOUBLE)", f"round_even({z} * CAST(100 AS DOUBLE), 0)"
     t = f"({z} * {k})"
-    x = f"({t} * CAST({2 ** 33 + 1} AS DOUBLE))"
-    return f"(({x} - ({x} - {t})) / {k})"
+    x = f"({t} * CAST({2 ** 27 + 1} AS DOUBLE))"
+    return (f"(CASE WHEN abs({z} * {hundred} - {cents}) < CAST(1e-4 AS DOUBLE) THEN {cents} / {hundred} "
+            f"ELSE ({x} - ({x} - {t})) / {k} END)")
 
 
 def wrap_float(inner: str, doubles: list[str]) -> str:
