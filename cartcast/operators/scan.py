@@ -97,18 +97,18 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
     cut = list({b[0] for b in bounds})
     hit = F.lit(False)
     if cut:
-        last_first = F.struct(*[F.col(f"`{c}`") for c in order])
-        totals = d.where(F.col(key).isin(cut)).groupBy(F.col(key).alias("_ckey"), F.col("_rid").alias("_crid")).agg(
+        # the place within the range as one number keeps the aggregate hash-based
+        totals = d.where(F.col(key).isin(cut)).withColumn("_at", F.row_number().over(w)).groupBy(F.col(key).alias("_ckey"), F.col("_rid").alias("_crid")).agg(
             *[F.sum(_number(c)).alias(f"_c_{o}") for o, c in spec.cumsum.items()],
-            *[F.max_by(F.struct(_number(c).alias("v")), last_first).alias(f"_c_{o}") for o, c in spec.lag.items()],
-            *[F.max_by(match[o], F.when(match[o].isNotNull(), last_first)).alias(f"_c_{o}") for o in match],
+            *[F.max_by(_number(c), F.col("_at")).alias(f"_c_{o}") for o, c in spec.lag.items()],
+            *[F.max_by(match[o], F.when(match[o].isNotNull(), F.col("_at"))).alias(f"_c_{o}") for o in match],
             F.count("*").alias("_n"))
         wk = Window.partitionBy("_ckey").orderBy("_crid")
         earlier = wk.rowsBetween(Window.unboundedPreceding, -1)
         carry = totals.select(
             "_ckey", "_crid", (F.row_number().over(wk) > 1).alias("_hit"),
             *[F.sum(f"_c_{o}").over(earlier).alias(f"_c_{o}") for o in spec.cumsum],
-            *[F.lag(f"_c_{o}").over(wk)["v"].alias(f"_c_{o}") for o in spec.lag],
+            *[F.lag(f"_c_{o}").over(wk).alias(f"_c_{o}") for o in spec.lag],
             *[F.last(f"_c_{o}", ignorenulls=True).over(earlier).alias(f"_c_{o}") for o in match])
         # at most two rows a bound
         rows = rows.join(F.broadcast(carry.where("_hit")), (F.col("_ckey") == F.col(key)) & (F.col("_crid") == F.col("_rid")), "left")

@@ -144,3 +144,34 @@ def test_masked_reconstruction(spark):
     var = X.var(0, ddof=1) + 1e-9
     exp = np.mean(((M * (2.0 - X) ** 2) / var).sum(1) / (M.sum(1) + 1e-9))
     assert got == pytest.approx(exp)
+
+
+def test_poisson_counts_have_the_right_mean():
+    import numpy as np
+
+    from cartcast.operators.split import _poisson_counts
+
+    u = (np.arange(4000) + 0.5) / 4000
+    for rate in (0.1, 3.0, 800.0, 50_000.0):
+        k = _poisson_counts(np.full(4000, rate), u)
+        assert abs(k.mean() - rate) < 6 * (rate / 4000) ** 0.5 + 0.01, rate
+        assert k.max() > rate
+
+
+def test_normal_quantiles_as_the_standard_library():
+    from statistics import NormalDist
+
+    import numpy as np
+
+    from cartcast.operators.prep import normal_quantiles
+
+    p = np.concatenate([10.0 ** -np.arange(1, 300, 7), np.linspace(0.001, 0.999, 999)])
+    assert np.abs(normal_quantiles(p) - [NormalDist().inv_cdf(x) for x in p]).max() < 1e-13
+
+
+def test_target_type_of_strings(spark):
+    from cartcast.operators.profile import target_type
+
+    df = spark.createDataFrame([("a", "x", 1), ("b", "x", 0), ("c", "x", 1)], "three string, one string, n int")
+    assert [target_type(df, [c]).first()[1] for c in ("three", "one", "n")] == ["multiclass", "binary", "binary"]
+    assert target_type(df, ["three", "n"]).first()[1] == "multiclass-multioutput"

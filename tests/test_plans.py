@@ -33,9 +33,33 @@ def test_row_feature_blocks_are_hash_aggregates(spark):
     assert "SortAggregate" not in p and "HashAggregate" in p
 
 
-def test_scan_never_windows_by_key(spark):
+def test_scan_windows_by_range_and_key(spark):
+    """Running values come from windows over (range, key), never over the possibly hot key alone, except
+    among the carried totals (at most two rows a bound)."""
     log = transactions(spark, SF001, description=False, country=False)
     p = _plan(customer_scan(log, num_partitions=4))
-    # the running values come from the range-partitioned Arrow pass, not a
-    # Window partitioned by the (possibly hot) key
-    assert "Window [" not in p or "customer_id" not in p.split("Window [")[1].split("\n")[0]
+    windows = [x for x in p.split("\n") if "Window [" in x]
+    assert windows and all("[_rid" in x or "[_ckey" in x for x in windows)
+    assert "ArrowEval" not in p and "MapInArrow" not in p
+
+
+def test_full_builder_has_no_python_or_sort_aggregate_in_row_features(spark):
+    log = transactions(spark, SF001, description=False, country=False)
+    p = _plan(FE.aggregate_blocks(FE.explode_anchors(customer_scan(log), ["2001-07"]), FE.COMPACT_SPEC, order=FE.ROW_ORDER))
+    assert "SortAggregate" not in p
+
+
+def test_no_cross_join_in_one_row_results(spark):
+    import __spark_entry__ as E
+
+    assert "CartesianProduct" not in _plan(E.queries()["eval_join"](spark, SF001))
+    assert "BroadcastNestedLoopJoin" not in _plan(E.queries()["eval_join"](spark, SF001))
+
+
+def test_builders_ask_for_an_order(spark):
+    import pytest
+
+    log = transactions(spark, SF001).select("order_id", "product_id", "quantity", "order_date", "price", "customer_id", "total")
+    with pytest.raises(ValueError, match="order"):
+        FE.fe_compact(log, "2001-07")
+    assert FE.fe_baseline(log, "2001-07").frame.count() > 0
