@@ -91,7 +91,7 @@ def schedule(goal: DataFrame, slots: int) -> DataFrame:
     before = Window.partitionBy("place").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("place", "c", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     rank = F.row_number().over(Window.partitionBy("place", "c").orderBy("slot")) - 1
-    return taken.withColumn("own", rank).join(starts, ["place", "c"]).select("slot", "place", (F.col("start") + F.col("own")).alias("rank"))
+    return taken.withColumn("own", rank).join(starts.hint("merge"), ["place", "c"]).select("slot", "place", (F.col("start") + F.col("own")).alias("rank"))
 
 
 def stream(rows: DataFrame, passes: int = MOST) -> DataFrame:
@@ -126,7 +126,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", col: str = "text", source: str
     lo = F.greatest("start", F.col("block") * block)
     pieces = pieces.select("id", "source", "copy", "size", "place", "pass", "block", lo.alias("at"), (lo - F.col("start")).alias("first"),
                            (F.least(F.col("stop"), (F.col("block") + 1) * block) - lo).alias("words"))
-    pieces = pieces.join(slots.withColumnRenamed("rank", "block"), ["place", "block"])
+    # the planner can't see how many slots unfold from the few sources, so it must not broadcast them
+    pieces = pieces.join(slots.withColumnRenamed("rank", "block").hint("merge"), ["place", "block"])
     key = ["id", "source", "copy", "size", "place", "source_size", "target"]
     words = pieces.groupBy("id", "source", "copy", "size", "place").agg(F.sum("words").alias("words"))
     # one row of each is there with no words, so that documents which aren't taken stay
