@@ -1004,7 +1004,7 @@ _reg("fold_auc", _fsql(W(*_BIN, "fb AS (SELECT *, CAST((row_number() OVER (PARTI
 # ------------------------------------------------------ models N1-N14, A7
 from cartcast.operators import model as MD  # noqa: E402
 
-_GBT_Q = MD.GBTParams(max_iter=40)
+_GBT_Q = MD.GBTParams(max_iter=40, patience=10)
 
 
 def _compact(spark, sf, ym=TARGET):
@@ -1084,10 +1084,34 @@ def _learning_curve(spark, sf):
     return MD.learning_curve(tr, fs.features, params=MD.GBTParams(max_iter=30, early_stop=False))
 
 
+def _full_scaled(spark, sf, ym=TARGET):
+    """The full builder with every feature mapped through its train quantiles."""
+    fs = FE.fe_full(_log(spark, sf), ym)
+    tr, te = PR.quantile_transform(fs.train, fs.test, fs.features, 1000)
+    return fs, tr, te
+
+
+def _submission_run(spark, sf):
+    fs, tr, te = _full_scaled(spark, sf)
+    return te, MD.oof_predictions(tr, te, fs.features, folds=10, params=MD.GBTParams(max_iter=20, patience=5))
+
+
+def _pipeline_submission(spark, sf):
+    # full features -> quantiles of all -> 10-fold out-of-fold models -> submission
+    te, r = _submission_run(spark, sf)
+    return IO.submission(te, r.test)
+
+
+def _model_importance(spark, sf):
+    fs, tr, te = _compact(spark, sf)
+    r = MD.oof_predictions(tr, te, fs.features, folds=5, params=_GBT_Q)
+    return RP.importance_ranked(RP.importance_mean(r.importance))
+
+
 def _backtest(spark, sf):
     # Build at the previous month, score it and compare with its known labels
-    fs, tr, te = _compact(spark, sf, TRAIN)
-    r = MD.oof_predictions(tr, te, fs.features, folds=5, params=MD.GBTParams(max_iter=20))
+    fs, tr, te = _full_scaled(spark, sf, TRAIN)
+    r = MD.oof_predictions(tr, te, fs.features, folds=5, params=MD.GBTParams(max_iter=20, patience=5))
     scored = te.select("customer_id", "label").join(r.test, "customer_id")
     auc = MT.roc_auc(scored, "label", "probability")
     thr = MT.threshold_metrics(scored, "label", "probability")
@@ -1108,6 +1132,8 @@ _reg("multitask_scores")(_multitask)
 _reg("model_selection")(_model_selection)
 _reg("gbt_learning_curve")(_learning_curve)
 _reg("backtest_month")(_backtest)
+_reg("pipeline_submission")(_pipeline_submission)
+_reg("model_importance")(_model_importance)
 _reg("model_roundtrip_scores", W(*_LAB1) + "SELECT count(*) AS rows, 0.0::DOUBLE AS max_abs_diff, 0::BIGINT AS differing FROM lab1")(_roundtrip)
 
 

@@ -35,22 +35,43 @@ class GBTParams:
     """Boosting set-up mirroring the reference's LightGBM parameters."""
 
     max_iter: int = 100            # reference: 10,000 trees with early stop after 100
+    patience: int = 100            # rounds without a better validation loss before the stop
     step_size: float = 0.1
     max_depth: int = 5
     subsampling_rate: float = 0.8  # bagging_fraction
     feature_subset: str = "0.8"    # feature_fraction
-    validation_tol: float = 0.01
     early_stop: bool = True
     seed: int = SEED
     extra: dict = field(default_factory=dict)
 
-    def classifier(self, features="features", label="label", valid_col: str | None = None) -> GBTClassifier:
-        kw = dict(featuresCol=features, labelCol=label, maxIter=self.max_iter, stepSize=self.step_size,
-                  maxDepth=self.max_depth, subsamplingRate=self.subsampling_rate,
-                  featureSubsetStrategy=self.feature_subset, seed=self.seed, **self.extra)
-        if valid_col and self.early_stop:
-            kw.update(validationIndicatorCol=valid_col, validationTol=self.validation_tol)
-        return GBTClassifier(**kw)
+    def classifier(self, features="features", label="label", trees: int | None = None) -> GBTClassifier:
+        return GBTClassifier(featuresCol=features, labelCol=label, maxIter=trees or self.max_iter, stepSize=self.step_size,
+                             maxDepth=self.max_depth, subsamplingRate=self.subsampling_rate,
+                             featureSubsetStrategy=self.feature_subset, seed=self.seed, **self.extra)
+
+
+def best_iteration(losses: Sequence[float], patience: int) -> int:
+    """Trees up to the lowest loss, looking no further than ``patience`` rounds past it."""
+    best = 0
+    for i, v in enumerate(losses):
+        if v < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_boosted(frame: DataFrame, params: GBTParams, label: str = "label", valid_col: str | None = None):
+    """Boost up to the limit on the rows outside the validation share, find the best
+    iteration on that share, and keep only the trees up to it (boosting with the
+    same seed makes the same first trees)."""
+    if not (valid_col and params.early_stop):
+        return params.classifier(label=label).fit(frame)
+    fit_df = frame.where(~F.col(valid_col))
+    model = params.classifier(label=label).fit(fit_df)
+    losses = model.evaluateEachIteration(frame.where(F.col(valid_col)))  # one value per tree: bounded by max_iter
+    n = best_iteration(losses, params.patience)
+    return model if n == len(losses) else params.classifier(label=label, trees=n).fit(fit_df)
 
 
 def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
@@ -88,8 +109,7 @@ def oof_predictions(train: DataFrame, test: DataFrame, features: Sequence[str],
 
     def fit(i: int):
         fr = tr.withColumn("_valid", F.col("fold") == i)
-        model = params.classifier(label=label, valid_col="_valid").fit(fr)
-        return i, model
+        return i, fit_boosted(fr, params, label, "_valid")
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
         models = dict(ex.map(fit, range(folds)))
@@ -120,7 +140,7 @@ def gbt_scores(train: DataFrame, test: DataFrame, features: Sequence[str], key="
     va = assembler(features)
     fr = va.transform(train.withColumn(label, F.col(label).cast("double")))
     fr = fr.withColumn("_valid", (F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1000)) < valid_frac * 1000))
-    m = params.classifier(label=label, valid_col="_valid").fit(fr)
+    m = fit_boosted(fr, params, label, "_valid")
     return m.transform(va.transform(test)).select(key, p1().alias("probability"))
 
 
@@ -136,7 +156,7 @@ def learning_curve(train: DataFrame, features: Sequence[str], key="customer_id",
     p = GBTParams(**{**params.__dict__, "early_stop": False})
     m = p.classifier(label=label).fit(fit_df)
     losses = m.evaluateEachIteration(val_df)  # one value per tree: bounded by max_iter
-    best = min(range(len(losses)), key=lambda i: losses[i])
+    best = best_iteration(losses, params.patience) - 1
     spark = train.sparkSession
     return spark.createDataFrame([(i + 1, float(v), i == best) for i, v in enumerate(losses)],
                                  "iteration int, valid_logloss double, best boolean")
@@ -192,7 +212,7 @@ def model_selection(train: DataFrame, features: Sequence[str], label: str = "lab
     by k-fold cross-validated AUC; the best is flagged."""
     va = assembler(features)
     fr = va.transform(train.withColumn(label, F.col(label).cast("double"))).select("features", label)
-    fr = fr.persist(StorageLevel.MEMORY_AND_DISK)
+    fr = fr.persist(StorageLevel.MEMORY_AND_DISK)  # released below, once the scores are known
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     cands = {
         "logistic_regression": LogisticRegression(labelCol=label, maxIter=50),
@@ -205,6 +225,7 @@ def model_selection(train: DataFrame, features: Sequence[str], label: str = "lab
                             numFolds=folds, seed=SEED, parallelism=2)
         m = cv.fit(fr)
         rows.append((name, float(m.avgMetrics[0])))
+    fr.unpersist()
     best = max(rows, key=lambda r: r[1])[0]
     return train.sparkSession.createDataFrame([(n, a, n == best) for n, a in rows],
                                               "model string, cv_auc double, best boolean")
