@@ -68,10 +68,13 @@ def _norm_sql(c: str) -> str:
 
 def _fl(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Normalise double columns (all, or ``cols``) for the value hash."""
-    def hit(f):
-        return isinstance(f.dataType, T.DoubleType) and (cols is None or f.name in cols)
-    return df.select(*[_norm_col(F.col(f"`{f.name}`")).alias(f.name)
-                       if hit(f) else F.col(f"`{f.name}`") for f in df.schema.fields])
+    hit = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType) and (cols is None or f.name in cols)]
+    if len(hit) < 3:
+        return df.withColumns({c: _norm_col(F.col(f"`{c}`")) for c in hit})
+    # one function over an array: hundreds of copies of it would be too much code for one method
+    values = F.transform(F.array(*[F.col(f"`{c}`") for c in hit]), _norm_col)
+    at = {c: F.get("_norm", F.lit(i)).alias(c) for i, c in enumerate(hit)}
+    return df.withColumn("_norm", values).select(*[at.get(c, F.col(f"`{c}`")) for c in df.columns])
 
 
 def _fsql(inner: str, doubles: list[str]) -> str:
