@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartcast.llm.common import kept, text_or_empty
+from cartcast.llm.words import word_hashes
 
 STATES = 8
 FREQUENT = 32_768       # fits two bytes with the two other classes
@@ -46,53 +47,57 @@ def held_out(col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def words(text: str) -> list[bytes]:
-    return text.encode().lower().split()  # on bytes: ASCII case and the six ASCII spaces only
-
-
 def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _key(text: str) -> int:
+    import xxhash
+
+    return _signed(xxhash.xxh3_64_intdigest(text))
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(h, c): how often each word occurs."""
     import pyarrow as pa
 
     def run(batches):
-        from collections import Counter
-
-        import xxhash
+        import numpy as np
 
         def rows():
-            hashes = [_signed(xxhash.xxh3_64_intdigest(w)) for w in seen]
-            return pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["h", "c"])
-
-        seen: Counter = Counter()
-        for rb in batches:
-            for t in rb.column(0).to_pylist():
-                seen.update(words(t))
-                if len(seen) > 300_000:
+            h, at = np.unique(np.concatenate(held), return_inverse=True)
+            c = np.bincount(at, np.concatenate(times), len(h)).astype(np.int64)
+            held.clear()
+            times.clear()
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], names=["h", "c"])
+
+        held: list = []
+        times: list = []
+        n = 0
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                h, c = np.unique(word_hashes(whole.column(0).slice(at, 2048).to_pylist())[0], return_counts=True)
+                held.append(h)
+                times.append(c)
+                n += len(h)
+                if n > 2_000_000:
                     yield rows()
-                    seen.clear()
-        if seen:
+                    n = 0
+        if n:
             yield rows()
 
     return texts.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-class _Classes(dict):
-    """word -> class; starts anew when it is full."""
-
-    def __init__(self, frequent: dict[int, int]):
-        self.frequent = frequent
-
-    def __missing__(self, w: bytes) -> int:
-        import xxhash
+def _class_of(h, frequent):
+    """Classes of word hashes; ``frequent`` has the sorted hashes of the frequent words and their classes."""
+    import numpy as np
 
-        if len(self) >= 300_000:
-            self.clear()
-        k = self[w] = self.frequent.get(_signed(xxhash.xxh3_64_intdigest(w)), RARE)
-        return k
+    keys, classes = frequent
+    if not len(keys):
+        return np.full(len(h), RARE, np.uint16)
+    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+    return np.where(keys[at] == h, classes[at], np.uint16(RARE))
 
 
 def _classes(texts: DataFrame, frequent) -> DataFrame:
@@ -101,21 +106,17 @@ def _classes(texts: DataFrame, frequent) -> DataFrame:
 
     def run(batches):
         import numpy as np
-        import xxhash
 
-        known = _Classes(frequent.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 rb = whole.slice(at, 512)
-                keys, out = [], []
-                for t in rb.column(2).to_pylist():
-                    w = words(t)
-                    c = np.empty(len(w) + 1, np.uint16)
-                    c[:-1] = np.fromiter(map(known.__getitem__, w), np.uint16, len(w))
-                    c[-1] = END
-                    out.append(c.tobytes())
-                    keys.append(_signed(xxhash.xxh3_64_intdigest(t)))
-                yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(keys, pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "held_out", "key", "classes"])
+                strings = rb.column(2).to_pylist()
+                h, stops = word_hashes(strings)
+                c = np.insert(_class_of(h, frequent.value), stops, np.uint16(END))
+                ends = stops + np.arange(1, len(stops) + 1)
+                starts = np.concatenate([[0], ends[:-1]])
+                out = [c[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(list(map(_key, strings)), pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "held_out", "key", "classes"])
 
     return texts.mapInArrow(run, "doc_id long, held_out boolean, key long, classes binary")
 
@@ -126,21 +127,21 @@ def _rare_words(texts: DataFrame, frequent) -> DataFrame:
 
     def run(batches):
         import numpy as np
-        import xxhash
 
-        known = _Classes(frequent.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
-                keys, hashes, counts = [], [], []
-                for t in whole.slice(at, 512).column(2).to_pylist():
-                    rare = [_signed(xxhash.xxh3_64_intdigest(w)) for w in words(t) if known[w] == RARE]
-                    if rare:
-                        h, n = np.unique(np.array(rare, np.int64), return_counts=True)
-                        hashes.append(h)
-                        counts.append(n.astype(np.int32))
-                        keys.append(np.full(len(h), _signed(xxhash.xxh3_64_intdigest(t))))
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, hashes, counts)], names=["key", "h", "n"])
+                strings = whole.column(2).slice(at, 512).to_pylist()
+                h, stops = word_hashes(strings)
+                text = np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0))
+                rare = _class_of(h, frequent.value) == RARE
+                h, text = h[rare].view(np.int64), text[rare]
+                if len(h):
+                    order = np.lexsort((h, text))
+                    h, text = h[order], text[order]
+                    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])]))
+                    n = np.diff(np.concatenate([first, [len(h)]])).astype(np.int32)
+                    keys = np.array([_key(s) for s in strings], np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[text[first]]), pa.array(h[first]), pa.array(n)], names=["key", "h", "n"])
 
     return texts.mapInArrow(run, "key long, h long, n int")
 
@@ -312,7 +313,9 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, frequent
     known = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = known["n"] + n_docs, known["v"] + (n_docs > 0)
     top = [(r["h"], r["c"]) for r in counts.orderBy(F.desc("c"), "h").limit(frequent).collect()]  # bounded by ``frequent``
-    class_of = context.broadcast({h: k + 2 for k, (h, _) in enumerate(top)})
+    hashes = np.array([h for h, _ in top], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    class_of = context.broadcast((hashes[order], (order + 2).astype(np.uint16)))
     rare_words, rare_total = known["v"] - len(top), known["n"] - sum(c for _, c in top)
     rare_mass = rare_total + 0.1 * rare_words + 0.1
     mass = np.array([n_docs + 0.1, rare_mass, *(c + 0.1 for _, c in top)])
