@@ -89,6 +89,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def _commonest(counts: DataFrame, n: int) -> DataFrame:
+    """The commonest words, at most ``n``: all above a count that a histogram gives (64 bins for each
+    doubling, so a bounded table), and by their hash a part of those in the bin at the edge.  No task sorts all words."""
+    level = F.floor(F.log2("c") * 64).cast("int")
+    bins = sorted(((r["b"], r["count"]) for r in counts.groupBy(level.alias("b")).count().collect()), reverse=True)
+    room, edge, share = n, None, 0.0
+    for b, size in bins:
+        if size > room:
+            edge, share = b, max(0.0, (room - 4 * room ** 0.5) / size)
+            break
+        room -= size
+    if edge is None:
+        return counts
+    part = F.shiftrightunsigned(F.xxhash64("h"), 11) < F.lit(int(share * 2**53))
+    return counts.where((level > edge) | ((level == edge) & part))
+
+
 def _class_of(h, frequent):
     """Classes of word hashes; ``frequent`` has the sorted hashes of the frequent words and their classes."""
     import numpy as np
@@ -312,7 +329,8 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, frequent
     n_docs = train.count()
     known = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = known["n"] + n_docs, known["v"] + (n_docs > 0)
-    top = [(r["h"], r["c"]) for r in counts.orderBy(F.desc("c"), "h").limit(frequent).collect()]  # bounded by ``frequent``
+    top = [(r["h"], r["c"]) for r in _commonest(counts, frequent).collect()]  # bounded by ``frequent``
+    top.sort(key=lambda x: (-x[1], x[0]))
     hashes = np.array([h for h, _ in top], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     class_of = context.broadcast((hashes[order], (order + 2).astype(np.uint16)))
