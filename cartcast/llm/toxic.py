@@ -9,8 +9,8 @@ characters, each worth ``DECAY`` to the power of the length it spans, divided by
 the units' norms; ``\\x02`` and ``\\x03`` mark both ends.  Gaps let ``id.iot`` or
 ``idxiot`` resemble ``idiot``.
 
-Fitting: a bounded sample of labelled rows (``max_toxic`` and ``max_clean``, the
-smallest hashes of the id) is counted by Spark into rows (unit, toxic documents,
+Fitting: a bounded sample of labelled rows (about ``max_toxic`` and ``max_clean`` at most, by a
+hash of the id) is counted by Spark into rows (unit, toxic documents,
 clean documents).  Units that are far commoner in toxic documents are positive
 instances; units of clean documents are negative ones: a bounded hash sample and,
 in ``ROUNDS`` rounds, those that the model so far scores highest among *all* units of the
@@ -291,15 +291,14 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int) -> DataFrame:
-    """Texts and labels of the training part, at most so many of each class."""
+    """Texts and labels of the training part, about so many of each class at most."""
     marked = (labels.where("doc_id is not null and toxic is not null and toxic in (0, 1)")
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     marked = marked.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
-    picked = None
-    for y, most in ((1, max_toxic), (0, max_clean)):
-        part = marked.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        picked = part if picked is None else picked.union(part)
-    # at most max_toxic + max_clean ids
+    sizes = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    share = F.when(F.col("toxic") == 1, min(1.0, max_toxic / max(sizes.get(1, 0), 1))).otherwise(min(1.0, max_clean / max(sizes.get(0, 0), 1)))
+    picked = marked.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 11) < share * 2**53)
+    # about max_toxic + max_clean ids
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("toxic", "text")
 
 
