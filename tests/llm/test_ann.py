@@ -55,7 +55,8 @@ def test_few_rows(spark):
     assert ann.search(df.limit(1), F.col("id") % 50 == 0).collect() == []
 
 
-def test_tree_leads_each_vector_to_one_leaf():
+def test_tree_leads_each_vector_to_one_leaf(monkeypatch):
+    monkeypatch.setattr(ann, "LEAF", 64)
     x = np.array([v for _, v in _rows(2000)])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     t = ann.fit(x)
