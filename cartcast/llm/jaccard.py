@@ -5,7 +5,7 @@ lower case; with fewer words the whole sequence is its one shingle; without word
 the set is empty and linked with nothing).  Two documents link when
 ``100 * |A and B| >= percent * |A or B|``.
 
-1. Shingles are hashed to 64 bits (xxHash of the words, mixed in order).  Equal
+1. Shingles are hashed to 64 bits (of the words' hashes, in order).  Equal
    sets, by a 64-bit digest of the sorted array, are one *class*; the row with its smallest
    id stands for it.  Copies are never paired.
 2. All shingles are counted into ``2**COUNT_BITS`` counters over all documents.  A set is
@@ -13,7 +13,8 @@ the set is empty and linked with nothing).  Two documents link when
    common shingle among the first ``|A| - ceil(t |A|) + 1`` of each, for any
    common order, so the join key of a tile is such a shingle; passages that many
    documents share sort last and rarely become keys.
-3. Only keys that several classes have go on.  First, each key's classes are
+3. Only keys that several classes have go on, and of keys with the very same classes one.
+   First, each key's classes are
    compared with the key's first class (a star: as many pairs as rows), exactly, on sorted
    arrays.  Linked classes form components; keys whose classes are by then all in one
    component are done, as no further link could change a component.  Groups of
@@ -25,7 +26,8 @@ the set is empty and linked with nothing).  Two documents link when
    components must pass the size filter and the bitmap bound: with ``x`` bits set
    in A's bitmap but not in B's, at least ``x`` shingles of A are not in B, so
    ``|A and B| <= min(|A| - x, |B| - y)``.  Bitmaps are as wide as the band needs (folded by halves).
-   Only pairs that pass are intersected exactly.
+   Only pairs that pass are intersected exactly: in a first round each class's most
+   promising pair of a tile, in a second all that still join two components.
 5. Components are found by minimum labels over the links, in written rounds.
 
 No link between different texts is lost; no cap on candidates.  Arrays of
@@ -46,46 +48,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartcast.llm.common import kept, text_or_empty
+from cartcast.llm.words import mix, word_hashes
 
 COUNT_BITS = 20
 #: Rows of a tile that are compared at a time; larger tiles are cut into such blocks.
 BLOCK = 512
-_WIDTHS = [64 << k for k in range(7)]  # bitmap widths, 64 to 4096 bits
+_WIDTHS = [64 << k for k in range(10)]  # bitmap widths, 64 to 32768 bits
 
 
-class _Words(dict):
-    """64-bit hashes of words; starts anew when it is full."""
+#: An odd factor for each place in a shingle.
+_FACTORS = [pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(64)]
 
-    def __missing__(self, w: bytes) -> int:
-        import xxhash
 
-        if len(self) >= 500_000:
-            self.clear()
-        h = self[w] = xxhash.xxh3_64_intdigest(w)
-        return h
-
-
-def _mix(x):
-    import numpy as np
-
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingles(text: str, n: int, known: _Words):
-    """Sorted distinct 64-bit shingle hashes of a text."""
+def shingle_sets(texts: list[str], n: int) -> list:
+    """Sorted distinct 64-bit shingle hashes of each text."""
     import numpy as np
 
-    words = text.encode().lower().split()  # on bytes: ASCII case and the six ASCII spaces only
-    if not words:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    k = min(n, len(w))
-    h = np.full(len(w) - k + 1, k, np.uint64)
-    for j in range(k):
-        h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + w[j:len(w) - k + 1 + j])
-    return np.unique(h)
+    w, stops = word_hashes(texts)
+    starts = np.concatenate([[0], stops[:-1]])
+    out = [None] * len(texts)
+    counts = np.maximum(stops - starts, 0)
+    full = max(len(w) - n + 1, 0)
+    h = w[:full] * np.uint64(_FACTORS[0]) + np.uint64(n)
+    for j in range(1, n):
+        h += w[j:full + j] * np.uint64(_FACTORS[j % 64])
+    h = mix(h)
+    for k, (a, c) in enumerate(zip(starts.tolist(), counts.tolist(), strict=True)):
+        if c >= n:
+            x = h[a:a + c - n + 1].copy()  # windows inside this text
+            x.sort()
+            out[k] = x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) > 1 else x
+        elif c:
+            x = np.uint64(c) + (w[a:a + c] * np.array(_FACTORS[:c], np.uint64)).sum(dtype=np.uint64)
+            out[k] = mix(np.array([x], np.uint64))
+        else:
+            out[k] = np.zeros(0, np.uint64)
+    return out
 
 
 def _slot(h):
@@ -107,18 +105,10 @@ def _bitmap(h, bits: int):
     return np.packbits(out, bitorder="little")
 
 
-def _fold(bitmap: bytes, bits: int):
-    """A narrower bitmap of the same set: the or of its parts."""
-    import numpy as np
-
-    a = np.frombuffer(bitmap, np.uint8)
-    return np.bitwise_or.reduce(a.reshape(-1, bits // 8), axis=0)
-
-
 def _width(band: int, percent: int) -> int:
-    """Bits for the sets of a band: at least four a shingle, within the widths."""
+    """Bits for the sets of a band: at least eight a shingle, within the widths."""
     most = (100 / percent) ** (band + 1)
-    return next((w for w in _WIDTHS if w >= 4 * most), _WIDTHS[-1])
+    return next((w for w in _WIDTHS if w >= 8 * most), _WIDTHS[-1])
 
 
 def _band(size: int, percent: int) -> int:
@@ -132,33 +122,32 @@ def _digest(h) -> int:
     return xxhash.xxh3_64_intdigest(h.tobytes(), seed=len(h)) - (1 << 63)
 
 
-_ROW = "id long, n long, node long, bitmap binary, part int, counts binary"
+_ROW = "id long, n long, node long, part int, counts binary"
 _PARTS = 256
 
 
-def _sets(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per row: size, class (``node``) and bitmap of its set.  Besides, each task adds
+def _sets(texts: DataFrame, n: int) -> DataFrame:
+    """Per row: size and class (``node``) of its set.  Besides, each task adds
     ``_PARTS`` rows with its counters of shingles."""
     import pyarrow as pa
 
     def run(batches):
         import numpy as np
 
-        form = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bitmap", pa.binary()), ("part", pa.int32()), ("counts", pa.binary())])
-        known, total = _Words(), np.zeros(1 << COUNT_BITS, np.int64)
+        form = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+        total = np.zeros(1 << COUNT_BITS, np.int64)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 rb = whole.slice(at, 512)
-                sets = [shingles(t, n, known) for t in rb.column(1).to_pylist()]
+                sets = shingle_sets(rb.column(1).to_pylist(), n)
                 total += np.bincount(_slot(np.concatenate(sets)), minlength=len(total))
-                maps = [_bitmap(h, _width(_band(len(h), percent), percent)).tobytes() if len(h) else None for h in sets]
                 empty = pa.nulls(len(sets))
                 yield pa.RecordBatch.from_arrays([
                     rb.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array([_digest(h) for h in sets], pa.int64()),
-                    pa.array(maps, pa.binary()), empty.cast(pa.int32()), empty.cast(pa.binary())], schema=form)
+                    empty.cast(pa.int32()), empty.cast(pa.binary())], schema=form)
         if total.any():
             none = pa.nulls(_PARTS)
-            yield pa.RecordBatch.from_arrays([*(none.cast(pa.int64()) for _ in range(3)), none.cast(pa.binary()), *_split(total)], schema=form)
+            yield pa.RecordBatch.from_arrays([*(none.cast(pa.int64()) for _ in range(3)), *_split(total)], schema=form)
 
     return texts.mapInArrow(run, _ROW)
 
@@ -214,7 +203,7 @@ def _filter(ids: DataFrame):
 def _spot(ids):
     import numpy as np
 
-    return (_mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+    return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
 
 
 def _in_filter(bits, ids):
@@ -230,14 +219,16 @@ def _keys(texts: DataFrame, counters, n: int, percent: int, live=None) -> DataFr
     def run(batches):
         import numpy as np
 
-        known, rare = _Words(), counters.value
+        rare, done = counters.value, set()
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 keys, nodes, sizes = [], [], []
-                for t in whole.slice(at, 512).column(1).to_pylist():
-                    h = shingles(t, n, known)
-                    if not len(h):
+                for h in shingle_sets(whole.slice(at, 512).column(1).to_pylist(), n):
+                    node = _digest(h)
+                    if not len(h) or node in done:
                         continue
+                    if len(done) < 1_000_000:  # a class once a task; more rows only cost work
+                        done.add(node)
                     k = len(h) - _need(len(h), percent) + 1
                     count = rare[_slot(h)]
                     if k < len(h):  # the k rarest, without sorting the others
@@ -251,7 +242,7 @@ def _keys(texts: DataFrame, counters, n: int, percent: int, live=None) -> DataFr
                         first = first[_in_filter(live.value, first)]
                     if len(first):
                         keys.append(first)
-                        nodes.append(np.full(len(first), _digest(h)))
+                        nodes.append(np.full(len(first), node))
                         sizes.append(np.full(len(first), len(h)))
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, sizes)], names=["key", "node", "n"])
@@ -259,44 +250,97 @@ def _keys(texts: DataFrame, counters, n: int, percent: int, live=None) -> DataFr
     return texts.select("id", "text").mapInArrow(run, "key long, node long, n long")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link, by exact intersection of their sorted arrays."""
+def _of_classes(live: DataFrame, texts: DataFrame, n: int, make, name: str) -> DataFrame:
+    """(node, data) of the classes in ``live`` (rep, node): what ``make`` gives for their sets.
+    A repeated row can bring a class twice, which only repeats work."""
     import pyarrow as pa
 
-    live = kept(nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "node").select("rep", "node"), "jaccard-live")
     wanted = _filter(live)
 
-    def arrays(batches):
-        known = _Words()
+    def run(batches):
         for whole in batches:
             picked = whole.filter(pa.array(_in_filter(wanted.value, whole.column(0).to_numpy())))
             for at in range(0, picked.num_rows, 256):
                 rb = picked.slice(at, 256)
-                sets = [shingles(t, n, known) for t in rb.column(1).to_pylist()]
+                sets = shingle_sets(rb.column(1).to_pylist(), n)
                 yield pa.RecordBatch.from_arrays(
-                    [rb.column(0), pa.array([_digest(h) for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())], names=["rep", "node", "h"])
+                    [rb.column(0), pa.array([_digest(h) for h in sets], pa.int64()), pa.array([make(h) if len(h) else None for h in sets], pa.binary())],
+                    names=["rep", "node", "data"])
+
+    rows = texts.where("id is not null").select("id", "text").mapInArrow(run, "rep long, node long, data binary")
+    # the filter may let others pass
+    return kept(rows.join(live.withColumnRenamed("rep", "its_rep"), "node").where("rep = its_rep").select("node", "data"), name)
+
+
+def _bitmaps(live: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    return _of_classes(live, texts, n, lambda h: _bitmap(h, _width(_band(len(h), percent), percent)).tobytes(), "jaccard-bitmaps")
 
-    sets = (texts.where("id is not null").select("id", "text").mapInArrow(arrays, "rep long, node long, h binary")
-            .join(live, ["rep", "node"]).groupBy("node").agg(F.first("h").alias("h")))
-    sets = kept(sets, "jaccard-arrays")
 
-    def exact(batches):
+def _with_both(pairs: DataFrame, data: DataFrame) -> DataFrame:
+    """(a, b, x, y): the pairs with the data of both classes."""
+    return (pairs.join(data.select(F.col("node").alias("a"), F.col("data").alias("x")), "a")
+            .join(data.select(F.col("node").alias("b"), F.col("data").alias("y")), "b").select("a", "b", "x", "y"))
+
+
+def _chosen(rows: DataFrame, good, name: str) -> DataFrame:
+    """The pairs of (a, b, x, y) whose data ``good`` accepts."""
+    import pyarrow as pa
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                rb = whole.slice(at, 1024)
+                keep = pa.array([good(x.as_buffer(), y.as_buffer()) for x, y in zip(rb.column(2), rb.column(3), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([rb.column(0).filter(keep), rb.column(1).filter(keep)], names=["a", "b"])
+
+    return kept(rows.mapInArrow(run, "a long, b long"), name)
+
+
+def _promising(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, na, nb) that the bitmap bound lets pass."""
+    import pyarrow as pa
+
+    def run(batches):
         import numpy as np
 
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 rb = whole.slice(at, 1024)
+                na, nb = rb.column(4).to_numpy(), rb.column(5).to_numpy()
                 good = []
-                for x, y in zip(rb.column(2).to_pylist(), rb.column(3).to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    good.append(100 * both >= percent * (len(x) + len(y) - both))
+                for x, y, p, q in zip(rb.column(2), rb.column(3), na.tolist(), nb.tolist(), strict=True):
+                    x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                    if len(x) != len(y):
+                        short = min(len(x), len(y))
+                        x, y = (np.bitwise_or.reduce(z.reshape(-1, short), axis=0) for z in (x, y))
+                    most = min(p - int(np.bitwise_count(x & ~y).sum(dtype=np.int64)), q - int(np.bitwise_count(y & ~x).sum(dtype=np.int64)))
+                    good.append(100 * most >= percent * (p + q - most))
                 keep = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([rb.column(0).filter(keep), rb.column(1).filter(keep)], names=["a", "b"])
 
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("h").alias("ha")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("h").alias("hb")), "b"))
-    return both.select("a", "b", "ha", "hb").mapInArrow(exact, "a long, b long")
+    rows = _with_both(pairs, bitmaps).join(pairs, ["a", "b"]).select("a", "b", "x", "y", "na", "nb")
+    return kept(rows.mapInArrow(run, "a long, b long"), "jaccard-star")
+
+
+def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that link, by exact intersection of their sorted arrays."""
+    live = _live(nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
+    sets = _of_classes(live, texts, n, lambda h: h.tobytes(), "jaccard-arrays")
+
+    def exact(x, y):
+        import numpy as np
+
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        z = np.concatenate([x, y])
+        z.sort()
+        both = int((z[1:] == z[:-1]).sum())
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
+    return _chosen(_with_both(pairs, sets), exact, "jaccard-links")
+
+
+def _live(nodes: DataFrame, used: DataFrame) -> DataFrame:
+    return kept(nodes.join(used.distinct(), "node").select("rep", "node"), "jaccard-live")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -318,12 +362,17 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("id", "label")
 
 
-def _tiles(keys: DataFrame, part_of: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that the bitmaps let pass, from keys not yet in one component."""
-    import pyarrow as pa
+def _distinct_groups(rows: DataFrame, by: list[str]) -> DataFrame:
+    """One of the groups ``by`` for each set of members (node, n): others would give the same pairs."""
+    sums = rows.groupBy(*by).agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.count("*").alias("rows"),
+                                 F.min("node").alias("first"), F.max("node").alias("last"))
+    return sums.groupBy("x", "y", "rows", "first", "last").agg(*[F.min(F.struct(*by)).alias("by")] if len(by) > 1 else [F.min(by[0]).alias(by[0])]).select(
+        *([f"by.{c}" for c in by] if len(by) > 1 else by), "rows", "first", "last")
+
 
-    labelled = keys.join(part_of.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = kept(labelled, "jaccard-labelled")
+def _tiles(keys: DataFrame, part_of: DataFrame, percent: int) -> DataFrame:
+    """Rows (key, tile, i, j, node, n, component, own, block) of the tiles that hold several components, in blocks."""
+    labelled = kept(keys.join(part_of.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node")), "jaccard-labelled")
     open_keys = (labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .where("low < high").select("key"))
     band = F.floor(F.log(F.col("n")) / math.log(100 / percent) + F.lit(1e-9)).cast("int")
@@ -331,40 +380,115 @@ def _tiles(keys: DataFrame, part_of: DataFrame, nodes: DataFrame, percent: int)
             .withColumn("tile", F.explode(F.array("own", F.col("own") - 1))).where("tile >= 0"))
     sizes = rows.groupBy("key", "tile").agg(F.count("*").alias("rows"), F.count_if(F.col("own") == F.col("tile")).alias("owners"),
                                             F.min("component").alias("low"), F.max("component").alias("high"))
-    sizes = kept(sizes.where("owners > 0 and low < high").select("key", "tile", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "jaccard-tiles")
-    cut = (rows.join(sizes, ["key", "tile"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-           .join(nodes.select("node", "bitmap"), "node"))
+    sizes = sizes.where("owners > 0 and low < high").select("key", "tile", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    cut = rows.join(sizes, ["key", "tile"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # block i meets every block j once, as the pair (smaller, larger)
     met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "node", "n", "component", "own", "bitmap", "block")
+        "node", "n", "component", "own", "block")
+    return kept(met, "jaccard-tiles")
+
+
+def _folded(maps: list, bits: int):
+    """Bitmaps as rows of ``bits`` bits."""
+    import numpy as np
 
-    def run(k, table):
+    out = np.empty((len(maps), bits // 8), np.uint8)
+    for length in {len(m) for m in maps}:
+        at = [k for k, m in enumerate(maps) if len(m) == length]
+        a = np.frombuffer(b"".join(maps[k] for k in at), np.uint8).reshape(len(at), -1, bits // 8)
+        out[at] = np.bitwise_or.reduce(a, axis=1)
+    return out.view(np.uint64)
+
+
+def _pairs_of(group, tile, i, j, node, n, comp, own, block, maps, percent: int, best_only: bool):
+    """Pairs that may link, from rows sorted by group.  All groups are compared at once: at
+    step d, each row meets the row d places on, if that is in its group."""
+    import numpy as np
+
+    out_a, out_b = [], []
+    rows = np.arange(len(node))
+    end = np.searchsorted(group, group, side="right")
+    best, partner = np.zeros(len(node)), np.full(len(node), -1)
+    live, d = rows, 0
+    while True:
+        d += 1
+        live = live[live + d < end[live]]
+        if not len(live):
+            break
+        x, y = live, live + d
+        ok = (comp[x] != comp[y]) & ((own[x] == tile[x]) | (own[y] == tile[y])) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        ok &= (i[x] == j[x]) | (block[x] != block[y])
+        x, y = x[ok], y[ok]
+        if not len(x):
+            continue
+        only_x = np.bitwise_count(maps[x] & ~maps[y]).sum(axis=1, dtype=np.int64)
+        only_y = np.bitwise_count(maps[y] & ~maps[x]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(n[x] - only_x, n[y] - only_y)
+        ok = 100 * most >= percent * (n[x] + n[y] - most)
+        x, y, most = x[ok], y[ok], most[ok]
+        if best_only:
+            score = most / (n[x] + n[y] - most)
+            for p, q in ((x, y), (y, x)):
+                up = score > best[p]
+                best[p[up]], partner[p[up]] = score[up], q[up]
+        else:
+            out_a.append(node[x])
+            out_b.append(node[y])
+    if best_only:
+        at = np.flatnonzero(partner >= 0)
+        return node[at], node[partner[at]]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
+
+
+def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """Distinct pairs of different components that size and bitmaps let pass; with
+    ``best_only``, each row's most promising one in its tile."""
+    import pyarrow as pa
+
+    rows = tiles.join(bitmaps, "node").select("key", "tile", "i", "j", "node", "n", "component", "own", "block", "data")
+    rows = rows.repartition("key", "tile", "i", "j").sortWithinPartitions("key", "tile", "i", "j")
+
+    def emit(table):
         import numpy as np
 
-        tile, i, j = k[1].as_py(), k[2].as_py(), k[3].as_py()
-        bits = _width(tile, percent)
-        ids, n, comp, own, block = (table.column(c).to_numpy() for c in ("node", "n", "component", "own", "block"))
-        maps = np.stack([_fold(b, bits) for b in table.column("bitmap").to_pylist()])
-        first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out_a, out_b = [], []
-        for x in first.tolist():
-            y = second[second > x] if i == j else second
-            y = y[(comp[y] != comp[x]) & ((own[y] == tile) | (own[x] == tile))]
-            y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
-            if not len(y):
-                continue
-            only_x = np.bitwise_count(maps[x] & ~maps[y]).sum(axis=1, dtype=np.int64)
-            only_y = np.bitwise_count(maps[y] & ~maps[x]).sum(axis=1, dtype=np.int64)
-            most = np.minimum(n[x] - only_x, n[y] - only_y)
-            y = y[100 * most >= percent * (n[x] + n[y] - most)]
-            out_a.append(np.full(len(y), ids[x]))
-            out_b.append(ids[y])
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return met.groupBy("key", "tile", "i", "j").applyInArrow(run, "a long, b long").distinct()
+        key, tile, i, j, node, n, comp, own, block = (table.column(k).to_numpy() for k in range(9))
+        new = np.zeros(len(key), bool)
+        for c in (key, tile, i, j):
+            new[1:] |= c[1:] != c[:-1]
+        group, maps = np.cumsum(new), table.column(9).to_pylist()
+        width = np.array([_width(t, percent) for t in range(tile.max() + 1)])[tile]
+        a, b = [], []
+        for bits in np.unique(width).tolist():
+            at = np.flatnonzero(width == bits)
+            x, y = _pairs_of(*(c[at] for c in (group, tile, i, j, node, n, comp, own, block)), _folded([maps[k] for k in at], bits), percent, best_only)
+            a.append(x)
+            b.append(y)
+        a, b = np.concatenate(a), np.concatenate(b)
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"])
+
+    def run(batches):
+        import numpy as np
+
+        held = None  # rows of a group that may go on in the next batch
+        for rb in batches:
+            for at in range(0, rb.num_rows, 4 * BLOCK):
+                part = pa.Table.from_batches([rb.slice(at, 4 * BLOCK)])
+                table = pa.concat_tables([held, part]).combine_chunks() if held is not None else part
+                last = np.ones(table.num_rows, bool)
+                for k in range(4):
+                    c = table.column(k).to_numpy()
+                    last &= c == c[-1]
+                cut = table.num_rows - int(last.sum())
+                if cut:
+                    yield emit(table.slice(0, cut))
+                held = table.slice(cut)
+        if held is not None and held.num_rows:
+            yield emit(held)
+
+    return kept(rows.mapInArrow(run, "a long, b long").distinct(), "jaccard-pairs")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
@@ -373,28 +497,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", col: str = "text",
         raise ValueError("the id column has the name of a result")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(col).alias("text"))
     context = docs.sparkSession.sparkContext
-    rows = kept(_sets(texts, n, percent), "jaccard-sets")
+    rows = kept(_sets(texts, n), "jaccard-sets")
     counters = context.broadcast(_gather(rows.where("part is not null"), "int32"))
-    sets = rows.where("part is null")
+    sets = rows.where("part is null").drop("part", "counts")
     named = sets.where("n > 0 and id is not null")
-    nodes = kept(named.groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "jaccard-nodes")
+    nodes = kept(named.groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "jaccard-nodes")
 
+    # keys that several classes have, and their rows
     shared = (_keys(texts.where("id is not null"), counters, n, percent).groupBy("key")
-              .agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("key", "first"))
+              .agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key"))
     shared = kept(shared, "jaccard-shared")
-    keys = (_keys(texts.where("id is not null"), counters, n, percent, _filter(shared)).groupBy("key", "node").agg(F.first("n").alias("n"))
-            .join(shared, "key"))
-    keys = kept(keys, "jaccard-keys")
+    keys = kept(_keys(texts.where("id is not null"), counters, n, percent, _filter(shared)).join(shared, "key").groupBy("key", "node").agg(F.first("n").alias("n")), "jaccard-keys")
+    groups = _distinct_groups(keys, ["key"])
+    keys = kept(keys.join(groups.select("key", "first"), "key"), "jaccard-groups")
+
+    bitmaps = _bitmaps(_live(nodes, keys.select("node")), texts, n, percent)
     size = nodes.select("node", "n")
     star = keys.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb")).distinct()
-    star = (star.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-            .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"))
+    star = star.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    star = _promising(kept(star, "jaccard-star"), bitmaps, percent)
     # rows of a repeated id can be in several classes, which are linked through the id
     twice = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("id", "a")
-    same = named.join(twice, "id").where("node <> a").select("a", F.col("node").alias("b"))
-    links = kept(_linked(kept(star, "jaccard-star"), texts, nodes, n, percent).union(same), "jaccard-links")
-    more = kept(_tiles(keys.select("key", "node", "n"), components(links), nodes, percent), "jaccard-pairs")
-    parts = components(links.union(_linked(more, texts, nodes, n, percent)))
+    links = named.join(twice, "id").where("node <> a").select("a", F.col("node").alias("b"))
+    links = kept(_linked(star, nodes, texts, n, percent).union(links), "jaccard-links")
+    parts = components(links)
+    for best_only in (True, False):
+        more = _candidates(_tiles(keys.select("key", "node", "n"), parts, percent), bitmaps, percent, best_only)
+        links = links.union(_linked(more, nodes, texts, n, percent))
+        parts = components(links)
     labelled = nodes.join(parts.withColumnRenamed("id", "node"), "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     lowest = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
     named_parts = labelled.join(lowest, "component").select("node", "component_id")
