@@ -101,7 +101,38 @@ class Vocabulary:
     def piece(self, b: bytes) -> list[int]:
         if (whole := self.rank.get(b)) is not None:
             return [whole]
-        return PrefixTable(self, b).ids()
+        if len(b) > 64:
+            return PrefixTable(self, b).ids()
+        return self._short(b)
+
+    def _short(self, b: bytes) -> list[int]:
+        """The same table for a short piece, filled from its end: only the prefixes that are asked for."""
+        usable, known, stable = self.usable.get, self.pairs.get, self.stable
+        last: dict[int, int] = {}
+
+        def of(end: int) -> int:
+            for start in range(end):
+                t = usable(b[start:end])
+                if t is not None:
+                    if start:
+                        left = last.get(start)
+                        if left is None:
+                            left = of(start)
+                        ok = known((left, t))
+                        if not (stable(left, t) if ok is None else ok):
+                            continue
+                    last[end] = t
+                    return t
+            raise ValueError("the vocabulary lacks a byte")
+
+        out, at = [], len(b)
+        while at:
+            t = last.get(at)
+            if t is None:
+                t = of(at)
+            out.append(t)
+            at -= len(self.token[t])
+        return out[::-1]
 
     def blocks(self, text: str):
         """Blocks of pieces of ``text``."""
