@@ -1,11 +1,11 @@
 """Month-window features (K6 trend, K7 season, K9 cycle, K8 monthly grid, C4, I5, D7, D13).
 
 The reference runs one groupby per window and anchor (24 passes) and chains the
-results with right joins.  Here every row is exploded to the windows it falls
-in (at most 9: 8 nested trend windows + 1 season window), aggregated once by
-``(customer, anchor, window)`` and pivoted once.  The explode keeps the work
-linear in the log and partial aggregation keeps a hot customer's rows spread
-over map tasks until they are one row per window.
+results with right joins.  Here the log is aggregated once to mergeable moments per
+customer and month; only these rows are exploded to the windows they fall
+in (at most 9: 8 nested trend windows + 1 season window), merged by
+``(customer, anchor, window)`` and pivoted once.  Partial aggregation keeps a hot
+customer's rows spread over map tasks until they are one row per month.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartcast.functions.months import month_index, month_start, ym_shift, year_month
-from cartcast.functions.stats import STATS7_WINDOW, agg_columns, spec_names
+from cartcast.functions.months import month_index, month_start, ym_index, ym_shift, year_month
+from cartcast.functions.stats import STATS7_WINDOW, spec_names
+from cartcast.operators.moments import centred, merged, month_moments
 
 # Look-back months of the trend windows and start months of the
 # three-month season windows.
@@ -39,6 +40,18 @@ def _anchor_rows(log: DataFrame, anchors: list[str], max_back: int, cols: list[s
     return rows.withColumn("back", back).filter(F.col("back") <= max_back)
 
 
+def _anchor_months(log: DataFrame, anchors: list[str], max_back: int) -> DataFrame:
+    """Month moments before each anchor, tagged like ``_anchor_rows``: the log is read and
+    aggregated once; only rows per customer and month are repeated."""
+    anchors = sorted(anchors)
+    lo = month_start(ym_shift(anchors[0], -max_back))
+    cut = log.filter((F.col("order_date") >= lo) & (F.col("order_date") < month_start(anchors[-1])))
+    months = month_moments(cut, WINDOW_VALUES)
+    at = F.array(*[F.struct(F.lit(a).alias("year_month"), F.lit(ym_index(a)).alias("i")) for a in anchors])
+    rows = months.withColumn("_a", F.explode(F.filter(at, lambda a: (a["i"] > F.col("_mi")) & (a["i"] - F.col("_mi") <= max_back))))
+    return rows.select("*", F.col("_a.year_month").alias("year_month"), (F.col("_a.i") - F.col("_mi")).alias("back")).drop("_a")
+
+
 def window_labels(trend: bool = True, season: bool = True) -> list[str]:
     out = []
     if trend:
@@ -52,19 +65,18 @@ def window_long(log: DataFrame, anchors: list[str], trend: bool = True,
                 season: bool = True) -> DataFrame:
     """Long form: (customer_id, year_month, win, 21 stats named ``{col}-{stat}``)."""
     max_back = max(([max(TREND_BACK)] if trend else []) + ([max(SEASON_BACK) + 2] if season else []))
-    rows = _anchor_rows(log, anchors, max_back, ["customer_id", *WINDOW_VALUES])
+    rows = _anchor_months(log, anchors, max_back)
     b = F.col("back")
     tags = []
     if trend:
         tags += [F.when(b <= k, F.lit(str(i))) for i, k in enumerate(TREND_BACK)]
     if season:
         tags += [F.when((b >= k) & (b <= k + 2), F.lit(f"season{i}")) for i, k in enumerate(SEASON_BACK)]
-    ex = rows.select("customer_id", "year_month", *WINDOW_VALUES,
-                     F.explode(F.array_compact(F.array(*tags))).alias("win"))
+    ex = rows.withColumn("win", F.explode(F.array_compact(F.array(*tags))))
     # counts are doubles: in the reference they pass through merges that leave NaN
-    aggs = [a.cast("double").alias(n) if n.endswith("-count") else a
-            for a, n in zip(agg_columns(WINDOW_SPEC), spec_names(WINDOW_SPEC))]
-    return ex.groupBy("customer_id", "year_month", "win").agg(*aggs)
+    aggs = [merged(c, s).cast("double").alias(f"{c}-{s}") for c, stats in WINDOW_SPEC for s in stats]
+    keys = ["customer_id", "year_month", "win"]
+    return centred(ex, WINDOW_VALUES, keys).groupBy(*keys).agg(*aggs)
 
 
 def window_wide(long: DataFrame, labels: list[str]) -> DataFrame:

@@ -15,9 +15,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartcast.functions.months import month_start, year_month, ym_shift
+from cartcast.functions.months import month_start, year_month, ym_index, ym_shift
 from cartcast.functions.stats import STATS7, agg_columns, mode, spec_names
 from cartcast.operators.labels import TOTAL_THRES, label_months
+from cartcast.operators.moments import STATS, centred, merged, month_moments
 from cartcast.operators.prep import label_encode, median_impute
 from cartcast.operators.rowfeat import cumsum_features, row_features
 from cartcast.operators.windows import cycle_1224, trend_season_features
@@ -121,9 +122,29 @@ def _join_all(labels: DataFrame, blocks: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _from_months(log: DataFrame, anchors: list[str], spec, threshold: float) -> DataFrame:
+    cols = [c for c, _ in spec]
+    cut = log.filter(F.col("order_date") < month_start(ym_shift(anchors[-1], 1)))
+    months = month_moments(cut, list(dict.fromkeys([*cols, "total"])))
+    at = F.array(*[F.struct(F.lit(a).alias("year_month"), F.lit(ym_index(a)).alias("i")) for a in anchors])
+    rows = months.withColumn("_a", F.explode(F.filter(at, lambda a: a["i"] >= F.col("_mi"))))
+    past = F.col("_a.i") > F.col("_mi")
+    parts = [c for c in months.columns if c not in ("customer_id", "_mi")]
+    rows = rows.select("customer_id", F.col("_a.year_month").alias("year_month"), past.alias("_past"),
+                       F.when(~past, F.col("total_s")).alias("_spend"), *[F.when(past, F.col(c)).alias(c) for c in parts])
+    spend = F.coalesce(F.sum("_spend"), F.lit(0.0))
+    g = centred(rows, list(dict.fromkeys(cols)), KEYS).groupBy(*KEYS).agg(
+        F.max("_past").alias("_seen"), (spend > F.lit(float(threshold))).cast("int").alias("label"),
+        *[merged(c, s).alias(f"{c}-{s}") for c, stats in spec for s in stats])
+    return g.where("_seen").drop("_seen")
+
+
 def multi_anchor_features(log: DataFrame, anchors: list[str], spec=BASE_SPEC,
                           threshold: float = TOTAL_THRES, order: list[str] | None = None) -> DataFrame:
-    """Label rows of several months with their point-in-time aggregates."""
+    """Label rows of several months with their point-in-time aggregates.
+    Plain statistics of numbers come from one aggregate per customer and month."""
+    if all(s in STATS for _, stats in spec for s in stats):
+        return _from_months(log, sorted(anchors), spec, threshold)
     last = month_start(max(anchors))
     ordered = any(s in ("first", "last") for _, stats in spec for s in stats)
     order = log_order(log, order) if ordered else []

@@ -63,3 +63,13 @@ def test_builders_ask_for_an_order(spark):
     with pytest.raises(ValueError, match="order"):
         FE.fe_compact(log, "2001-07")
     assert FE.fe_baseline(log, "2001-07").frame.count() > 0
+
+
+def test_windows_read_the_log_once(spark):
+    """Trend windows: one aggregate over the log, by customer and month, before any row is repeated."""
+    from cartcast.operators.windows import trend_features
+
+    log = transactions(spark, SF001, description=False, country=False)
+    p = trend_features(log, ["2001-06", "2001-07"])._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("lineitem") + p.count("l_orderkey") > 0 and p.count("Join") == 1
+    assert "Generate explode" in p and p.index("Generate explode") < p.index("Join")

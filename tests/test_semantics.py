@@ -120,3 +120,30 @@ def test_season_compat_keeps_last_window_customers(spark):
     full = season_features(log, ["2001-07"]).count()
     compat = season_features(log, ["2001-07"], compat=True).count()
     assert compat <= full
+
+
+def test_merged_moments_as_pandas(spark):
+    """Moments merged over months equal pandas on the rows, also for small spreads around large values."""
+    import datetime as dt
+    import random
+
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from cartcast.operators.moments import STATS, centred, merged, month_moments
+
+    rnd = random.Random(5)
+    rows = []
+    for c in range(40):
+        base = rnd.choice([0.0, 5.0, 1e7])
+        for _ in range(rnd.choice([1, 2, 3, 30])):
+            v = None if rnd.random() < 0.1 else base + (0.0 if c % 7 == 0 else rnd.gauss(0, 1))
+            rows.append((c, dt.datetime(2001, rnd.randint(1, 7), 3), v))
+    df = spark.createDataFrame(rows, "customer_id long, order_date timestamp_ntz, v double")
+    got = centred(month_moments(df, ["v"]), ["v"], ["customer_id"]).groupBy("customer_id").agg(*[merged("v", s).alias(s) for s in STATS]).toPandas().set_index("customer_id").sort_index()
+    g = pd.DataFrame(rows, columns=["customer_id", "d", "v"]).groupby("customer_id").v
+    want = pd.DataFrame({"mean": g.mean(), "max": g.max(), "min": g.min(), "sum": g.sum(), "count": g.count(), "std": g.std(), "skew": g.apply(lambda x: x.skew())})
+    for s in STATS:
+        for i in want.index:
+            a, b = got[s][i], want[s][i]
+            assert (pd.isna(a) and pd.isna(b)) or abs(a - b) <= 1e-8 * max(1.0, abs(b)), (s, i, a, b)
