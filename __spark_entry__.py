@@ -324,6 +324,8 @@ _reg("fe_compact", SQ.simple_sql(TARGET, FE.COMPACT_SPEC, cycle=True))(
     lambda spark, sf: _fl(FE.fe_compact(_log(spark, sf), TARGET).frame))
 _reg("fe_full", SQ.full_sql(TARGET))(
     lambda spark, sf: _fl(FE.fe_full(_log(spark, sf), TARGET).frame))
+_reg("fe_full_compat", SQ.full_sql(TARGET, compat=True))(
+    lambda spark, sf: _fl(FE.fe_full(_log(spark, sf), TARGET, compat=True).frame))
 
 
 # ------------------------------------------------------------- metrics O1-O10
