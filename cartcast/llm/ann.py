@@ -9,9 +9,9 @@ the true neighbours within the whole table are known (exact search, in blocks),
 until ``TARGET`` of them are found; the number is in terms of vectors seen, so that queries in small
 leaves visit more of them.
 
-Search: (query, leaf) pairs meet the leaf's vectors in groups (leaf, block): large leaves, such as a vector that
-a third of all rows share, are cut into blocks of about ``BLOCK`` vectors, and each group gives its ``k`` best
-per query only.  The best of all groups are merged by (score, id).  Nothing is dropped: a query that met
+Search: neighbouring leaves share a bin of up to ``BLOCK`` vectors, and larger leaves, such as a vector that
+a third of all rows share, are cut into blocks of that size; queries meet the vectors of the leaves that they
+visit in groups (bin, block), and each group gives its ``k`` best per query only.  The best of all groups are merged by (score, id).  Nothing is dropped: a query that met
 fewer than ``k`` candidates goes to all leaves.  The tree, the probes and the queries' leaf lists
 are bounded by the parameters or by the query set.
 
@@ -36,7 +36,8 @@ from cartcast.llm.common import kept
 SAMPLE = 40_000
 BRANCH = 8
 LEAF = 256
-BLOCK = 2048
+BLOCK = 8192
+QUERIES_AT_ONCE = 128
 PROBES = 200
 TARGET = 0.95
 MARGIN = 1.1   # more visits than the calibration asks for
@@ -258,19 +259,32 @@ def search(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", col: str
     sent = spark.sparkContext.broadcast((tree, sizes))
 
     queries = vectors.where(is_query)
-    found = _met(_visits(queries, lambda v: sent.value[0].best_bins(v / np.linalg.norm(v), sent.value[1], max(enough, 2 * k))), index, sizes, k)
+    bin_of = _bins(sizes)
+    found = _met(_visits(queries, lambda v: sent.value[0].best_bins(v / np.linalg.norm(v), sent.value[1], max(enough, 2 * k)), bin_of), index, sizes, bin_of, k)
     first = kept(_merged(found, k), "ann-found")
     # whoever met fewer than k goes to every leaf
     full = first.groupBy(F.col("query_id").alias("id")).count().where(F.col("count") >= k)
     short = kept(queries.join(full, "id", "left_anti"), "ann-short")
-    rest = _merged(_met(_visits(short, lambda v: np.flatnonzero(sent.value[1]).tolist()), index, sizes, k), k)
+    rest = _merged(_met(_visits(short, lambda v: np.flatnonzero(sent.value[1]).tolist(), bin_of), index, sizes, bin_of, k), k)
     met = first.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti")
     columns = ["query_id", "rank", "vec_id", "score"]
     return met.select(columns).unionByName(rest.select(columns))
 
 
-def _visits(queries: DataFrame, leaves_of) -> DataFrame:
-    """(leaf, query_ids, qs): the queries that visit a leaf, as one row for each leaf and block of queries."""
+def _bins(sizes) -> list[int]:
+    """A bin for each leaf: neighbouring leaves share one up to ``BLOCK`` vectors."""
+    out, b, n = [], 0, 0
+    for s in sizes.tolist():
+        if n and n + s > BLOCK:
+            b, n = b + 1, 0
+        n += s
+        out.append(b)
+    return out
+
+
+def _visits(queries: DataFrame, leaves_of, bin_of: list[int]) -> DataFrame:
+    """(bin, query_ids, qs, counts, leaves): the queries that visit leaves of a bin, and which
+    leaves each visits, as one row for each bin and block of queries."""
     import numpy as np
     import pyarrow as pa
 
@@ -279,46 +293,54 @@ def _visits(queries: DataFrame, leaves_of) -> DataFrame:
             for at in range(0, whole.num_rows, BLOCK):
                 rb = whole.slice(at, BLOCK)
                 ids, x = rb.column(0).to_numpy(), _matrix(rb.column(1))
-                by_leaf: dict[int, list[int]] = {}
+                by_bin: dict[int, dict[int, list[int]]] = {}
                 for j, v in enumerate(x):
                     for leaf in leaves_of(v):
-                        by_leaf.setdefault(leaf, []).append(j)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(list(by_leaf), pa.int64()), pa.array([ids[j].tobytes() for j in by_leaf.values()], pa.binary()),
-                    pa.array([x[j].tobytes() for j in by_leaf.values()], pa.binary())], names=["leaf", "query_ids", "qs"])
+                        by_bin.setdefault(bin_of[leaf], {}).setdefault(j, []).append(leaf)
+                rows = [(b, ids[list(js)].tobytes(), x[list(js)].tobytes(), np.array([len(v) for v in js.values()], np.int32).tobytes(),
+                         np.array([leaf for v in js.values() for leaf in v], np.int32).tobytes()) for b, js in by_bin.items()]
+                cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["bin", "query_ids", "qs", "counts", "leaves"])
 
-    return queries.select("id", "v").mapInArrow(run, "leaf long, query_ids binary, qs binary")
+    return queries.select("id", "v").mapInArrow(run, "bin long, query_ids binary, qs binary, counts binary, leaves binary")
 
 
-def _met(visits: DataFrame, index: DataFrame, sizes, k: int) -> DataFrame:
-    """The k best of each query within each (leaf, block) that it visits."""
+def _met(visits: DataFrame, index: DataFrame, sizes, bin_of: list[int], k: int) -> DataFrame:
+    """The k best of each query among the leaves that it visits in a (bin, block)."""
     import numpy as np
     import pyarrow as pa
 
-    blocks = index.sparkSession.createDataFrame([(leaf, int(-(-n // BLOCK))) for leaf, n in enumerate(sizes.tolist()) if n], "leaf long, blocks int")
-    blocks = F.broadcast(blocks)  # one row a leaf, bounded by the sample
-    rows = index.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int")).select("leaf", "block", "id", "v")
-    asked = visits.join(blocks, "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("leaf", "block", "query_ids", "qs")
+    total = np.bincount(bin_of, sizes)
+    table = index.sparkSession.createDataFrame([(leaf, b, int(max(1, -(-total[b] // BLOCK)))) for leaf, b in enumerate(bin_of)], "leaf long, bin long, blocks int")
+    # one row a leaf, bounded by the sample
+    rows = index.join(F.broadcast(table), "leaf").withColumn("block", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int")).select("bin", "block", "leaf", "id", "v")
+    asked = visits.join(F.broadcast(table.select("bin", "blocks").distinct()), "bin").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
     def run(left, right):
-        ids, x = left.column("id").to_numpy(), _matrix(left.column("v").combine_chunks())
+        ids, leaf, x = left.column("id").to_numpy(), left.column("leaf").to_numpy(), _matrix(left.column("v").combine_chunks())
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(ids):
-            order = np.argsort(ids, kind="stable")  # so that places, too, break ties to the smaller id
-            ids, x = ids[order], x[order]
             unit = x / np.sqrt((x * x).sum(axis=1))[:, None]
-            for qids, qs in zip(right.column("query_ids").to_pylist(), right.column("qs").to_pylist(), strict=True):
+            own, place = np.unique(leaf, return_inverse=True)  # the leaves of this block
+            for qids, qs, counts, leaves in zip(*(right.column(c).to_pylist() for c in ("query_ids", "qs", "counts", "leaves")), strict=True):
                 qids, qs = np.frombuffer(qids, np.int64), np.frombuffer(qs, float).reshape(-1, x.shape[1])
-                near = qs @ unit.T / np.sqrt((qs * qs).sum(axis=1))[:, None]  # good to some last digits
-                near[qids[:, None] == ids[None, :]] = -np.inf
-                edge = np.partition(near, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(qids), -2.0)
-                for j in range(len(qids)):
-                    # whatever may be among the k best, scored exactly
-                    at = np.flatnonzero((near[j] >= edge[j] - 1e-9) & (near[j] > -np.inf))
-                    s = _cosines(qs[j], x[at])
-                    best = _best(ids[at], s, k)
-                    out.append((np.full(len(best), qids[j]), ids[at][best], s[best]))
+                row = np.repeat(np.arange(len(qids)), np.frombuffer(counts, np.int32))
+                at = np.searchsorted(own, leaves := np.frombuffer(leaves, np.int32))
+                here = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] == leaves)
+                visited = np.zeros((len(qids), len(own)), bool)
+                visited[row[here], at[here]] = True
+                for c in range(0, len(qids), QUERIES_AT_ONCE):
+                    q, qi = qs[c:c + QUERIES_AT_ONCE], qids[c:c + QUERIES_AT_ONCE]
+                    near = q @ unit.T / np.sqrt((q * q).sum(axis=1))[:, None]  # good to some last digits
+                    near[~visited[c:c + QUERIES_AT_ONCE][:, place] | (qi[:, None] == ids[None, :])] = -np.inf
+                    edge = np.partition(near, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(qi), -np.inf)
+                    for j in range(len(qi)):
+                        # whatever may be among the k best, scored exactly
+                        some = np.flatnonzero((near[j] >= edge[j] - 1e-9) & (near[j] > -np.inf))
+                        s = _cosines(q[j], x[some])
+                        best = _best(ids[some], s, k)
+                        out.append((np.full(len(best), qi[j]), ids[some][best], s[best]))
         cols = [np.concatenate(c) for c in zip(*out, strict=True)]
         return pa.table({"query_id": cols[0], "vec_id": cols[1], "score": cols[2]})
 
-    return rows.groupBy("leaf", "block").cogroup(asked.groupBy("leaf", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
+    return rows.groupBy("bin", "block").cogroup(asked.groupBy("bin", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
