@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from cartcast.session import checkpoint_dir
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Shuffle files of a query go once its result is written.
+#: Spark's setting by which the shuffle files of a query go once it has ended.
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -20,17 +21,24 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@contextmanager
+def cleaned(spark: SparkSession):
+    """Queries run inside leave no shuffle files once they have ended."""
+    before = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and
     survives lost executors, and a result used twice is computed once."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEAN_UP)
-    spark.conf.set(_CLEAN_UP, "true")
-    try:
+    with cleaned(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

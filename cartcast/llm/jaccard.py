@@ -27,7 +27,7 @@ the set is empty and linked with nothing).  Two documents link when
    in A's bitmap but not in B's, at least ``x`` shingles of A are not in B, so
    ``|A and B| <= min(|A| - x, |B| - y)``.  Bitmaps are as wide as the band needs (folded by halves).
    Only pairs that pass are intersected exactly: in a first round each class's most
-   promising pair of a tile, in a second all that still join two components.
+   promising pair of a tile, in a second, in the tiles that had any, all that still join two components.
 5. Components are found by minimum labels over the links, in written rounds.
 
 No link between different texts is lost; no cap on candidates.  Arrays of
@@ -44,10 +44,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartcast.llm.common import kept, text_or_empty
+from cartcast.llm.common import cleaned, kept, text_or_empty
 from cartcast.llm.words import mix, word_hashes
 
 COUNT_BITS = 20
@@ -122,34 +122,40 @@ def _digest(h) -> int:
     return xxhash.xxh3_64_intdigest(h.tobytes(), seed=len(h)) - (1 << 63)
 
 
-_ROW = "id long, n long, node long, part int, counts binary"
 _PARTS = 256
 
 
 def _sets(texts: DataFrame, n: int) -> DataFrame:
-    """Per row: size and class (``node``) of its set.  Besides, each task adds
-    ``_PARTS`` rows with its counters of shingles."""
+    """Per row: size and class (``node``) of its set."""
+    import pyarrow as pa
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                rb = whole.slice(at, 512)
+                sets = shingle_sets(rb.column(1).to_pylist(), n)
+                yield pa.RecordBatch.from_arrays([
+                    rb.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array([_digest(h) for h in sets], pa.int64())], names=["id", "n", "node"])
+
+    return texts.mapInArrow(run, "id long, n long, node long")
+
+
+def _counters(texts: DataFrame, n: int):
+    """How many shingles (once a text) each counter has, over all texts; a task sends ``_PARTS`` rows."""
     import pyarrow as pa
 
     def run(batches):
         import numpy as np
 
-        form = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
         total = np.zeros(1 << COUNT_BITS, np.int64)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
-                rb = whole.slice(at, 512)
-                sets = shingle_sets(rb.column(1).to_pylist(), n)
+                sets = shingle_sets(whole.slice(at, 512).column(1).to_pylist(), n)
                 total += np.bincount(_slot(np.concatenate(sets)), minlength=len(total))
-                empty = pa.nulls(len(sets))
-                yield pa.RecordBatch.from_arrays([
-                    rb.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array([_digest(h) for h in sets], pa.int64()),
-                    empty.cast(pa.int32()), empty.cast(pa.binary())], schema=form)
         if total.any():
-            none = pa.nulls(_PARTS)
-            yield pa.RecordBatch.from_arrays([*(none.cast(pa.int64()) for _ in range(3)), *_split(total)], schema=form)
+            yield pa.RecordBatch.from_arrays([*_split(total)], names=["part", "counts"])
 
-    return texts.mapInArrow(run, _ROW)
+    return _gather(texts.mapInArrow(run, "part int, counts binary"), "int32")
 
 
 def _split(total):
@@ -176,7 +182,8 @@ def _gather(rows: DataFrame, kind: str):
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["part", "counts"])
 
-    got = {r["part"]: r["counts"] for r in rows.select("part", "counts").repartition(16, "part").mapInArrow(add, "part int, counts binary").collect()}
+    with cleaned(rows.sparkSession):
+        got = {r["part"]: r["counts"] for r in rows.select("part", "counts").repartition(16, "part").mapInArrow(add, "part int, counts binary").collect()}
     length = (1 << COUNT_BITS) if kind == "int32" else (1 << _FILTER_BITS) // 8
     part = np.zeros(length // _PARTS, kind).tobytes()
     return np.frombuffer(b"".join(bytes(got.get(p, part)) for p in range(_PARTS)), kind)
@@ -211,9 +218,8 @@ def _in_filter(bits, ids):
     return (bits[spot >> 3] >> (7 - (spot & 7)) & 1).astype(bool)
 
 
-def _keys(texts: DataFrame, counters, n: int, percent: int, live=None) -> DataFrame:
-    """(key, node, n) for the first shingles of each set in the order of rarity;
-    with ``live``, only keys that this filter may hold."""
+def _keys(texts: DataFrame, counters, n: int, percent: int) -> DataFrame:
+    """(key, node) for the first shingles of each set in the order of rarity."""
     import pyarrow as pa
 
     def run(batches):
@@ -222,7 +228,7 @@ def _keys(texts: DataFrame, counters, n: int, percent: int, live=None) -> DataFr
         rare, done = counters.value, set()
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
-                keys, nodes, sizes = [], [], []
+                keys, nodes = [], []
                 for h in shingle_sets(whole.slice(at, 512).column(1).to_pylist(), n):
                     node = _digest(h)
                     if not len(h) or node in done:
@@ -238,20 +244,16 @@ def _keys(texts: DataFrame, counters, n: int, percent: int, live=None) -> DataFr
                     else:
                         h_first = h
                     first = h_first.view(np.int64)
-                    if live is not None:
-                        first = first[_in_filter(live.value, first)]
-                    if len(first):
-                        keys.append(first)
-                        nodes.append(np.full(len(first), node))
-                        sizes.append(np.full(len(first), len(h)))
+                    keys.append(first)
+                    nodes.append(np.full(len(first), node))
                 if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, sizes)], names=["key", "node", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes)], names=["key", "node"])
 
-    return texts.select("id", "text").mapInArrow(run, "key long, node long, n long")
+    return texts.select("id", "text").mapInArrow(run, "key long, node long")
 
 
 def _of_classes(live: DataFrame, texts: DataFrame, n: int, make, name: str) -> DataFrame:
-    """(node, data) of the classes in ``live`` (rep, node): what ``make`` gives for their sets.
+    """(node, n, data) of the classes in ``live`` (rep, node, n): what ``make`` gives for their sets.
     A repeated row can bring a class twice, which only repeats work."""
     import pyarrow as pa
 
@@ -269,7 +271,7 @@ def _of_classes(live: DataFrame, texts: DataFrame, n: int, make, name: str) -> D
 
     rows = texts.where("id is not null").select("id", "text").mapInArrow(run, "rep long, node long, data binary")
     # the filter may let others pass
-    return kept(rows.join(live.withColumnRenamed("rep", "its_rep"), "node").where("rep = its_rep").select("node", "data"), name)
+    return kept(rows.join(live.withColumnRenamed("rep", "its_rep"), "node").where("rep = its_rep").select("node", "n", "data"), name)
 
 
 def _bitmaps(live: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -277,9 +279,9 @@ def _bitmaps(live: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
 
 
 def _with_both(pairs: DataFrame, data: DataFrame) -> DataFrame:
-    """(a, b, x, y): the pairs with the data of both classes."""
-    return (pairs.join(data.select(F.col("node").alias("a"), F.col("data").alias("x")), "a")
-            .join(data.select(F.col("node").alias("b"), F.col("data").alias("y")), "b").select("a", "b", "x", "y"))
+    """(a, b, x, y, na, nb): the pairs with the data and sizes of both classes."""
+    return (pairs.join(data.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("data").alias("x")), "a")
+            .join(data.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("data").alias("y")), "b").select("a", "b", "x", "y", "na", "nb"))
 
 
 def _chosen(rows: DataFrame, good, name: str) -> DataFrame:
@@ -297,7 +299,7 @@ def _chosen(rows: DataFrame, good, name: str) -> DataFrame:
 
 
 def _promising(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, na, nb) that the bitmap bound lets pass."""
+    """The pairs (a, b) that size and the bitmap bound let pass."""
     import pyarrow as pa
 
     def run(batches):
@@ -318,8 +320,8 @@ def _promising(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
                 keep = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([rb.column(0).filter(keep), rb.column(1).filter(keep)], names=["a", "b"])
 
-    rows = _with_both(pairs, bitmaps).join(pairs, ["a", "b"]).select("a", "b", "x", "y", "na", "nb")
-    return kept(rows.mapInArrow(run, "a long, b long"), "jaccard-star")
+    rows = _with_both(pairs, bitmaps).where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return kept(rows.mapInArrow(run, "a long, b long"), "jaccard-promising")
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -340,7 +342,7 @@ def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percen
 
 
 def _live(nodes: DataFrame, used: DataFrame) -> DataFrame:
-    return kept(nodes.join(used.distinct(), "node").select("rep", "node"), "jaccard-live")
+    return kept(nodes.join(used.distinct(), "node").select("rep", "node", "n"), "jaccard-live")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -362,12 +364,25 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("id", "label")
 
 
-def _distinct_groups(rows: DataFrame, by: list[str]) -> DataFrame:
-    """One of the groups ``by`` for each set of members (node, n): others would give the same pairs."""
-    sums = rows.groupBy(*by).agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.count("*").alias("rows"),
-                                 F.min("node").alias("first"), F.max("node").alias("last"))
-    return sums.groupBy("x", "y", "rows", "first", "last").agg(*[F.min(F.struct(*by)).alias("by")] if len(by) > 1 else [F.min(by[0]).alias(by[0])]).select(
-        *([f"by.{c}" for c in by] if len(by) > 1 else by), "rows", "first", "last")
+def _groups(raw: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, node, n, first) of keys that several classes have; of keys with the very same classes,
+    one.  ``first`` is the key's smallest class.  The keys are exchanged once."""
+    import pyarrow as pa
+
+    by_key = Window.partitionBy("key")
+    rows = raw.repartition("key").withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key)).where("low < high")
+    rows = rows.groupBy("key", "node").agg(F.lit(1).alias("one"))  # a class can come from several tasks
+    members = F.xxhash64(*[F.bit_xor(F.xxhash64("node", F.lit(k))).over(by_key) for k in (0, 1)], F.count("*").over(by_key), F.min("node").over(by_key))
+    rows = kept(rows.select("key", "node", members.alias("members")), "jaccard-keys")
+    one = kept(rows.groupBy("members").agg(F.min("key").alias("key")).select("key"), "jaccard-one")
+    wanted = _filter(one)
+
+    def run(batches):
+        for rb in batches:
+            yield rb.filter(pa.array(_in_filter(wanted.value, rb.column(0).to_numpy())))
+
+    rows = rows.select("key", "node").mapInArrow(run, "key long, node long").join(one, "key", "left_semi")
+    return kept(rows.join(nodes.select("node", "n"), "node").withColumn("first", F.min("node").over(by_key)), "jaccard-groups")
 
 
 def _tiles(keys: DataFrame, part_of: DataFrame, percent: int) -> DataFrame:
@@ -402,7 +417,7 @@ def _folded(maps: list, bits: int):
 
 
 def _pairs_of(group, tile, i, j, node, n, comp, own, block, maps, percent: int, best_only: bool):
-    """Pairs that may link, from rows sorted by group.  All groups are compared at once: at
+    """Pairs of rows that may link, from rows sorted by group.  All groups are compared at once: at
     step d, each row meets the row d places on, if that is in its group."""
     import numpy as np
 
@@ -433,21 +448,21 @@ def _pairs_of(group, tile, i, j, node, n, comp, own, block, maps, percent: int,
                 up = score > best[p]
                 best[p[up]], partner[p[up]] = score[up], q[up]
         else:
-            out_a.append(node[x])
-            out_b.append(node[y])
+            out_a.append(x)
+            out_b.append(y)
     if best_only:
         at = np.flatnonzero(partner >= 0)
-        return node[at], node[partner[at]]
+        return at, partner[at]
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
 
 
 def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Distinct pairs of different components that size and bitmaps let pass; with
-    ``best_only``, each row's most promising one in its tile."""
+    """(key, a, b): pairs of different components that size and bitmaps let pass; with
+    ``best_only``, each row's most promising one in its tile.  A key without a pair needs no further look."""
     import pyarrow as pa
 
-    rows = tiles.join(bitmaps, "node").select("key", "tile", "i", "j", "node", "n", "component", "own", "block", "data")
+    rows = tiles.join(bitmaps.select("node", "data"), "node").select("key", "tile", "i", "j", "node", "n", "component", "own", "block", "data")
     rows = rows.repartition("key", "tile", "i", "j").sortWithinPartitions("key", "tile", "i", "j")
 
     def emit(table):
@@ -459,15 +474,16 @@ def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, best_only: b
             new[1:] |= c[1:] != c[:-1]
         group, maps = np.cumsum(new), table.column(9).to_pylist()
         width = np.array([_width(t, percent) for t in range(tile.max() + 1)])[tile]
-        a, b = [], []
+        a, b, found = [], [], []
         for bits in np.unique(width).tolist():
             at = np.flatnonzero(width == bits)
             x, y = _pairs_of(*(c[at] for c in (group, tile, i, j, node, n, comp, own, block)), _folded([maps[k] for k in at], bits), percent, best_only)
-            a.append(x)
-            b.append(y)
-        a, b = np.concatenate(a), np.concatenate(b)
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"])
+            found.append(key[at][x])
+            a.append(node[at][x])
+            b.append(node[at][y])
+        found, a, b = np.concatenate(found), np.concatenate(a), np.concatenate(b)
+        rows = np.unique(np.stack([found, np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 3), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)], names=["key", "a", "b"])
 
     def run(batches):
         import numpy as np
@@ -488,7 +504,7 @@ def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, best_only: b
         if held is not None and held.num_rows:
             yield emit(held)
 
-    return kept(rows.mapInArrow(run, "a long, b long").distinct(), "jaccard-pairs")
+    return kept(rows.mapInArrow(run, "key long, a long, b long"), "jaccard-pairs")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
@@ -497,32 +513,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", col: str = "text",
         raise ValueError("the id column has the name of a result")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(col).alias("text"))
     context = docs.sparkSession.sparkContext
-    rows = kept(_sets(texts, n), "jaccard-sets")
-    counters = context.broadcast(_gather(rows.where("part is not null"), "int32"))
-    sets = rows.where("part is null").drop("part", "counts")
+    counters = context.broadcast(_counters(texts, n))
+    sets = kept(_sets(texts, n), "jaccard-sets")
     named = sets.where("n > 0 and id is not null")
     nodes = kept(named.groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "jaccard-nodes")
 
-    # keys that several classes have, and their rows
-    shared = (_keys(texts.where("id is not null"), counters, n, percent).groupBy("key")
-              .agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key"))
-    shared = kept(shared, "jaccard-shared")
-    keys = kept(_keys(texts.where("id is not null"), counters, n, percent, _filter(shared)).join(shared, "key").groupBy("key", "node").agg(F.first("n").alias("n")), "jaccard-keys")
-    groups = _distinct_groups(keys, ["key"])
-    keys = kept(keys.join(groups.select("key", "first"), "key"), "jaccard-groups")
-
+    keys = _groups(_keys(texts.where("id is not null"), counters, n, percent), nodes)
     bitmaps = _bitmaps(_live(nodes, keys.select("node")), texts, n, percent)
-    size = nodes.select("node", "n")
-    star = keys.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb")).distinct()
-    star = star.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    star = _promising(kept(star, "jaccard-star"), bitmaps, percent)
+    star = kept(keys.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "jaccard-star")
+    star = _promising(star, bitmaps, percent)
     # rows of a repeated id can be in several classes, which are linked through the id
     twice = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("id", "a")
     links = named.join(twice, "id").where("node <> a").select("a", F.col("node").alias("b"))
     links = kept(_linked(star, nodes, texts, n, percent).union(links), "jaccard-links")
     parts = components(links)
     for best_only in (True, False):
-        more = _candidates(_tiles(keys.select("key", "node", "n"), parts, percent), bitmaps, percent, best_only)
+        found = _candidates(_tiles(keys.select("key", "node", "n"), parts, percent), bitmaps, percent, best_only)
+        keys = keys.join(found.select("key").distinct(), "key", "left_semi")
+        more = kept(found.select("a", "b").distinct(), "jaccard-more")
         links = links.union(_linked(more, nodes, texts, n, percent))
         parts = components(links)
     labelled = nodes.join(parts.withColumnRenamed("id", "node"), "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
