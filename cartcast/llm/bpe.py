@@ -33,7 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Most pieces that a worker remembers before it starts its dictionary anew.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 250_000
+#: Pairs of tokens whose verdict a worker remembers.
+CACHE_PAIRS = 250_000
 #: Pieces that are held at a time while a text is read.
 BLOCK_PIECES = 100_000
 
@@ -93,7 +95,7 @@ class Vocabulary:
                 x_ends, x = x, hx[1]
             else:
                 y_ends, y = y, hy[0]
-        if len(self.pairs) >= 1_000_000:
+        if len(self.pairs) >= CACHE_PAIRS:
             self.pairs.clear()
         self.pairs[left, right] = verdict
         return verdict
@@ -203,42 +205,43 @@ class PrefixTable:
         return out[::-1]
 
 
+#: How many characters past its end a piece may depend on: ``'`` alone, where ``'re`` was possible.
+_LOOK_AHEAD = 2
+
+
 class EncodedText:
     """A text's pieces and ids that follow edits by local work.
 
-    A piece ends where the pattern sees the next character, so pieces that end
-    before the character left of an edit stay; after the edit, matching is taken
+    A piece depends on few characters past its end, so pieces that end so far before an edit stay; after the edit, matching is taken
     up until a piece starts where an old one did, from where all pieces stay.
     """
 
     def __init__(self, vocabulary: Vocabulary, text: str = ""):
         self.v, self.text = vocabulary, text
-        self.starts, self.pieces = self._cut(0)
+        self.starts, self.pieces, _ = self._cut(0)
 
     def _cut(self, at: int, until: frozenset | set = frozenset()):
         starts, pieces = [], []
         for m in self.v.find(self.text, at):
             if m.start() in until:
-                return starts, pieces
+                return starts, pieces, m.start()
             starts.append(m.start())
             pieces.append(self.v.piece(m.group().encode()))
-        return starts, pieces
+        return starts, pieces, None
 
     def replace(self, start: int, stop: int, new: str) -> None:
-        from bisect import bisect_left, bisect_right
+        from bisect import bisect_right
 
         shift = len(new) - (stop - start)
         old_starts, old_pieces, old_len = self.starts, self.pieces, len(self.text)
         self.text = self.text[:start] + new + self.text[stop:]
         ends = [*old_starts[1:], old_len]
-        n_keep = bisect_left(ends, start)  # pieces that end left of the edit's first character
-        n_keep = max(0, n_keep - 1)
+        n_keep = bisect_right(ends, start - _LOOK_AHEAD)  # pieces that saw nothing of the edit
         tail = bisect_right(old_starts, stop)
         later = {s + shift: k for k, s in enumerate(old_starts[tail:], tail)}
-        at = old_starts[n_keep] if n_keep < len(old_starts) else 0
-        starts, pieces = self._cut(at, later.keys())
-        reached = starts[-1] if starts else at - 1
-        k = next((k for s, k in later.items() if s > reached), len(old_starts))
+        at = old_starts[n_keep] if n_keep < len(old_starts) else ends[n_keep - 1] if n_keep else 0
+        starts, pieces, met = self._cut(at, later.keys())
+        k = len(old_starts) if met is None else later[met]
         self.starts = old_starts[:n_keep] + starts + [s + shift for s in old_starts[k:]]
         self.pieces = old_pieces[:n_keep] + pieces + old_pieces[k:]
 
