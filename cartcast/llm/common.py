@@ -21,6 +21,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Rows in a batch that goes to Python: whole texts are long, and a batch is held on both sides.
+TEXT_ROWS = "1000"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Asks the session for batches of at most ``TEXT_ROWS`` rows, unless it has smaller ones."""
+    if int(spark.conf.get(_BATCH)) > int(TEXT_ROWS):
+        spark.conf.set(_BATCH, TEXT_ROWS)
+
+
 @contextmanager
 def cleaned(spark: SparkSession):
     """Queries run inside leave no shuffle files once they have ended."""

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import functions as F
 
-from cartcast.llm.common import table
+from cartcast.llm.common import table, text_batches
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
 def _query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark, sf):
+        text_batches(spark)
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @_query

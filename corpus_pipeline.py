@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartcast.llm import bpe, jaccard, mix, pii, toxic
-from cartcast.llm.common import fresh, kept, table
+from cartcast.llm.common import fresh, kept, table, text_batches
 
 #: Scores come from a fitted kernel machine: no stage after it has SQL for the same rows.
 ORACLE_SQL = None
@@ -23,6 +23,7 @@ ORACLE_SQL = None
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the string kernel machine doesn't call toxic."""
+    text_batches(spark)
     model = toxic.fit(docs, table(spark, sf_dir, "labels"))
     names = [f"column_{k}" for k in range(len(docs.columns))]  # a column of any name may stand beside the score
     out = toxic.scores(docs.toDF(*names), model, col=names[docs.columns.index("text")])
@@ -31,6 +32,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: the one whose id is the smallest."""
+    text_batches(spark)
     found = kept(jaccard.near_duplicates(docs), "pipeline-groups")
     first = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n"))
     once = first.where("rows = 1 or n = 0").select("doc_id")
@@ -66,6 +68,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, their digest, and the digest of what they decode to."""
     import public_tokenizers as P
 
+    text_batches(spark)
     return bpe.token_digests(docs.select("doc_id", "source", "text"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN, ids="ids").drop("text")
 
 
