@@ -1,21 +1,18 @@
 """Operator 5: a hidden Markov language model, trained by Baum-Welch over Spark.
 
-Tokens are the words of a whole text in ASCII lower case, then one end.  All words of
-the training documents are counted (a shuffle by the word's 64-bit hash).  The
-``FREQUENT`` commonest words are classes of their own, as is the end; all other words form the class
-``rare``, inside which a word's probability follows its count, with 0.1 added to each and 0.1 for
-all unknown words: so the model is a distribution over all texts.
-
-Training: texts are written once as arrays of classes.  In each round, tasks run the scaled
-forward and backward recursions over their training documents (windows of ``WINDOW`` tokens;
-a document's later windows start from their own distribution) and sum expected counts; the counts are added up across
-partitions in ``PARTS`` pieces, and a table of bounded size, states x classes,
-comes to the driver and goes back as a broadcast.
-
-Scoring: the scaled forward recursion over the whole text, exactly, many texts side by side; its
-log is the probability of the classes, to which rare words add their share,
-summed by a join with the counts on the word.  Rare words are few by definition, so no key of that join is hot;
-common words never take part in it.
+Tokens are the words of a whole text in ASCII lower case, then one end.  Every word of the
+training documents, however rare, has emissions of its own, as have the end and the class of all unknown words;
+0.1 is added to each count: so the model is a distribution over all texts.
+
+Texts are read once and written as blocks of about ``BLOCK`` tokens: the distinct words of the block (64-bit hashes), the commonest first,
+and each text as places in them.  The emission table is a Spark table that grows with the vocabulary: one row
+for each bucket, a range of hashes; where a block's words are in their buckets is looked up once.  In each round, blocks ask the buckets for the emissions of their words, tasks
+run the scaled forward and backward recursions over a block's texts (windows of ``WINDOW`` tokens;
+a document's later windows start from their own distribution), and the expected counts go back to the buckets
+and are added there.  Only starts, moves, the end and sums by state come to the driver.
+
+Scoring: the scaled forward recursion over the whole text, exactly, many texts side by side.  A common word is asked
+for once by a block, so no key is hot.
 
 Defined results: null and empty texts are one end token; a null id is the empty text in the hash;
 repeated rows count and score each; without training documents every probability is that of the unknown;
@@ -24,22 +21,27 @@ extra columns are ignored; empty tables give empty results.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartcast.llm.common import kept, text_or_empty
-from cartcast.llm.words import word_hashes
+from cartcast.llm.common import cleaned, kept, text_or_empty
+from cartcast.llm.words import mix, word_hashes
+from cartcast.session import checkpoint_dir
 
 STATES = 8
-FREQUENT = 32_768       # fits two bytes with the two other classes
+FREQUENT = 32_768       # words in a bucket of the emission table, about; results don't depend on it
 ROUNDS = 5
 WINDOW = 512
-PARTS = 64
+BLOCK = 1 << 20         # tokens in a block
+ASKED = 8               # blocks that ask for a word, about
+PARTS = 16
+PASSES = 4              # over parts of the blocks in a round: emissions of one part are under way at a time
 PRIOR = 30.0            # tokens of the overall distribution that each state starts with
 TOKENS_AT_ONCE = 400_000
-END, RARE = 0, 1        # classes; frequent words follow
+END = 0                 # place of the end in every block; words follow
 
 
 def held_out(col: str = "doc_id"):
@@ -47,120 +49,202 @@ def held_out(col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
+def _planes(tokens) -> bytes:
+    """All lowest bytes, then all second ones and so on: the high ones are mostly 0 and take no disk."""
+    import numpy as np
+
+    return tokens.view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _key(text: str) -> int:
-    import xxhash
+def _tokens(planes):
+    import numpy as np
 
-    return _signed(xxhash.xxh3_64_intdigest(text))
+    return np.ascontiguousarray(np.frombuffer(planes.as_buffer(), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(h, c): how often each word occurs."""
+def _blocks(texts: DataFrame) -> DataFrame:
+    """(block, train, doc_id, held_out, tokens, words, counts): a row for each text with its tokens, places
+    in the words of its block, the end last; and a row for each block (tokens null) with its
+    distinct words, the commonest first, and their counts."""
     import pyarrow as pa
 
+    names = ["block", "train", "doc_id", "held_out", "tokens", "words", "counts"]
+
     def run(batches):
         import numpy as np
+        from pyspark import TaskContext
+
+        first, made = TaskContext.get().partitionId() << 32, 0
+        held: dict = {True: [], False: []}  # (ids, held out, hashes, lengths) of slices of texts
+        size = {True: 0, False: 0}
+
+        def rows(train):
+            words, at, c = np.unique(np.concatenate([x[1] for x in held[train]]), return_inverse=True, return_counts=True)
+            order = np.argsort(-c, kind="stable")
+            words, c, rank = words[order], c[order], np.argsort(order).astype(np.uint32)
+            lengths = np.concatenate([x[2] for x in held[train]])
+            ids = pa.concat_arrays([x[0] for x in held[train]])
+            held[train].clear()
+            size[train] = 0
+            stops = np.cumsum(lengths)
+            t = np.insert(rank[at.ravel()] + np.uint32(1), stops, np.uint32(END))
+            ends = stops + np.arange(1, len(stops) + 1)
+            out = [_planes(t[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+            n, none = len(out), [None] * len(out)
+            return pa.RecordBatch.from_arrays([
+                pa.array([first + made] * (n + 1), pa.int64()), pa.array([train] * (n + 1)), pa.concat_arrays([ids, pa.nulls(1, pa.int64())]),
+                pa.array([not train] * (n + 1)), pa.array([*out, None], pa.binary()),
+                pa.array([*none, words.tobytes()], pa.binary()), pa.array([*none, c.astype(np.int64).tobytes()], pa.binary())], names=names)
 
-        def rows():
-            h, at = np.unique(np.concatenate(held), return_inverse=True)
-            c = np.bincount(at, np.concatenate(times), len(h)).astype(np.int64)
-            held.clear()
-            times.clear()
-            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], names=["h", "c"])
-
-        held: list = []
-        times: list = []
-        n = 0
         for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                h, c = np.unique(word_hashes(whole.column(0).slice(at, 2048).to_pylist())[0], return_counts=True)
-                held.append(h)
-                times.append(c)
-                n += len(h)
-                if n > 2_000_000:
-                    yield rows()
-                    n = 0
-        if n:
-            yield rows()
-
-    return texts.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-
-
-def _commonest(counts: DataFrame, n: int) -> DataFrame:
-    """The commonest words, at most ``n``: all above a count that a histogram gives (64 bins for each
-    doubling, so a bounded table), and by their hash a part of those in the bin at the edge.  No task sorts all words."""
-    level = F.floor(F.log2("c") * 64).cast("int")
-    bins = sorted(((r["b"], r["count"]) for r in counts.groupBy(level.alias("b")).count().collect()), reverse=True)
-    room, edge, share = n, None, 0.0
-    for b, size in bins:
-        if size > room:
-            edge, share = b, max(0.0, (room - 4 * room ** 0.5) / size)
-            break
-        room -= size
-    if edge is None:
-        return counts
-    part = F.shiftrightunsigned(F.xxhash64("h"), 11) < F.lit(int(share * 2**53))
-    return counts.where((level > edge) | ((level == edge) & part))
-
-
-def _class_of(h, frequent):
-    """Classes of word hashes; ``frequent`` has the sorted hashes of the frequent words and their classes."""
+            for at in range(0, whole.num_rows, 512):
+                rb = whole.slice(at, 512)
+                h, stops = word_hashes(rb.column(2).to_pylist())
+                lengths = np.diff(stops, prepend=0)
+                out = rb.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                of = np.repeat(out, lengths)
+                for train in (True, False):
+                    pick = out != train
+                    if pick.any():
+                        held[train].append((rb.column(0).filter(pa.array(pick)), h[of != train], lengths[pick]))
+                        size[train] += int(lengths[pick].sum()) + int(pick.sum())
+                        if size[train] >= BLOCK:
+                            yield rows(train)
+                            made += 1
+        for train in (True, False):
+            if held[train]:
+                yield rows(train)
+                made += 1
+
+    return texts.mapInArrow(run, "block long, train boolean, doc_id long, held_out boolean, tokens binary, words binary, counts binary")
+
+
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """(h, c): how often each word occurs in blocks of training texts."""
+    import pyarrow as pa
+
+    def run(batches):
+        import numpy as np
+
+        for rb in batches:
+            for w, c in zip(rb.column(0), rb.column(1), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_buffer(), np.int64)) for x in (w, c)], names=["h", "c"])
+
+    return blocks.where("words is not null").select("words", "counts").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+
+
+def _noise(h, states: int):
+    """Normal draws of each word and state: a function of the word's hash only."""
     import numpy as np
 
-    keys, classes = frequent
-    if not len(keys):
-        return np.full(len(h), RARE, np.uint16)
-    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-    return np.where(keys[at] == h, classes[at], np.uint16(RARE))
+    k = np.arange(1, states + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    u, v = (((mix((h[:, None] + k[None, :]) ^ np.uint64(seed)) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53 for seed in (11, 0xA5A5))
+    return np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v)
 
 
-def _classes(texts: DataFrame, frequent) -> DataFrame:
-    """(doc_id, held_out, key, classes): two bytes a token, the end last."""
+def _by_bucket(counts: DataFrame, bits: int) -> DataFrame:
+    """(bucket, words, counts): the vocabulary, one row a bucket, words in order."""
+    import numpy as np
     import pyarrow as pa
 
-    def run(batches):
-        import numpy as np
+    def run(group):
+        h, c = (group.column(x).to_numpy() for x in ("h", "c"))
+        order = np.argsort(h.view(np.uint64))
+        return pa.table([group.column("bucket").slice(0, 1), *(pa.array([x[order].tobytes()], pa.binary()) for x in (h, c))], names=["bucket", "words", "counts"])
+
+    return counts.select(F.shiftrightunsigned("h", 64 - bits).cast("int").alias("bucket"), "h", "c").groupBy("bucket").applyInArrow(run, "bucket int, words binary, counts binary")
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                rb = whole.slice(at, 512)
-                strings = rb.column(2).to_pylist()
-                h, stops = word_hashes(strings)
-                c = np.insert(_class_of(h, frequent.value), stops, np.uint16(END))
-                ends = stops + np.arange(1, len(stops) + 1)
-                starts = np.concatenate([[0], ends[:-1]])
-                out = [c[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(list(map(_key, strings)), pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "held_out", "key", "classes"])
 
-    return texts.mapInArrow(run, "doc_id long, held_out boolean, key long, classes binary")
+BUCKET = "bucket int, counts binary, emit binary, sums array<double>"
 
 
-def _rare_words(texts: DataFrame, frequent) -> DataFrame:
-    """(key, h, n): rare words of each text."""
+def _bucket_row(bucket, counts, emit, sums):
+    import numpy as np
     import pyarrow as pa
 
+    raw = [pa.array([x.tobytes()], pa.binary()) for x in (counts, emit.astype(np.float32))]
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *raw, pa.array([np.asarray(sums, float).ravel().tolist()], pa.list_(pa.float64()))], names=["bucket", "counts", "emit", "sums"])
+
+
+def _first_table(vocabulary: DataFrame, states: int) -> DataFrame:
+    """The emission table before the first round, not divided by its ``sums``: one row a bucket."""
+    import numpy as np
+
     def run(batches):
-        import numpy as np
+        for rb in batches:
+            for bucket, w, c in zip(rb.column(0).to_pylist(), rb.column(1), rb.column(2), strict=True):
+                c = np.frombuffer(c.as_buffer(), np.int64)
+                emit = (c + 0.1)[:, None] * np.exp(_noise(np.frombuffer(w.as_buffer(), np.uint64), states))
+                yield _bucket_row(bucket, c, emit, emit.sum(axis=0))
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                strings = whole.column(2).slice(at, 512).to_pylist()
-                h, stops = word_hashes(strings)
-                text = np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0))
-                rare = _class_of(h, frequent.value) == RARE
-                h, text = h[rare].view(np.int64), text[rare]
-                if len(h):
-                    order = np.lexsort((h, text))
-                    h, text = h[order], text[order]
-                    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])]))
-                    n = np.diff(np.concatenate([first, [len(h)]])).astype(np.int32)
-                    keys = np.array([_key(s) for s in strings], np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[text[first]]), pa.array(h[first]), pa.array(n)], names=["key", "h", "n"])
-
-    return texts.mapInArrow(run, "key long, h long, n int")
+    return vocabulary.select("bucket", "words", "counts").mapInArrow(run, BUCKET)
+
+
+def _places(blocks: DataFrame, vocabulary: DataFrame, bits: int) -> DataFrame:
+    """(bucket, block, train, at): where a block's words, in order of their hashes, are in their buckets; -1 for unknown words."""
+    import numpy as np
+    import pyarrow as pa
+
+    form = "bucket int, block long, train boolean, words binary"
+
+    def cut(batches):
+        for rb in batches:
+            for block, train, w in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), rb.column(2), strict=True):
+                h = np.sort(np.frombuffer(w.as_buffer(), np.uint64))
+                own, first = np.unique(h >> np.uint64(64 - bits), return_index=True)
+                stops = [*first.tolist(), len(h)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(own.astype(np.int32)), pa.array([block] * len(own), pa.int64()), pa.array([train] * len(own), pa.bool_()),
+                    pa.array([h[a:b].tobytes() for a, b in zip(stops[:-1], stops[1:], strict=True)], pa.binary())], names=["bucket", "block", "train", "words"])
+
+    def run(left, right):
+        own = np.frombuffer(left.column("words")[0].as_buffer(), np.uint64) if left.num_rows else np.zeros(0, np.uint64)
+        out = []
+        for w in right.column("words"):
+            h = np.frombuffer(w.as_buffer(), np.uint64)
+            at = np.searchsorted(own, h)
+            here = own[np.minimum(at, len(own) - 1)] == h if len(own) else np.zeros(len(h), bool)
+            out.append(np.where(here, at, -1).astype(np.int32).tobytes())
+        return right.drop_columns(["words"]).append_column("at", pa.array(out, pa.binary()))
+
+    asked = blocks.where("words is not null").select("block", "train", "words").mapInArrow(cut, form)
+    return vocabulary.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(run, "bucket int, block long, train boolean, at binary")
+
+
+def _answers(table: DataFrame, places: DataFrame, states: int, with_counts: bool) -> DataFrame:
+    """(block, bucket, at, emit, counts): the emissions of a block's words in a bucket; unknown words have 0."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(left, right):
+        c, emit = np.zeros(0, np.int64), np.zeros((0, states), np.float32)
+        if left.num_rows:
+            c = np.frombuffer(left.column("counts")[0].as_buffer(), np.int64)
+            emit = np.frombuffer(left.column("emit")[0].as_buffer(), np.float32).reshape(-1, states)
+        c, emit = np.append(c, 0), np.concatenate([emit, np.zeros((1, states), np.float32)])  # for -1
+        ats = [np.frombuffer(x.as_buffer(), np.int32) for x in right.column("at")]
+        return pa.table({
+            "block": right.column("block"), "bucket": right.column("bucket"), "at": right.column("at"), "emit": pa.array([emit[at].tobytes() for at in ats], pa.binary()),
+            "counts": pa.array([c[at].tobytes() if with_counts else None for at in ats], pa.binary())})
+
+    form = "block long, bucket int, at binary, emit binary, counts binary"
+    return table.where("bucket >= 0").groupBy("bucket").cogroup(places.groupBy("bucket")).applyInArrow(run, form)
+
+
+def _block_model(model, words, answers):
+    """(parameters, order, answers in order): parameters over the places of a block, the end and then its words;
+    ``order`` has the places of its words by their hashes, as the answers are."""
+    import numpy as np
+
+    start, move, end, unknown, sums = model
+    own = next((np.frombuffer(w.as_buffer(), np.uint64) for w in words if w.is_valid), np.zeros(0, np.uint64))
+    order = np.argsort(own)
+    answers = answers.take(np.argsort(answers.column("bucket").to_numpy()))
+    at = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_buffer(), np.int32) for x in answers.column("at"))])
+    e = np.concatenate([np.zeros((0, len(sums)), np.float32), *(np.frombuffer(x.as_buffer(), np.float32).reshape(-1, len(sums)) for x in answers.column("emit"))])
+    emit = np.empty((len(own) + 1, len(sums)))
+    emit[END], emit[1 + order] = end / sums, np.where((at < 0)[:, None], unknown, e) / sums
+    return Parameters(start, move, emit).packed(), order, answers
 
 
 @dataclass
@@ -177,16 +261,14 @@ class Parameters:
         return Parameters(*(np.ascontiguousarray(x, np.float32) for x in (self.start, self.move, self.emit)))
 
 
-def first_guess(overall, states: int, seed: int = 11) -> Parameters:
-    """States that stay, with emissions around the overall distribution."""
+def first_guess(states: int):
+    """States that stay: (start, move)."""
     import numpy as np
 
-    rng = np.random.default_rng(seed)
-    emit = overall[:, None] * np.exp(rng.normal(0, 1.0, (len(overall), states)))
     stay = 0.9 if states > 1 else 1.0
     move = np.full((states, states), (1 - stay) / max(states - 1, 1))
     np.fill_diagonal(move, stay)
-    return Parameters(np.full((2, states), 1 / states), move, emit / emit.sum(axis=0))
+    return np.full((2, states), 1 / states), move
 
 
 def _side_by_side(sequences):
@@ -254,32 +336,29 @@ def expected_counts(windows, later, p: Parameters):
     return start, move, emit
 
 
-def _round(rows: DataFrame, p: Parameters) -> Parameters:
-    """Expected counts over all training rows."""
+def _round(blocks: DataFrame, table: DataFrame, places: DataFrame, model, total: float, so_far: DataFrame | None) -> DataFrame:
+    """``so_far`` and what one round over these training blocks adds to it: the next emission table, and in rows of
+    negative buckets the sums of starts, moves and ends."""
     import numpy as np
     import pyarrow as pa
 
-    sent = rows.sparkSession.sparkContext.broadcast(p.packed())
-    shape = [x.shape for x in (p.start, p.move, p.emit)]
-    length = sum(a * b for a, b in shape)
-    width = -(-length // PARTS)
-    form = "part int, sums binary"
+    states = len(model[4])
+    sent = blocks.sparkSession.sparkContext.broadcast(model)
 
-    def batch(parts, sums):
-        return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in sums], pa.binary())], names=["part", "sums"])
-
-    def run(batches):
-        total, windows, later, n = np.zeros(PARTS * width), [], [], 0
+    def learn(left, right):
+        p, order, right = _block_model(sent.value, left.column("words"), right)
+        start, move, emit = np.zeros((2, states)), np.zeros((states, states)), np.zeros(p.emit.shape)
+        windows, later, n = [], [], 0
 
         def flush():
-            got = expected_counts(windows, later, sent.value)
-            total[:length] += np.concatenate([x.ravel() for x in got])
+            for whole, part in zip((start, move, emit), expected_counts(windows, later, p), strict=True):
+                whole += part
             windows.clear()
             later.clear()
 
-        for rb in batches:
-            for k in range(rb.num_rows):
-                c = np.frombuffer(rb.column(0)[k].as_buffer(), np.uint16)
+        for x in left.column("tokens"):
+            if x.is_valid:
+                c = _tokens(x)
                 for at in range(0, len(c), WINDOW):
                     windows.append(c[at:at + WINDOW])
                     later.append(at > 0)
@@ -289,92 +368,109 @@ def _round(rows: DataFrame, p: Parameters) -> Parameters:
                     n = 0
         if windows:
             flush()
-        if total.any():
-            yield batch(np.arange(PARTS), total.reshape(PARTS, width))
-
-    def add(batches):
-        sums: dict = {}
-        for rb in batches:
-            for part, x in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
-                sums[part] = sums.get(part, 0) + np.frombuffer(x, np.float32).astype(float)
-        if sums:
-            yield batch(list(sums), sums.values())
-
-    got = {r["part"]: np.frombuffer(r["sums"], np.float32) for r in rows.select("classes").mapInArrow(run, form).repartition(16, "part").mapInArrow(add, form).collect()}
-    flat = np.concatenate([got.get(k, np.zeros(width)) for k in range(PARTS)]).astype(float)[:length]
-    out, at = [], 0
-    for a, b in shape:
-        out.append(flat[at:at + a * b].reshape(a, b))
-        at += a * b
-    return Parameters(*out)
-
-
-def _maximised(counts: Parameters, overall) -> Parameters:
-    states = counts.move.shape[0]
-    start = counts.start + 1.0 / states
-    move = counts.move + 1.0 / states
-    emit = counts.emit + PRIOR * overall[:, None]
-    return Parameters(start / start.sum(axis=1, keepdims=True), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+        stops = np.cumsum([0, *(len(x.as_buffer()) // 4 for x in right.column("at"))]).tolist()
+        own = emit[1 + order].astype(np.float32)
+        small = np.concatenate([start.ravel(), move.ravel(), emit[END]])
+        return pa.table({
+            "bucket": pa.array([*right.column("bucket").to_pylist(), -1 - left.column("block")[0].as_py() % PARTS], pa.int32()),
+            "at": pa.array([*right.column("at").to_pylist(), b""], pa.binary()),
+            "emit": pa.array([*(own[a:b].tobytes() for a, b in zip(stops[:-1], stops[1:], strict=True)), small.tobytes()], pa.binary())})
+
+    def add(left, right):
+        bucket = (left if left.num_rows else right).column("bucket")[0].as_py()
+        if bucket < 0:
+            none = np.zeros(0, np.int64)
+            return pa.table([*_bucket_row(bucket, none, none, sum((np.frombuffer(x.as_buffer(), float) for x in right.column("emit")), np.array(left.column("sums")[0].as_py()) if left.num_rows else 0.0)).columns], names=names)
+        c = np.frombuffer(left.column("counts")[0].as_buffer(), np.int64)
+        before = left.column("emit")[0]
+        emit = np.frombuffer(before.as_buffer(), np.float32).reshape(-1, states).astype(float) if before.is_valid else np.repeat((PRIOR * (c + 0.1) / total)[:, None], states, axis=1)
+        for at, g in zip(right.column("at"), right.column("emit"), strict=True):  # a block's words are distinct
+            emit[np.frombuffer(at.as_buffer(), np.int32)] += np.frombuffer(g.as_buffer(), np.float32).reshape(-1, states)
+        return pa.table([*_bucket_row(bucket, c, emit, emit.sum(axis=0)).columns], names=names)
+
+    names = ["bucket", "counts", "emit", "sums"]
+    answers = _answers(table, places, states, False)
+    learnt = blocks.select("block", "tokens", "words").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(learn, "bucket int, at binary, emit binary")
+    old = table.where("bucket >= 0").select("bucket", "counts", F.lit(None).cast("binary").alias("emit"), F.lit(None).cast("array<double>").alias("sums")) if so_far is None else so_far
+    return old.groupBy("bucket").cogroup(learnt.groupBy("bucket")).applyInArrow(add, BUCKET)
 
 
 def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, frequent: int = FREQUENT) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row.  ``frequent`` only sizes the buckets."""
     import numpy as np
     import pyarrow as pa
 
-    context = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_or_empty().alias("text"))
-    train = texts.where(~F.col("held_out"))
-    counts = kept(word_counts(train), "hmm-counts")
-    n_docs = train.count()
-    known = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n, v = known["n"] + n_docs, known["v"] + (n_docs > 0)
-    top = [(r["h"], r["c"]) for r in _commonest(counts, frequent).collect()]  # bounded by ``frequent``
-    top.sort(key=lambda x: (-x[1], x[0]))
-    hashes = np.array([h for h, _ in top], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    class_of = context.broadcast((hashes[order], (order + 2).astype(np.uint16)))
-    rare_words, rare_total = known["v"] - len(top), known["n"] - sum(c for _, c in top)
-    rare_mass = rare_total + 0.1 * rare_words + 0.1
-    mass = np.array([n_docs + 0.1, rare_mass, *(c + 0.1 for _, c in top)])
-    overall = mass / mass.sum()
-
-    rows = kept(_classes(texts, class_of), "hmm-classes")
-    p = first_guess(overall, states)
+    blocks = kept(_blocks(texts), "hmm-blocks")
+    train = blocks.where("train")
+    size = train.agg(F.count("tokens").alias("docs"), F.coalesce(F.sum(F.length("tokens") / 4), F.lit(0)).cast("long").alias("n"), F.coalesce(F.sum(F.length("words") / 8), F.lit(0)).cast("long").alias("asks")).first()
+    n_docs, n = size["docs"], size["n"]
+    bits = max(6, int(size["asks"] / (ASKED * frequent)).bit_length())
+    vocabulary = kept(_by_bucket(word_counts(train), bits), "hmm-words")
+    v_words = vocabulary.agg(F.coalesce(F.sum(F.length("words") / 8), F.lit(0)).cast("long")).first()[0]
+    total = n + 0.1 * (v_words + 2)
+    places = kept(_places(blocks, vocabulary, bits), "hmm-places")
+
+    place = f"{checkpoint_dir(spark)}/hmm-emissions-{uuid.uuid4().hex}"
+
+    def turned(df, k):
+        """Three folders in turn hold the table and the next one as it grows, so that they take their disk thrice and not once a pass."""
+        with cleaned(spark):
+            df.write.mode("overwrite").parquet(f"{place}-{k}")
+        return spark.read.schema(df.schema).parquet(f"{place}-{k}")
+
+    def of_pass(df, g):
+        return df.where(F.pmod(F.xxhash64("block"), F.lit(PASSES)) == g)
+
+    def summed(df):
+        rows = [r["sums"] for r in df.select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).orderBy("k").agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias("sums")).collect()]
+        return np.array([r["x"] for r in rows[0]]) if rows and rows[0] else None
+
+    start, move = first_guess(states)
+    end, unknown = np.array([n_docs + 0.1, 0.1])[:, None] * np.exp(_noise(np.array([1, 2], np.uint64), states))
+    table = turned(_first_table(vocabulary, states), 0)
+    words = summed(table)
+    model = (start, move, end, unknown, end + unknown + (0 if words is None else words))
+    asked = places.where("train")
+    at = 0
     for _ in range(rounds if n_docs else 0):
-        p = _maximised(_round(rows.where(~F.col("held_out")), p), overall)
-    model = context.broadcast((p.packed(), np.log10(mass)))
-
-    def forward(batches):
-        for whole in batches:
-            sequences = [np.frombuffer(b, np.uint16) for b in whole.column(3).to_pylist()]
-            model_p, logs = model.value
-            got, at = [], 0
-            while at < len(sequences):
-                to, size = at, 0
-                while to < len(sequences) and (to == at or size + len(sequences[to]) <= 4 * TOKENS_AT_ONCE):
-                    size += len(sequences[to])
-                    to += 1
-                got.append(log_likelihoods(sequences[at:to], model_p) / np.log(10))
-                at = to
-            own = [(len(s), int((s == RARE).sum()), float(logs[s[s != RARE]].sum())) for s in sequences]
-            cols = [np.array(x) for x in zip(*own, strict=True)] if own else [np.zeros(0)] * 3
-            yield pa.RecordBatch.from_arrays([
-                whole.column(0), whole.column(1), whole.column(2), pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)),
-                pa.array(cols[2].astype(float)), pa.array(np.concatenate(got) if got else np.zeros(0))], names=["doc_id", "held_out", "key", "n_tokens", "n_rare", "common_log", "forward"])
-
-    each = kept(rows.mapInArrow(forward, "doc_id long, held_out boolean, key long, n_tokens long, n_rare long, common_log double, forward double"), "hmm-forward")
-    found = _rare_words(texts, class_of).join(counts, "h", "left").select(
-        "key", (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("rare_log"),
-        F.when(F.col("c") > 0, F.col("n").cast("long")).otherwise(0).alias("rare_known"), F.lit(0).alias("copies"))
-    # equal texts share a key: sums are over all copies, and the copies are counted
-    ones = each.where("n_rare > 0").select("key", F.lit(0.0).alias("rare_log"), F.lit(0).cast("long").alias("rare_known"), F.lit(1).alias("copies"))
-    by_text = found.unionByName(ones).groupBy("key").agg(F.sum("rare_log").alias("rare_log"), F.sum("rare_known").alias("rare_known"), F.sum("copies").alias("copies"))
-    by_text = by_text.select("key", (F.col("rare_log") / F.col("copies")).alias("rare_log"), (F.col("rare_known") / F.col("copies")).cast("long").alias("rare_known"))
-    out = each.join(by_text, "key", "left")
-    rare_log, rare_known = F.coalesce("rare_log", F.lit(0.0)), F.coalesce("rare_known", F.lit(0).cast("long"))
-    common = F.col("n_tokens") - F.col("n_rare") - (0 if n_docs else 1)
-    return out.select(
-        "doc_id", "held_out", "n_tokens", (common + rare_known).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("common_log") + rare_log - F.col("n_tokens") * F.log10(F.lit(n + 0.1 * (v + 1)))).alias("base_score"),
-        (F.col("forward") + rare_log - F.col("n_rare") * F.log10(F.lit(rare_mass))).alias("score"))
+        grown, free = None, [k for k in range(3) if k != at]
+        for g in range(PASSES):
+            grown = turned(_round(of_pass(train, g), table, of_pass(asked, g), model, total, grown), free[g % 2])
+        table, at = grown, free[(PASSES - 1) % 2]
+        small = summed(table.where("bucket < 0"))
+        start, move, end = small[:2 * states].reshape(2, states) + 1.0 / states, small[2 * states:-states].reshape(states, states) + 1.0 / states, small[-states:]
+        words = summed(table.where("bucket >= 0"))
+        end, unknown = end + PRIOR * (n_docs + 0.1) / total, np.full(states, PRIOR * 0.1 / total)
+        model = (start / start.sum(axis=1, keepdims=True), move / move.sum(axis=1, keepdims=True), end, unknown, end + unknown + (0 if words is None else words))
+    sent = spark.sparkContext.broadcast(model)
+
+    def forward(left, right):
+        p, order, right = _block_model(sent.value, left.column("words"), right)
+        c = np.full(len(p.emit), n_docs)
+        c[1 + order] = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_buffer(), np.int64) for x in right.column("counts"))])
+        seen, logs = c > 0, np.log10(c + 0.1) - np.log10(total if n_docs else 0.1)
+        rows = left.filter(left.column("tokens").is_valid())
+        sequences = [_tokens(x) for x in rows.column("tokens")]
+        got, at = [np.zeros(0)], 0
+        while at < len(sequences):
+            to, size = at, 0
+            while to < len(sequences) and (to == at or size + len(sequences[to]) <= 4 * TOKENS_AT_ONCE):
+                size += len(sequences[to])
+                to += 1
+            got.append(log_likelihoods(sequences[at:to], p) / np.log(10))
+            at = to
+        return pa.table({
+            "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": pa.array([len(s) for s in sequences], pa.int64()),
+            "n_known": pa.array([int(seen[s].sum()) for s in sequences], pa.int64()), "train_tokens": pa.array([n] * len(sequences), pa.int64()),
+            "base_score": pa.array([float(logs[s].sum()) for s in sequences], pa.float64()), "score": pa.array(np.concatenate(got))})
+
+    form = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    out = None
+    for g in range(PASSES):
+        answers = _answers(table, of_pass(places, g), states, True)
+        scored = of_pass(blocks, g).select("block", "doc_id", "held_out", "tokens", "words").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(forward, form)
+        scored = kept(scored, "hmm-scores")
+        out = scored if out is None else out.unionByName(scored)
+    return out

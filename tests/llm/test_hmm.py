@@ -83,3 +83,23 @@ def test_nothing_to_learn(spark):
     for r in hmm.scores(df).collect():
         assert (r.n_tokens, r.n_known, r.train_tokens) == (2, 0, 0) and r.base_score == 0 and math.isfinite(r.score)
     assert hmm.scores(df.limit(0)).collect() == []
+
+
+def test_every_word_has_emissions(spark):
+    """Words of a vocabulary far above ``frequent``, each seen three times, all help to tell the two kinds of text apart."""
+    rnd = random.Random(9)
+    kinds = [[f"{x}{k}" for k in range(400)] for x in "ab"]
+    deal = [w for k in kinds for w in [k * 3]]
+    rows, at = [], 0
+    for words in deal:
+        rnd.shuffle(words)
+        for k in range(0, len(words), 20):
+            while zlib.crc32(str(at).encode()) % 10 == 0:
+                at += 1
+            rows.append((at, " ".join(words[k:k + 20])))
+            at += 1
+    held = [k for k in range(10_000, 20_000) if zlib.crc32(str(k).encode()) % 10 == 0]
+    pure = [(held[k], " ".join(rnd.sample(kinds[k % 2], 20))) for k in range(40)]
+    mixed = [(held[100 + k], " ".join(w for pair in zip(rnd.sample(kinds[0], 10), rnd.sample(kinds[1], 10)) for w in pair)) for k in range(40)]
+    got = {r.doc_id: r.score for r in hmm.scores(spark.createDataFrame(rows + pure + mixed, "doc_id long, text string"), states=2, frequent=10, rounds=20).collect()}
+    assert min(got[k] for k, _ in pure) > max(got[k] for k, _ in mixed)
