@@ -1009,7 +1009,7 @@ _reg("fold_auc", _fsql(W(*_BIN, "fb AS (SELECT *, CAST((row_number() OVER (PARTI
 # ------------------------------------------------------ models N1-N14, A7
 from cartcast.operators import model as MD  # noqa: E402
 
-_GBT_Q = MD.GBTParams(max_iter=40, patience=10)
+_GBT_Q = MD.GBTParams(max_iter=10_000, patience=10)  # the patience ends it
 
 
 def _compact(spark, sf, ym=TARGET):
@@ -1018,13 +1018,13 @@ def _compact(spark, sf, ym=TARGET):
 
 
 def _oof(spark, sf):
-    fs, tr, te = _compact(spark, sf)
+    fs, tr, te = _full_scaled(spark, sf)
     r = MD.oof_predictions(tr, te, fs.features, folds=10, params=_GBT_Q)
     return r.oof
 
 
 def _gbt(spark, sf):
-    fs, tr, te = _compact(spark, sf)
+    fs, tr, te = _full_scaled(spark, sf)
     return MD.gbt_scores(tr, te, fs.features, params=_GBT_Q)
 
 
@@ -1080,12 +1080,12 @@ def _multitask(spark, sf):
 
 
 def _model_selection(spark, sf):
-    fs, tr, te = _compact(spark, sf)
-    return MD.model_selection(tr, fs.features, folds=3)
+    fs, tr, te = _full_scaled(spark, sf)
+    return MD.model_selection(tr, fs.features, folds=10)
 
 
 def _learning_curve(spark, sf):
-    fs, tr, te = _compact(spark, sf)
+    fs, tr, te = _full_scaled(spark, sf)
     return MD.learning_curve(tr, fs.features, params=MD.GBTParams(max_iter=30, early_stop=False))
 
 
@@ -1098,7 +1098,7 @@ def _full_scaled(spark, sf, ym=TARGET):
 
 def _submission_run(spark, sf):
     fs, tr, te = _full_scaled(spark, sf)
-    return te, MD.oof_predictions(tr, te, fs.features, folds=10, params=MD.GBTParams(max_iter=20, patience=5))
+    return te, MD.oof_predictions(tr, te, fs.features, folds=10, params=_GBT_Q)
 
 
 def _pipeline_submission(spark, sf):
@@ -1108,15 +1108,15 @@ def _pipeline_submission(spark, sf):
 
 
 def _model_importance(spark, sf):
-    fs, tr, te = _compact(spark, sf)
-    r = MD.oof_predictions(tr, te, fs.features, folds=5, params=_GBT_Q)
+    fs, tr, te = _full_scaled(spark, sf)
+    r = MD.oof_predictions(tr, te, fs.features, folds=10, params=_GBT_Q)
     return RP.importance_ranked(RP.importance_mean(r.importance))
 
 
 def _backtest(spark, sf):
     # Build at the previous month, score it and compare with its known labels
     fs, tr, te = _full_scaled(spark, sf, TRAIN)
-    r = MD.oof_predictions(tr, te, fs.features, folds=5, params=MD.GBTParams(max_iter=20, patience=5))
+    r = MD.oof_predictions(tr, te, fs.features, folds=10, params=_GBT_Q)
     scored = te.select("customer_id", "label").join(r.test, "customer_id")
     auc = MT.roc_auc(scored, "label", "probability")
     thr = MT.threshold_metrics(scored, "label", "probability")
@@ -1124,7 +1124,7 @@ def _backtest(spark, sf):
 
 
 def _roundtrip(spark, sf):
-    fs, tr, te = _compact(spark, sf)
+    fs, tr, te = _full_scaled(spark, sf)
     return MD.save_load_roundtrip(tr, te, fs.features, IO.scratch_path(spark, "model"))
 
 

@@ -62,15 +62,20 @@ def best_iteration(losses: Sequence[float], patience: int) -> int:
 
 
 def fit_boosted(frame: DataFrame, params: GBTParams, label: str = "label", valid_col: str | None = None):
-    """Boost up to the limit on the rows outside the validation share, find the best
-    iteration on that share, and keep only the trees up to it (boosting with the
-    same seed makes the same first trees)."""
+    """Boost on the rows outside the validation share, in steps of twice the trees until the
+    patience or the limit ends it, find the best iteration on that share, and keep only the trees up to it
+    (boosting with the same seed makes the same first trees)."""
     if not (valid_col and params.early_stop):
         return params.classifier(label=label).fit(frame)
-    fit_df = frame.where(~F.col(valid_col))
-    model = params.classifier(label=label).fit(fit_df)
-    losses = model.evaluateEachIteration(frame.where(F.col(valid_col)))  # one value per tree: bounded by max_iter
-    n = best_iteration(losses, params.patience)
+    fit_df, valid_df = frame.where(~F.col(valid_col)), frame.where(F.col(valid_col))
+    trees = min(params.max_iter, 2 * params.patience)
+    while True:
+        model = params.classifier(label=label, trees=trees).fit(fit_df)
+        losses = model.evaluateEachIteration(valid_df)  # one value per tree: bounded by max_iter
+        n = best_iteration(losses, params.patience)
+        if n + params.patience <= len(losses) or trees >= params.max_iter:
+            break
+        trees = min(params.max_iter, 2 * trees)
     return model if n == len(losses) else params.classifier(label=label, trees=n).fit(fit_df)
 
 

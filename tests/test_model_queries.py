@@ -1,0 +1,48 @@
+from types import SimpleNamespace
+
+import __spark_entry__ as E
+import pytest
+from cartcast.operators import model as MD
+
+
+@pytest.mark.parametrize("name, fit, folds", [
+    ("_oof", "oof_predictions", 10), ("_gbt", "gbt_scores", None), ("_model_importance", "oof_predictions", 10), ("_model_selection", "model_selection", 10),
+    ("_learning_curve", "learning_curve", None), ("_submission_run", "oof_predictions", 10), ("_backtest", "oof_predictions", 10), ("_roundtrip", "save_load_roundtrip", None)])
+def test_model_queries_fit_the_full_builder(monkeypatch, name, fit, folds):
+    class Seen(Exception):
+        pass
+
+    def stop(*args, **kw):
+        raise Seen(args, kw)
+
+    monkeypatch.setattr(E, "_full_scaled", lambda *a: (SimpleNamespace(features=["full"]), "tr", "te"))
+    monkeypatch.setattr(E.IO, "scratch_path", lambda *a: "path")
+    monkeypatch.setattr(MD, fit, stop)
+    with pytest.raises(Seen) as e:
+        getattr(E, name)(None, None)
+    args, kw = e.value.args
+    assert ["full"] in args and kw.get("folds") == folds
+    if "params" in kw and kw["params"].early_stop:
+        assert kw["params"].max_iter >= 10_000, "the patience ends the boosting"
+
+
+def test_boosting_goes_on_until_the_patience_ends_it():
+    losses, fits = [1 / (1 + k) if k < 30 else 1.0 for k in range(1000)], []
+
+    class Params(MD.GBTParams):
+        def classifier(self, trees=None, **kw):
+            fits.append(trees)
+            return SimpleNamespace(fit=lambda frame: SimpleNamespace(trees=trees, evaluateEachIteration=lambda f: losses[:trees]))
+
+    class Frame:
+        def where(self, _):
+            return self
+
+    class Col:
+        def __invert__(self):
+            return self
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(MD.F, "col", lambda c: Col())
+        assert MD.fit_boosted(Frame(), Params(max_iter=10_000, patience=5), valid_col="v").trees == 30
+    assert fits == [10, 20, 40, 30]
