@@ -19,7 +19,8 @@ Scores are cosines of the original vectors in double precision, summed per row i
 equal vectors tie exactly; ties go to the smaller id.
 
 Defined results: null vectors, zero vectors, and vectors with null or non-finite components or another length than
-most take no part, as have rows with a null id; repeated ids are candidates each; a query never meets rows of its own id;
+most take no part, as have rows with a null id; repeated ids are candidates each; equal query rows are one query, and an id with
+several vectors gets the k best over all of them, a candidate once for each vector; a query never meets rows of its own id;
 extra columns are ignored; empty tables give empty results.
 """
 
@@ -258,7 +259,7 @@ def search(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", col: str
     enough = calibrated(tree, sizes, probes, index, k, target)
     sent = spark.sparkContext.broadcast((tree, sizes))
 
-    queries = vectors.where(is_query)
+    queries = vectors.where(is_query).select("id", "v").distinct()
     bin_of = _bins(sizes)
     found = _met(_visits(queries, lambda v: sent.value[0].best_bins(v / np.linalg.norm(v), sent.value[1], max(enough, 2 * k)), bin_of), index, sizes, bin_of, k)
     first = kept(_merged(found, k), "ann-found")

@@ -64,3 +64,11 @@ def test_tree_leads_each_vector_to_one_leaf(monkeypatch):
     assert len(set(leaf.tolist())) > 10
     order = t.best_bins(x[0], np.ones(len(t.leaf_of)), float("inf"))
     assert sorted(order) == sorted(t.leaf_of.values()) and order[0] == leaf[0]
+
+
+def test_repeated_query_rows(spark):
+    """A query row that comes twice still gets five different neighbours."""
+    rows = [(50, [1.0, 0.0])] * 2 + [(k, [1.0, 0.1 * k]) for k in range(1, 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r["rank"], r.vec_id) for r in ann.search(df, F.col("id") % 50 == 0).collect() if r.query_id == 50)
+    assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
