@@ -201,3 +201,10 @@ def op10_kmeans_tree_search(spark, sf):
     from cartcast.llm import ann
 
     return ann.search(table(spark, sf, "embeddings"), F.col("id") % 50 == 0)
+
+
+@_query
+def op11_secular_whitening(spark, sf):
+    from cartcast.llm import whiten
+
+    return whiten.whitened(table(spark, sf, "embeddings"))
