@@ -43,13 +43,13 @@ def cleaned(spark: SparkSession):
         spark.conf.set(_CLEAN_UP, before)
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and
     survives lost executors, and a result used twice is computed once."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with cleaned(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -208,3 +208,29 @@ def op11_secular_whitening(spark, sf):
     from cartcast.llm import whiten
 
     return whiten.whitened(table(spark, sf, "embeddings"))
+
+
+@_query
+def op13_sliced_bloom_search(spark, sf):
+    from cartcast.llm import lexical
+
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+SQL["op13_sliced_bloom_search"] = """
+WITH d AS (SELECT doc_id, text, row_number() OVER () AS r FROM documents),
+t AS (SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+f AS (SELECT r, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY r),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, c GROUP BY term),
+i AS (SELECT DISTINCT item_id, text FROM benchmark),
+q AS (SELECT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM i),
+k AS (SELECT item_id, text, term, count(*) AS times FROM q GROUP BY ALL),
+s AS (SELECT k.item_id, k.text, f.r, f.doc_id,
+        CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)))) AS BIGINT) AS score
+      FROM k JOIN w USING (term) JOIN f USING (term) JOIN n USING (r), c GROUP BY k.item_id, k.text, f.r, f.doc_id),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10"""
