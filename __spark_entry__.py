@@ -27,6 +27,7 @@ from cartcast.operators import labels as LB
 from cartcast.operators import rowfeat as RF
 from cartcast.operators import windows as WN
 from cartcast.plans import features as FE
+from cartcast.session import kept
 from cartcast.sources.tables import LOG_ORDER, read_table, transactions
 from sqlcheck import features as SQ
 
@@ -868,6 +869,7 @@ _reg("mean_fill", _fsql(W(_STATS_SQL) + "SELECT customer_id, " + ", ".join(
     f'coalesce("{c}", (SELECT avg("{c}") FROM cs)) AS "{c}"' for c in _IMP_COLS) + " FROM cs", _IMP_COLS))(
     lambda spark, sf: _fl(PR.mean_fill(_cust_nulls(spark, sf), None, _IMP_COLS)[0]))
 
+SQ_EPS = 2.220446049250313e-16
 _QT_COLS = [f"{c}-{s}" for c in ["quantity", "price", "total"] for s in STATS7]
 
 
@@ -877,8 +879,24 @@ def _qt(spark, sf, output="uniform"):
     return tr.unionByName(te).select("customer_id", "year_month", *[F.col(f"`{c}`") for c in _QT_COLS])
 
 
-def _qt_sql() -> str:
+def _normal_sql(u: str) -> str:
+    """The inverse normal of ``u`` in (0, 1) by the library's rational functions, in SQL."""
+
+    def ratio(form, x):
+        up, down = (f"{c[-1]!r}::DOUBLE" for c in form)
+        for a, b in zip(form[0][-2::-1], form[1][-2::-1]):
+            up, down = f"({a!r}::DOUBLE + ({x}) * {up})", f"({b!r}::DOUBLE + ({x}) * {down})"
+        return f"({up} / {down})"
+
+    return (f"CASE WHEN abs({u} - 0.5) <= 0.425 THEN ({u} - 0.5) * {ratio(PR._MIDDLE, f'0.180625::DOUBLE - ({u} - 0.5) * ({u} - 0.5)')} "
+            f"ELSE sign({u} - 0.5) * CASE WHEN sqrt(-ln(least({u}, 1 - {u}))) <= 5 THEN {ratio(PR._TAIL, f'sqrt(-ln(least({u}, 1 - {u}))) - 1.6::DOUBLE')} "
+            f"ELSE {ratio(PR._FAR, f'sqrt(-ln(least({u}, 1 - {u}))) - 5')} END END")
+
+
+def _qt_sql(normal: bool = False) -> str:
     base = SQ.simple_sql(TARGET, _BASE_SPEC, normalize=False)
+    low, high = (float(v) for v in PR.normal_quantiles([PR.BOUNDS_THRESHOLD - SQ_EPS, 1 - (PR.BOUNDS_THRESHOLD - SQ_EPS)]))
+    end = f"CASE WHEN u <= 0 THEN {low!r}::DOUBLE WHEN u >= 1 THEN {high!r}::DOUBLE ELSE greatest({low!r}::DOUBLE, least({high!r}::DOUBLE, {_normal_sql('u')})) END" if normal else "u"
     tl = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST(\"{c}\" AS DOUBLE) AS v FROM b WHERE year_month = '{TRAIN}'" for c in _QT_COLS)
     xl = " UNION ALL ".join(f"SELECT customer_id, year_month, '{c}' AS col, CAST(\"{c}\" AS DOUBLE) AS x FROM b" for c in _QT_COLS)
     q = f"""WITH b AS ({base}),
@@ -903,13 +921,14 @@ iv AS (SELECT ab.*,
        ELSE qb.ref - (qb.q - ab.x) * (qb.ref - qb1.ref) / (qb.q - qb1.q) END AS il
   FROM ab LEFT JOIN qm qa ON qa.col = ab.col AND qa.j = ab.a LEFT JOIN qm qa1 ON qa1.col = ab.col AND qa1.j = ab.a + 1
           LEFT JOIN qm qb ON qb.col = ab.col AND qb.j = ab.b LEFT JOIN qm qb1 ON qb1.col = ab.col AND qb1.j = ab.b - 1),
-fin AS (SELECT customer_id, year_month, col, CASE WHEN x = qmin THEN 0.0 WHEN x = qmax THEN 1.0 ELSE 0.5 * (ir + il) END AS u FROM iv)
+fin0 AS (SELECT customer_id, year_month, col, CASE WHEN {"x - 1e-7 < qmin" if normal else "x = qmin"} THEN 0.0::DOUBLE WHEN {"x + 1e-7 > qmax" if normal else "x = qmax"} THEN 1.0::DOUBLE ELSE 0.5 * (ir + il) END AS u FROM iv),
+fin AS (SELECT customer_id, year_month, col, {end} AS u FROM fin0)
 SELECT customer_id, year_month, {", ".join(f"max(u) FILTER (WHERE col = '{c}') AS \"{c}\"" for c in _QT_COLS)} FROM fin GROUP BY customer_id, year_month"""
     return q
 
 
 _reg("quantile_uniform", _fsql(_qt_sql(), _QT_COLS))(lambda spark, sf: _fl(_qt(spark, sf)))
-_reg("quantile_normal")(lambda spark, sf: _qt(spark, sf, "normal"))
+_reg("quantile_normal", _fsql(_qt_sql(normal=True), _QT_COLS))(lambda spark, sf: _fl(_qt(spark, sf, "normal")))
 
 
 def _u_sql(key: str, seed: int) -> str:
@@ -941,8 +960,48 @@ _reg("stratified_folds", W(*_LAB1) + "SELECT customer_id, label, CAST((row_numbe
 _reg("class_weights", _fsql(W(*_LAB1) + "SELECT customer_id, label, 1.0 / count(*) OVER (PARTITION BY label) AS weight FROM lab1",
                             ["weight"]))(
     lambda spark, sf: _fl(SP.class_weights(_lab(spark, sf), "label", 1)))
-_reg("weighted_resample")(
-    lambda spark, sf: SP.weighted_resample(SP.class_weights(_lab(spark, sf), "label", 1), "weight", "customer_id", seed=0))
+_RESAMPLE = W(*_LAB1, "cw AS (SELECT customer_id, label, 1.0 / count(*) OVER (PARTITION BY label) AS weight FROM lab1)",
+              "pl AS (SELECT *, sum(weight) OVER (ORDER BY customer_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM cw)",
+              "dr AS (SELECT i, CAST('0x' || substr(md5(i || ':0'), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE * (SELECT max(upto) FROM pl) AS place "
+              "FROM (SELECT unnest(range(0, (SELECT count(*) FROM cw))) AS i) r)",
+              "hit AS (SELECT pl.customer_id, pl.label, pl.weight, dr.i FROM dr ASOF JOIN (SELECT *, upto - weight AS low FROM pl) pl ON dr.place >= pl.low)")
+_reg("weighted_resample", _fsql(_RESAMPLE + "SELECT customer_id, label, weight, row_number() OVER (PARTITION BY customer_id ORDER BY i) AS _copy FROM hit", ["weight"]))(
+    lambda spark, sf: _fl(SP.weighted_resample(SP.class_weights(_lab(spark, sf), "label", 1), "weight", "customer_id", seed=0), ["weight"]))
+
+# ------------------------------------------------------------- SMOTE L7
+from cartcast.operators import smote as SM  # noqa: E402
+
+#: Fixed scales of the baseline features: distances shouldn't be those of the largest column alone.
+_SM_SCALE = {"quantity": 50.0, "price": 2000.0, "total": 50000.0}
+_SM_COLS = [f"{c}-{s}" for c in _SM_SCALE for s in STATS7]
+
+
+def _scaled_base(spark, sf) -> DataFrame:
+    fs = FE.fe_baseline(_log(spark, sf), TARGET)
+    return kept(fs.train.select("customer_id", "label", *[(F.col(f"`{c}`") / _SM_SCALE[c.split("-")[0]]).alias(c) for c in _SM_COLS]), "smote-input")
+
+
+def _smote_sql() -> str:
+    scaled = ", ".join(f'CAST("{c}" AS DOUBLE) / {_SM_SCALE[c.split("-")[0]]} AS x{i}' for i, c in enumerate(_SM_COLS))
+    far = " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(len(_SM_COLS)))
+    return f"""WITH base AS ({SQ.simple_sql(TARGET, _BASE_SPEC, normalize=False)}),
+tr AS (SELECT customer_id, label, {scaled} FROM base WHERE year_month = '{TRAIN}'),
+few AS (SELECT * FROM tr WHERE label = 1),
+pairs AS (SELECT a.customer_id, b.customer_id AS neighbour, sqrt({far}) AS distance FROM few a JOIN few b ON a.customer_id <> b.customer_id),
+near AS (SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY distance, neighbour) AS INTEGER) AS rank FROM pairs QUALIFY rank <= 5)"""
+
+
+_SMOTE_ROWS = (_smote_sql() + """,
+base_at AS (SELECT customer_id AS base, list(neighbour ORDER BY rank) AS near, row_number() OVER (ORDER BY customer_id) - 1 AS at FROM near GROUP BY customer_id),
+draws AS (SELECT i, floor(""" + _u_sql("i", 0) + """ * (SELECT count(*) FROM base_at)) AS at, """ + _u_sql("i", 1) + " AS pick, " + _u_sql("i", 2) + """ AS gap
+  FROM (SELECT unnest(range(0, (SELECT count(*) FILTER (label <> 1) - count(*) FILTER (label = 1) FROM tr))) AS i) r),
+picked AS (SELECT i, base, gap, near[1 + CAST(floor(pick * len(near)) AS INTEGER)] AS neighbour FROM draws JOIN base_at USING (at))
+SELECT i AS synthetic, base, neighbour, gap, """ + ", ".join(f'a.x{i} + gap * (b.x{i} - a.x{i}) AS "{c}"' for i, c in enumerate(_SM_COLS)) +
+               ", 1 AS label FROM picked JOIN few a ON a.customer_id = base JOIN few b ON b.customer_id = neighbour")
+_reg("smote_neighbours", _fsql(_smote_sql() + " SELECT customer_id, rank, neighbour, distance FROM near", ["distance"]))(
+    lambda spark, sf: _fl(SM.nearest(_scaled_base(spark, sf).where("label = 1"), "customer_id", _SM_COLS)))
+_reg("smote_rows", _fsql(_SMOTE_ROWS, ["gap", *_SM_COLS]))(
+    lambda spark, sf: _fl(SM.smote(_scaled_base(spark, sf), _SM_COLS)))
 
 # ----------------------------------------------- importance reports (fixed)
 
@@ -1007,25 +1066,38 @@ _reg("fold_auc", _fsql(W(*_BIN, "fb AS (SELECT *, CAST((row_number() OVER (PARTI
 
 
 # ------------------------------------------------------ models N1-N14, A7
+from cartcast.operators import boost as BO  # noqa: E402
 from cartcast.operators import model as MD  # noqa: E402
 
-_GBT_Q = MD.GBTParams(max_iter=10_000, patience=10)  # the patience ends it
+_GBT_Q = MD.BoostParams(patience=20)  # of 10,000 trees: the patience ends it (the reference's is 100)
+
+
+def _full_scaled(spark, sf, ym=TARGET):
+    """The full builder with every feature mapped through its train quantiles, each side written once."""
+    fs = FE.fe_full(_log(spark, sf), ym)
+    frame = kept(fs.frame, "full-features")
+    tr, te = (frame.where(F.col("year_month") == m) for m in (fs.train_month, fs.test_month))
+    tr, te = PR.quantile_transform(tr, te, fs.features, 1000)
+    return fs, kept(tr, "train-scaled"), kept(te, "test-scaled")
+
+
+def _fit_args(fs) -> dict:
+    # scaled features are spread evenly: their bins need no quantiles
+    return {"params": _GBT_Q, "edges": BO.unit_edges(fs.features, _GBT_Q.bins)}
 
 
-def _compact(spark, sf, ym=TARGET):
-    fs = FE.fe_compact(_log(spark, sf), ym)
-    return fs, fs.train, fs.test
+def _oof_run(spark, sf, ym=TARGET):
+    fs, tr, te = _full_scaled(spark, sf, ym)
+    return te, MD.oof_predictions(tr, te, fs.features, folds=10, **_fit_args(fs))
 
 
 def _oof(spark, sf):
-    fs, tr, te = _full_scaled(spark, sf)
-    r = MD.oof_predictions(tr, te, fs.features, folds=10, params=_GBT_Q)
-    return r.oof
+    return _oof_run(spark, sf)[1].oof
 
 
 def _gbt(spark, sf):
     fs, tr, te = _full_scaled(spark, sf)
-    return MD.gbt_scores(tr, te, fs.features, params=_GBT_Q)
+    return MD.gbt_scores(tr, te, fs.features, **_fit_args(fs))
 
 
 def _emb_cols(spark, sf):
@@ -1052,11 +1124,12 @@ def _predict_class(spark, sf):
 
 
 def _regression(spark, sf):
-    fs, tr, te = _compact(spark, sf)
-    tot = LB.label_months(_log(spark, sf), [TRAIN, TARGET]).select("customer_id", "year_month", "total")
-    tr = PR.multi_target(tr.join(tot, ["customer_id", "year_month"]), "total", 2)
-    te = te.join(tot, ["customer_id", "year_month"])
-    return MD.regression_scores(tr, te, fs.features, ["total_0", "total_1"], "customer_id", max_iter=20)
+    # two targets of the next month, spend and number of log rows, on all features
+    fs, tr, te = _full_scaled(spark, sf)
+    log = _log(spark, sf)
+    nxt = log.groupBy("customer_id", year_month("order_date").alias("year_month")).agg(F.sum("total").alias("next_spend"), F.count("*").cast("double").alias("next_rows"))
+    tr = tr.join(nxt, ["customer_id", "year_month"], "left").fillna(0.0, subset=["next_spend", "next_rows"])
+    return MD.regression_scores(tr, te, fs.features, ["next_spend", "next_rows"], "customer_id", **_fit_args(fs))
 
 
 def _doc_features(spark, sf):
@@ -1076,47 +1149,32 @@ def _multitask(spark, sf):
     df, feats = _doc_features(spark, sf)
     df = SP.random_split(df, "doc_id", probs=(0.8, 0.2), names=("train", "test"), seed=2)
     return MD.multitask_scores(df.filter(F.col("Set") == "train"), df.filter(F.col("Set") == "test"), feats,
-                               ["quality", "toxic"], "doc_id")
+                               ["quality", "toxic"], "doc_id", _GBT_Q)
 
 
 def _model_selection(spark, sf):
     fs, tr, te = _full_scaled(spark, sf)
-    return MD.model_selection(tr, fs.features, folds=10)
+    return MD.model_selection(tr, fs.features, folds=5, **_fit_args(fs))
 
 
 def _learning_curve(spark, sf):
     fs, tr, te = _full_scaled(spark, sf)
-    return MD.learning_curve(tr, fs.features, params=MD.GBTParams(max_iter=30, early_stop=False))
-
-
-def _full_scaled(spark, sf, ym=TARGET):
-    """The full builder with every feature mapped through its train quantiles."""
-    fs = FE.fe_full(_log(spark, sf), ym)
-    tr, te = PR.quantile_transform(fs.train, fs.test, fs.features, 1000)
-    return fs, tr, te
-
-
-def _submission_run(spark, sf):
-    fs, tr, te = _full_scaled(spark, sf)
-    return te, MD.oof_predictions(tr, te, fs.features, folds=10, params=_GBT_Q)
+    return MD.learning_curve(tr, fs.features, **_fit_args(fs))
 
 
 def _pipeline_submission(spark, sf):
     # full features -> quantiles of all -> 10-fold out-of-fold models -> submission
-    te, r = _submission_run(spark, sf)
+    te, r = _oof_run(spark, sf)
     return IO.submission(te, r.test)
 
 
 def _model_importance(spark, sf):
-    fs, tr, te = _full_scaled(spark, sf)
-    r = MD.oof_predictions(tr, te, fs.features, folds=10, params=_GBT_Q)
-    return RP.importance_ranked(RP.importance_mean(r.importance))
+    return RP.importance_ranked(RP.importance_mean(_oof_run(spark, sf)[1].importance))
 
 
 def _backtest(spark, sf):
     # Build at the previous month, score it and compare with its known labels
-    fs, tr, te = _full_scaled(spark, sf, TRAIN)
-    r = MD.oof_predictions(tr, te, fs.features, folds=10, params=_GBT_Q)
+    te, r = _oof_run(spark, sf, TRAIN)
     scored = te.select("customer_id", "label").join(r.test, "customer_id")
     auc = MT.roc_auc(scored, "label", "probability")
     thr = MT.threshold_metrics(scored, "label", "probability")
@@ -1125,7 +1183,7 @@ def _backtest(spark, sf):
 
 def _roundtrip(spark, sf):
     fs, tr, te = _full_scaled(spark, sf)
-    return MD.save_load_roundtrip(tr, te, fs.features, IO.scratch_path(spark, "model"))
+    return MD.save_load_roundtrip(tr, te, fs.features, IO.scratch_path(spark, "model"), **_fit_args(fs))
 
 
 _reg("oof_predictions")(_oof)

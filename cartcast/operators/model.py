@@ -1,84 +1,32 @@
-"""Training, scoring and explanation on Spark ML.
+"""Training, scoring and explanation.
 
-The reference trains LightGBM per fold in one process.  Here each fold is a
-``GBTClassifier`` fit on the cached, assembled training frame; folds are
-independent Spark jobs submitted from a small driver thread pool so the
-cluster runs them side by side.  Only fitted models and per-feature
-importances (a vector as long as the feature list) live on the driver.
+Boosted trees come from ``operators/boost.py``: all folds grow together, every level of the trees is one pass over the rows,
+and each fold stops by its own patience.  Logistic regression and random forests are Spark ML's.  Only fitted
+models and per-feature importances (a vector as long as the feature list) live on the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartcast.operators import boost
+from cartcast.operators.boost import Booster, BoostParams
 from cartcast.operators.metrics import roc_auc
 from cartcast.operators.split import stratified_folds
+from cartcast.session import kept
 
 SEED = 42
 
 
-@dataclass
-class GBTParams:
-    """Boosting set-up mirroring the reference's LightGBM parameters."""
-
-    max_iter: int = 100            # reference: 10,000 trees with early stop after 100
-    patience: int = 100            # rounds without a better validation loss before the stop
-    step_size: float = 0.1
-    max_depth: int = 5
-    subsampling_rate: float = 0.8  # bagging_fraction
-    feature_subset: str = "0.8"    # feature_fraction
-    early_stop: bool = True
-    seed: int = SEED
-    extra: dict = field(default_factory=dict)
-
-    def classifier(self, features="features", label="label", trees: int | None = None) -> GBTClassifier:
-        return GBTClassifier(featuresCol=features, labelCol=label, maxIter=trees or self.max_iter, stepSize=self.step_size,
-                             maxDepth=self.max_depth, subsamplingRate=self.subsampling_rate,
-                             featureSubsetStrategy=self.feature_subset, seed=self.seed, **self.extra)
-
-
-def best_iteration(losses: Sequence[float], patience: int) -> int:
-    """Trees up to the lowest loss, looking no further than ``patience`` rounds past it."""
-    best = 0
-    for i, v in enumerate(losses):
-        if v < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def fit_boosted(frame: DataFrame, params: GBTParams, label: str = "label", valid_col: str | None = None):
-    """Boost on the rows outside the validation share, in steps of twice the trees until the
-    patience or the limit ends it, find the best iteration on that share, and keep only the trees up to it
-    (boosting with the same seed makes the same first trees)."""
-    if not (valid_col and params.early_stop):
-        return params.classifier(label=label).fit(frame)
-    fit_df, valid_df = frame.where(~F.col(valid_col)), frame.where(F.col(valid_col))
-    trees = min(params.max_iter, 2 * params.patience)
-    while True:
-        model = params.classifier(label=label, trees=trees).fit(fit_df)
-        losses = model.evaluateEachIteration(valid_df)  # one value per tree: bounded by max_iter
-        n = best_iteration(losses, params.patience)
-        if n + params.patience <= len(losses) or trees >= params.max_iter:
-            break
-        trees = min(params.max_iter, 2 * trees)
-    return model if n == len(losses) else params.classifier(label=label, trees=n).fit(fit_df)
-
-
 def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
@@ -93,78 +41,50 @@ class OofResult:
     oof: DataFrame          # key, fold, label, p  (out-of-fold prediction of each train row)
     test_folds: DataFrame   # key, fold, p         (each fold's prediction of the test rows)
     test: DataFrame         # key, probability     (fold average)
-    importance: DataFrame   # feature, fold, importance
+    importance: DataFrame   # feature, fold, importance (number of splits)
     fold_auc: DataFrame     # fold, auc
     oof_auc: DataFrame      # auc over all OOF rows
+    booster: Booster
+
+
+def folded(train: DataFrame, key: str, label: str, folds: int, shuffle: bool = True) -> DataFrame:
+    """``train`` with its stratified fold numbers (one row a key)."""
+    numbers = kept(stratified_folds(train.select(key, label), label, key, folds, shuffle=shuffle, seed=SEED).select(key, "fold"), "folds")
+    return train.join(numbers, key)
 
 
 def oof_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], key: str = "customer_id",
-                    label: str = "label", folds: int = 10, params: GBTParams | None = None,
-                    parallel: int = 4, shuffle: bool = True) -> OofResult:
-    """K-fold out-of-fold scoring with a fold-averaged test prediction."""
-    params = params or GBTParams()
-    spark = train.sparkSession
-    va = assembler(features)
-    tr = stratified_folds(train.select(key, label, *[F.col(f"`{c}`") for c in features]), label, key,
-                          folds, shuffle=shuffle, seed=SEED)
-    tr = va.transform(tr.withColumn(label, F.col(label).cast("double"))).select(key, label, "fold", "features")
-    te = va.transform(test.select(key, *[F.col(f"`{c}`") for c in features])).select(key, "features")
-    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
-    te = te.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(i: int):
-        fr = tr.withColumn("_valid", F.col("fold") == i)
-        return i, fit_boosted(fr, params, label, "_valid")
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
-        models = dict(ex.map(fit, range(folds)))
-
-    oof_parts, test_parts, imp_rows = [], [], []
-    for i, m in sorted(models.items()):
-        oof_parts.append(m.transform(tr.where(F.col("fold") == i))
-                          .select(key, "fold", label, p1().alias("p")))
-        test_parts.append(m.transform(te).select(key, F.lit(i).alias("fold"), p1().alias("p")))
-        imp = m.featureImportances.toArray()
-        imp_rows += [(f, i + 1, float(v)) for f, v in zip(features, imp)]
-    oof = oof_parts[0]
-    for p in oof_parts[1:]:
-        oof = oof.unionByName(p)
-    tf = test_parts[0]
-    for p in test_parts[1:]:
-        tf = tf.unionByName(p)
-    test_avg = tf.groupBy(key).agg(F.avg("p").alias("probability"))
-    importance = spark.createDataFrame(imp_rows, "feature string, fold int, importance double")
-    return OofResult(oof, tf, test_avg, importance,
-                     roc_auc(oof, label, "p", by="fold"), roc_auc(oof, label, "p"))
+                    label: str = "label", folds: int = 10, params: BoostParams | None = None, shuffle: bool = True,
+                    edges: list | None = None) -> OofResult:
+    """K-fold out-of-fold scoring with a fold-averaged test prediction.  ``edges``: see ``boost.fit``."""
+    tr = folded(train.select(key, label, *[F.col(f"`{c}`") for c in features]), key, label, folds, shuffle)
+    b = boost.fit(tr, features, label, "fold", key, list(range(folds)), params, edges)
+    oof = kept(b.scored(tr, [key, "fold", label]).select(key, "fold", label, F.get("p", "fold").alias("p")), "oof")
+    scores = kept(b.scored(test, [key]), "test-scores")
+    importance = train.sparkSession.createDataFrame(b.importance(), "feature string, fold int, importance double")
+    return OofResult(oof, scores.select(key, F.posexplode("p").alias("fold", "p")),
+                     scores.select(key, (F.aggregate("p", F.lit(0.0), lambda a, v: a + v) / float(folds)).alias("probability")),
+                     importance, roc_auc(oof, label, "p", by="fold"), roc_auc(oof, label, "p"), b)
+
+
+def _validation(df: DataFrame, key: str, share: float) -> DataFrame:
+    """``df`` with ``fold``: 0 for a hashed share of the keys, 1 for the others."""
+    return df.withColumn("fold", F.when(F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1000)) < share * 1000, 0).otherwise(1))
 
 
 def gbt_scores(train: DataFrame, test: DataFrame, features: Sequence[str], key="customer_id", label="label",
-               params: GBTParams | None = None, valid_frac: float = 0.1) -> DataFrame:
+               params: BoostParams | None = None, valid_frac: float = 0.1, edges: list | None = None) -> DataFrame:
     """One boosted model with a hashed validation share for early stopping."""
-    params = params or GBTParams()
-    va = assembler(features)
-    fr = va.transform(train.withColumn(label, F.col(label).cast("double")))
-    fr = fr.withColumn("_valid", (F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1000)) < valid_frac * 1000))
-    m = fit_boosted(fr, params, label, "_valid")
-    return m.transform(va.transform(test)).select(key, p1().alias("probability"))
+    b = boost.fit(_validation(train, key, valid_frac), features, label, "fold", key, [0], params, edges)
+    return b.scored(test, [key]).select(key, F.get("p", F.lit(0)).alias("probability"))
 
 
 def learning_curve(train: DataFrame, features: Sequence[str], key="customer_id", label="label",
-                   params: GBTParams | None = None, valid_frac: float = 0.2) -> DataFrame:
-    """Validation log-loss after each boosting iteration; the best
-    iteration is flagged (the choice early stopping would make)."""
-    params = params or GBTParams(early_stop=False)
-    va = assembler(features)
-    fr = va.transform(train.withColumn(label, F.col(label).cast("double")))
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1000))
-    fit_df, val_df = fr.where(u >= valid_frac * 1000), fr.where(u < valid_frac * 1000)
-    p = GBTParams(**{**params.__dict__, "early_stop": False})
-    m = p.classifier(label=label).fit(fit_df)
-    losses = m.evaluateEachIteration(val_df)  # one value per tree: bounded by max_iter
-    best = best_iteration(losses, params.patience) - 1
-    spark = train.sparkSession
-    return spark.createDataFrame([(i + 1, float(v), i == best) for i, v in enumerate(losses)],
-                                 "iteration int, valid_logloss double, best boolean")
+                   params: BoostParams | None = None, valid_frac: float = 0.2, edges: list | None = None) -> DataFrame:
+    """Validation AUC after each tree until the patience ends it; the best iteration is flagged."""
+    b = boost.fit(_validation(train, key, valid_frac), features, label, "fold", key, [0], params, edges)
+    return train.sparkSession.createDataFrame([(t, float(v), t == b.best[0]) for _, t, v in b.scores],
+                                              "iteration int, valid_auc double, best boolean")
 
 
 def predict_class(model: PipelineModel, df: DataFrame, key: str, names: DataFrame | None = None) -> DataFrame:
@@ -185,66 +105,66 @@ def fit_multiclass(df: DataFrame, features: Sequence[str], label: str, num_trees
 
 
 def regression_scores(train: DataFrame, test: DataFrame, features: Sequence[str], targets: Sequence[str],
-                      key: str, max_iter: int = 30) -> DataFrame:
+                      key: str, params: BoostParams | None = None, valid_frac: float = 0.1, edges: list | None = None) -> DataFrame:
     """One boosted regressor per target; predictions as ``pred_{target}``."""
-    va = assembler(features)
-    trf, tef = va.transform(train), va.transform(test)
-    out = tef.select(key)
-    for t in targets:
-        m = GBTRegressor(featuresCol="features", labelCol=t, maxIter=max_iter, maxDepth=5, seed=SEED,
-                         subsamplingRate=0.8).fit(trf)
-        out = out.join(m.transform(tef).select(key, F.col("prediction").alias(f"pred_{t}")), key)
-    return out
+    return _each_target(train, test, features, targets, key, replace(params or BoostParams(), objective="squared"), valid_frac, edges, "pred_")
 
 
-def multitask_scores(train: DataFrame, test: DataFrame, features: Sequence[str], tasks: Sequence[str],
-                     key: str, params: GBTParams | None = None) -> DataFrame:
+def multitask_scores(train: DataFrame, test: DataFrame, features: Sequence[str], tasks: Sequence[str], key: str,
+                     params: BoostParams | None = None, valid_frac: float = 0.1, edges: list | None = None) -> DataFrame:
     """One classifier per binary task; per-task scores and their mean."""
-    params = params or GBTParams(max_iter=20, early_stop=False)
-    va = assembler(features)
-    trf, tef = va.transform(train), va.transform(test)
-    out = tef.select(key)
-    for t in tasks:
-        m = params.classifier(label=t).fit(trf.withColumn(t, F.col(t).cast("double")))
-        out = out.join(m.transform(tef).select(key, p1().alias(f"p_{t}")), key)
+    out = _each_target(train, test, features, tasks, key, params or BoostParams(), valid_frac, edges, "p_")
     mean = sum([F.col(f"p_{t}") for t in tasks][1:], F.col(f"p_{tasks[0]}")) / float(len(tasks))
     return out.withColumn("p_mean", mean)
 
 
-def model_selection(train: DataFrame, features: Sequence[str], label: str = "label", folds: int = 3,
-                    gbt_iter: int = 20) -> DataFrame:
-    """Logistic regression, random forest and boosted trees, each scored
-    by k-fold cross-validated AUC; the best is flagged."""
-    va = assembler(features)
-    fr = va.transform(train.withColumn(label, F.col(label).cast("double"))).select("features", label)
-    fr = fr.persist(StorageLevel.MEMORY_AND_DISK)  # released below, once the scores are known
-    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    cands = {
-        "logistic_regression": LogisticRegression(labelCol=label, maxIter=50),
-        "random_forest": RandomForestClassifier(labelCol=label, numTrees=30, seed=SEED),
-        "gbt": GBTClassifier(labelCol=label, maxIter=gbt_iter, seed=SEED),
-    }
-    rows = []
-    for name, est in cands.items():
-        cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                            numFolds=folds, seed=SEED, parallelism=2)
-        m = cv.fit(fr)
-        rows.append((name, float(m.avgMetrics[0])))
-    fr.unpersist()
-    best = max(rows, key=lambda r: r[1])[0]
-    return train.sparkSession.createDataFrame([(n, a, n == best) for n, a in rows],
-                                              "model string, cv_auc double, best boolean")
-
-
-def save_load_roundtrip(train: DataFrame, test: DataFrame, features: Sequence[str], path: str,
-                        key: str = "customer_id", label: str = "label", max_iter: int = 10) -> DataFrame:
+def _each_target(train, test, features, targets, key, params, valid_frac, edges, prefix) -> DataFrame:
+    """A model a target (rows without it are left out), applied one after the other: no join."""
+    edges = boost.fit_edges(train, features, params.bins) if edges is None else edges
+    named = _validation(train, key, valid_frac)
+    out, done = test.select(key, *[F.col(f"`{c}`") for c in features]), []
+    for t in targets:
+        b = boost.fit(named, features, t, "fold", key, [0], params, edges)
+        out = b.scored(out, out.columns).withColumn(f"{prefix}{t}", F.get("p", F.lit(0))).drop("p")
+        done.append(f"{prefix}{t}")
+    return out.select(key, *done)
+
+
+def candidate_scores(train: DataFrame, features: Sequence[str], key: str = "customer_id", label: str = "label", folds: int = 5,
+                     params: BoostParams | None = None, edges: list | None = None, parallel: int = 4) -> DataFrame:
+    """Held-out probabilities of logistic regression, random forest and boosted trees on the same stratified folds, in
+    one long table (model, key, fold, label, p)."""
+    tr = folded(train.select(key, label, *[F.col(f"`{c}`") for c in features]), key, label, folds)
+    b = boost.fit(tr, features, label, "fold", key, list(range(folds)), params, edges)
+    out = b.scored(tr, [key, "fold", label]).select(F.lit("gbt").alias("model"), key, "fold", label, F.get("p", "fold").alias("p"))
+    rows = kept(assembler(features).transform(tr).select(key, "fold", F.col(label).cast("double").alias(label), "features"), "candidates")
+    others = {"logistic_regression": LogisticRegression(labelCol=label, maxIter=50),
+              "random_forest": RandomForestClassifier(labelCol=label, numTrees=30, seed=SEED)}
+    jobs = [(name, est, k) for name, est in others.items() for k in range(folds)]
+    with ThreadPoolExecutor(max_workers=parallel) as ex:
+        models = list(ex.map(lambda j: j[1].fit(rows.where(F.col("fold") != j[2])), jobs))
+    for (name, _, k), m in zip(jobs, models):
+        scored = m.transform(rows.where(F.col("fold") == k))
+        out = out.unionByName(scored.select(F.lit(name).alias("model"), key, "fold", F.col(label).cast(train.schema[label].dataType).alias(label), p1().alias("p")))
+    return kept(out, "candidate-scores")
+
+
+def model_selection(train: DataFrame, features: Sequence[str], key: str = "customer_id", label: str = "label", folds: int = 5,
+                    params: BoostParams | None = None, edges: list | None = None) -> DataFrame:
+    """Each candidate's mean AUC over the folds; the best is flagged (ties: the first name)."""
+    auc = roc_auc(candidate_scores(train, features, key, label, folds, params, edges), label, "p", by=["model", "fold"])
+    means = auc.groupBy("model").agg(F.avg("auc").alias("cv_auc"))
+    best = means.agg(F.max_by("model", F.struct("cv_auc", F.expr("-ascii(model)"))).alias("_best"))  # one row
+    return means.join(F.broadcast(best), F.col("model") == F.col("_best"), "left").select("model", "cv_auc", F.col("_best").isNotNull().alias("best"))
+
+
+def save_load_roundtrip(train: DataFrame, test: DataFrame, features: Sequence[str], path: str, key: str = "customer_id",
+                        label: str = "label", params: BoostParams | None = None, edges: list | None = None) -> DataFrame:
     """Fit, save, load and score again: the scores must be equal."""
-    pipe = Pipeline(stages=[assembler(features), GBTParams(max_iter=max_iter, early_stop=False).classifier(label=label)])
-    m = pipe.fit(train.withColumn(label, F.col(label).cast("double")))
-    m.write().overwrite().save(path)
-    m2 = PipelineModel.load(path)
-    a = m.transform(test).select(key, p1().alias("p_fit"))
-    b = m2.transform(test).select(key, p1().alias("p_loaded"))
-    j = a.join(b, key)
+    spark = train.sparkSession
+    b = boost.fit(_validation(train, key, 0.1), features, label, "fold", key, [0], params, edges)
+    b.save(spark, path)
+    a = b.scored(test, [key]).select(key, F.get("p", F.lit(0)).alias("p_fit"))
+    j = a.join(Booster.load(spark, path).scored(test, [key]).select(key, F.get("p", F.lit(0)).alias("p_loaded")), key)
     return j.agg(F.count("*").alias("rows"), F.max(F.abs(F.col("p_fit") - F.col("p_loaded"))).alias("max_abs_diff"),
                  F.sum((F.col("p_fit") != F.col("p_loaded")).cast("int")).alias("differing"))

@@ -5,14 +5,18 @@ A plain ``Window.partitionBy(key).orderBy(order)`` sends every row of a key to
 one task; with one product or customer holding a third of the log that task
 holds a third of the data.  Instead:
 
-1. Bounds of (key, order) are taken once from a bounded hash sample (the only
-   job that building the plan starts).  A row's range number is the number of
+1. Bounds of (key, order) are taken once from the rows whose hash is below a threshold, chosen for
+   about ``_SAMPLE_PER_RANGE`` rows a range over the whole table (a count and this sample are the only
+   jobs that building the plan starts).  A row's range number is the number of
    bounds that are not above it: a function of the row, whatever partition it is in.
+   Ranges grow with the rows; many bounds are searched in two levels.
 2. ``Window.partitionBy(range, key)`` computes the running values in the JVM; a
    hot key is cut into many ranges.
 3. Only a key that is itself in a bound can span ranges.  For these keys, totals per
    (key, range) are summed over the ranges before: at most two rows a bound, which is
-   the only thing broadcast.
+   the only thing broadcast (beside the second level of bounds, if there is one).
+
+Rows without a key have no running values; they are spread over groups by a hash of their order.
 
 Nothing is persisted and the result is lazy; a lost task gives the same rows again.
 """
@@ -23,8 +27,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_RANGES = 1024
+ROWS_A_RANGE = 4_000_000   # at most about so many rows of a key in one task
+FIRST_LEVEL = 1024         # bounds that are written into the plan itself
 _SAMPLE_PER_RANGE = 32
 
 
@@ -45,29 +51,48 @@ class ScanSpec:
 
 
 def range_bounds(df: DataFrame, key: str, order: list[str], ranges: int | None = None) -> list:
-    """At most ``ranges`` - 1 rows of (key, *order) that cut ``df`` into ranges of
-    similar size, from a sample of the smallest hashes."""
-    n = min(MAX_RANGES, ranges or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Rows of (key, *order) that cut ``df`` into at least ``ranges`` ranges of similar size, and into more if they
+    would have over ``ROWS_A_RANGE`` rows."""
     cols = [key, *order]
-    sample = df.select(*cols).where(F.col(key).isNotNull()).orderBy(F.xxhash64(*cols)).limit(n * _SAMPLE_PER_RANGE)
-    rows = sample.orderBy(*cols).collect()
-    step = max(1, len(rows) // n)
-    return [tuple(r) for r in rows[step::step]]
+    rows = df.select(key).where(F.col(key).isNotNull()).count()
+    n = max(ranges or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_RANGE))
+    share = min(1.0, n * _SAMPLE_PER_RANGE / max(rows, 1))
+    hashed = F.pmod(F.xxhash64(*cols), F.lit(1 << 40))
+    sample = df.select(*cols).where(F.col(key).isNotNull()).where(hashed < int(share * (1 << 40)))
+    found = sample.orderBy(*cols).collect()
+    step = max(1, len(found) // n)
+    return list(dict.fromkeys(tuple(r) for r in found[step::step]))
 
 
-def _range_id(df: DataFrame, cols: list[str], bounds: list, row: str) -> Column:
-    """How many of the sorted ``bounds`` are not above the struct column ``row``: a search by halves."""
-    if not bounds:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    array = F.array(*[F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b, strict=True)]) for b in bounds])
-    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
+def _search(array: Column, size: Column | int, steps: int, row: Column) -> Column:
+    """How many entries of the sorted ``array`` are not above ``row``: a search by halves."""
 
-    def search(low, step):
+    def half(low, step):
         at = low + step
-        return F.when(at > len(bounds), low).when(F.get(array, at - 1) <= F.col(row), at).otherwise(low)
+        return F.when(at > size, low).when(F.get(array, at - 1) <= row, at).otherwise(low)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(steps - 1, -1, -1)]), F.lit(0), half)
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), search)
+
+def _with_range(df: DataFrame, cols: list[str], bounds: list, name: str) -> DataFrame:
+    """``df`` with the number of ``bounds`` that are not above its row of ``cols``."""
+    if not bounds:
+        return df.withColumn(name, F.lit(0))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    step = -(-len(bounds) // FIRST_LEVEL)
+    first = bounds[step - 1::step]
+    array = F.array(*[F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b, strict=True)]) for b in first]) if first else None
+    coarse = _search(array, len(first), len(first).bit_length(), row) if first else F.lit(0)
+    if step == 1:
+        return df.withColumn(name, coarse)
+    # the bounds after each of the first level's, one short list a row
+    lists = [(i, bounds[i * step:(i + 1) * step - 1] if i < len(first) else bounds[i * step:]) for i in range(len(first) + 1)]
+    entry = T.StructType([T.StructField(c, types[c]) for c in cols])
+    table = df.sparkSession.createDataFrame(lists, T.StructType([T.StructField("_coarse", T.IntegerType()), T.StructField("_fine", T.ArrayType(entry))]))
+    out = df.withColumn("_coarse", coarse).join(F.broadcast(table), "_coarse")
+    fine = _search(F.col("_fine"), F.size("_fine"), step.bit_length(), row)
+    return out.withColumn(name, F.col("_coarse") * step + fine).select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
 def _number(c: str) -> Column:
@@ -83,8 +108,8 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
     ``df`` already carries expensive columns."""
     cols = [key, *order]
     bounds = range_bounds(bounds_from if bounds_from is not None else df, key, order, num_partitions)
-    d = df.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in cols]))
-    d = d.withColumn("_rid", _range_id(df, cols, bounds, "_row")).drop("_row")
+    spread = -1 - F.pmod(F.xxhash64(*order), F.lit(len(bounds) + 1)).cast("int")
+    d = _with_range(df, cols, bounds, "_rid").withColumn("_rid", F.when(F.col(key).isNull(), spread).otherwise(F.col("_rid")))
     w = Window.partitionBy("_rid", key).orderBy(*order)
     upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     null_key = F.col(key).isNull()

@@ -10,12 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cartcast.operators.hashing import RESOLUTION, hash_uniform
+from cartcast.operators.hashing import hash_place, hash_uniform
 from cartcast.operators.scan import ScanSpec, ordered_scan
+from cartcast.session import kept
 
-_SMALL_RATE = 500.0
 MAX_CLASSES = 10_000
 
 
@@ -78,50 +77,28 @@ def class_weights(df: DataFrame, label: str, weights=1, col: str = "weight") ->
     raise ValueError("weights must be 0, 1, a dict or a column name")
 
 
-def _poisson_counts(lam, u):
-    """Poisson draws: the distribution function inverted at ``u`` for rates up to
-    ``_SMALL_RATE``, a generator seeded by ``u`` beyond it."""
-    import numpy as np
-
-    lam = np.asarray(lam, dtype="float64")
-    u = np.asarray(u, dtype="float64")
-    k = np.zeros(len(lam), dtype="int64")
-    small = lam <= _SMALL_RATE
-    p = np.exp(-np.where(small, lam, 0.0))
-    cdf = p.copy()
-    active = small & (u > cdf)
-    i = 0
-    while active.any():  # ends: the terms fall below the last bit of the sum
-        i += 1
-        p = np.where(active, p * lam / i, p)
-        more = cdf + p
-        active &= (more > cdf) | (i < lam)
-        cdf = np.where(active, more, cdf)
-        k = np.where(active, i, k)
-        active &= u > cdf
-    for at in np.flatnonzero(~small):
-        k[at] = np.random.Generator(np.random.Philox(int(u[at] * RESOLUTION))).poisson(lam[at])
-    return k
-
-
 def weighted_resample(df: DataFrame, weight: str, key: str, seed: int = 0, num_samples: int | None = None) -> DataFrame:
-    """M4: sampling with replacement proportional to ``weight``: each row is
-    repeated Poisson(weight * n / sum(weight)) times (n = rows by default), the
-    distributed form of drawing n rows with replacement."""
-    import pandas as pd
-
-    stats = df.agg(F.count("*").alias("n"), F.sum(weight).alias("w")).first()
-    n = num_samples or stats["n"]
-    scale = float(n) / float(stats["w"])
-
-    @F.pandas_udf(T.LongType())
-    def pois(w: pd.Series, u: pd.Series) -> pd.Series:
-        return pd.Series(_poisson_counts(w.to_numpy() * scale, u.to_numpy()))
-
-    c = df.withColumn("_copies", pois(F.col(weight).cast("double"), hash_uniform(key, seed)))
-    return (c.where(F.col("_copies") > 0)
-             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-             .drop("_copies"))
+    """M4: exactly ``num_samples`` (default: as many as there are rows) draws with replacement, proportional to ``weight``.
+
+    Draw ``i`` falls on a place of the running weights along ``key`` (unique) by a hash of ``i``; rows and draws are put in one order by
+    the ordered scan, which hands every draw the last row that begins at or before its place.  So the number of copies of a row follows the
+    multinomial law, whatever the partitions are, and another run draws the same.  Rows whose weight is null or not
+    positive are never drawn.  Adds ``_copy``, from 1, to each copy of a row."""
+    w = F.col(weight).cast("double")
+    use = df.where(w > 0).withColumn("_w", w).withColumn("_k", F.lit(0)).withColumn("_one", F.lit(1.0))
+    places = ordered_scan(use, "_k", [key], ScanSpec(cumsum={"_upto": "_w", "_at": "_one"}))
+    places = kept(places.withColumn("_at", F.col("_at").cast("long")).drop("_k", "_one"), "resample-places")
+    stats = places.agg(F.count("*").alias("n"), F.max("_upto").alias("w")).first()
+    total = df.count() if num_samples is None else num_samples
+    spark = df.sparkSession
+    draws = spark.range(total if stats.n else 0).select(
+        (hash_place(F.col("id"), seed) * F.lit(stats.w or 0.0)).alias("_place"), F.lit(1).alias("_side"), F.col("id").alias("_i"), F.lit(None).cast("double").alias("_row"))
+    marks = places.select((F.col("_upto") - F.col("_w")).alias("_place"), F.lit(0).alias("_side"), F.col("_at").alias("_i"), F.col("_at").cast("double").alias("_row"))
+    both = marks.unionByName(draws).withColumn("_k", F.lit(0)).withColumn("_is", F.col("_side") == 0)
+    hit = ordered_scan(both, "_k", ["_place", "_side", "_i"], ScanSpec(last_before={"_hit": ("_row", "_is")}))
+    copies = hit.where("_side = 1").groupBy(F.col("_hit").cast("long").alias("_at")).agg(F.count("*").alias("_copies"))
+    out = places.join(copies, "_at").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], "_copy")
 
 
 def unique_labels(*frames_cols: tuple[DataFrame, str]) -> DataFrame:

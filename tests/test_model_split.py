@@ -16,24 +16,6 @@ def compact(spark):
     return FE.fe_compact(transactions(spark, SF001, description=False, country=False), "2001-07")
 
 
-def test_save_load_same_scores(spark, compact):
-    path = f"{checkpoint_dir(spark)}/test-model-{id(compact)}"
-    r = MD.save_load_roundtrip(compact.train, compact.test, compact.features, path, max_iter=5).first()
-    assert r.rows == compact.test.count() and r.differing == 0
-
-
-def test_oof_covers_train_once(spark, compact):
-    res = MD.oof_predictions(compact.train, compact.test, compact.features, folds=3,
-                             params=MD.GBTParams(max_iter=5), parallel=2)
-    n = compact.train.count()
-    oof = res.oof
-    assert oof.count() == n and oof.select("customer_id").distinct().count() == n
-    assert res.test.count() == compact.test.count()
-    assert res.importance.count() == 3 * len(compact.features)
-    p = oof.agg(F.min("p"), F.max("p")).first()
-    assert 0.0 <= p[0] <= p[1] <= 1.0
-
-
 def test_hash_splits(spark):
     df = spark.range(20000).withColumnRenamed("id", "k")
     c = {r.Set: r["count"] for r in SP.random_split(df, "k", seed=3).groupBy("Set").count().collect()}
