@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartcast.session import checkpoint_dir
+from cartcast.session import cleaned, dropped, kept  # noqa: F401
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Spark's setting by which the shuffle files of a query go once it has ended.
-_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -32,27 +25,6 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, TEXT_ROWS)
 
 
-@contextmanager
-def cleaned(spark: SparkSession):
-    """Queries run inside leave no shuffle files once they have ended."""
-    before = spark.conf.get(_CLEAN_UP)
-    spark.conf.set(_CLEAN_UP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEAN_UP, before)
-
-
-def kept(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage and
-    survives lost executors, and a result used twice is computed once."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    with cleaned(spark):
-        df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names for helper columns that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

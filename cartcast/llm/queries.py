@@ -234,3 +234,12 @@ s AS (SELECT k.item_id, k.text, f.r, f.doc_id,
       FROM k JOIN w USING (term) JOIN f USING (term) JOIN n USING (r), c GROUP BY k.item_id, k.text, f.r, f.doc_id),
 o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10"""
+
+
+@_query
+def op12_byte_gru_language(spark, sf):
+    from cartcast.llm import langid
+
+    docs = table(spark, sf, "documents")
+    out = langid.predictions(docs.select("doc_id", "text"), langid.fit(docs))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
