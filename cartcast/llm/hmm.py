@@ -38,7 +38,7 @@ WINDOW = 512
 BLOCK = 1 << 20         # tokens in a block
 ASKED = 8               # blocks that ask for a word, about
 PARTS = 16
-PASSES = 4              # over parts of the blocks in a round: emissions of one part are under way at a time
+PASSES = 3              # over parts of the blocks in a round: emissions of one part are under way at a time
 PRIOR = 30.0            # tokens of the overall distribution that each state starts with
 TOKENS_AT_ONCE = 400_000
 END = 0                 # place of the end in every block; words follow
@@ -62,13 +62,26 @@ def _tokens(planes):
     return np.ascontiguousarray(np.frombuffer(planes.as_buffer(), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
+def _short(x):
+    """The upper halves of single-precision numbers, rounded: training's messages need no more digits."""
+    import numpy as np
+
+    return ((np.ascontiguousarray(x, np.float32).view(np.uint32) + np.uint32(0x8000)) >> np.uint32(16)).astype(np.uint16)
+
+
+def _long(raw):
+    import numpy as np
+
+    return (np.frombuffer(raw, np.uint16).astype(np.uint32) << np.uint32(16)).view(np.float32)
+
+
 def _blocks(texts: DataFrame) -> DataFrame:
-    """(block, train, doc_id, held_out, tokens, words, counts): a row for each text with its tokens, places
+    """(block, train, doc_id, held_out, tokens, words, counts, ranks): a row for each text with its tokens, places
     in the words of its block, the end last; and a row for each block (tokens null) with its
-    distinct words, the commonest first, and their counts."""
+    distinct words, the commonest first, their counts, and the places of the words by their hashes."""
     import pyarrow as pa
 
-    names = ["block", "train", "doc_id", "held_out", "tokens", "words", "counts"]
+    names = ["block", "train", "doc_id", "held_out", "tokens", "words", "counts", "ranks"]
 
     def run(batches):
         import numpy as np
@@ -94,7 +107,8 @@ def _blocks(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([
                 pa.array([first + made] * (n + 1), pa.int64()), pa.array([train] * (n + 1)), pa.concat_arrays([ids, pa.nulls(1, pa.int64())]),
                 pa.array([not train] * (n + 1)), pa.array([*out, None], pa.binary()),
-                pa.array([*none, words.tobytes()], pa.binary()), pa.array([*none, c.astype(np.int64).tobytes()], pa.binary())], names=names)
+                pa.array([*none, words.tobytes()], pa.binary()), pa.array([*none, c.astype(np.int64).tobytes()], pa.binary()),
+                pa.array([*none, np.argsort(words.view(np.uint64)).astype(np.uint32).tobytes()], pa.binary())], names=names)
 
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
@@ -116,7 +130,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
                 yield rows(train)
                 made += 1
 
-    return texts.mapInArrow(run, "block long, train boolean, doc_id long, held_out boolean, tokens binary, words binary, counts binary")
+    return texts.mapInArrow(run, "block long, train boolean, doc_id long, held_out boolean, tokens binary, words binary, counts binary, ranks binary")
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
@@ -212,7 +226,8 @@ def _places(blocks: DataFrame, vocabulary: DataFrame, bits: int) -> DataFrame:
 
 
 def _answers(table: DataFrame, places: DataFrame, states: int, with_counts: bool) -> DataFrame:
-    """(block, bucket, at, emit, counts): the emissions of a block's words in a bucket; unknown words have 0."""
+    """(block, bucket, at, emit, counts): the emissions of a block's words in a bucket; unknown words have 0.
+    For scoring with the words' counts and all digits, for training in short."""
     import numpy as np
     import pyarrow as pa
 
@@ -224,25 +239,25 @@ def _answers(table: DataFrame, places: DataFrame, states: int, with_counts: bool
         c, emit = np.append(c, 0), np.concatenate([emit, np.zeros((1, states), np.float32)])  # for -1
         ats = [np.frombuffer(x.as_buffer(), np.int32) for x in right.column("at")]
         return pa.table({
-            "block": right.column("block"), "bucket": right.column("bucket"), "at": right.column("at"), "emit": pa.array([emit[at].tobytes() for at in ats], pa.binary()),
+            "block": right.column("block"), "bucket": right.column("bucket"), "at": right.column("at"), "emit": pa.array([(emit[at] if with_counts else _short(emit[at])).tobytes() for at in ats], pa.binary()),
             "counts": pa.array([c[at].tobytes() if with_counts else None for at in ats], pa.binary())})
 
     form = "block long, bucket int, at binary, emit binary, counts binary"
     return table.where("bucket >= 0").groupBy("bucket").cogroup(places.groupBy("bucket")).applyInArrow(run, form)
 
 
-def _block_model(model, words, answers):
+def _block_model(model, ranks, answers, short: bool):
     """(parameters, order, answers in order): parameters over the places of a block, the end and then its words;
     ``order`` has the places of its words by their hashes, as the answers are."""
     import numpy as np
 
     start, move, end, unknown, sums = model
-    own = next((np.frombuffer(w.as_buffer(), np.uint64) for w in words if w.is_valid), np.zeros(0, np.uint64))
-    order = np.argsort(own)
+    order = next((np.frombuffer(r.as_buffer(), np.uint32) for r in ranks if r.is_valid), np.zeros(0, np.uint32)).astype(np.int64)
     answers = answers.take(np.argsort(answers.column("bucket").to_numpy()))
     at = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_buffer(), np.int32) for x in answers.column("at"))])
-    e = np.concatenate([np.zeros((0, len(sums)), np.float32), *(np.frombuffer(x.as_buffer(), np.float32).reshape(-1, len(sums)) for x in answers.column("emit"))])
-    emit = np.empty((len(own) + 1, len(sums)))
+    read = _long if short else lambda raw: np.frombuffer(raw, np.float32)
+    e = np.concatenate([np.zeros((0, len(sums)), np.float32), *(read(x.as_buffer()).reshape(-1, len(sums)) for x in answers.column("emit"))])
+    emit = np.empty((len(order) + 1, len(sums)))
     emit[END], emit[1 + order] = end / sums, np.where((at < 0)[:, None], unknown, e) / sums
     return Parameters(start, move, emit).packed(), order, answers
 
@@ -346,7 +361,7 @@ def _round(blocks: DataFrame, table: DataFrame, places: DataFrame, model, total:
     sent = blocks.sparkSession.sparkContext.broadcast(model)
 
     def learn(left, right):
-        p, order, right = _block_model(sent.value, left.column("words"), right)
+        p, order, right = _block_model(sent.value, left.column("ranks"), right, True)
         start, move, emit = np.zeros((2, states)), np.zeros((states, states)), np.zeros(p.emit.shape)
         windows, later, n = [], [], 0
 
@@ -369,7 +384,7 @@ def _round(blocks: DataFrame, table: DataFrame, places: DataFrame, model, total:
         if windows:
             flush()
         stops = np.cumsum([0, *(len(x.as_buffer()) // 4 for x in right.column("at"))]).tolist()
-        own = emit[1 + order].astype(np.float32)
+        own = _short(emit[1 + order])
         small = np.concatenate([start.ravel(), move.ravel(), emit[END]])
         return pa.table({
             "bucket": pa.array([*right.column("bucket").to_pylist(), -1 - left.column("block")[0].as_py() % PARTS], pa.int32()),
@@ -385,12 +400,12 @@ def _round(blocks: DataFrame, table: DataFrame, places: DataFrame, model, total:
         before = left.column("emit")[0]
         emit = np.frombuffer(before.as_buffer(), np.float32).reshape(-1, states).astype(float) if before.is_valid else np.repeat((PRIOR * (c + 0.1) / total)[:, None], states, axis=1)
         for at, g in zip(right.column("at"), right.column("emit"), strict=True):  # a block's words are distinct
-            emit[np.frombuffer(at.as_buffer(), np.int32)] += np.frombuffer(g.as_buffer(), np.float32).reshape(-1, states)
+            emit[np.frombuffer(at.as_buffer(), np.int32)] += _long(g.as_buffer()).reshape(-1, states)
         return pa.table([*_bucket_row(bucket, c, emit, emit.sum(axis=0)).columns], names=names)
 
     names = ["bucket", "counts", "emit", "sums"]
     answers = _answers(table, places, states, False)
-    learnt = blocks.select("block", "tokens", "words").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(learn, "bucket int, at binary, emit binary")
+    learnt = blocks.select("block", "tokens", "ranks").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(learn, "bucket int, at binary, emit binary")
     old = table.where("bucket >= 0").select("bucket", "counts", F.lit(None).cast("binary").alias("emit"), F.lit(None).cast("array<double>").alias("sums")) if so_far is None else so_far
     return old.groupBy("bucket").cogroup(learnt.groupBy("bucket")).applyInArrow(add, BUCKET)
 
@@ -447,7 +462,7 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, frequent
     sent = spark.sparkContext.broadcast(model)
 
     def forward(left, right):
-        p, order, right = _block_model(sent.value, left.column("words"), right)
+        p, order, right = _block_model(sent.value, left.column("ranks"), right, False)
         c = np.full(len(p.emit), n_docs)
         c[1 + order] = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_buffer(), np.int64) for x in right.column("counts"))])
         seen, logs = c > 0, np.log10(c + 0.1) - np.log10(total if n_docs else 0.1)
@@ -470,7 +485,7 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, frequent
     out = None
     for g in range(PASSES):
         answers = _answers(table, of_pass(places, g), states, True)
-        scored = of_pass(blocks, g).select("block", "doc_id", "held_out", "tokens", "words").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(forward, form)
+        scored = of_pass(blocks, g).select("block", "doc_id", "held_out", "tokens", "ranks").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(forward, form)
         scored = kept(scored, "hmm-scores")
         out = scored if out is None else out.unionByName(scored)
     return out

@@ -47,7 +47,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartcast.llm.common import cleaned, kept, text_or_empty
+from cartcast.llm.common import cleaned, dropped, kept, text_or_empty
 from cartcast.llm.words import mix, word_hashes
 
 COUNT_BITS = 20
@@ -338,7 +338,9 @@ def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percen
         both = int((z[1:] == z[:-1]).sum())
         return 100 * both >= percent * (len(x) + len(y) - both)
 
-    return _chosen(_with_both(pairs, sets), exact, "jaccard-links")
+    out = _chosen(_with_both(pairs, sets), exact, "jaccard-links")
+    dropped(live, sets)
+    return out
 
 
 def _live(nodes: DataFrame, used: DataFrame) -> DataFrame:
@@ -352,16 +354,18 @@ def components(links: DataFrame) -> DataFrame:
     edges = kept(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = kept(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "id"), "labels")
     while True:
-        via = edges.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        via = edges.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
         step = (labels.join(via, F.col("id") == F.col("a"))
                 .select("id", F.col("label").alias("was"), F.least("label", "near").alias("label")))
         jump = labels.select(F.col("id").alias("label"), F.col("label").alias("further"))
         # a label is an id of the component; its own label is at most as large
         new = kept(step.join(jump, "label", "left").select(
             "id", "was", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
+        dropped(labels)
         if new.where("label <> was").isEmpty():
+            dropped(edges)
             return new.select("id", F.col("label").alias("component"))
-        labels = new.select("id", "label")
+        labels = new
 
 
 def _groups(raw: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -373,16 +377,18 @@ def _groups(raw: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = raw.repartition("key").withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key)).where("low < high")
     rows = rows.groupBy("key", "node").agg(F.lit(1).alias("one"))  # a class can come from several tasks
     members = F.xxhash64(*[F.bit_xor(F.xxhash64("node", F.lit(k))).over(by_key) for k in (0, 1)], F.count("*").over(by_key), F.min("node").over(by_key))
-    rows = kept(rows.select("key", "node", members.alias("members")), "jaccard-keys")
-    one = kept(rows.groupBy("members").agg(F.min("key").alias("key")).select("key"), "jaccard-one")
+    named = kept(rows.select("key", "node", members.alias("members")), "jaccard-keys")
+    one = kept(named.groupBy("members").agg(F.min("key").alias("key")).select("key"), "jaccard-one")
     wanted = _filter(one)
 
     def run(batches):
         for rb in batches:
             yield rb.filter(pa.array(_in_filter(wanted.value, rb.column(0).to_numpy())))
 
-    rows = rows.select("key", "node").mapInArrow(run, "key long, node long").join(one, "key", "left_semi")
-    return kept(rows.join(nodes.select("node", "n"), "node").withColumn("first", F.min("node").over(by_key)), "jaccard-groups")
+    rows = named.select("key", "node").mapInArrow(run, "key long, node long").join(one, "key", "left_semi")
+    out = kept(rows.join(nodes.select("node", "n"), "node").withColumn("first", F.min("node").over(by_key)), "jaccard-groups")
+    dropped(named, one)
+    return out
 
 
 def _tiles(keys: DataFrame, part_of: DataFrame, percent: int) -> DataFrame:
@@ -401,7 +407,9 @@ def _tiles(keys: DataFrame, part_of: DataFrame, percent: int) -> DataFrame:
     met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "node", "n", "component", "own", "block")
-    return kept(met, "jaccard-tiles")
+    out = kept(met, "jaccard-tiles")
+    dropped(labelled)
+    return out
 
 
 def _folded(maps: list, bits: int):
@@ -504,7 +512,9 @@ def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, best_only: b
         if held is not None and held.num_rows:
             yield emit(held)
 
-    return kept(rows.mapInArrow(run, "key long, a long, b long"), "jaccard-pairs")
+    out = kept(rows.mapInArrow(run, "key long, a long, b long"), "jaccard-pairs")
+    dropped(tiles)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
@@ -519,9 +529,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", col: str = "text",
     nodes = kept(named.groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "jaccard-nodes")
 
     keys = _groups(_keys(texts.where("id is not null"), counters, n, percent), nodes)
-    bitmaps = _bitmaps(_live(nodes, keys.select("node")), texts, n, percent)
-    star = kept(keys.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "jaccard-star")
-    star = _promising(star, bitmaps, percent)
+    live = _live(nodes, keys.select("node"))
+    bitmaps = _bitmaps(live, texts, n, percent)
+    dropped(live)
+    near = kept(keys.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "jaccard-star")
+    star = _promising(near, bitmaps, percent)
+    dropped(near)
     # rows of a repeated id can be in several classes, which are linked through the id
     twice = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("id", "a")
     links = named.join(twice, "id").where("node <> a").select("a", F.col("node").alias("b"))

@@ -8,15 +8,19 @@ that every stretch of the mix holds each source close to its share.  The ``r``-t
 slot of a source takes the ``r``-th block of its stream: a join on
 (source, rank).
 
+A source takes exactly its target, rounded to whole words: its last block is cut there, and blocks for which the
+schedule has no slot (those of sources smaller than a block, or one or two of a large source) are settled each at the slot that a
+golden-ratio point of the source and block names, so that small sources are spread over the whole mix as well.
+
 Targets: sources in code point order, null last, weigh ``weights`` in turn and share all words;
 none gets more than ``MOST`` times its size, the excess goes to the others by weight.
 With limits ``c`` and weights ``w`` that is ``min(c, w * x)`` for the level ``x`` that uses all
 words up, which sums over the sources sorted by ``c / w`` give.
 
 Scale: at most ``2**SLOT_BITS`` slots (blocks grow with the corpus, from ``LEAST_BLOCK``
-words up), running sums in ``4096`` ranges of the hash per source and pass, so a source with
-a third of all rows is spread like all others; only counts per source and the
-total reach single rows.  Draws depend on id, copy and pass only: reruns agree.
+words up); running sums over sources by the skew-safe ordered scan, and over documents in ``4096`` ranges of the hash per source and pass, so a
+source with a third of all rows is spread like all others; only totals over all sources reach
+single rows.  Draws depend on id, copy and pass only: reruns agree.
 
 Defined results: null texts have size 0 and are never taken; a null source is one
 source, a null id an id like others; repeated rows are separate copies; rows of equal
@@ -32,12 +36,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartcast.llm.common import WORD, kept
+from cartcast.operators.scan import ScanSpec, ordered_scan
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SLOT_BITS = 22
 LEAST_BLOCK = 16
 _CHUNK = 4096
+GOLDEN = (5**0.5 - 1) / 2
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", col: str = "text", source: str = "source") -> DataFrame:
@@ -48,19 +54,26 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", col: str = "text", source: st
             .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).drop("n"))
 
 
+def _running(df: DataFrame, order: list[str], **sums: str) -> DataFrame:
+    """``df`` with running sums along ``order``: name = column."""
+    out = ordered_scan(df.withColumn("k", F.lit(0)), "k", order, ScanSpec(cumsum=sums))
+    return out.drop("k")
+
+
 def targets(rows: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """(source, place, source_size, target, below): ``below`` is the sum of the targets of the sources before."""
-    by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1
+    by_source = kept(rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+                     .withColumn("last", F.col("source").isNull()).withColumn("one", F.lit(1.0)), "mix-sources")
+    placed = _running(by_source, ["last", "source"], at="one").withColumn("place", F.col("at").cast("long") - 1)
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("place") % len(weights) + 1).cast("int"))
-    s = by_source.withColumn("place", place).withColumn("w", w).withColumn("cap", F.lit(float(most)) * F.col("source_size"))
-    up = Window.orderBy(F.col("cap") / F.col("w"), "place")
-    before = up.rowsBetween(Window.unboundedPreceding, -1)
-    everyone = Window.partitionBy()
-    level = (F.sum("source_size").over(everyone) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(up.rowsBetween(0, Window.unboundedFollowing))
-    s = s.withColumn("level", level).withColumn("level", F.max("level").over(everyone))
-    s = s.withColumn("target", F.least(F.col("cap"), F.col("w") * F.col("level")))
-    return s.withColumn("below", F.coalesce(F.sum("target").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).select(
+    s = placed.withColumn("w", w).withColumn("cap", F.lit(float(most)) * F.col("source_size")).withColumn("full", F.col("cap") / F.col("w"))
+    s = kept(s.select("source", "place", "source_size", "w", "cap", "full"), "mix-places")
+    whole = s.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    up = _running(s, ["full", "place"], caps="cap", ws="w")
+    level = (F.lit(float(whole["size"] or 0)) - (F.col("caps") - F.col("cap"))) / (F.lit(whole["w"] or 1.0) - F.col("ws") + F.col("w"))
+    top = up.agg(F.max(level).alias("x")).first().x
+    s = s.withColumn("target", F.least(F.col("cap"), F.col("w") * F.lit(top)))
+    return _running(s, ["place"], upto="target").withColumn("below", F.col("upto") - F.col("target")).select(
         "source", "place", "source_size", "target", "below")
 
 
@@ -73,10 +86,10 @@ def schedule(goal: DataFrame, slots: int) -> DataFrame:
     """(slot, place, rank): which source each slot of the mix takes, and its how manieth block."""
     bits = max(1, math.ceil(math.log2(max(slots, 2))))
     whole = 1 << bits
-    total = F.sum("target").over(Window.partitionBy())
-    parts = goal.withColumn("total", total).where("total > 0 and target > 0")
+    whole_goal = goal.where("target > 0").agg(F.sum("target").alias("total"), F.max("place").alias("last")).first()
+    parts = goal.withColumn("total", F.lit(whole_goal.total).cast("double")).where("total > 0 and target > 0")
     edge = lambda x: F.least(F.ceil(x / F.col("total") * whole), F.lit(whole)).cast("long")
-    last = F.col("place") == F.max("place").over(Window.partitionBy())
+    last = F.col("place") == F.lit(whole_goal["last"])
     parts = parts.select("place", edge(F.col("below")).alias("lo"), F.when(last, F.lit(whole)).otherwise(edge(F.col("below") + F.col("target"))).cast("long").alias("hi"))
     # points lo to hi - 1, unfolded in two steps so that no array is long
     chunk = parts.where("hi > lo").withColumn("c", F.explode(_ranges(F.floor((F.col("hi") - 1 - F.col("lo")) / _CHUNK))))
@@ -111,23 +124,25 @@ def stream(rows: DataFrame, passes: int = MOST) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", col: str = "text", source: str = "source", weights=WEIGHTS, most: int = MOST):
     """Two tables: pieces of the mix (slot, id, source, copy, pass, first word, words), in the order of
-    (slot, start), and the result per row (id, source, copy, size, source_size, target, taken)."""
+    (slot, block, at), and the result per row (id, source, copy, size, source_size, target, taken)."""
     rows = kept(sizes(docs, id_col, col, source), "mix-sizes")
     goal = kept(targets(rows, weights, most), "mix-targets")
     total = goal.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     block = max(LEAST_BLOCK, -(-total // (1 << SLOT_BITS)))
-    slots = schedule(goal, max(1, round(total / block)))
-    used = slots.groupBy("place").agg((F.count("*") * block).alias("used"))
-    info = goal.join(used, "place", "left").select("source", "place", "source_size", "target", F.coalesce("used", F.lit(0)).alias("used"))
+    n_slots = max(1, round(total / block))
+    slots = schedule(goal, n_slots)
+    info = goal.select("source", "place", "source_size", "target", F.floor(F.col("target") + 0.5).alias("used"))
     placed = rows.join(info.withColumnRenamed("source", "its_source"), F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
     placed = kept(placed, "mix-placed")
-    pieces = stream(placed, most).where("start < used").withColumn(
+    pieces = stream(placed, most).where("start < used").withColumn("stop", F.least("stop", "used")).withColumn(
         "block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block))))
     lo = F.greatest("start", F.col("block") * block)
     pieces = pieces.select("id", "source", "copy", "size", "place", "pass", "block", lo.alias("at"), (lo - F.col("start")).alias("first"),
                            (F.least(F.col("stop"), (F.col("block") + 1) * block) - lo).alias("words"))
     # the planner can't see how many slots unfold from the few sources, so it must not broadcast them
-    pieces = pieces.join(slots.withColumnRenamed("rank", "block").hint("merge"), ["place", "block"])
+    pieces = pieces.join(slots.withColumnRenamed("rank", "block").hint("merge"), ["place", "block"], "left")
+    point = F.pmod(F.col("place") * GOLDEN + F.col("block") * GOLDEN * GOLDEN, F.lit(1.0))
+    pieces = pieces.withColumn("slot", F.coalesce("slot", F.floor(point * n_slots)))
     key = ["id", "source", "copy", "size", "place", "source_size", "target"]
     words = pieces.groupBy("id", "source", "copy", "size", "place").agg(F.sum("words").alias("words"))
     # one row of each is there with no words, so that documents which aren't taken stay

@@ -66,33 +66,21 @@ def op6_low_discrepancy_mix(spark, sf):
 
 
 def _mix_sql() -> str:
-    reverse = " + ".join(f"((((p << (22 - bits)) >> {k}) & 1) << {21 - k})" for k in range(22))
-    return f"""
+    return """
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, size) - 1 AS copy FROM d),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
 s1 AS (SELECT *, CASE place % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w, 3.0::DOUBLE * source_size AS cap FROM s0),
 s2 AS (SELECT *, ((SELECT sum(source_size) FROM s1) - coalesce(sum(cap) OVER (ORDER BY cap / w, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
          / sum(w) OVER (ORDER BY cap / w, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM s1),
-s3 AS (SELECT *, least(cap, w * (SELECT max(lev) FROM s2)) AS target FROM s2),
-s AS (SELECT *, coalesce(sum(target) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s3),
-c0 AS (SELECT CAST(sum(source_size) AS BIGINT) AS words, sum(target) AS total FROM s),
-c1 AS (SELECT *, greatest(16, CAST(ceil(words / 4194304.0) AS BIGINT)) AS block FROM c0),
-c AS (SELECT *, greatest(1, CAST(round_even(words / block, 0) AS BIGINT)) AS slots,
-        greatest(1, CAST(ceil(log2(greatest(2, CAST(round_even(words / block, 0) AS BIGINT)))) AS BIGINT)) AS bits FROM c1),
-b AS (SELECT place, least(CAST(ceil(below / total * (1 << bits)) AS BIGINT), 1 << bits) AS lo,
-        CASE WHEN place = (SELECT max(place) FROM s WHERE target > 0) THEN 1 << bits ELSE least(CAST(ceil((below + target) / total * (1 << bits)) AS BIGINT), 1 << bits) END AS hi
-      FROM s, c WHERE target > 0),
-p AS (SELECT place, unnest(range(lo, hi)) AS p FROM b WHERE hi > lo),
-k AS (SELECT place, {reverse} AS slot FROM p, c),
-n AS (SELECT place, count(*) * (SELECT block FROM c) AS used FROM k WHERE slot < (SELECT slots FROM c) GROUP BY place),
-e AS (SELECT r.*, s.place, s.source_size, s.target, x.pass,
+s AS (SELECT *, least(cap, w * (SELECT max(lev) FROM s2)) AS target FROM s2),
+e AS (SELECT r.*, s.place, s.source_size, s.target, CAST(floor(s.target + 0.5) AS BIGINT) AS used,
         sum(size) OVER (PARTITION BY place, pass ORDER BY md5(x.pass || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || copy), doc_id, size, copy
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + pass * s.source_size AS stop
       FROM r JOIN s ON r.source IS NOT DISTINCT FROM s.source, (SELECT unnest([0, 1, 2]) AS pass) x)
 SELECT doc_id, size, any_value(source_size) AS source_size, any_value(target) AS target,
-       CAST(sum(greatest(0, least(stop, coalesce(used, 0)) - (stop - size))) AS BIGINT) AS taken
-FROM e LEFT JOIN n USING (place) GROUP BY doc_id, source, size, copy"""
+       CAST(sum(greatest(0, least(stop, used) - (stop - size))) AS BIGINT) AS taken
+FROM e GROUP BY doc_id, source, size, copy"""
 
 
 SQL["op6_low_discrepancy_mix"] = _mix_sql()

@@ -1,33 +1,31 @@
 """Operator 8: toxicity by a subsequence string kernel, Nystroem landmarks and a
-linear support vector machine.
+linear support vector machine over labelled sentences.
 
 Units are white-space words in lower case without punctuation at their ends
 (words of over 30 characters in overlapping parts; runs of single letters also
 joined, so ``i d i o t`` is a unit).  The kernel compares two units by their
 common subsequences of three characters that leave out at most ``GAP``
 characters, each worth ``DECAY`` to the power of the length it spans, divided by
-the units' norms; ``\\x02`` and ``\\x03`` mark both ends.  Gaps let ``id.iot`` or
+the units' norms; ``\x02`` and ``\x03`` mark both ends.  Gaps let ``id.iot`` or
 ``idxiot`` resemble ``idiot``.
 
-Fitting: a bounded sample of labelled rows (about ``max_toxic`` and ``max_clean`` at most, by a
-hash of the id) is counted by Spark into rows (unit, toxic documents,
-clean documents).  Units that are far commoner in toxic documents are positive
-instances; units of clean documents are negative ones: a bounded hash sample and,
-in ``ROUNDS`` rounds, those that the model so far scores highest among *all* units of the
-sample.  Landmarks are the positive units and some negative ones; the SVM
-(squared hinge, Newton steps) is fitted in Nystroem coordinates on the driver,
-from bounded tables only.  A document's margin is its highest unit's; a logistic
-curve fitted on the sample's documents turns margin into a score.
+Fitting: a bounded sample of labelled texts (about ``max_toxic`` and ``max_clean`` at most, by a
+hash of the id) is what the machine learns from: every text of it is one row.  Landmarks are the
+``LANDMARKS`` units that tell most about the label and a hash sample of others.  In Nystroem coordinates a text is the
+sum of its ``TOP`` units of highest value, so that a phrase of words which are harmless alone counts as the sum of both; which
+units these are follows from the machine itself, so selection and fit (squared hinge, Newton steps) take turns until the
+selection no longer changes the decisions, ``ROUNDS`` times at most, from a start that tells the landmarks' words apart.  The round whose rows are
+told apart best is kept.  A logistic curve fitted on the sample turns margin into a score.
 
 Scoring: the fitted function is linear in the subsequences, so the landmarks
 fold into one weight per subsequence, which gives exactly the same values.  Each
 task scores the distinct units of its rows in numpy blocks; rows don't move.
-Margins are cut off below at ``FLOOR``.
+Units below ``LEAST`` add nothing.
 
-Defined results: null and empty texts have margin ``FLOOR`` and a score all the
+Defined results: null and empty texts have margin 0 and a score all the
 same; a null id counts as the empty text in the hash; null labels and labels of
 unknown documents are ignored, repeated labels of a document count by their
-maximum; without a toxic and a clean training row, or without positive units, all
+maximum; without a toxic and a clean training row, or without units that tell them apart, all
 scores are 0; repeated rows get equal scores; extra columns are ignored.
 """
 
@@ -41,16 +39,18 @@ from pyspark.sql import functions as F
 from cartcast.llm.common import kept
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~–—…«»“”¿¡"
-#: A positive unit's counts are e**EVIDENCE times likelier under its own rate than
+#: A unit tells about the label if its counts are e**EVIDENCE times likelier under its own rate than
 #: under the rate of all documents: chance alone makes about one in a million.
 EVIDENCE = 12.0
 DECAY = 0.7
 GAP = 3
 WIDTH = 32          # characters of a unit with its marks
 FLOOR = -0.5
-ROUNDS = 2
-MAX_POSITIVE, MAX_NEGATIVE, MAX_HARD = 400, 3000, 1500
-NEGATIVE_LANDMARKS = 100
+LEAST = 0.05        # value from which a unit counts
+TOP = 4             # units of a text that count
+ROUNDS = 6
+LANDMARKS, OTHER_LANDMARKS = 400, 100
+STARTERS = 3000     # hash sample of clean units for the first guess
 _SEEN = 150_000     # units that a task remembers as far from toxic
 _OFFSETS = [(a, b) for a in range(GAP + 1) for b in range(GAP + 1 - a)]
 
@@ -133,9 +133,10 @@ def _vectors(batch: list[str]) -> list[dict[int, float]]:
 class Folded:
     """A linear function of subsequences: one weight per code, looked up densely."""
 
-    def __init__(self, weights: dict[int, float], bias: float):
+    def __init__(self, weights: dict[int, float], bias: float, floor: float = FLOOR):
         import numpy as np
 
+        self.floor = floor
         letters = sorted({(k >> s) & 0x1FFFFF for k in weights for s in (42, 21, 0)})
         self.letter = np.zeros(0x110000, np.int32)
         self.letter[letters] = np.arange(1, len(letters) + 1)
@@ -162,19 +163,19 @@ class Folded:
         return self.table[(a * self.n + b) * self.n + c]
 
     def margins(self, batch: list[str]):
-        """Margin of each unit, not below FLOOR."""
+        """Value of each unit, not below the floor."""
         import numpy as np
 
-        out = np.full(len(batch), FLOOR)
+        out = np.full(len(batch), self.floor)
         for k in range(0, len(batch), 2048):
             codes, weights = _features(batch[k:k + 2048])
             some = self.weight_of(codes) * weights
             total = some.sum(axis=1)
             least = np.sqrt((np.where(codes > 0, weights, 0.0) ** 2).sum(axis=1))  # equal codes only make it longer
-            near = np.flatnonzero(total > (FLOOR - self.bias) * least) if self.bias < FLOOR else np.arange(len(codes))
+            near = np.flatnonzero(total > (self.floor - self.bias) * least) if self.bias < self.floor else np.arange(len(codes))
             near = near[least[near] > 0]
             if len(near):
-                out[k + near] = np.maximum(FLOOR, total[near] / _norms(codes[near], weights) + self.bias)
+                out[k + near] = np.maximum(self.floor, total[near] / _norms(codes[near], weights) + self.bias)
         return out
 
 
@@ -193,32 +194,144 @@ def _svm(z, y, cost, c: float = 10.0):
     return w
 
 
-def _fit(positive: list[str], negative: list[str], landmarks: list[str]) -> Folded:
+class Coordinates:
+    """Nystroem coordinates: what the landmarks' kernel matrix makes of a unit's kernel values with them."""
+
+    def __init__(self, landmarks: list[str]):
+        import numpy as np
+
+        marks = _vectors(landmarks)
+        self.code_at: dict[int, int] = {}
+        for d in marks:
+            for k in d:
+                self.code_at.setdefault(k, len(self.code_at))
+        self.m = np.zeros((len(marks), len(self.code_at)))
+        for j, d in enumerate(marks):
+            for k, v in d.items():
+                self.m[j, self.code_at[k]] = v
+        value, vector = np.linalg.eigh(self.m @ self.m.T)
+        good = value > 1e-6 * value.max()
+        self.root = vector[:, good] / np.sqrt(value[good])
+
+    def of(self, batch: list[str]):
+        import numpy as np
+
+        kernel = np.zeros((len(batch), len(self.m)))
+        for i, d in enumerate(_vectors(batch) if batch else []):
+            at = [(self.code_at[k], v) for k, v in d.items() if k in self.code_at]
+            if at:
+                place, v = zip(*at, strict=True)
+                kernel[i] = self.m[:, list(place)] @ np.array(v)
+        return kernel @ self.root
+
+    def folded(self, w) -> Folded:
+        """The function whose value at a unit is the product of its coordinates with ``w``."""
+        g = (self.root @ w) @ self.m
+        return Folded({k: float(g[at]) for k, at in self.code_at.items() if abs(g[at]) > 1e-9}, 0.0, LEAST)
+
+
+@dataclass
+class Model:
+    folded: Folded | None
+    slope: float = 0.0
+    shift: float = 0.0
+
+    def score(self, margin: float) -> float:
+        import math
+
+        if self.folded is None:
+            return 0.0
+        return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, self.slope * margin + self.shift))))
+
+
+def _top_units(texts, folded: Folded, seen: set[str], near: dict[str, float]):
+    """The (value, unit) of each text's ``TOP`` units above the floor, highest first; ties by the unit."""
+    import heapq
+
+    each = [units(t or "") for t in texts]
+    new = list(set().union(*each) - seen - near.keys()) if each else []
+    for u, f in zip(new, folded.margins(new).tolist(), strict=True):
+        if f > folded.floor:
+            near[u] = f
+        else:
+            seen.add(u)
+    out = [heapq.nlargest(TOP, ((near[u], u) for u in us & near.keys())) for us in each]
+    if len(seen) + len(near) > _SEEN:
+        seen.clear()
+        near.clear()
+    return out
+
+
+def _document_margins(texts, folded: Folded, seen: set[str], near: dict[str, float]):
+    return [sum(f for f, _ in top) for top in _top_units(texts, folded, seen, near)]
+
+
+def margins(self, batch: list[str]):
+        """Value of each unit, not below the floor."""
+        import numpy as np
+
+        out = np.full(len(batch), self.floor)
+        for k in range(0, len(batch), 2048):
+            codes, weights = _features(batch[k:k + 2048])
+            some = self.weight_of(codes) * weights
+            total = some.sum(axis=1)
+            least = np.sqrt((np.where(codes > 0, weights, 0.0) ** 2).sum(axis=1))  # equal codes only make it longer
+            near = np.flatnonzero(total > (self.floor - self.bias) * least) if self.bias < self.floor else np.arange(len(codes))
+            near = near[least[near] > 0]
+            if len(near):
+                out[k + near] = np.maximum(self.floor, total[near] / _norms(codes[near], weights) + self.bias)
+        return out
+
+
+def _svm(z, y, cost, c: float = 10.0):
+    """Squared hinge by Newton steps; the last coordinate of ``z`` is the bias."""
     import numpy as np
 
-    marks = _vectors(landmarks)
-    code_at: dict[int, int] = {}
-    for d in marks:
-        for k in d:
-            code_at.setdefault(k, len(code_at))
-    m = np.zeros((len(marks), len(code_at)))
-    for j, d in enumerate(marks):
-        for k, v in d.items():
-            m[j, code_at[k]] = v
-    value, vector = np.linalg.eigh(m @ m.T)
-    good = value > 1e-6 * value.max()
-    root = vector[:, good] / np.sqrt(value[good])  # of the landmarks' kernel matrix
-    kernel = np.zeros((len(positive) + len(negative), len(marks)))
-    for i, d in enumerate(_vectors(positive + negative)):
-        for k, v in d.items():
-            if (at := code_at.get(k)) is not None:
-                kernel[i] += v * m[:, at]
-    z = np.hstack([kernel @ root, np.ones((len(kernel), 1))])
-    y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-    cost = np.r_[np.full(len(positive), 1.0), np.full(len(negative), 1.0)]
-    w = _svm(z, y, cost)
-    g = (root @ w[:-1]) @ m
-    return Folded({k: float(g[at]) for k, at in code_at.items() if abs(g[at]) > 1e-9}, float(w[-1]))
+    w = np.zeros(z.shape[1])
+    active = np.ones(len(y), bool)
+    for _ in range(50):
+        za = z[active] * (2 * c * cost[active])[:, None]
+        new = np.linalg.solve(za.T @ z[active] + np.eye(z.shape[1]), za.T @ y[active])
+        w, was, active = new, active, y * (z @ new) < 1
+        if (was == active).all():
+            break
+    return w
+
+
+class Coordinates:
+    """Nystroem coordinates: what the landmarks' kernel matrix makes of a unit's kernel values with them."""
+
+    def __init__(self, landmarks: list[str]):
+        import numpy as np
+
+        marks = _vectors(landmarks)
+        self.code_at: dict[int, int] = {}
+        for d in marks:
+            for k in d:
+                self.code_at.setdefault(k, len(self.code_at))
+        self.m = np.zeros((len(marks), len(self.code_at)))
+        for j, d in enumerate(marks):
+            for k, v in d.items():
+                self.m[j, self.code_at[k]] = v
+        value, vector = np.linalg.eigh(self.m @ self.m.T)
+        good = value > 1e-6 * value.max()
+        self.root = vector[:, good] / np.sqrt(value[good])
+
+    def of(self, batch: list[str]):
+        import numpy as np
+
+        kernel = np.zeros((len(batch), len(self.m)))
+        for i, d in enumerate(_vectors(batch) if batch else []):
+            at = [(self.code_at[k], v) for k, v in d.items() if k in self.code_at]
+            if at:
+                place, v = zip(*at, strict=True)
+                kernel[i] = self.m[:, list(place)] @ np.array(v)
+        return kernel @ self.root
+
+    def folded(self, w) -> Folded:
+        """The function whose value at a unit is the product of its coordinates with ``w``."""
+        g = (self.root @ w) @ self.m
+        return Folded({k: float(g[at]) for k, at in self.code_at.items() if abs(g[at]) > 1e-9}, 0.0, LEAST)
 
 
 @dataclass
@@ -302,10 +415,46 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean:
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("toxic", "text")
 
 
+def _sentence_rows(sample: DataFrame, coordinates: Coordinates, folded: Folded):
+    """Labels and coordinates of the sample's texts: the sums of their top units'.  As many as the sample has."""
+    import numpy as np
+
+    sent = sample.sparkSession.sparkContext.broadcast((coordinates, folded))
+
+    def run(batches):
+        import pyarrow as pa
+
+        where, f = sent.value
+        seen, near = set(), {}
+        for rb in batches:
+            tops = _top_units(rb.column(1).to_pylist(), f, seen, near)
+            used = sorted({u for top in tops for _, u in top})
+            place = {u: k for k, u in enumerate(used)}
+            z = where.of(used)
+            rows = [z[[place[u] for _, u in top]].sum(axis=0).astype(np.float32).tobytes() if top else None for top in tops]
+            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(rows, pa.binary())], names=["toxic", "row"])
+
+    got = sample.select("toxic", "text").mapInArrow(run, "toxic int, row binary").collect()
+    dims = coordinates.root.shape[1]
+    z = np.zeros((len(got), dims + 1))
+    z[:, dims] = 1.0
+    for k, r in enumerate(got):
+        if r["row"] is not None:
+            z[k, :dims] = np.frombuffer(r["row"], np.float32)
+    return z, np.array([1.0 if r["toxic"] else -1.0 for r in got])
+
+
+def _told_apart(z, y, w) -> float:
+    """Mean squared hinge loss, both classes alike."""
+    import numpy as np
+
+    loss = np.maximum(0, 1 - y * (z @ w)) ** 2
+    return float(loss[y > 0].mean() + loss[y < 0].mean())
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 4000, max_clean: int = 12000) -> Model:
     import numpy as np
 
-    spark = docs.sparkSession
     sample = kept(training_rows(docs, labels, max_toxic, max_clean), "toxic-sample")
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
@@ -315,33 +464,40 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 4000, max_clean: in
     both, share = F.col("n_toxic") + F.col("n_clean"), n[1] / (n[0] + n[1])
     evidence = F.col("n_toxic") * F.log(F.greatest(F.col("n_toxic"), F.lit(1)) / both / share) + F.col("n_clean") * F.log(
         F.greatest(F.col("n_clean"), F.lit(1)) / both / (1 - share))
-    is_positive = (rate >= 20.0) & (evidence >= EVIDENCE)
-    positive = [r["unit"] for r in counts.where(is_positive).orderBy(F.desc("n_toxic"), "unit").limit(MAX_POSITIVE).collect()]
+    telling = counts.where((rate > 1.5) & (evidence >= EVIDENCE)).orderBy(evidence.desc(), "unit").limit(LANDMARKS)
+    positive = telling.select("unit", F.log(rate).alias("pull")).collect()
     if not positive:
         return Model(None)
     # a unit counts as clean where toxic documents don't have it more often
-    other = counts.where((F.col("n_clean") > 0) & (rate < 3.0))
-    negative = [r["unit"] for r in other.orderBy(F.xxhash64("unit"), "unit").limit(MAX_NEGATIVE).collect()]
-    for k in range(ROUNDS + 1):
-        folded = _fit(positive, negative, positive + negative[-NEGATIVE_LANDMARKS:])
-        if k < ROUNDS:
-            sent = spark.sparkContext.broadcast(folded)
-            scored = other.select("unit").mapInArrow(lambda it, sent=sent: _score_units(it, sent.value), "unit string, margin double")
-            known = set(negative)
-            hard = [r["unit"] for r in scored.where(F.col("margin") > FLOOR).orderBy(F.desc("margin"), "unit").limit(MAX_HARD).collect()]
-            negative += [u for u in reversed(hard) if u not in known]
+    other = counts.where((F.col("n_clean") > 0) & (rate < 1.5))
+    negative = [r["unit"] for r in other.orderBy(F.xxhash64("unit"), "unit").limit(STARTERS).collect()]
+    coordinates = Coordinates([r["unit"] for r in positive] + negative[:OTHER_LANDMARKS])
+    # the first guess: words by how much commoner they are in toxic texts
+    z = np.hstack([coordinates.of([r["unit"] for r in positive] + negative), np.ones((len(positive) + len(negative), 1))])
+    y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
+    pull = np.array([r["pull"] for r in positive])
+    w = _svm(z, y, np.r_[pull / pull.max(), np.ones(len(negative))])[:-1]
+    best, before = None, None
+    z, y = _sentence_rows(sample, coordinates, coordinates.folded(w))
+    for _ in range(ROUNDS):
+        order = np.lexsort(np.r_[z.T, y[None, :]])   # rows come in any order
+        z, y = z[order], y[order]
+        w = _svm(z, y, np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum())))
+        # told apart as scoring will: with the units that the new function itself picks
+        z, y = _sentence_rows(sample, coordinates, coordinates.folded(w[:-1]))
+        loss = _told_apart(z, y, w)
+        if best is None or loss < best[0]:
+            best = (loss, w)
+        decided = int((z @ w > 0).sum()), round(loss, 6)
+        if decided == before:
+            break
+        before = decided
+    folded = coordinates.folded(best[1][:-1])
     rows = margins(sample, folded, "text", ["toxic"]).select("toxic", "margin").collect()
     slope, shift = _logistic(np.array([r["margin"] for r in rows]), np.array([r["toxic"] for r in rows], float))
     return Model(folded, slope, shift)
 
 
-def _score_units(batches, folded: Folded):
-    import pyarrow as pa
-
-    for rb in batches:
-        yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(folded.margins(rb.column(0).to_pylist()), pa.float64())], names=["unit", "margin"])
-
-
 def _logistic(x, y):
     """Slope and shift by Newton steps with a small ridge."""
     import numpy as np

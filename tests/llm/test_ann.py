@@ -72,3 +72,13 @@ def test_repeated_query_rows(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = sorted((r["rank"], r.vec_id) for r in ann.search(df, F.col("id") % 50 == 0).collect() if r.query_id == 50)
     assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
+
+
+def test_vectors_alike_in_their_first_dimensions():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 16))
+    x[:, :4] = 0.5
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:, :4] = x[:, :4].round(1)
+    t = ann.fit(x)
+    assert len(t.leaf_of) > 20 and len(set(t.descend(x).tolist())) > 20

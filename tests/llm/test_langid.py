@@ -53,7 +53,8 @@ def test_gradients_equal_differences():
 
 def _by_steps(net, raw):
     """One text, one position and one direction at a time."""
-    sig = lambda v: 1 / (1 + np.exp(-v))
+    soft = lambda v: v / (1 + np.abs(v))
+    sig = lambda v: 0.5 + 0.5 * soft(v)
     h = net.turn.shape[1]
     total = np.zeros(len(net.languages))
     spans = [(max(0, min(a, len(raw) - langid.WINDOW)), a) for a in range(0, len(raw), langid.WINDOW)]
@@ -67,7 +68,7 @@ def _by_steps(net, raw):
             for t in range(width) if k == 0 else range(width - 1, -1, -1):
                 x, g = net.table[k, piece[t]].astype(float), s @ net.turn[k].astype(float)
                 z, r = sig(x[:h] + g[:h]), sig(x[h:2 * h] + g[h:2 * h])
-                new = np.tanh(x[2 * h:] + r * (g[2 * h:] + net.bias[k, 0]))
+                new = soft(x[2 * h:] + r * (g[2 * h:] + net.bias[k, 0]))
                 s = z * s + (1 - z) * new
                 states[k, t] = s
         for t in range(first - start, min(width, len(raw) - start)):

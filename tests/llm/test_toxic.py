@@ -90,3 +90,25 @@ def test_nothing_to_learn(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in toxic.scores(docs, toxic.fit(docs, none)).collect()] == [0.0, 0.0]
     assert toxic.scores(docs.limit(0), toxic.fit(docs, none)).count() == 0
+
+
+def test_phrases_of_harmless_words(spark):
+    """Toxic exactly when both words of a phrase occur; clean texts hold either alone."""
+    rnd = random.Random(8)
+    clean = ["".join(rnd.choices("aeioulnrst", k=rnd.randint(2, 8))) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(2000):
+        w = rnd.choices(clean, k=rnd.randint(5, 60))
+        y, other = i % 6 == 0, rnd.random()
+        more = ["drop", "dead"] if y else ["drop"] if other < 0.3 else ["dead"] if other < 0.6 else []
+        at = rnd.randrange(len(w) + 1)
+        w[at:at] = more
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(y)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxic.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    out = toxic.scores(docs, model, keep=["doc_id"]).where(toxic.held_out()).collect()
+    y = dict(labels)
+    caught = [r.predicted for r in out if y[r.doc_id]]
+    left = [1 - r.predicted for r in out if not y[r.doc_id]]
+    assert len(caught) > 40 and sum(caught) >= 0.9 * len(caught) and sum(left) >= 0.95 * len(left)
