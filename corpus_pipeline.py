@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartcast.llm import bpe, jaccard, mix, pii, toxic
-from cartcast.llm.common import fresh, kept, table, text_batches
+from cartcast.llm.common import WORD, dropped, fresh, kept, table, text_batches
 
 #: Scores come from a fitted kernel machine: no stage after it has SQL for the same rows.
 ORACLE_SQL = None
 
+#: At most so many ids are sent to all tasks (about 50 MB there); more are joined.
+BROADCAST_IDS = 1_000_000
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the string kernel machine doesn't call toxic."""
@@ -31,15 +34,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents: the one whose id is the smallest."""
+    """One document of each group of linked documents: the one whose id is the smallest.  Rows without words and rows
+    without an id stand alone; of several rows with that id and with words, the one whose text has the smallest
+    md5 (equal texts: the smallest hash of the row) stays."""
     text_batches(spark)
-    found = kept(jaccard.near_duplicates(docs), "pipeline-groups")
-    first = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n"))
-    once = first.where("rows = 1 or n = 0").select("doc_id")
-    # rows of a repeated id are one group if they have words: one row stays
-    again = kept(first.where("rows > 1 and n > 0").select("doc_id"), "pipeline-repeated")
-    single = docs.join(once, "doc_id", "left_semi")
-    return single.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).unionByName(docs.where("doc_id is null"))
+    mark, place = fresh(docs, "mark_", "place_")
+    found = kept(jaccard.near_duplicates(docs).where("n_shingles > 0 and doc_id is not null"), "pipeline-groups")
+    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") <> F.col("component_id")).alias("gone"), (F.count("*") > 1).alias("several"))
+    marks = kept(ids.where("gone or several").select(F.col("doc_id").alias("marked_id"), "gone"), "pipeline-marks")
+    n, several = (marks.where(c).count() for c in ("true", "not gone"))
+    # few ids go to all tasks, so that the texts stay where they are
+    small = F.broadcast(marks) if n <= BROADCAST_IDS else marks
+    words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    rows = docs.join(small.select("marked_id", F.col("gone").alias(mark)), docs["doc_id"] == F.col("marked_id"), "left").drop("marked_id")
+    out = rows.where(F.col(mark).isNull() | ~words)
+    if several:
+        again = rows.where(~F.col(mark) & words)
+        first = Window.partitionBy("doc_id").orderBy(F.md5(F.col("text").cast("binary")), F.xxhash64(*docs.columns))
+        out = out.unionByName(again.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place))
+    return out.drop(mark)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,11 +70,19 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # rows that agree in id and text are copies of each other
     docs = docs.withColumn(key, F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
     _, taken = mix.mix(docs, id_col=key)
-    taken = taken.select(F.col("id").alias(key), F.col("source").alias("its_source"), F.col("copy").alias(copy),
-                         F.floor(F.try_divide("taken", "size") + 0.5).cast("int").alias(times)).where(F.col(times) > 0)
-    numbered = docs.withColumn(copy, F.row_number().over(Window.partitionBy(key, "source").orderBy("doc_id")) - 1)
-    out = numbered.join(taken, (numbered[key] == taken[key]) & numbered["source"].eqNullSafe(taken["its_source"]) & (numbered[copy] == taken[copy]))
-    return out.withColumn("pass", F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[c for c in docs.columns if c != key])
+    taken = kept(taken.select(F.col("id").alias("its_key"), F.col("source").alias("its_source"), F.col("copy").alias("its_copy"),
+                              F.coalesce(F.floor(F.try_divide("taken", "size") + 0.5), F.lit(0)).cast("int").alias(times)), "pipeline-taken")
+    same = (docs[key] == F.col("its_key")) & docs["source"].eqNullSafe(F.col("its_source"))
+    # a key with one row needs no numbers: its text moves once, and only if it has to
+    copies = taken.groupBy("its_key", "its_source").agg(F.count("*").alias("rows"), F.sum(times).cast("int").alias(times)).where(F.col(times) > 0)
+    out = docs.join(copies.where("rows = 1").drop("rows"), same).drop("its_key", "its_source")
+    many = kept(copies.where("rows > 1").select("its_key", "its_source"), "pipeline-copies")
+    if not many.isEmpty():
+        numbered = docs.join(many, same, "left_semi").withColumn(copy, F.row_number().over(Window.partitionBy(key, "source").orderBy(F.xxhash64(*docs.columns))) - 1)
+        which = (numbered[key] == F.col("its_key")) & numbered["source"].eqNullSafe(F.col("its_source")) & (numbered[copy] == F.col("its_copy"))
+        wanted = taken.where(F.col(times) > 0)
+        out = out.unionByName(numbered.join(wanted, which).drop("its_key", "its_source", "its_copy", copy))
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, copy, times)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,7 +104,9 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        dropped(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
