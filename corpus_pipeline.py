@@ -40,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     text_batches(spark)
     mark, place = fresh(docs, "mark_", "place_")
     found = kept(jaccard.near_duplicates(docs).where("n_shingles > 0 and doc_id is not null"), "pipeline-groups")
-    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") <> F.col("component_id")).alias("gone"), (F.count("*") > 1).alias("several"))
+    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("gone"), (F.count("*") > 1).alias("several"))
     marks = kept(ids.where("gone or several").select(F.col("doc_id").alias("marked_id"), "gone"), "pipeline-marks")
     n, several = (marks.where(c).count() for c in ("true", "not gone"))
     # few ids go to all tasks, so that the texts stay where they are
