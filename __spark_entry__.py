@@ -992,10 +992,10 @@ near AS (SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY dis
 
 
 _SMOTE_ROWS = (_smote_sql() + """,
-base_at AS (SELECT customer_id AS base, list(neighbour ORDER BY rank) AS near, row_number() OVER (ORDER BY customer_id) - 1 AS at FROM near GROUP BY customer_id),
-draws AS (SELECT i, floor(""" + _u_sql("i", 0) + """ * (SELECT count(*) FROM base_at)) AS at, """ + _u_sql("i", 1) + " AS pick, " + _u_sql("i", 2) + """ AS gap
+base_at AS (SELECT customer_id AS base, list(neighbour ORDER BY rank) AS near, row_number() OVER (ORDER BY customer_id) - 1 AS spot FROM near GROUP BY customer_id),
+draws AS (SELECT i, floor(""" + _u_sql("i", 0) + """ * (SELECT count(*) FROM base_at)) AS spot, """ + _u_sql("i", 1) + " AS pick, " + _u_sql("i", 2) + """ AS gap
   FROM (SELECT unnest(range(0, (SELECT count(*) FILTER (label <> 1) - count(*) FILTER (label = 1) FROM tr))) AS i) r),
-picked AS (SELECT i, base, gap, near[1 + CAST(floor(pick * len(near)) AS INTEGER)] AS neighbour FROM draws JOIN base_at USING (at))
+picked AS (SELECT i, base, gap, near[1 + CAST(floor(pick * len(near)) AS INTEGER)] AS neighbour FROM draws JOIN base_at USING (spot))
 SELECT i AS synthetic, base, neighbour, gap, """ + ", ".join(f'a.x{i} + gap * (b.x{i} - a.x{i}) AS "{c}"' for i, c in enumerate(_SM_COLS)) +
                ", 1 AS label FROM picked JOIN few a ON a.customer_id = base JOIN few b ON b.customer_id = neighbour")
 _reg("smote_neighbours", _fsql(_smote_sql() + " SELECT customer_id, rank, neighbour, distance FROM near", ["distance"]))(

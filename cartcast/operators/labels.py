@@ -44,18 +44,17 @@ def label_month(log: DataFrame, ym: str, threshold: float = TOTAL_THRES) -> Data
 
 
 def label_months(log: DataFrame, months: list[str], threshold: float = TOTAL_THRES) -> DataFrame:
-    """Labels for several months in one pass (rows exploded to the months they concern)."""
+    """Labels for several months in one pass: spend per customer and month, and these rows for the months they concern."""
     months = sorted(months)
     last = month_start(ym_shift(months[-1], 1))
-    ym = year_month("order_date")
+    spend = (log.filter(F.col("order_date") < last).groupBy("customer_id", year_month("order_date").alias("_ym"))
+                .agg(F.sum("total").alias("_t")))
     arr = F.array(*[F.lit(m) for m in months])
     # each row counts as "seen before m" for every m after its month, and as spend in its own month
-    rel = F.filter(arr, lambda m: m >= ym)
-    ex = (log.filter(F.col("order_date") < last)
-             .select("customer_id", "total", ym.alias("_ym"), F.explode(rel).alias("year_month")))
+    ex = spend.withColumn("year_month", F.explode(F.filter(arr, lambda m: m >= F.col("_ym"))))
     g = (ex.groupBy("customer_id", "year_month")
            .agg(F.max((F.col("_ym") < F.col("year_month")).cast("int")).alias("_seen"),
-                F.sum(F.when(F.col("_ym") == F.col("year_month"), F.col("total"))).alias("_spend")))
+                F.sum(F.when(F.col("_ym") == F.col("year_month"), F.col("_t"))).alias("_spend")))
     total = F.coalesce(F.col("_spend"), F.lit(0.0))
     return (g.filter(F.col("_seen") == 1)
              .select("customer_id", "year_month", total.alias("total"),

@@ -18,10 +18,17 @@ from cartcast.functions.months import month_index
 STATS = ("mean", "max", "min", "sum", "count", "std", "skew")
 
 
-def month_moments(log: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(customer_id, _mi, parts of each column): one aggregate over the log, one row per
+def ordered_parts(c: str, place: str) -> list[Column]:
+    """First and last value of a column in a month, with their places in the customer's history."""
+    x = F.col(c)
+    at = F.when(x.isNotNull(), F.col(place))
+    return [F.min_by(x, at).alias(f"{c}_f"), F.min(at).alias(f"{c}_fp"), F.max_by(x, at).alias(f"{c}_l"), F.max(at).alias(f"{c}_lp")]
+
+
+def month_moments(log: DataFrame, cols: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+    """(customer_id, _mi, parts of each column, ``extra``): one aggregate over the log, one row per
     customer and month (``_mi`` counts months)."""
-    aggs = []
+    aggs = list(extra)
     for c in cols:
         x = F.col(c).cast("double")
         n = F.count(x)
@@ -47,6 +54,10 @@ def centred(months: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> Data
 
 def merged(c: str, stat: str) -> Column:
     """Aggregate expression: ``stat`` of column ``c`` over the rows of several months."""
+    if stat == "first":
+        return F.min_by(f"{c}_f", f"{c}_fp")
+    if stat == "last":
+        return F.max_by(f"{c}_l", f"{c}_lp")
     n = F.sum(f"{c}_n")
     if stat == "count":
         return n

@@ -104,12 +104,16 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
                  num_partitions: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
     """Add the running columns of ``spec`` to ``df`` (see module doc).
 
-    ``bounds_from`` is a cheaper frame with the same rows' key and order, when
-    ``df`` already carries expensive columns."""
+    ``bounds_from`` is a cheaper frame with the same rows' key, order and spec columns, when
+    ``df`` already carries expensive columns: bounds and carries come from it."""
     cols = [key, *order]
     bounds = range_bounds(bounds_from if bounds_from is not None else df, key, order, num_partitions)
     spread = -1 - F.pmod(F.xxhash64(*order), F.lit(len(bounds) + 1)).cast("int")
-    d = _with_range(df, cols, bounds, "_rid").withColumn("_rid", F.when(F.col(key).isNull(), spread).otherwise(F.col("_rid")))
+
+    def ranged(frame):
+        return _with_range(frame, cols, bounds, "_rid").withColumn("_rid", F.when(F.col(key).isNull(), spread).otherwise(F.col("_rid")))
+
+    d = ranged(df)
     w = Window.partitionBy("_rid", key).orderBy(*order)
     upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     null_key = F.col(key).isNull()
@@ -123,7 +127,7 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
     hit = F.lit(False)
     if cut:
         # the place within the range as one number keeps the aggregate hash-based
-        totals = d.where(F.col(key).isin(cut)).withColumn("_at", F.row_number().over(w)).groupBy(F.col(key).alias("_ckey"), F.col("_rid").alias("_crid")).agg(
+        totals = (d if bounds_from is None else ranged(bounds_from)).where(F.col(key).isin(cut)).withColumn("_at", F.row_number().over(w)).groupBy(F.col(key).alias("_ckey"), F.col("_rid").alias("_crid")).agg(
             *[F.sum(_number(c)).alias(f"_c_{o}") for o, c in spec.cumsum.items()],
             *[F.max_by(_number(c), F.col("_at")).alias(f"_c_{o}") for o, c in spec.lag.items()],
             *[F.max_by(match[o], F.when(match[o].isNotNull(), F.col("_at"))).alias(f"_c_{o}") for o in match],

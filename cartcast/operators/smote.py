@@ -159,13 +159,13 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
     near = kept(nearest(small, key, features, k), "smote-nearest")
     counts = df.agg(F.count_if(F.col(label) == minority).alias("few"), F.count_if(F.col(label) != minority).alias("many")).first()
     members = near.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "neighbour"))).alias("_near"))  # at most k a row
-    numbered = ordered_scan(members.withColumn("_k", F.lit(0)).withColumn("_one", F.lit(1.0)), "_k", [key], ScanSpec(cumsum={"_at": "_one"}))
-    numbered = kept(numbered.select(F.col(key).alias("base"), "_near", (F.col("_at").cast("long") - 1).alias("_at")), "smote-numbered")
+    numbered = ordered_scan(members.withColumn("_k", F.lit(0)).withColumn("_one", F.lit(1.0)), "_k", [key], ScanSpec(cumsum={"_no": "_one"}))
+    numbered = kept(numbered.select(F.col(key).alias("base"), "_near", (F.col("_no").cast("long") - 1).alias("_no")), "smote-numbered")
     n = numbered.count()
     wanted = max(0, counts.many - counts.few) if rows is None else rows
     draws = df.sparkSession.range(wanted if n else 0).select(
-        F.col("id").alias("synthetic"), F.floor(hash_uniform("id", seed) * n).alias("_at"), hash_uniform("id", seed + 1).alias("_pick"), hash_uniform("id", seed + 2).alias("gap"))
-    picked = draws.join(numbered, "_at").select("synthetic", "base", "gap", F.get("_near", F.floor(F.col("_pick") * F.size("_near")).cast("int"))["neighbour"].alias("neighbour"))
+        F.col("id").alias("synthetic"), F.floor(hash_uniform("id", seed) * n).alias("_no"), hash_uniform("id", seed + 1).alias("_pick"), hash_uniform("id", seed + 2).alias("gap"))
+    picked = draws.join(numbered, "_no").select("synthetic", "base", "gap", F.get("_near", F.floor(F.col("_pick") * F.size("_near")).cast("int"))["neighbour"].alias("neighbour"))
     x = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
     vectors = kept(small.select(F.col(key).cast("long").alias("_id"), x.alias("_x")), "smote-vectors")
     out = picked.join(vectors.toDF("base", "_a"), "base").join(vectors.toDF("neighbour", "_b"), "neighbour")

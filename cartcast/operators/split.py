@@ -86,18 +86,18 @@ def weighted_resample(df: DataFrame, weight: str, key: str, seed: int = 0, num_s
     positive are never drawn.  Adds ``_copy``, from 1, to each copy of a row."""
     w = F.col(weight).cast("double")
     use = df.where(w > 0).withColumn("_w", w).withColumn("_k", F.lit(0)).withColumn("_one", F.lit(1.0))
-    places = ordered_scan(use, "_k", [key], ScanSpec(cumsum={"_upto": "_w", "_at": "_one"}))
-    places = kept(places.withColumn("_at", F.col("_at").cast("long")).drop("_k", "_one"), "resample-places")
+    places = ordered_scan(use, "_k", [key], ScanSpec(cumsum={"_upto": "_w", "_no": "_one"}))
+    places = kept(places.withColumn("_no", F.col("_no").cast("long")).drop("_k", "_one"), "resample-places")
     stats = places.agg(F.count("*").alias("n"), F.max("_upto").alias("w")).first()
     total = df.count() if num_samples is None else num_samples
     spark = df.sparkSession
     draws = spark.range(total if stats.n else 0).select(
         (hash_place(F.col("id"), seed) * F.lit(stats.w or 0.0)).alias("_place"), F.lit(1).alias("_side"), F.col("id").alias("_i"), F.lit(None).cast("double").alias("_row"))
-    marks = places.select((F.col("_upto") - F.col("_w")).alias("_place"), F.lit(0).alias("_side"), F.col("_at").alias("_i"), F.col("_at").cast("double").alias("_row"))
+    marks = places.select((F.col("_upto") - F.col("_w")).alias("_place"), F.lit(0).alias("_side"), F.col("_no").alias("_i"), F.col("_no").cast("double").alias("_row"))
     both = marks.unionByName(draws).withColumn("_k", F.lit(0)).withColumn("_is", F.col("_side") == 0)
-    hit = ordered_scan(both, "_k", ["_place", "_side", "_i"], ScanSpec(last_before={"_hit": ("_row", "_is")}))
-    copies = hit.where("_side = 1").groupBy(F.col("_hit").cast("long").alias("_at")).agg(F.count("*").alias("_copies"))
-    out = places.join(copies, "_at").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    hit = ordered_scan(both, "_k", ["_place", "_side", "_i"], ScanSpec(last_before={"_taken": ("_row", "_is")}))
+    copies = hit.where("_side = 1").groupBy(F.col("_taken").cast("long").alias("_no")).agg(F.count("*").alias("_copies"))
+    out = places.join(copies, "_no").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return out.select(*[F.col(f"`{c}`") for c in df.columns], "_copy")
 
 

@@ -25,24 +25,9 @@ WINDOW_VALUES = ["quantity", "price", "total"]
 WINDOW_SPEC = [(c, STATS7_WINDOW) for c in WINDOW_VALUES]
 
 
-def _anchor_rows(log: DataFrame, anchors: list[str], max_back: int, cols: list[str]) -> DataFrame:
-    """Rows before each anchor and at most ``max_back`` months back, tagged with
-    ``year_month`` (the anchor) and ``back`` (months before it, >= 1)."""
-    anchors = sorted(anchors)
-    lo = month_start(ym_shift(anchors[0], -max_back))
-    hi = month_start(anchors[-1])
-    arr = F.array(*[F.lit(a) for a in anchors])
-    ym = year_month("order_date")
-    rows = (log.filter((F.col("order_date") >= lo) & (F.col("order_date") < hi))
-               .select(*cols, "order_date",
-                       F.explode(F.filter(arr, lambda a: a > ym)).alias("year_month")))
-    back = month_index(F.to_date(F.col("year_month"), "yyyy-MM")) - month_index("order_date")
-    return rows.withColumn("back", back).filter(F.col("back") <= max_back)
-
-
 def _anchor_months(log: DataFrame, anchors: list[str], max_back: int) -> DataFrame:
-    """Month moments before each anchor, tagged like ``_anchor_rows``: the log is read and
-    aggregated once; only rows per customer and month are repeated."""
+    """Month moments before each anchor and at most ``max_back`` months back, tagged with ``year_month`` (the anchor) and
+    ``back`` (months before it, >= 1): the log is read and aggregated once; only rows per customer and month are repeated."""
     anchors = sorted(anchors)
     lo = month_start(ym_shift(anchors[0], -max_back))
     cut = log.filter((F.col("order_date") >= lo) & (F.col("order_date") < month_start(anchors[-1])))
@@ -128,12 +113,15 @@ def trend_season_features(log: DataFrame, anchors: list[str], compat: bool = Fal
 def cycle_1224(log: DataFrame, anchors: list[str]) -> DataFrame:
     """K9: (spend 12 months before + spend 24 months before) / 2, missing as 0,
     for customers with a row in either month."""
-    rows = _anchor_rows(log, anchors, 24, ["customer_id", "total"]).filter(F.col("back").isin(12, 24))
-    g = rows.groupBy("customer_id", "year_month").agg(
-        F.sum(F.when(F.col("back") == 12, F.col("total"))).alias("_m12"),
-        F.sum(F.when(F.col("back") == 24, F.col("total"))).alias("_m24"))
-    return g.select("customer_id", "year_month",
-                    ((F.coalesce("_m12", F.lit(0.0)) + F.coalesce("_m24", F.lit(0.0))) / 2).alias("cycle_1224"))
+    anchors = sorted(anchors)
+    cut = log.filter((F.col("order_date") >= month_start(ym_shift(anchors[0], -24))) & (F.col("order_date") < month_start(anchors[-1])))
+    months = cut.groupBy("customer_id", month_index("order_date").alias("_mi")).agg(F.sum("total").alias("_t"))
+    at = F.array(*[F.struct(F.lit(a).alias("year_month"), F.lit(ym_index(a)).alias("i")) for a in anchors])
+    back = F.col("_a.i") - F.col("_mi")
+    rows = months.withColumn("_a", F.explode(F.filter(at, lambda a: (a["i"] - F.col("_mi")).isin(12, 24))))
+    rows = rows.select("customer_id", F.col("_a.year_month").alias("year_month"), back.alias("back"), "_t")
+    half = lambda k: F.coalesce(F.sum(F.when(F.col("back") == k, F.col("_t"))), F.lit(0.0))
+    return rows.groupBy("customer_id", "year_month").agg(((half(12) + half(24)) / 2).alias("cycle_1224"))
 
 
 def month_pivot(log: DataFrame, months: list[str]) -> DataFrame:

@@ -1,27 +1,27 @@
 """Feature builders (K2-K5, K11, K12): labels + per-customer point-in-time
 aggregates for a train anchor (M-1) and a test anchor (M).
 
-Both anchors are built in one pass: each log row is exploded to the anchors it
-precedes (at most 2 here), then aggregated by ``(customer_id, year_month)``.
-Every block is aggregated on that same key, so the final left joins line up on
-one hash partitioning and shuffle only aggregated rows.
+The columns that a builder needs are written once; from that table, log rows with their running columns become one mergeable
+state per customer and month, and both anchors are merges of the states before them, so no
+log row is repeated per anchor.  Every block is aggregated on ``(customer_id, year_month)``, so the final
+left joins line up on one hash partitioning and shuffle only aggregated rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartcast.functions.months import month_start, year_month, ym_index, ym_shift
+from cartcast.functions.months import month_index, month_start, year_month, ym_index, ym_shift
 from cartcast.functions.stats import STATS7, agg_columns, mode, spec_names
 from cartcast.operators.labels import TOTAL_THRES, label_months
-from cartcast.operators.moments import STATS, centred, merged, month_moments
+from cartcast.operators.moments import STATS, centred, merged, month_moments, ordered_parts
 from cartcast.operators.prep import label_encode, median_impute
 from cartcast.operators.rowfeat import cumsum_features, row_features
 from cartcast.operators.windows import cycle_1224, trend_season_features
+from cartcast.session import kept
 from cartcast.sources.tables import LOG_ORDER
 
 KEYS = ["customer_id", "year_month"]
@@ -165,37 +165,70 @@ def fe_baseline(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute:
 def _impute_split(fs: FeatureSet, impute: bool) -> FeatureSet:
     if not impute:
         return fs
-    # The frame is aggregated (one row per customer and anchor); keep it once
-    # for the null count, the median job and the fill instead of recomputing
-    # the whole feature plan three times.
-    fs = FeatureSet(fs.frame.persist(StorageLevel.MEMORY_AND_DISK), fs.features, fs.train_month, fs.test_month)
+    # aggregated (a row per customer and anchor): written once for the null count, the medians and the fill
+    fs = FeatureSet(kept(fs.frame, "features"), fs.features, fs.train_month, fs.test_month)
     tr, te, _ = median_impute(fs.train, fs.test, fs.features)
     return FeatureSet(tr.unionByName(te), fs.features, fs.train_month, fs.test_month)
 
 
+def _history(log: DataFrame, ym: str, order: list[str]) -> DataFrame:
+    """The columns of the log that the builders read, up to the end of month ``ym``, written once: the scans, their bounds and
+    carries, labels and windows all read this narrow table instead of the log."""
+    cols = dict.fromkeys(["customer_id", "order_id", "product_id", "order_date", "total", "quantity", "price", *order])
+    return kept(log.filter(F.col("order_date") < month_start(ym_shift(ym, 1))).select(*cols), "log-history")
+
+
+def month_states(rows: DataFrame, spec, place: str = ROW_ORDER[0]) -> DataFrame:
+    """One mergeable state per customer and month: moments of each column, its first and last value by place, number of rows."""
+    numbers = [c for c, stats in spec if set(stats) & set(STATS)]
+    ordered = [c for c, stats in spec if {"first", "last"} & set(stats)]
+    return month_moments(rows, numbers, [F.count("*").alias("_rows"), *[p for c in ordered for p in ordered_parts(c, place)]])
+
+
+def merged_states(states: DataFrame, anchors: list[str], spec, modes: bool = False) -> DataFrame:
+    """Statistics per customer and anchor from the states of the months before it; no row of the log is repeated."""
+    at = F.array(*[F.struct(F.lit(a).alias("year_month"), F.lit(ym_index(a)).alias("i")) for a in sorted(anchors)])
+    rows = states.withColumn("_a", F.explode(F.filter(at, lambda a: a["i"] > F.col("_mi")))).withColumn("year_month", F.col("_a.year_month")).drop("_a")
+    aggs = [merged(c, s).alias(f"{c}-{s}") for c, stats in spec for s in stats]
+    if modes:
+        # ties go to the smaller month
+        of_year = F.array(*[F.coalesce(F.sum(F.when(F.col("_mi") % 12 == k, F.col("_rows"))), F.lit(0)) for k in range(12)])
+        month = F.max_by("_mi", F.col("_rows") * 1_000_000 - F.col("_mi"))
+        aggs += [F.array_position(of_year, F.array_max(of_year)).cast("int").alias("month-mode-mode"),
+                 F.date_format(F.make_date(F.floor(month / 12).cast("int"), (month % 12 + 1).cast("int"), F.lit(1)), "yyyy-MM").alias("year_month-mode-mode")]
+    return centred(rows, [c for c, stats in spec if set(stats) & set(STATS)], KEYS).groupBy(*KEYS).agg(*aggs)
+
+
+def distinct_counts(log: DataFrame, anchors: list[str]) -> DataFrame:
+    """Distinct orders and products of each customer before each anchor: a value counts from the month in which it first occurs."""
+    parts = []
+    for c, _ in DISTINCT_SPEC:
+        firsts = log.where(F.col(c).isNotNull()).groupBy("customer_id", c).agg(F.min(month_index("order_date")).alias("_first"))
+        counts = firsts.groupBy("customer_id").agg(*[F.count_if(F.col("_first") < ym_index(a)).alias(a) for a in anchors])
+        long = F.explode(F.array(*[F.struct(F.lit(a).alias("year_month"), F.col(f"`{a}`").alias("n")) for a in anchors]))
+        parts.append(counts.select("customer_id", long.alias("_a")).select("customer_id", "_a.year_month", F.lit(c).alias("_c"), "_a.n"))
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    return both.groupBy(*KEYS).agg(*[F.coalesce(F.max(F.when(F.col("_c") == c, F.col("n"))), F.lit(0).cast("long")).alias(f"{c}-nunique") for c, _ in DISTINCT_SPEC])
+
+
 def fe_cumulative(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute: bool = True,
                   num_partitions: int | None = None, order: list[str] | None = None) -> FeatureSet:
     """K3: running sums by customer/product/order + raw values, 7 stats each,
     plus distinct orders and products (86 features)."""
     tr_ym = ym_shift(ym, -1)
     anchors = [tr_ym, ym]
-    cut = log.filter(F.col("order_date") < month_start(ym))
-    rows = cumsum_features(cut, log_order(log, order), num_partitions)
-    ex = explode_anchors(rows, anchors)
-    blocks = [aggregate_blocks(ex, CUMULATIVE_SPEC), aggregate_blocks(ex, DISTINCT_SPEC)]
-    frame = _join_all(_labels(log, anchors, threshold), blocks)
+    order = log_order(log, order)
+    history = _history(log, ym, order)
+    cut = history.filter(F.col("order_date") < month_start(ym))
+    rows = cumsum_features(cut, order, num_partitions)
+    blocks = [merged_states(month_states(rows, CUMULATIVE_SPEC), anchors, CUMULATIVE_SPEC), distinct_counts(cut, anchors)]
+    frame = _join_all(_labels(history, anchors, threshold), blocks)
     feats = spec_names(CUMULATIVE_SPEC) + spec_names(DISTINCT_SPEC)
     return _impute_split(FeatureSet(frame, feats, tr_ym, ym), impute)
 
 
-def row_feature_blocks(rows_anchored: DataFrame) -> list[DataFrame]:
-    """The 127 row-feature aggregates of K4 as two blocks on the same key:
-    algebraic stats (hash aggregate) and distinct counts + modes (their own
-    Expand / object aggregate, so the wide block is not replicated)."""
-    return [aggregate_blocks(rows_anchored, FULL_SPEC, order=ROW_ORDER),
-            aggregate_blocks(rows_anchored, DISTINCT_SPEC + MODE_SPEC)]
-
-
 def full_feature_names() -> list[str]:
     from cartcast.operators.windows import WINDOW_SPEC, window_labels
 
@@ -212,20 +245,19 @@ def fe_full(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, compat: boo
     """
     tr_ym = ym_shift(ym, -1)
     anchors = [tr_ym, ym]
-    cut = log.filter(F.col("order_date") < month_start(ym))
-    rows = row_features(cut, log_order(log, order), num_partitions)
-    ex = explode_anchors(rows, anchors)
-    blocks = row_feature_blocks(ex)
-    blocks.append(cycle_1224(cut, anchors))
-    blocks.append(trend_season_features(cut, anchors, compat=compat))
-    frame = _join_all(_labels(log, anchors, threshold), blocks)
+    order = log_order(log, order)
+    history = _history(log, ym, order)
+    cut = history.filter(F.col("order_date") < month_start(ym))
+    rows = row_features(cut, order, num_partitions)
+    blocks = [merged_states(month_states(rows, FULL_SPEC), anchors, FULL_SPEC, modes=True), distinct_counts(cut, anchors),
+              cycle_1224(cut, anchors), trend_season_features(cut, anchors, compat=compat)]
+    frame = _join_all(_labels(history, anchors, threshold), blocks)
     feats = full_feature_names()
     num = [c for c in feats if c != "year_month-mode-mode"]
     frame = frame.fillna(0.0, subset=num).fillna(0, subset=num)
     if encode:
-        # aggregated (customers x anchors): kept once for the code dictionary and the output
-        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
-        frame = label_encode(frame, ["year_month-mode-mode"])
+        # aggregated (customers x anchors): written once for the code dictionary and the output
+        frame = label_encode(kept(frame, "features"), ["year_month-mode-mode"])
     frame = frame.select(*KEYS, "label", *[F.col(f"`{c}`") for c in feats])
     return FeatureSet(frame, feats, tr_ym, ym)
 
@@ -237,11 +269,12 @@ def fe_compact(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute:
 
     tr_ym = ym_shift(ym, -1)
     anchors = [tr_ym, ym]
-    cut = log.filter(F.col("order_date") < month_start(ym))
-    rows = customer_scan(cut, log_order(log, order), with_cumsum=False, num_partitions=num_partitions)
-    ex = explode_anchors(rows, anchors)
-    blocks = [aggregate_blocks(ex, COMPACT_SPEC, order=ROW_ORDER), cycle_1224(cut, anchors)]
-    frame = _join_all(_labels(log, anchors, threshold), blocks)
+    order = log_order(log, order)
+    history = _history(log, ym, order)
+    cut = history.filter(F.col("order_date") < month_start(ym))
+    rows = customer_scan(cut, order, with_cumsum=False, num_partitions=num_partitions)
+    blocks = [merged_states(month_states(rows, COMPACT_SPEC), anchors, COMPACT_SPEC), cycle_1224(cut, anchors)]
+    frame = _join_all(_labels(history, anchors, threshold), blocks)
     # densified grid: a labelled customer always has rows before its anchor,
     # so a missing cycle value means 0 spend in both months
     frame = frame.fillna(0.0, subset=["cycle_1224"])

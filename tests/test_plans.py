@@ -28,8 +28,7 @@ def test_joins_only_for_requested_columns(spark):
 def test_row_feature_blocks_are_hash_aggregates(spark):
     log = transactions(spark, SF001, description=False, country=False)
     rows = customer_scan(log, num_partitions=4)
-    ex = FE.explode_anchors(rows, ["2001-06", "2001-07"])
-    p = _plan(FE.aggregate_blocks(ex, FE.FULL_SPEC[:4], order=FE.ROW_ORDER))
+    p = _plan(FE.month_states(rows, FE.FULL_SPEC[:4]))
     assert "SortAggregate" not in p and "HashAggregate" in p
 
 
@@ -45,8 +44,20 @@ def test_scan_windows_by_range_and_key(spark):
 
 def test_full_builder_has_no_python_or_sort_aggregate_in_row_features(spark):
     log = transactions(spark, SF001, description=False, country=False)
-    p = _plan(FE.aggregate_blocks(FE.explode_anchors(customer_scan(log), ["2001-07"]), FE.COMPACT_SPEC, order=FE.ROW_ORDER))
-    assert "SortAggregate" not in p
+    states = FE.month_states(customer_scan(log), FE.FULL_SPEC)
+    p = _plan(FE.merged_states(states, ["2001-06", "2001-07"], FE.FULL_SPEC, modes=True))
+    assert "SortAggregate" not in p and "MapInArrow" not in p
+
+
+def test_full_builder_reads_the_log_once(spark):
+    """The log is read when its columns are written; the plan reads that table, and repeats only rows per customer and month."""
+    log = transactions(spark, SF001, description=False, country=False)
+    p = FE.fe_full(log, "2001-07", encode=False).frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_quantity" not in p and "o_orderdate" not in p
+    lines = p.split("\n")
+    for k, x in enumerate(lines):
+        if "Generate explode" in x:
+            assert any("Aggregate" in y for y in lines[k + 1:k + 6]), "an explode below which no aggregate stands"
 
 
 def test_no_cross_join_in_one_row_results(spark):
