@@ -195,39 +195,48 @@ def _svm(z, y, cost, c: float = 10.0):
 
 
 class Coordinates:
-    """Nystroem coordinates: what the landmarks' kernel matrix makes of a unit's kernel values with them."""
+    """Nystroem coordinates: what the landmarks' kernel matrix makes of a unit's kernel values with them.  Each subsequence
+    knows the few landmarks that have it; only the landmarks and the root of their matrix are sent to tasks."""
 
-    def __init__(self, landmarks: list[str]):
+    def __init__(self, landmarks: list[str], root=None):
         import numpy as np
 
-        marks = _vectors(landmarks)
-        self.code_at: dict[int, int] = {}
-        for d in marks:
-            for k in d:
-                self.code_at.setdefault(k, len(self.code_at))
-        self.m = np.zeros((len(marks), len(self.code_at)))
-        for j, d in enumerate(marks):
-            for k, v in d.items():
-                self.m[j, self.code_at[k]] = v
-        value, vector = np.linalg.eigh(self.m @ self.m.T)
-        good = value > 1e-6 * value.max()
-        self.root = vector[:, good] / np.sqrt(value[good])
+        self.landmarks, self.root = landmarks, root
+        self.having: dict[int, tuple[list[int], list[float]]] = {}
+        for j, d in enumerate(_vectors(landmarks)):
+            for code, v in d.items():
+                rows, values = self.having.setdefault(code, ([], []))
+                rows.append(j)
+                values.append(v)
+        if root is None:
+            gram = np.zeros((len(landmarks), len(landmarks)))
+            for rows, values in self.having.values():
+                gram[np.ix_(rows, rows)] += np.outer(values, values)
+            value, vector = np.linalg.eigh(gram)
+            good = value > 1e-6 * value.max()
+            self.root = vector[:, good] / np.sqrt(value[good])
+
+    def __reduce__(self):
+        return Coordinates, (self.landmarks, self.root)
 
     def of(self, batch: list[str]):
         import numpy as np
 
-        kernel = np.zeros((len(batch), len(self.m)))
+        kernel = np.zeros((len(batch), len(self.landmarks)))
         for i, d in enumerate(_vectors(batch) if batch else []):
-            at = [(self.code_at[k], v) for k, v in d.items() if k in self.code_at]
-            if at:
-                place, v = zip(*at, strict=True)
-                kernel[i] = self.m[:, list(place)] @ np.array(v)
+            line = [0.0] * len(self.landmarks)
+            for code, v in d.items():
+                if (hit := self.having.get(code)) is not None:
+                    for j, x in zip(*hit):
+                        line[j] += v * x
+            kernel[i] = line
         return kernel @ self.root
 
     def folded(self, w) -> Folded:
         """The function whose value at a unit is the product of its coordinates with ``w``."""
-        g = (self.root @ w) @ self.m
-        return Folded({k: float(g[at]) for k, at in self.code_at.items() if abs(g[at]) > 1e-9}, 0.0, LEAST)
+        part = (self.root @ w).tolist()
+        g = {code: sum(part[j] * x for j, x in zip(rows, values)) for code, (rows, values) in self.having.items()}
+        return Folded({k: v for k, v in g.items() if abs(v) > 1e-9}, 0.0, LEAST)
 
 
 @dataclass
