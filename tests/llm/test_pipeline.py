@@ -82,3 +82,18 @@ def test_run_and_empty(spark):
 def test_five_stages():
     assert [n for n, _ in C.STAGES] == ["toxicity", "near_duplicates", "private_data", "mixture", "tokens"]
     assert all(re.fullmatch(r"[a-z_]+", n) for n, _ in C.STAGES)
+
+
+def test_repeated_ids_keep_their_words(spark):
+    """Of several rows of an id, those without words stand alone and one text stays, in whatever order the rows come."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    text, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, text, "en", "a", 1), (1, "", "en", "a", 0), (1, other, "en", "a", 2), (1, other, "en", "b", 3), (2, text + " seven", "en", "a", 1), (None, text, "en", "a", 1), (None, None, None, None, None)]
+    results = set()
+    for order in (rows, rows[::-1]):
+        got = C.near_duplicates(spark, spark.createDataFrame(order, schema), SF).collect()
+        assert Counter(r.doc_id for r in got) == {1: 2, 2: 1, None: 2} and "" in {r.text for r in got if r.doc_id == 1}
+        results.add(tuple(sorted(map(str, got))))
+    assert len(results) == 1
+    mixed = C.mixture(spark, spark.createDataFrame(rows * 2 + [(7, "word " * 40, "en", "b", 9)], schema), SF)
+    assert mixed.columns == ["doc_id", "text", "lang", "source", "n_chars"] and mixed.where("text is null or text = ''").count() == 0
