@@ -234,7 +234,7 @@ _reg("order_ts", W() + f"SELECT {KEYCOLS}, epoch(order_date) AS order_ts FROM tx
 def _order_ts_plus(spark, sf):
     rows = RF.customer_scan(_log(spark, sf).filter(before(TARGET)), with_cumsum=False)
     return _fl(rows.groupBy("customer_id").agg(
-        *agg_columns([("order_ts_plus", ["first", "last"]), ("order_ts_plus_diff", STATS7)], LOG_ORDER)))
+        *agg_columns([("order_ts_plus", ["first", "last"]), ("order_ts_plus_diff", STATS7)], FE.ROW_ORDER)))
 
 
 def _first_last_sql(x: str, alias: str) -> list[tuple[str, str]]:
@@ -265,8 +265,8 @@ _reg("nunique_per_customer", W() + 'SELECT customer_id, count(DISTINCT order_id)
 
 _reg("first_last_order_ts", W(f"t AS (SELECT *, epoch(order_date) AS order_ts FROM txn)") +
      "SELECT customer_id,\n  " + _sel(_first_last_sql("order_ts", "order_ts")) + "\nFROM t GROUP BY customer_id")(
-    lambda spark, sf: RF.with_order_ts(_log(spark, sf)).groupBy("customer_id")
-    .agg(*agg_columns([("order_ts", ["first", "last"])], LOG_ORDER)))
+    lambda spark, sf: RF.customer_scan(_log(spark, sf), with_cumsum=False).groupBy("customer_id")
+    .agg(*agg_columns([("order_ts", ["first", "last"])], FE.ROW_ORDER)))
 
 
 def _mode_sql(expr: str, alias: str, src: str = "txn") -> str:
@@ -680,6 +680,20 @@ def _eval_join(spark, sf):
 _reg("eval_join", _fsql(W(*_BIN) + f"SELECT a.auc, c.rows FROM ({_auc_sql('bs', 'score')}) a, "
                         "(SELECT count(*) AS rows FROM bs) c", ["auc"]))(_eval_join)
 
+
+
+def _eval_csv(spark, sf):
+    # A3: ground truth and predictions from two CSV files, paired on the key
+    gt = IO.write_csv(LB.label_month(_log(spark, sf), TARGET).select("customer_id", "label"), IO.scratch_path(spark, "label"))
+    pr = IO.write_csv(_bin_scores(spark, sf).select("customer_id", F.col("score").alias("probability")), IO.scratch_path(spark, "predictions"))
+    gt = IO.read_value_csv(spark, gt, "customer_id", "label", T.IntegerType())
+    j = gt.join(IO.read_value_csv(spark, pr, "customer_id", "probability", T.DoubleType()), "customer_id")
+    return _fl(_one_row(MT.roc_auc(j, "label", "probability"), j.agg(F.count("*").alias("rows"), F.sum("label").alias("positive"))))
+
+
+_reg("eval_csv", _fsql(W(*_BIN) + f"SELECT a.auc, c.rows, c.positive FROM ({_auc_sql('bs', 'score')}) a, "
+                       "(SELECT count(*) AS rows, CAST(sum(label) AS BIGINT) AS positive FROM bs) c", ["auc"]))(_eval_csv)
+
 _reg("calendar_grid", W() + "SELECT c.customer_id, strftime(m.d, '%Y-%m') AS year_month FROM (SELECT DISTINCT customer_id FROM txn) c, "
      "(SELECT unnest(generate_series(date_trunc('month', min(order_date)), date_trunc('month', max(order_date)), "
      "INTERVAL 1 MONTH)) AS d FROM txn) m")(
@@ -1056,6 +1070,15 @@ _reg("importance_rollup", _fsql(_imp_sql() + " SELECT split_part(feature, '-', 1
                                 "(SELECT sum(importance) FROM fi) AS importance FROM fi GROUP BY 1", ["importance"]))(_rollup)
 
 
+def _fold_columns(spark, sf):
+    # The fold columns of a wide importance table, picked by their name
+    wide = RP.importance_wide(_importance(spark, sf), range(1, 6))
+    return _fl(wide.select("feature", RP.mean_across(SP.columns_like(wide, "^fold_")).alias("importance")))
+
+
+_reg("fold_columns_mean", _fsql(_imp_sql() + " SELECT feature, avg(importance) AS importance FROM fi GROUP BY 1", ["importance"]))(_fold_columns)
+
+
 def _fold_auc(spark, sf):
     s = SP.stratified_folds(_bin_scores(spark, sf), "label", "customer_id", 5)
     return _fl(MT.roc_auc(s, "label", "score", by="fold"))

@@ -18,6 +18,18 @@ def importance_mean(fi: DataFrame, feature="feature", value="importance") -> Dat
     return fi.groupBy(feature).agg(F.avg(value).alias("importance"))
 
 
+def importance_wide(fi: DataFrame, folds, feature="feature", value="importance") -> DataFrame:
+    """One row a feature with a column ``fold_{k}`` for each fold."""
+    wide = fi.groupBy(feature).pivot("fold", [int(k) for k in folds]).agg(F.first(value))
+    return wide.withColumnsRenamed({str(k): f"fold_{k}" for k in folds})
+
+
+def mean_across(cols: list[str]):
+    """Mean of several columns of a row, nulls left out."""
+    values = F.filter(F.array(*[F.col(f"`{c}`") for c in cols]), lambda v: v.isNotNull())
+    return F.try_divide(F.aggregate(values, F.lit(0.0), lambda a, v: a + v), F.size(values))
+
+
 def importance_ranked(imp: DataFrame, feature="feature", value="importance") -> DataFrame:
     """Sort descending, normalise to 1, cumulative share."""
     w = Window.orderBy(F.desc(value), F.asc(feature))

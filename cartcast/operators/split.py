@@ -6,6 +6,7 @@ key with the range-partitioned ordered scan: a class holding most rows is
 still split over many tasks.
 """
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -114,3 +115,8 @@ def unique_labels(*frames_cols: tuple[DataFrame, str]) -> DataFrame:
 
 def columns_of_type(df: DataFrame, kinds: Sequence[type]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, tuple(kinds))]
+
+
+def columns_like(df: DataFrame, pattern: str) -> list[str]:
+    """The columns whose name matches the regular expression ``pattern``, in order."""
+    return [c for c in df.columns if re.search(pattern, c)]

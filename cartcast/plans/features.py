@@ -20,6 +20,7 @@ from cartcast.operators.labels import TOTAL_THRES, label_months
 from cartcast.operators.moments import STATS, centred, merged, month_moments, ordered_parts
 from cartcast.operators.prep import label_encode, median_impute
 from cartcast.operators.rowfeat import cumsum_features, row_features
+from cartcast.operators.scan import ScanSpec, ordered_scan
 from cartcast.operators.windows import cycle_1224, trend_season_features
 from cartcast.session import kept
 from cartcast.sources.tables import LOG_ORDER
@@ -282,20 +283,35 @@ def fe_compact(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, impute:
     return _impute_split(FeatureSet(frame, feats, tr_ym, ym), impute)
 
 
-def customer_descriptions(log: DataFrame, ym: str, sep: str = ", ", order: list[str] | None = None) -> DataFrame:
-    """Every description of a customer before ``ym`` joined in log order.
+CHUNK_ROWS = 1024
+
 
-    The result of one customer is as long as its history.  Months are joined
-    first, so that sorting is split over (customer, month) and the last step
-    only puts together one string a month.
+def description_rollups(log: DataFrame, anchors: list[str], sep: str = ", ", order: list[str] | None = None) -> DataFrame:
+    """(customer_id, year_month, description): every description of a customer before each anchor joined in log order.
+
+    The result of one customer is as long as its history.  Rows are placed by the skew-safe scan, chunks of ``CHUNK_ROWS`` rows of a
+    month are joined first, spread over all tasks, and the last step puts together one string a chunk; all
+    anchors share the pass, each cutting the list of chunks at its month.
     """
     keys = log_order(log, order)
-    cut = log.filter((F.col("order_date") < month_start(ym)) & F.col("description").isNotNull())
-    row = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(keys)], "description")
-    months = cut.groupBy("customer_id", F.trunc("order_date", "month").alias("_m")).agg(F.array_sort(F.collect_list(row)).alias("_d"))
-    months = months.select("customer_id", F.struct("_m", F.array_join(F.col("_d.description"), sep).alias("d")).alias("_s"))
-    joined = months.groupBy("customer_id").agg(F.array_sort(F.collect_list("_s")).alias("_d"))
-    return joined.select("customer_id", F.array_join(F.col("_d.d"), sep).alias("description"))
+    cut = log.filter((F.col("order_date") < month_start(max(anchors))) & F.col("description").isNotNull())
+    cut = cut.select("customer_id", "description", *[c for c in keys if c not in ("customer_id", "description")], F.lit(1.0).alias("_one"))
+    placed = ordered_scan(cut, "customer_id", keys, ScanSpec(cumsum={"_rn": "_one"}))
+    # rows without a customer have no place: one chunk a month and hash
+    place = F.coalesce(F.col("_rn"), F.lit(0.0)).cast("long")
+    row = F.struct(place.alias("p"), *[F.col(c).alias(f"o{k}") for k, c in enumerate(keys)], "description")
+    chunks = placed.groupBy("customer_id", month_index("order_date").alias("_mi"), F.floor(place / CHUNK_ROWS).alias("_chunk")).agg(F.array_sort(F.collect_list(row)).alias("_d"))
+    chunks = chunks.select("customer_id", F.struct("_mi", "_chunk", F.array_join(F.col("_d.description"), sep).alias("d")).alias("_s"))
+    joined = chunks.groupBy("customer_id").agg(F.array_sort(F.collect_list("_s")).alias("_d"))
+    upto = lambda a: F.array_join(F.transform(F.filter("_d", lambda s: s["_mi"] < ym_index(a)), lambda s: s["d"]), sep)
+    has = lambda a: F.exists("_d", lambda s: s["_mi"] < ym_index(a))
+    texts = F.explode(F.array(*[F.struct(F.lit(a).alias("year_month"), F.when(has(a), upto(a)).alias("description")) for a in sorted(anchors)]))
+    return joined.select("customer_id", texts.alias("_t")).select("customer_id", "_t.*").where(F.col("description").isNotNull())
+
+
+def customer_descriptions(log: DataFrame, ym: str, sep: str = ", ", order: list[str] | None = None) -> DataFrame:
+    """Every description of a customer before ``ym`` joined in log order."""
+    return description_rollups(log, [ym], sep, order).drop("year_month")
 
 
 def features_with_text(fs: FeatureSet, log: DataFrame, anchor: str | None = None,
@@ -304,8 +320,4 @@ def features_with_text(fs: FeatureSet, log: DataFrame, anchor: str | None = None
     (before ``anchor``, default each row's own month)."""
     if anchor is not None:
         return fs.frame.join(customer_descriptions(log, anchor, order=order), "customer_id", "left")
-    parts = []
-    for m in (fs.train_month, fs.test_month):
-        parts.append(fs.frame.filter(F.col("year_month") == m)
-                       .join(customer_descriptions(log, m, order=order), "customer_id", "left"))
-    return parts[0].unionByName(parts[1])
+    return fs.frame.join(description_rollups(log, [fs.train_month, fs.test_month], order=order), KEYS, "left")

@@ -75,3 +75,9 @@ def submission(template: DataFrame, preds: DataFrame, key: str = "customer_id",
     """A4: the template's keys with the predicted probability (left join on key,
     never by position)."""
     return template.select(key).join(preds.select(key, F.col(value).alias("probability")), key, "left")
+
+
+def read_value_csv(spark: SparkSession, path: str, key: str, value: str, kind: T.DataType) -> DataFrame:
+    """A3: a header CSV of a key and one value, such as labels or predictions."""
+    schema = T.StructType([T.StructField(key, T.LongType()), T.StructField(value, kind)])
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)

@@ -1,19 +1,8 @@
-"""Model and split invariants (save/load equality, out-of-fold coverage)."""
+"""Split invariants."""
 
-import pytest
 from pyspark.sql import functions as F
 
-from cartcast.operators import model as MD
 from cartcast.operators import split as SP
-from cartcast.plans import features as FE
-from cartcast.session import checkpoint_dir
-from cartcast.sources.tables import transactions
-from tests.conftest import SF001
-
-
-@pytest.fixture(scope="module")
-def compact(spark):
-    return FE.fe_compact(transactions(spark, SF001, description=False, country=False), "2001-07")
 
 
 def test_hash_splits(spark):
@@ -30,26 +19,6 @@ def test_weighted_resample_balances(spark):
     rows = [(i, 1 if i % 10 == 0 else 0) for i in range(5000)]
     df = SP.class_weights(spark.createDataFrame(rows, "k long, label int"), "label", 1)
     out = SP.weighted_resample(df, "weight", "k", seed=1)
-    n = out.count()
-    assert abs(n - 5000) < 300
+    assert out.count() == 5000
     share = out.agg(F.avg("label")).first()[0]
     assert 0.4 < share < 0.6                                            # classes drawn equally
-
-
-def test_patience_and_best_trees(spark):
-    assert MD.best_iteration([5, 4, 3, 4, 4, 1], 2) == 3
-    assert MD.best_iteration([5, 4, 3, 4, 4, 1], 9) == 6
-    assert MD.best_iteration([1.0], 3) == 1
-    rows = [(i, float(i % 7), float((i * 13) % 11), float((i % 7) > 3 if i % 5 else i % 2), i % 3 == 0) for i in range(600)]
-    df = MD.assembler(["a", "b"]).transform(spark.createDataFrame(rows, "k long, a double, b double, label double, _valid boolean"))
-    p = MD.GBTParams(max_iter=12, patience=2)
-    full = p.classifier().fit(df.where("not _valid"))
-    n = MD.best_iteration(full.evaluateEachIteration(df.where("_valid")), 2)
-    stopped = MD.fit_boosted(df, p, valid_col="_valid")
-    assert stopped.getNumTrees == n
-    # a limit further on adds trees after the best one, which don't change the score
-    longer = MD.fit_boosted(df, MD.GBTParams(max_iter=16, patience=2), valid_col="_valid")
-    score = lambda m: [r.p for r in m.transform(df).select("k", MD.p1().alias("p")).orderBy("k").collect()]
-    if longer.getNumTrees == n:
-        assert score(longer) == score(stopped)
-    assert full.trees[0].toDebugString.split("\n")[1:] == stopped.trees[0].toDebugString.split("\n")[1:]
