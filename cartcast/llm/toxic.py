@@ -46,9 +46,9 @@ DECAY = 0.7
 GAP = 3
 WIDTH = 32          # characters of a unit with its marks
 FLOOR = -0.5
-LEAST = 0.05        # value from which a unit counts
+LEAST = 0.3         # value from which a unit counts; one insult alone is worth about 2
 TOP = 4             # units of a text that count
-ROUNDS = 6
+ROUNDS = 4
 LANDMARKS, OTHER_LANDMARKS = 400, 100
 STARTERS = 3000     # hash sample of clean units for the first guess
 _SEEN = 150_000     # units that a task remembers as far from toxic
