@@ -1,7 +1,7 @@
 """Plan properties that matter at scale (checked on the physical plan text)."""
 
 from cartcast.operators.labels import label_month
-from cartcast.operators.rowfeat import customer_scan
+from cartcast.operators.rowfeat import customer_scan, row_features
 from cartcast.plans import features as FE
 from cartcast.sources.tables import transactions
 from tests.conftest import SF001
@@ -44,7 +44,7 @@ def test_scan_windows_by_range_and_key(spark):
 
 def test_full_builder_has_no_python_or_sort_aggregate_in_row_features(spark):
     log = transactions(spark, SF001, description=False, country=False)
-    states = FE.month_states(customer_scan(log), FE.FULL_SPEC)
+    states = FE.month_states(row_features(log), FE.FULL_SPEC)
     p = _plan(FE.merged_states(states, ["2001-06", "2001-07"], FE.FULL_SPEC, modes=True))
     assert "SortAggregate" not in p and "MapInArrow" not in p
 
