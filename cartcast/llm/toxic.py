@@ -50,6 +50,7 @@ LEAST = 0.3         # value from which a unit counts; one insult alone is worth
 TOP = 4             # units of a text that count
 ROUNDS = 4
 LANDMARKS, OTHER_LANDMARKS = 400, 100
+RANK = 256          # coordinates kept, of the largest eigenvalues
 STARTERS = 3000     # hash sample of clean units for the first guess
 _SEEN = 150_000     # units that a task remembers as far from toxic
 _OFFSETS = [(a, b) for a in range(GAP + 1) for b in range(GAP + 1 - a)]
@@ -180,15 +181,21 @@ class Folded:
 
 
 def _svm(z, y, cost, c: float = 10.0):
-    """Squared hinge by Newton steps; the last coordinate of ``z`` is the bias."""
+    """Squared hinge by Newton steps; the last coordinate of ``z`` is the bias.  Rows go in blocks: ``z`` is the only large array."""
     import numpy as np
 
     w = np.zeros(z.shape[1])
     active = np.ones(len(y), bool)
     for _ in range(50):
-        za = z[active] * (2 * c * cost[active])[:, None]
-        new = np.linalg.solve(za.T @ z[active] + np.eye(z.shape[1]), za.T @ y[active])
-        w, was, active = new, active, y * (z @ new) < 1
+        square, right = np.eye(z.shape[1]), np.zeros(z.shape[1])
+        for at in range(0, len(y), 2048):
+            use = at + np.flatnonzero(active[at:at + 2048])
+            part = z[use].astype(float)
+            heavy = part * (2 * c * cost[use])[:, None]
+            square += heavy.T @ part
+            right += heavy.T @ y[use]
+        w, was, active = np.linalg.solve(square, right), active, None
+        active = y * (z @ w) < 1
         if (was == active).all():
             break
     return w
@@ -213,7 +220,7 @@ class Coordinates:
             for rows, values in self.having.values():
                 gram[np.ix_(rows, rows)] += np.outer(values, values)
             value, vector = np.linalg.eigh(gram)
-            good = value > 1e-6 * value.max()
+            good = np.flatnonzero(value > 1e-6 * value.max())[-RANK:]   # rising values
             self.root = vector[:, good] / np.sqrt(value[good])
 
     def __reduce__(self):
@@ -329,6 +336,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean:
 
 def _sentence_rows(sample: DataFrame, coordinates: Coordinates, folded: Folded):
     """Labels and coordinates of the sample's texts: the sums of their top units'.  As many as the sample has."""
+    from zlib import crc32
+
     import numpy as np
 
     sent = sample.sparkSession.sparkContext.broadcast((coordinates, folded))
@@ -346,14 +355,16 @@ def _sentence_rows(sample: DataFrame, coordinates: Coordinates, folded: Folded):
             rows = [z[[place[u] for _, u in top]].sum(axis=0).astype(np.float32).tobytes() if top else None for top in tops]
             yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(rows, pa.binary())], names=["toxic", "row"])
 
-    got = sample.select("toxic", "text").mapInArrow(run, "toxic int, row binary").collect()
+    rows = sample.select("toxic", "text").mapInArrow(run, "toxic int, row binary").toArrow()
     dims = coordinates.root.shape[1]
-    z = np.zeros((len(got), dims + 1))
+    z = np.zeros((rows.num_rows, dims + 1), np.float32)
     z[:, dims] = 1.0
-    for k, r in enumerate(got):
-        if r["row"] is not None:
-            z[k, :dims] = np.frombuffer(r["row"], np.float32)
-    return z, np.array([1.0 if r["toxic"] else -1.0 for r in got])
+    for k, r in enumerate(rows.column("row")):
+        if r.is_valid:
+            z[k, :dims] = np.frombuffer(r.as_buffer(), np.float32)
+    y = np.where(np.asarray(rows.column("toxic")) == 1, 1.0, -1.0)
+    order = np.argsort([crc32(r.tobytes()) for r in np.c_[z, y.astype(np.float32)]], kind="stable")  # rows come in any order
+    return z[order], y[order]
 
 
 def _told_apart(z, y, w) -> float:
@@ -392,8 +403,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 4000, max_clean: in
     best, before = None, None
     z, y = _sentence_rows(sample, coordinates, coordinates.folded(w))
     for _ in range(ROUNDS):
-        order = np.lexsort(np.r_[z.T, y[None, :]])   # rows come in any order
-        z, y = z[order], y[order]
         w = _svm(z, y, np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum())))
         # told apart as scoring will: with the units that the new function itself picks
         z, y = _sentence_rows(sample, coordinates, coordinates.folded(w[:-1]))
@@ -405,8 +414,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 4000, max_clean: in
             break
         before = decided
     folded = coordinates.folded(best[1][:-1])
-    rows = margins(sample, folded, "text", ["toxic"]).select("toxic", "margin").collect()
-    slope, shift = _logistic(np.array([r["margin"] for r in rows]), np.array([r["toxic"] for r in rows], float))
+    rows = margins(sample, folded, "text", ["toxic"]).select("toxic", "margin").toArrow()
+    slope, shift = _logistic(np.asarray(rows.column("margin")), np.asarray(rows.column("toxic"), float))
     return Model(folded, slope, shift)
 
 
