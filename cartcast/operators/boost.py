@@ -7,7 +7,7 @@ features), and each group gives the best split of every node, so that only split
 
 Margins are a column of the kept rows.  After ``chunk`` trees they are written anew, together with each held-out row's
 margin after every one of these trees; the exact score of every model (AUC by ranks, or the mean squared error) follows from
-that table.  A model ends when its score hasn't been better for ``patience`` trees and keeps the trees up to the best:
+that table.  (A table of at most ``TASK_CELLS`` cells is one task, which needs neither exchange nor that table.)  A model ends when its score hasn't been better for ``patience`` trees and keeps the trees up to the best:
 no tree is ever grown twice.
 
 Row and feature samples come from hashes of row and tree, so a task that runs again gives the same sums.
@@ -67,7 +67,7 @@ class Booster:
     def binned(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """``keep`` and ``bins``, one byte a feature; 0 stands for a missing value."""
         edges, n = self.edges, len(keep)
-        src = df.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"`{c}`").cast("double") for c in self.features])
+        src = df.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"`{c}`").cast("double").alias(f"_f{k}") for k, c in enumerate(self.features)])
         schema = T.StructType([*src.schema.fields[:n], T.StructField("bins", T.BinaryType())])
 
         def run(batches):
@@ -282,13 +282,18 @@ def fit(train: DataFrame, features: Sequence[str], label: str = "label", fold: s
     live = [k for k in range(len(models)) if rows]
     history: list[list] = [[] for _ in models]
     pending: list[dict] = []
+    chunk = p.chunk if tasks > 1 else 2 * p.chunk
     while live and len(out.trees) < p.trees:
-        tree = _grow(state, out, pending, live, len(out.trees), p, tasks)
-        out.trees.append(tree)
-        pending.append(tree)
-        if len(pending) < p.chunk and len(out.trees) < p.trees:
-            continue
-        state, scores = _settled(state, out, pending, p)
+        if tasks == 1:
+            pending, scores = _grown_in_one_task(state, out, live, min(chunk, p.trees - len(out.trees)), p)
+            out.trees += pending
+        else:
+            splits = lambda *args: _level(state, out, pending, *args, len(out.trees), p).collect()
+            pending.append(_grown(splits, len(models), len(features), live, len(out.trees), p))
+            out.trees.append(pending[-1])
+            if len(pending) < chunk and len(out.trees) < p.trees:
+                continue
+            state, scores = _settled(state, out, pending, p)
         for k in range(len(models)):
             for t in range(len(pending)):
                 if k in live:
@@ -313,45 +318,125 @@ def _ended(scores: list, patience: int) -> bool:
     return any(v is not None for v in scores) and len(scores) - 1 - _best(scores) >= patience
 
 
-def _grow(state: DataFrame, booster: Booster, pending: list, live: list, number: int, p: BoostParams, tasks: int) -> dict:
-    """The next tree of all live models, one pass over the rows a level."""
+_SUMS = "model int, block int, part int, hist binary"
+_SPLITS = "model int, node int, gain double, feature int, bin int, gl double, hl double, g double, h double"
+
+
+def _grown(splits, n_models: int, dims: int, live: list, number: int, p: BoostParams) -> dict:
+    """The next tree of all live models; ``splits(tree, nodes, features, level)`` gives the split candidates of a level."""
     import numpy as np
 
     size = 2 ** (p.depth + 1) - 1
-    tree = {"feature": np.full((len(booster.models), size), -1), "split": np.zeros((len(booster.models), size), int), "value": np.zeros((len(booster.models), size))}
-    picked = {k: feature_sample(len(booster.features), number, k, p) for k in live}
-    value = lambda s: -p.step * s[0] / (s[1] + p.l2) if s[1] + p.l2 > 0 else 0.0
+    tree = {"feature": np.full((n_models, size), -1), "split": np.zeros((n_models, size), int), "value": np.zeros((n_models, size))}
+    picked = {k: feature_sample(dims, number, k, p) for k in live}
+    value = lambda g, h: -p.step * g / (h + p.l2) if h + p.l2 > 0 else 0.0
     open_nodes = {k: [0] for k in live}
     for level in range(p.depth):
         grown = {k: nodes for k, nodes in open_nodes.items() if nodes}
         if not grown:
             break
         found: dict = {}
-        for r in _level(state, booster, pending, tree, grown, picked, level, number, p, tasks).collect():
-            had = found.get((r.model, r.node))
-            if had is None or (r.gain, -r.feature) > (had.gain, -had.feature):
-                found[r.model, r.node] = r
+        for k, node, gain, feature, cut, gl, hl, g, h in splits(tree, grown, picked, level):
+            had = found.get((k, node))
+            if had is None or (gain, -feature) > (had[0], -had[1]):
+                found[k, node] = (gain, feature, cut, gl, hl, g, h)
         open_nodes = {k: [] for k in live}
-        for (k, node), r in sorted(found.items()):
-            total = (r.g, r.h)
+        for (k, node), (gain, feature, cut, gl, hl, g, h) in sorted(found.items()):
             if level == 0:
-                tree["value"][k, node] = value(total)
-            if not r.gain > 1e-10:
+                tree["value"][k, node] = value(g, h)
+            if not gain > 1e-10:
                 continue
-            tree["feature"][k, node], tree["split"][k, node] = r.feature, r.bin
-            tree["value"][k, 2 * node + 1] = value((r.gl, r.hl))
-            tree["value"][k, 2 * node + 2] = value((r.g - r.gl, r.h - r.hl))
+            tree["feature"][k, node], tree["split"][k, node] = feature, cut
+            tree["value"][k, 2 * node + 1], tree["value"][k, 2 * node + 2] = value(gl, hl), value(g - gl, h - hl)
             open_nodes[k] += [2 * node + 1, 2 * node + 2]
     return tree
 
 
-_SUMS = "model int, block int, part int, hist binary"
-_SPLITS = "model int, node int, gain double, feature int, bin int, gl double, hl double, g double, h double"
+def _add_rows(hist: dict, y, fold, h, bins, margin, tree: dict, picked: dict, level: int, number: int, models: list, p: BoostParams) -> None:
+    """Adds the rows' gradients, second derivatives and numbers to ``hist``: by model (3, node x feature x bin)."""
+    import numpy as np
+
+    first, nodes = 2**level - 1, 2**level
+    at = _nodes(tree, bins)
+    for k, sums in hist.items():
+        use = np.flatnonzero((fold != models[k]) & (at[:, k] >= first) & _drawn(h, number, k, p.row_share, p.seed))
+        g, second = derivatives(margin[use, k], y[use], p.objective)
+        n = len(picked[k])
+        cell = (((at[use, k] - first)[:, None] * n + np.arange(n)) * p.bins + bins[use][:, picked[k]]).ravel()
+        for i, weight in enumerate((g, second, None)):
+            sums[i] += np.bincount(cell, None if weight is None else np.repeat(weight, n), nodes * n * p.bins)
+
+
+def _candidates(hist, k: int, chosen, nodes: list, level: int, p: BoostParams) -> list:
+    """Split candidates of model ``k`` at ``nodes`` for sums (3, node x feature x bin) of the features ``chosen``."""
+    import numpy as np
+
+    first = 2**level - 1
+    cube = np.moveaxis(hist.reshape(3, 2**level, len(chosen), p.bins), 0, -1)
+    gain, f, cut, left, whole = best_splits(cube, p)
+    return [(k, node, float(gain[i]), int(chosen[f[i]]), int(cut[i]), *left[i, :2].tolist(), *whole[i, :2].tolist()) for node in nodes for i in (node - first,)]
+
+
+def _rows_of(b, dims: int):
+    """Labels, folds, hashes, bins and margins of a batch."""
+    import numpy as np
+
+    y, fold, h = (b.column(k).to_numpy() for k in range(3))
+    return y, fold, h, _bins(b.column(3), dims), np.asarray(b.column(4).flatten()).reshape(len(y), -1).copy()
 
 
-def _level(state: DataFrame, booster: Booster, pending: list, tree: dict, grown: dict, picked: dict, level: int, number: int, p: BoostParams, tasks: int) -> DataFrame:
+def _score(y, margin, objective: str):
+    """AUC with ties as halves, or minus the mean squared error; NaN where it isn't defined."""
+    import numpy as np
+
+    if objective == "squared":
+        return -float(((y - margin) ** 2).mean()) if len(y) else np.nan
+    value, place, n = np.unique(margin, return_inverse=True, return_counts=True)
+    positive = np.bincount(place, y, len(value))
+    negative = n - positive
+    below = np.cumsum(negative) - negative
+    pairs = positive.sum() * negative.sum()
+    return float((positive * (below + 0.5 * negative)).sum() / pairs) if pairs else np.nan
+
+
+def _grown_in_one_task(state: DataFrame, booster: Booster, live: list, count: int, p: BoostParams):
+    """The next ``count`` trees, and scores by (model's fold, tree), of a table so small (``TASK_CELLS``) that all rows make up one
+    task: nothing is exchanged between levels, so it is one job."""
+    import numpy as np
+
+    dims, models, before = len(booster.features), booster.models, list(booster.trees)
+
+    def run(batches):
+        import pyarrow as pa
+
+        parts = [_rows_of(b, dims) for b in batches if b.num_rows]
+        if not parts:
+            return
+        y, fold, h, bins, margin = (np.concatenate(c) for c in zip(*parts))
+        for tree in before:
+            margin += _leaf_values(tree, bins)
+        for t in range(count):
+
+            def splits(tree, grown, picked, level, number=len(before) + t):
+                hist = {k: np.zeros((3, 2**level * len(picked[k]) * p.bins)) for k in grown}
+                _add_rows(hist, y, fold, h, bins, margin, tree, picked, level, number, models, p)
+                return [c for k in grown for c in _candidates(hist[k], k, picked[k], grown[k], level, p)]
+
+            tree = _grown(splits, len(models), dims, live, len(before) + t, p)
+            margin += _leaf_values(tree, bins)
+            scores = np.array([_score(y[fold == m], margin[fold == m, k], p.objective) for k, m in enumerate(models)])
+            yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in (tree["feature"], tree["split"], tree["value"], scores))],
+                                             names=["tree", "feature", "split", "value", "scores"])
+
+    rows = state.select("_y", "_fold", "_h", "bins", "margins").coalesce(1).mapInArrow(run, "tree int, feature binary, split binary, value binary, scores binary").collect()
+    shape = (len(models), 2 ** (p.depth + 1) - 1)
+    trees = [{c: np.frombuffer(r[c], float if c == "value" else np.int64).reshape(shape).copy() for c in ("feature", "split", "value")} for r in sorted(rows)]
+    return trees, {(m, r.tree): float(v) for r in rows for m, v in zip(models, np.frombuffer(r.scores)) if not np.isnan(v)}
+
+
+def _level(state: DataFrame, booster: Booster, pending: list, tree: dict, grown: dict, picked: dict, level: int, number: int, p: BoostParams) -> DataFrame:
     """Split candidates (one a model, block and node) of the nodes ``grown``."""
-    dims, models, first, nodes = len(booster.features), booster.models, 2**level - 1, 2**level
+    dims, models, nodes = len(booster.features), booster.models, 2**level
 
     def sums(batches):
         import numpy as np
@@ -362,19 +447,10 @@ def _level(state: DataFrame, booster: Booster, pending: list, tree: dict, grown:
         for b in batches:
             if not b.num_rows:
                 continue
-            y, fold, h = (b.column(k).to_numpy() for k in range(3))
-            bins = _bins(b.column(3), dims)
-            margin = np.asarray(b.column(4).flatten()).reshape(len(y), -1).copy()
+            y, fold, h, bins, margin = _rows_of(b, dims)
             for done in pending:
                 margin += _leaf_values(done, bins)
-            at = _nodes(tree, bins)
-            for k in grown:
-                use = np.flatnonzero((fold != models[k]) & (at[:, k] >= first) & _drawn(h, number, k, p.row_share, p.seed))
-                g, second = derivatives(margin[use, k], y[use], p.objective)
-                n = len(picked[k])
-                cell = (((at[use, k] - first)[:, None] * n + np.arange(n)) * p.bins + bins[use][:, picked[k]]).ravel()
-                for i, weight in enumerate((g, second, None)):
-                    hist[k][i] += np.bincount(cell, None if weight is None else np.repeat(weight, n), nodes * n * p.bins)
+            _add_rows(hist, y, fold, h, bins, margin, tree, picked, level, number, models, p)
         part = TaskContext.get().partitionId()
         for k, v in hist.items():
             v = v.reshape(3, nodes, -1, p.bins)
@@ -395,24 +471,16 @@ def _level(state: DataFrame, booster: Booster, pending: list, tree: dict, grown:
                          "part": pa.array([key[2].as_py()], pa.int32()), "hist": pa.array([total(table).tobytes()], pa.binary())})
 
     def splits(key, table):
-        import numpy as np
         import pyarrow as pa
 
         k, block = key[0].as_py(), key[1].as_py()
-        chosen = picked[k][block * BLOCK:(block + 1) * BLOCK]
-        hist = np.moveaxis(total(table).reshape(3, nodes, len(chosen), p.bins), 0, -1)
-        gain, f, cut, left, whole = best_splits(hist, p)
-        wanted = np.array(grown[k]) - first
-        col = lambda v, t: pa.array(v[wanted], t)
-        return pa.table({"model": pa.array([k] * len(wanted), pa.int32()), "node": pa.array(wanted + first, pa.int32()), "gain": col(gain, pa.float64()),
-                         "feature": col(chosen[f], pa.int32()), "bin": col(cut, pa.int32()), "gl": col(left[:, 0], pa.float64()), "hl": col(left[:, 1], pa.float64()),
-                         "g": col(whole[:, 0], pa.float64()), "h": col(whole[:, 1], pa.float64())})
-
-    rows = state.select("_y", "_fold", "_h", "bins", "margins")
-    # a small table is one partition, which Spark knows to need no exchange
-    parts = (rows.coalesce(1) if tasks == 1 else rows).mapInArrow(sums, _SUMS)
+        rows = _candidates(total(table), k, picked[k][block * BLOCK:(block + 1) * BLOCK], grown[k], level, p)
+        kinds = [pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), *[pa.float64()] * 4]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["model", "node", "gain", "feature", "bin", "gl", "hl", "g", "h"])
+
+    parts = state.select("_y", "_fold", "_h", "bins", "margins").mapInArrow(sums, _SUMS)
     if state.sparkSession.sparkContext.defaultParallelism > FAN:
-        parts = parts.groupBy("model", "block", F.expr(f"part div {FAN}").cast("int").alias("part")).applyInArrow(added, _SUMS)
+        parts = parts.withColumn("share", F.expr(f"part div {FAN}").cast("int")).groupBy("model", "block", "share").applyInArrow(added, _SUMS)
     return parts.groupBy("model", "block").applyInArrow(splits, _SPLITS)
 
 
