@@ -10,6 +10,7 @@ from cartcast.session import cleaned, dropped, kept  # noqa: F401
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -19,10 +20,10 @@ TEXT_ROWS = "1000"
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Asks the session for batches of at most ``TEXT_ROWS`` rows, unless it has smaller ones."""
-    if int(spark.conf.get(_BATCH)) > int(TEXT_ROWS):
-        spark.conf.set(_BATCH, TEXT_ROWS)
+def text_batches(spark: SparkSession, rows: str = TEXT_ROWS) -> None:
+    """Asks the session for batches of at most ``rows`` rows, unless it has smaller ones."""
+    if int(spark.conf.get(_BATCH)) > int(rows):
+        spark.conf.set(_BATCH, rows)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
