@@ -20,13 +20,15 @@ from cartcast.llm.common import WORD, dropped, fresh, kept, table, text_batches
 #: Scores come from a fitted kernel machine: no stage after it has SQL for the same rows.
 ORACLE_SQL = None
 
+#: Rows of a batch that goes to Python: its workers live through all stages and keep what they once held.
+ROWS = "400"
 #: At most so many ids are sent to all tasks (about 50 MB there); more are joined.
 BROADCAST_IDS = 1_000_000
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the string kernel machine doesn't call toxic."""
-    text_batches(spark)
+    text_batches(spark, ROWS)
     model = toxic.fit(docs, table(spark, sf_dir, "labels"))
     names = [f"column_{k}" for k in range(len(docs.columns))]  # a column of any name may stand beside the score
     out = toxic.scores(docs.toDF(*names), model, col=names[docs.columns.index("text")])
@@ -37,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of linked documents: the one whose id is the smallest.  Rows without words and rows
     without an id stand alone; of several rows with that id and with words, the one whose text has the smallest
     md5 (equal texts: the smallest hash of the row) stays."""
-    text_batches(spark)
+    text_batches(spark, ROWS)
     mark, place = fresh(docs, "mark_", "place_")
     found = kept(jaccard.near_duplicates(docs).where("n_shingles > 0 and doc_id is not null"), "pipeline-groups")
     ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("gone"), (F.count("*") > 1).alias("several"))
@@ -89,7 +91,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, their digest, and the digest of what they decode to."""
     import public_tokenizers as P
 
-    text_batches(spark)
+    text_batches(spark, ROWS)
     return bpe.token_digests(docs.select("doc_id", "source", "text"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN, ids="ids").drop("text")
 
 
