@@ -339,9 +339,10 @@ def _bin_scores(spark, sf) -> DataFrame:
     log = _log(spark, sf)
     lab = LB.label_month(log, TARGET).select("customer_id", "label")
     prev = (log.filter(in_month(TRAIN)).groupBy("customer_id").agg(F.sum("total").alias("_ps")))
-    return (lab.join(prev, "customer_id", "left")
-               .select("customer_id", "label", F.coalesce("_ps", F.lit(0.0)).alias("score_prev"),
-                       ((F.col("customer_id") * 7919) % 1000).cast("double").__truediv__(1000.0).alias("score")))
+    # a row a customer, written once: every metric, fold and bound reads it instead of the log
+    return kept(lab.join(prev, "customer_id", "left")
+                .select("customer_id", "label", F.coalesce("_ps", F.lit(0.0)).alias("score_prev"),
+                        ((F.col("customer_id") * 7919) % 1000).cast("double").__truediv__(1000.0).alias("score")), "scores")
 
 
 _BIN = (
@@ -872,8 +873,9 @@ _STATS_SQL = (f"cs AS (SELECT customer_id, {_sel(sql_stats(['quantity', 'price',
 
 
 def _cust_nulls(spark, sf):
-    return (_log(spark, sf).filter(before(TARGET)).groupBy("customer_id")
-            .agg(*agg_columns([(c, ["std", "skew"]) for c in ["quantity", "price", "total"]])))
+    # written once for the null counts, the medians or means and the fill
+    return kept(_log(spark, sf).filter(before(TARGET)).groupBy("customer_id")
+                .agg(*agg_columns([(c, ["std", "skew"]) for c in ["quantity", "price", "total"]])), "customer-stats")
 
 
 _reg("median_impute", _fsql(W(_STATS_SQL) + "SELECT customer_id, " + ", ".join(
@@ -960,7 +962,8 @@ _reg("mask_features", _fsql("SELECT customer_id, year_month, label, " + ", ".joi
 
 
 def _lab(spark, sf):
-    return LB.label_month(_log(spark, sf), TARGET).select("customer_id", "label")
+    # a row a customer, written once: class counts, folds, draws and bounds read it instead of the log
+    return kept(LB.label_month(_log(spark, sf), TARGET).select("customer_id", "label"), "labels")
 
 
 _LAB1 = _BIN[:1]
@@ -1098,8 +1101,8 @@ _GBT_Q = MD.BoostParams(patience=20)  # of 10,000 trees: the patience ends it (t
 def _full_scaled(spark, sf, ym=TARGET):
     """The full builder with every feature mapped through its train quantiles, each side written once."""
     fs = FE.fe_full(_log(spark, sf), ym)
-    frame = kept(fs.frame, "full-features")
-    tr, te = (frame.where(F.col("year_month") == m) for m in (fs.train_month, fs.test_month))
+    # the builder has written its wide rows already
+    tr, te = (fs.frame.where(F.col("year_month") == m) for m in (fs.train_month, fs.test_month))
     tr, te = PR.quantile_transform(tr, te, fs.features, 1000)
     return fs, kept(tr, "train-scaled"), kept(te, "test-scaled")
 
@@ -1165,7 +1168,8 @@ def _doc_features(spark, sf):
                      (F.length(F.regexp_replace(t, "[^0-9]", "")) / n).alias("digit_share"),
                      (F.length(F.regexp_replace(t, "[^A-Z]", "")) / n).alias("upper_share"),
                      F.size(F.split(t, "\\n")).cast("double").alias("lines"))
-    return feats.join(lab, "doc_id"), ["n_chars", "words", "digit_share", "upper_share", "lines"]
+    # written once: edges, both models and the scores read numbers, not texts
+    return kept(feats.join(lab, "doc_id"), "text-features"), ["n_chars", "words", "digit_share", "upper_share", "lines"]
 
 
 def _multitask(spark, sf):

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from cartcast.operators.hashing import hash_uniform
 from cartcast.operators.scan import ScanSpec, ordered_scan
+from cartcast.session import kept
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 BOUNDS_THRESHOLD = 1e-7
@@ -43,14 +44,15 @@ def dense_codes(values: DataFrame, col: str) -> DataFrame:
     return r.select(F.col("_v").alias(col), (F.col("_rank") - 1).cast("long").alias("_code"))
 
 
-def label_encode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+def label_encode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None, few: bool = False) -> DataFrame:
     """L1: replace each string column by the index of its value among the sorted
     distinct values of ``fit_on`` (default: ``df`` itself, i.e. train and test
-    together as in the reference).  Nulls stay null."""
+    together as in the reference).  Nulls stay null.  ``few``: the values are few, such as months, so wide rows aren't moved to them."""
     fit_on = df if fit_on is None else fit_on
     out = df
     for c in cols:
         codes = dense_codes(fit_on, c)
+        codes = F.broadcast(codes) if few else codes
         out = (out.join(codes, c, "left")
                   .withColumn(c, F.col("_code")).drop("_code"))
     return out.select(*df.columns)
@@ -78,9 +80,10 @@ def quantile_table(df: DataFrame, cols: Sequence[str], n_quantiles: int) -> Data
     Distributed: values are counted per (column, value), a running count along
     the value order gives each distinct value its rank range [a, b), and each
     range emits only the quantile positions that fall in it.  No task ever
-    holds a whole column.  Output: (col, j, ref, q).
+    holds a whole column.  The counts are written once: bounds, totals and
+    running counts all read them.  Output: (col, j, ref, q).
     """
-    cnt = _long(df, cols).groupBy("col", "v").agg(F.count("*").cast("double").alias("_cnt"))
+    cnt = kept(_long(df, cols).groupBy("col", "v").agg(F.count("*").cast("double").alias("_cnt")), "value-counts")
     tot = cnt.groupBy("col").agg(F.sum("_cnt").cast("long").alias("_tot"))
     cum = ordered_scan(cnt, "col", ["v"], ScanSpec(cumsum={"_cum": "_cnt"}))
     # tot has one row per column: a size bound fixed by the caller.

@@ -259,7 +259,7 @@ def fe_full(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, compat: boo
     frame = frame.fillna(0.0, subset=num).fillna(0, subset=num)
     if encode:
         # aggregated (customers x anchors): written once for the code dictionary and the output
-        frame = label_encode(kept(frame, "features"), ["year_month-mode-mode"])
+        frame = label_encode(kept(frame, "features"), ["year_month-mode-mode"], few=True)
     frame = frame.select(*KEYS, "label", *[F.col(f"`{c}`") for c in feats])
     return FeatureSet(frame, feats, tr_ym, ym)
 
@@ -297,7 +297,8 @@ def description_rollups(log: DataFrame, anchors: list[str], sep: str = ", ", ord
     keys = log_order(log, order)
     cut = log.filter((F.col("order_date") < month_start(max(anchors))) & F.col("description").isNotNull())
     cut = cut.select("customer_id", "description", *[c for c in keys if c not in ("customer_id", "description")], F.lit(1.0).alias("_one"))
-    placed = ordered_scan(cut, "customer_id", keys, ScanSpec(cumsum={"_rn": "_one"}))
+    # written once: the scan's bounds, its carries and the rows themselves read it, and none repeats the log's joins
+    placed = ordered_scan(kept(cut, "descriptions"), "customer_id", keys, ScanSpec(cumsum={"_rn": "_one"}))
     # rows without a customer have no place: one chunk a month and hash
     place = F.coalesce(F.col("_rn"), F.lit(0.0)).cast("long")
     row = F.struct(place.alias("p"), *[F.col(c).alias(f"o{k}") for k, c in enumerate(keys)], "description")
