@@ -133,3 +133,22 @@ def test_model_choice(spark, base):
     assert {r.model: r["count"] for r in scores.groupBy("model").count().collect()} == dict.fromkeys(["gbt", "logistic_regression", "random_forest"], tr.count())
     out = MD.model_selection(tr, fs.features, folds=2, params=p).collect()
     assert len(out) == 3 and sum(r.best for r in out) == 1 and max(out, key=lambda r: r.cv_auc).best
+
+
+def test_every_model_of_a_small_table_is_a_task(spark, monkeypatch):
+    """Models of a table that a task can hold grow side by side in one job a chunk, the same trees as by exchanged sums."""
+    rng = np.random.default_rng(3)
+    rows = [(k, float(a), float(b), int(a + 0.3 * c > 0), k % 3) for k, (a, b, c) in enumerate(rng.normal(size=(900, 3)))]
+    df = spark.createDataFrame(rows, "customer_id long, a double, b double, label int, fold int")
+    p = BO.BoostParams(trees=6, patience=6, chunk=3)
+    edges = BO.unit_edges(["a", "b"], 8)
+    jobs = []
+    grown = BO._grown_by_model
+    monkeypatch.setattr(BO, "_grown_by_model", lambda state, out, live, *a: jobs.append(list(live)) or grown(state, out, live, *a))
+    one = BO.fit(df, ["a", "b"], models=[0, 1, 2], params=p, edges=edges)
+    assert jobs == [[0, 1, 2]]
+    monkeypatch.setattr(BO, "MODEL_SHARE", 0)
+    many = BO.fit(df.repartition(5), ["a", "b"], models=[0, 1, 2], params=p, edges=edges)
+    assert jobs == [[0, 1, 2]] and one.best == many.best
+    for a, b in zip(one.trees, many.trees, strict=True):
+        assert (a["feature"] == b["feature"]).all() and (a["split"] == b["split"]).all() and np.allclose(a["value"], b["value"], atol=1e-9)
