@@ -41,6 +41,7 @@ PARTS = 16
 PASSES = 3              # over parts of the blocks in a round: emissions of one part are under way at a time
 PRIOR = 30.0            # tokens of the overall distribution that each state starts with
 TOKENS_AT_ONCE = 400_000
+EMISSIONS = 1 << 16     # tokens whose emissions are laid out at a time in scoring
 END = 0                 # place of the end in every block; words follow
 
 
@@ -287,30 +288,64 @@ def first_guess(states: int):
 
 
 def _side_by_side(sequences):
-    """Sequences by falling length, and how many are still running at each step."""
+    """Sequences by falling length: their order, all first tokens, then all second ones and so on, how many sequences are
+    still running at each step, and where the steps start.  Arrays have a row for each state, so that a step's work is on long rows."""
     import numpy as np
 
     order = sorted(range(len(sequences)), key=lambda k: -len(sequences[k]))
     lengths = np.array([len(sequences[k]) for k in order])
-    flat = np.concatenate([sequences[k] for k in order])
-    offsets = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     running = len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), side="right")
-    return order, flat, offsets, running
+    starts = np.concatenate([[0], np.cumsum(running)])
+    tokens = np.empty(starts[-1], np.uint32)
+    step = np.arange(starts[-1]) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    tokens[starts[step] + np.repeat(np.arange(len(lengths)), lengths)] = np.concatenate([sequences[k] for k in order])
+    return order, tokens, running.tolist(), starts.tolist()
+
+
+def _steps(starts, size: int):
+    """(first, last + 1) of runs of steps with about ``size`` tokens."""
+    at = 0
+    while at < len(starts) - 1:
+        to = at + 1
+        while to < len(starts) - 1 and starts[to + 1] - starts[at] <= size:
+            to += 1
+        yield at, to
+        at = to
+
+
+def _scale(a):
+    """Sum over the states, in pairs as numpy adds a row of eight."""
+    import numpy as np
+
+    if len(a) != 8:
+        return a.sum(axis=0)
+    b = a[0::2] + a[1::2]
+    c = b[0::2] + b[1::2]
+    return np.add(c[0], c[1])
 
 
 def log_likelihoods(sequences, p: Parameters):
     """Natural log of each sequence's probability, by the scaled forward recursion."""
     import numpy as np
 
-    order, flat, offsets, running = _side_by_side(sequences)
+    order, tokens, running, starts = _side_by_side(sequences)
     total = np.zeros(len(order))
-    a = p.start[0] * p.emit[flat[offsets]]
-    for t, n in enumerate(running.tolist()):
-        if t:
-            a = (a[:n] @ p.move) * p.emit[flat[offsets[:n] + t]]
-        scale = a.sum(axis=1)
-        a /= scale[:, None]
-        total[:n] += np.log(scale)
+    turn = np.ascontiguousarray(p.move.T)
+    a = None
+    for first, stop in _steps(starts, EMISSIONS):
+        base = starts[first]
+        emit = np.ascontiguousarray(p.emit[tokens[base:starts[stop]]].T)
+        scale = np.empty(emit.shape[1], emit.dtype)
+        for t in range(first, stop):
+            n, low = running[t], starts[t] - base
+            a = (p.start[0][:, None] if a is None else turn @ a[:, :n]) * emit[:, low:low + n]
+            s = _scale(a)
+            a /= s
+            scale[low:low + n] = s
+        np.log(scale, out=scale)
+        for t in range(first, stop):
+            low = starts[t] - base
+            total[:running[t]] += scale[low:low + running[t]]
     out = np.empty(len(order))
     out[order] = total
     return out
@@ -321,34 +356,36 @@ def expected_counts(windows, later, p: Parameters):
     windows that don't begin a text."""
     import numpy as np
 
-    order, flat, offsets, running = _side_by_side(windows)
+    order, tokens, running, starts = _side_by_side(windows)
     states, classes = p.move.shape[0], p.emit.shape[0]
     kind = np.asarray(later, int)[order]
-    alpha = np.empty((len(flat), states), np.float32)
-    scale = np.empty(len(flat), np.float32)
-    a = p.start[kind] * p.emit[flat[offsets]]
-    for t, n in enumerate(running.tolist()):
-        at = offsets[:n] + t
-        if t:
-            a = (a[:n] @ p.move) * p.emit[flat[at]]
-        s = a.sum(axis=1)
-        a /= s[:, None]
-        alpha[at], scale[at] = a, s
+    turn = np.ascontiguousarray(p.move.T)
+    emit = np.ascontiguousarray(p.emit[tokens].T)
+    alpha = np.empty((states, len(tokens)), np.float32)
+    scale = np.empty(len(tokens), np.float32)
+    a = None
+    for t, n in enumerate(running):
+        at = slice(starts[t], starts[t] + n)
+        a = (p.start[kind].T if a is None else turn @ a[:, :n]) * emit[:, at]
+        s = _scale(a)
+        a /= s
+        alpha[:, at], scale[at] = a, s
     move = np.zeros((states, states))
-    beta = np.ones((len(order), states), np.float32)
+    beta = np.ones((states, len(order)), np.float32)
     gamma = alpha  # becomes alpha * beta; the last step's beta is 1
     for t in range(len(running) - 1, 0, -1):
-        n = int(running[t])
-        at = offsets[:n] + t
-        after = p.emit[flat[at]] * beta[:n] / scale[at][:, None]
-        move += (alpha[at - 1].T @ after) * p.move
-        back = after @ p.move.T
-        gamma[at - 1] *= back
-        beta[:n] = back
+        n = running[t]
+        at, before = slice(starts[t], starts[t] + n), slice(starts[t - 1], starts[t - 1] + n)
+        after = emit[:, at] * beta[:, :n]
+        after /= scale[at]
+        move += (alpha[:, before] @ after.T) * p.move
+        back = p.move @ after
+        gamma[:, before] *= back
+        beta[:, :n] = back
     start = np.zeros((2, states))
-    np.add.at(start, kind, gamma[offsets])
-    emit = np.stack([np.bincount(flat, gamma[:, z], classes) for z in range(states)], axis=1)
-    return start, move, emit
+    for k in (0, 1):
+        start[k] = gamma[:, :len(order)][:, kind == k].sum(axis=1, dtype=float)
+    return start, move, np.array([np.bincount(tokens, gamma[z], classes) for z in range(states)]).T
 
 
 def _round(blocks: DataFrame, table: DataFrame, places: DataFrame, model, total: float, so_far: DataFrame | None) -> DataFrame:
@@ -362,7 +399,7 @@ def _round(blocks: DataFrame, table: DataFrame, places: DataFrame, model, total:
 
     def learn(left, right):
         p, order, right = _block_model(sent.value, left.column("ranks"), right, True)
-        start, move, emit = np.zeros((2, states)), np.zeros((states, states)), np.zeros(p.emit.shape)
+        start, move, emit = np.zeros((2, states)), np.zeros((states, states)), np.zeros(p.emit.shape[::-1]).T
         windows, later, n = [], [], 0
 
         def flush():
@@ -384,6 +421,7 @@ def _round(blocks: DataFrame, table: DataFrame, places: DataFrame, model, total:
         if windows:
             flush()
         stops = np.cumsum([0, *(len(x.as_buffer()) // 4 for x in right.column("at"))]).tolist()
+        emit = np.ascontiguousarray(emit)
         own = _short(emit[1 + order])
         small = np.concatenate([start.ravel(), move.ravel(), emit[END]])
         return pa.table({

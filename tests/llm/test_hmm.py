@@ -103,3 +103,19 @@ def test_every_word_has_emissions(spark):
     mixed = [(held[100 + k], " ".join(w for pair in zip(rnd.sample(kinds[0], 10), rnd.sample(kinds[1], 10)) for w in pair)) for k in range(40)]
     got = {r.doc_id: r.score for r in hmm.scores(spark.createDataFrame(rows + pure + mixed, "doc_id long, text string"), states=2, frequent=10, rounds=20).collect()}
     assert min(got[k] for k, _ in pure) > max(got[k] for k, _ in mixed)
+
+
+def test_steps_lie_side_by_side():
+    # every step's tokens are one slice, and the slabs of emissions in scoring don't change a score
+    seqs = [np.array(x, np.uint32) for x in ([1, 2, 3], [4], [5, 6, 7, 8], [9, 10])]
+    order, tokens, running, starts = hmm._side_by_side(seqs)
+    assert [tokens[a:a + n].tolist() for a, n in zip(starts, running)] == [[5, 1, 9, 4], [6, 2, 10], [7, 3], [8]]
+    assert order == [2, 0, 3, 1] and list(hmm._steps(starts, 5)) == [(0, 1), (1, 3), (3, 4)]
+    rng = np.random.default_rng(1)
+    p = hmm.Parameters(rng.random((2, 8)), rng.random((8, 8)), rng.random((11, 8)))
+    want = hmm.log_likelihoods(seqs, p)
+    before, hmm.EMISSIONS = hmm.EMISSIONS, 2
+    try:
+        assert np.array_equal(hmm.log_likelihoods(seqs, p), want)
+    finally:
+        hmm.EMISSIONS = before
