@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from cartcast.operators.prep import quantile_table
+from cartcast.session import kept
 from tests.conftest import SF001
 
 
@@ -30,3 +31,21 @@ def test_quantiles_count_the_values_once(spark):
 def test_descriptions_join_the_log_once(spark):
     q = E.queries()["customer_descriptions"](spark, SF001)
     assert "p_name" not in q._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_wide_rows_of_the_full_builder_are_not_written(spark, monkeypatch):
+    from cartcast.plans import features as FE
+    from tests.fixtures import tiny_log
+
+    written = {}
+
+    def record(df, name, **options):
+        written[name] = len(df.columns)
+        return kept(df, name, **options)
+
+    monkeypatch.setattr(FE, "kept", record)
+    fs = FE.fe_full(tiny_log(spark), "2001-07")
+    assert max(written.values()) < 20, written
+    # codes are those of the months among the rows, and no row lacks one
+    got = sorted({r[0] for r in fs.frame.select("year_month-mode-mode").collect()})
+    assert got == list(range(len(got)))
