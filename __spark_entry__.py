@@ -336,11 +336,8 @@ from cartcast.operators import metrics as MT  # noqa: E402
 def _bin_scores(spark, sf) -> DataFrame:
     """Labels of the target month with two scores: the previous month's spend
     (a real baseline predictor, many ties at 0) and a fixed hash score in [0, 1)."""
-    log = _log(spark, sf)
-    lab = LB.label_month(log, TARGET).select("customer_id", "label")
-    prev = (log.filter(in_month(TRAIN)).groupBy("customer_id").agg(F.sum("total").alias("_ps")))
-    # a row a customer, written once: every metric, fold and bound reads it instead of the log
-    return kept(lab.join(prev, "customer_id", "left")
+    # labels and spend in one pass over the log, a row a customer, written once: every metric, fold and bound reads it instead
+    return kept(LB.label_month(_log(spark, sf), TARGET, spend={"_ps": TRAIN})
                 .select("customer_id", "label", F.coalesce("_ps", F.lit(0.0)).alias("score_prev"),
                         ((F.col("customer_id") * 7919) % 1000).cast("double").__truediv__(1000.0).alias("score")), "scores")
 

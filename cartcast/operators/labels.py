@@ -27,20 +27,22 @@ def customers_before(log: DataFrame, ym: str) -> DataFrame:
     return log.filter(before(ym)).select("customer_id").distinct()
 
 
-def label_month(log: DataFrame, ym: str, threshold: float = TOTAL_THRES) -> DataFrame:
+def label_month(log: DataFrame, ym: str, threshold: float = TOTAL_THRES, spend: dict[str, str] | None = None) -> DataFrame:
     """K1: one row per customer seen before ``ym``; label = spend in ``ym`` > threshold.
 
-    Output: customer_id, year_month, total, label (int).
+    Output: customer_id, year_month, total, label (int), and for each name in ``spend`` the spend in its month (not after
+    ``ym``; null without rows there), from the same pass over the log.
     """
     nxt = month_start(ym_shift(ym, 1))
     g = (log.filter(F.col("order_date") < nxt)
             .groupBy("customer_id")
             .agg(F.max(before(ym).cast("int")).alias("_seen"),
-                 F.sum(F.when(in_month(ym), F.col("total"))).alias("_spend")))
+                 F.sum(F.when(in_month(ym), F.col("total"))).alias("_spend"),
+                 *[F.sum(F.when(in_month(m), F.col("total"))).alias(name) for name, m in (spend or {}).items()]))
     total = F.coalesce(F.col("_spend"), F.lit(0.0))
     return (g.filter(F.col("_seen") == 1)
              .select("customer_id", F.lit(ym).alias("year_month"), total.alias("total"),
-                     (total > F.lit(float(threshold))).cast("int").alias("label")))
+                     (total > F.lit(float(threshold))).cast("int").alias("label"), *(spend or {})))
 
 
 def label_months(log: DataFrame, months: list[str], threshold: float = TOTAL_THRES) -> DataFrame:

@@ -37,7 +37,7 @@ def _sign() -> Column:
 
 def order_id_expr() -> Column:
     k = F.col("l_orderkey").cast("string")
-    return F.when(F.col("l_returnflag") == "R", F.concat(F.lit("C"), k)).otherwise(k)
+    return F.when(F.col("_sign") < 0, F.concat(F.lit("C"), k)).otherwise(k)
 
 
 def product_id_expr() -> Column:
@@ -53,7 +53,7 @@ def transactions(spark: SparkSession, sf_dir: str, description: bool = True,
     """The transaction log (FIXTURES §2) as a lazy DataFrame."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag")
+        "l_extendedprice", _sign().cast("byte").alias("_sign"))  # what moves to the join is a number, not the flag's text
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate")
     df = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
@@ -65,7 +65,7 @@ def transactions(spark: SparkSession, sf_dir: str, description: bool = True,
         na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
         df = (df.join(cu, df.o_custkey == cu.c_custkey, "inner")
                 .join(na, F.col("c_nationkey") == na.n_nationkey, "inner"))
-    sgn = _sign()
+    sgn = F.col("_sign").cast("int")
     cols = [
         order_id_expr().alias("order_id"),
         product_id_expr().alias("product_id"),

@@ -49,3 +49,18 @@ def test_wide_rows_of_the_full_builder_are_not_written(spark, monkeypatch):
     # codes are those of the months among the rows, and no row lacks one
     got = sorted({r[0] for r in fs.frame.select("year_month-mode-mode").collect()})
     assert got == list(range(len(got)))
+
+
+def test_labels_and_scores_read_the_log_in_one_pass(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(E, "kept", lambda df, name, **options: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    E._bin_scores(spark, SF001)
+    assert plans[0].count("Relation [l_orderkey") == 1
+
+
+def test_spend_of_other_months_beside_the_label(spark):
+    from cartcast.operators.labels import label_month
+    from tests.fixtures import tiny_log
+
+    rows = {r.customer_id: (r.label, r.june, r.may) for r in label_month(tiny_log(spark), "2001-07", spend={"june": "2001-06", "may": "2001-05"}).collect()}
+    assert rows == {1: (0, None, 50.0), 2: (1, 20.0, None), 3: (0, None, None)}
