@@ -175,17 +175,32 @@ def _lists(values):
     return pa.ListArray.from_arrays(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32), pa.array(values.ravel()))
 
 
+def _down(feature, split, flat, rows, at, levels: int):
+    """The nodes of one model's tree to which rows at the nodes ``at`` come, ``levels`` further down at most; ``rows`` has the
+    places in ``flat`` where the rows' bins start."""
+    import numpy as np
+
+    for _ in range(levels):
+        f = feature.take(at)
+        inner = f >= 0
+        if not inner.any():
+            break
+        at = np.where(inner, 2 * at + 1 + (flat.take(rows + f) > split.take(at)), at)
+    return at
+
+
 def _nodes(tree, bins):
     """The node of each row in each model's tree, (rows, models)."""
     import numpy as np
 
-    k = np.arange(len(tree["feature"]))
-    at = np.zeros((len(bins), len(k)), np.int64)
-    rows = np.arange(len(bins))[:, None]
-    for _ in range(tree["feature"].shape[1].bit_length() - 1):
-        f = tree["feature"][k, at]
-        at = np.where(f >= 0, 2 * at + 1 + (bins[rows, f] > tree["split"][k, at]), at)
-    return at
+    n, dims = bins.shape
+    out, flat = np.empty((n, len(tree["feature"])), np.int64), bins.ravel()
+    depth = tree["feature"].shape[1].bit_length() - 1
+    for a in range(0, n, ROWS_AT_ONCE):
+        rows = np.arange(a, min(a + ROWS_AT_ONCE, n)) * dims
+        for k, (feature, split) in enumerate(zip(tree["feature"], tree["split"])):
+            out[a:a + len(rows), k] = _down(feature, split, flat, rows, np.zeros(len(rows), np.int64), depth)
+    return out
 
 
 def _leaf_values(tree, bins):
@@ -356,23 +371,32 @@ def _grown(splits, n_models: int, dims: int, live: list, number: int, p: BoostPa
     return tree
 
 
-def _add_rows(hist: dict, y, fold, h, bins, margin, tree: dict, picked: dict, level: int, number: int, models: list, p: BoostParams, columns: Sequence[int] | None = None) -> None:
-    """Adds the rows' gradients, second derivatives and numbers to ``hist``: by model (3, node x feature x bin).  ``margin`` has
-    the models ``columns`` (default: all)."""
+def _add_rows(hist: dict, y, fold, h, bins, margin, tree: dict, picked: dict, level: int, number: int, models: list, p: BoostParams) -> None:
+    """Adds the rows' gradients, second derivatives and numbers to ``hist``: by model (3, node x feature x bin)."""
     import numpy as np
 
-    first, nodes = 2**level - 1, 2**level
-    columns = list(range(len(models))) if columns is None else list(columns)
-    at = _nodes({c: v[columns] for c, v in tree.items()}, bins)
+    at = _nodes(tree, bins)
     for k, sums in hist.items():
-        j, n = columns.index(k), len(picked[k])
-        rows = np.flatnonzero((fold != models[k]) & (at[:, j] >= first) & _drawn(h, number, k, p.row_share, p.seed))
-        for a in range(0, len(rows), ROWS_AT_ONCE):
-            use = rows[a:a + ROWS_AT_ONCE]
-            g, second = derivatives(margin[use, j], y[use], p.objective)
-            cell = (((at[use, j] - first)[:, None] * n + np.arange(n)) * p.bins + bins[use][:, picked[k]]).ravel()
-            for i, weight in enumerate((g, second, None)):
-                sums[i] += np.bincount(cell, None if weight is None else np.repeat(weight, n), nodes * n * p.bins)
+        rows = np.flatnonzero((fold != models[k]) & _drawn(h, number, k, p.row_share, p.seed))
+        sums += _sums(at[rows, k], *derivatives(margin[rows, k], y[rows], p.objective), bins.T, rows, picked[k], level, p)
+
+
+def _sums(at, g, second, columns, rows, chosen, level: int, p: BoostParams):
+    """Sums (3, node x feature x bin) of the gradients ``g``, the second derivatives and the numbers of ``rows``, which are at the nodes
+    ``at``; ``columns`` has the bins of all rows by feature.  A feature at a time, so that the cells that are added to stay few."""
+    import numpy as np
+
+    first, nodes = 2**level - 1, 2**level
+    out = np.zeros((3, nodes, len(chosen), p.bins))
+    here = np.flatnonzero(at >= first)
+    for a in range(0, len(here), ROWS_AT_ONCE):
+        use = here[a:a + ROWS_AT_ONCE]
+        node, weights, row = (at[use] - first) * p.bins, (g[use], second[use], None), rows[use]
+        for j, f in enumerate(chosen):
+            cell = node + columns[f].take(row)
+            for i, weight in enumerate(weights):
+                out[i, :, j] += np.bincount(cell, weight, nodes * p.bins).reshape(nodes, p.bins)
+    return out.reshape(3, -1)
 
 
 def _candidates(hist, k: int, chosen, nodes: list, level: int, p: BoostParams) -> list:
@@ -428,12 +452,16 @@ def _grown_by_model(state: DataFrame, booster: Booster, live: list, count: int,
             for tree in grown_before:
                 margin += _leaf_values(tree, bins)
             held = fold == models[k]
+            learn, flat, columns = np.flatnonzero(~held), bins.ravel(), np.ascontiguousarray(bins.T)
             for t in range(count):
-
-                def splits(tree, grown, picked, level, number=len(before) + t):
-                    hist = {k: np.zeros((3, 2**level * len(picked[k]) * p.bins))}
-                    _add_rows(hist, y, fold, h, bins, margin, tree, picked, level, number, models, p, [k])
-                    return _candidates(hist[k], k, picked[k], grown[k], level, p)
+                # a tree's rows and their derivatives are the same at all its levels, and each level leads one step down
+                rows = learn[_drawn(h[learn], len(before) + t, k, p.row_share, p.seed)]
+                found, at = derivatives(margin[rows, 0], y[rows], p.objective), [np.zeros(len(rows), np.int64)]
+
+                def splits(tree, grown, picked, level, rows=rows, found=found, at=at):
+                    if level:
+                        at[0] = _down(tree["feature"][k], tree["split"][k], flat, rows * dims, at[0], 1)
+                    return _candidates(_sums(at[0], *found, columns, rows, picked[k], level, p), k, picked[k], grown[k], level, p)
 
                 tree = own(_grown(splits, len(models), dims, [k], len(before) + t, p))
                 margin += _leaf_values(tree, bins)

@@ -22,9 +22,10 @@ from cartcast.operators import boost
 from cartcast.operators.boost import Booster, BoostParams
 from cartcast.operators.metrics import roc_auc
 from cartcast.operators.split import stratified_folds
-from cartcast.session import kept
+from cartcast.session import cleaned, kept
 
 SEED = 42
+PARALLEL = 4    # models whose jobs are under way at a time
 
 
 def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
@@ -119,12 +120,14 @@ def multitask_scores(train: DataFrame, test: DataFrame, features: Sequence[str],
 
 
 def _each_target(train, test, features, targets, key, params, valid_frac, edges, prefix) -> DataFrame:
-    """A model a target (rows without it are left out), applied one after the other: no join."""
+    """A model a target (rows without it are left out), grown side by side and applied one after the other: no join."""
     edges = boost.fit_edges(train, features, params.bins) if edges is None else edges
     named = _validation(train, key, valid_frac)
     out, done = test.select(key, *[F.col(f"`{c}`") for c in features]), []
-    for t in targets:
-        b = boost.fit(named, features, t, "fold", key, [0], params, edges)
+    # no thread may find the setting as another has set it for a while, so it's on for all
+    with cleaned(train.sparkSession), ThreadPoolExecutor(max_workers=PARALLEL) as pool:
+        models = list(pool.map(lambda t: boost.fit(named, features, t, "fold", key, [0], params, edges), targets))
+    for t, b in zip(targets, models):
         out = b.scored(out, out.columns).withColumn(f"{prefix}{t}", F.get("p", F.lit(0))).drop("p")
         done.append(f"{prefix}{t}")
     return out.select(key, *done)

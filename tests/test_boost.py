@@ -152,3 +152,31 @@ def test_every_model_of_a_small_table_is_a_task(spark, monkeypatch):
     assert jobs == [[0, 1, 2]] and one.best == many.best
     for a, b in zip(one.trees, many.trees, strict=True):
         assert (a["feature"] == b["feature"]).all() and (a["split"] == b["split"]).all() and np.allclose(a["value"], b["value"], atol=1e-9)
+
+
+def test_targets_grow_side_by_side(spark, monkeypatch):
+    """Each target's model waits for the other's: one after the other they would never meet."""
+    import threading
+
+    rows = [(k, float(k % 10), int(k % 10 > 4), int(k % 3 == 0)) for k in range(300)]
+    df = spark.createDataFrame(rows, "customer_id long, a double, y int, z int")
+    meet, fit = threading.Barrier(2), BO.fit
+    monkeypatch.setattr(BO, "fit", lambda *a: meet.wait(60) is None or fit(*a))
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    out = MD.multitask_scores(df, df, ["a"], ["y", "z"], "customer_id", BO.BoostParams(trees=2), edges=BO.unit_edges(["a"], 8))
+    assert out.columns == ["customer_id", "p_y", "p_z", "p_mean"] and out.count() == 300
+    assert spark.conf.get(setting) == before
+
+
+def test_sums_a_feature_at_a_time():
+    rng = np.random.default_rng(5)
+    p, n = BO.BoostParams(bins=8), 20_000
+    bins, at = rng.integers(0, 8, (n, 3), dtype=np.uint8), rng.integers(1, 7, n)
+    g, h, rows = rng.normal(size=n), rng.random(n), np.arange(n)
+    got = BO._sums(at, g, h, bins.T, rows, np.array([0, 2]), 2, p).reshape(3, 4, 2, 8)
+    for node in range(4):
+        for j, f in enumerate((0, 2)):
+            for b in range(8):
+                here = (at == 3 + node) & (bins[:, f] == b)
+                assert np.allclose(got[:, node, j, b], [g[here].sum(), h[here].sum(), here.sum()])
