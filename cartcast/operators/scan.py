@@ -108,9 +108,12 @@ def _number(c: str) -> Column:
 
 
 def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
-                 num_partitions: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
+                 num_partitions: int | None = None, bounds_from: DataFrame | None = None, range_col: str | None = None) -> DataFrame:
     """Add the running columns of ``spec`` to ``df`` (see module doc).
 
+    ``range_col`` names a column that is added for the row's range: rising along the order of a key, and what the result is
+    dealt by together with the key, so that an aggregate by both and more moves no row.
+
     ``bounds_from`` is a cheaper frame with the same rows' key, order and spec columns, when
     ``df`` already carries expensive columns: bounds and carries come from it."""
     cols = [key, *order]
@@ -168,4 +171,4 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], spec: ScanSpec,
         out.append(F.when(~null_key, F.when(hit & (F.col("_at") == 1), carried(o)).otherwise(F.col(o))).alias(o))
     for o in match:
         out.append(F.when(~null_key, F.coalesce(F.col(o), carried(o))).alias(o))
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns], *out)
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], *out, *([F.col("_rid").alias(range_col)] if range_col else []))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartcast.functions.months import month_index, month_start, year_month, ym_index, ym_shift
@@ -292,27 +292,41 @@ CHUNK_ROWS = 1024
 
 
 def description_rollups(log: DataFrame, anchors: list[str], sep: str = ", ", order: list[str] | None = None) -> DataFrame:
-    """(customer_id, year_month, description): every description of a customer before each anchor joined in log order.
+    """(customer_id, year_month, description): every description of a customer before each anchor joined in log order."""
+    anchors = sorted(anchors)
+    chunks = _chunks(log, anchors, sep, order)
+    texts = F.explode(F.array(*[F.struct(F.lit(a).alias("year_month"), _upto(a, sep).alias("description")) for a in anchors]))
+    return chunks.select("customer_id", texts.alias("_t")).select("customer_id", "_t.*").where(F.col("description").isNotNull())
+
+
+def _upto(anchor: str, sep: str) -> Column:
+    """What the chunks ``_d`` before ``anchor`` say, null if there are none."""
+    earlier = F.filter("_d", lambda s: s["_mi"] < ym_index(anchor))
+    return F.when(F.size(earlier) > 0, F.array_join(F.transform(earlier, lambda s: s["d"]), sep))
+
+
+def _chunks(log: DataFrame, anchors: list[str], sep: str, order: list[str] | None) -> DataFrame:
+    """(customer_id, _d): a customer's descriptions before the last anchor, as an array of (month, ..., joined descriptions d) in log order.
 
     The result of one customer is as long as its history.  Rows are placed by the skew-safe scan, chunks of ``CHUNK_ROWS`` rows of a
-    month are joined first, spread over all tasks, and the last step puts together one string a chunk; all
+    month and range are joined where the scan has put them, and the last step puts together one string a chunk; all
     anchors share the pass, each cutting the list of chunks at its month.
     """
     keys = log_order(log, order)
     cut = log.filter((F.col("order_date") < month_start(max(anchors))) & F.col("description").isNotNull())
     cut = cut.select("customer_id", "description", *[c for c in keys if c not in ("customer_id", "description")], F.lit(1.0).alias("_one"))
     # written once: the scan's bounds, its carries and the rows themselves read it, and none repeats the log's joins
-    placed = ordered_scan(kept(cut, "descriptions"), "customer_id", keys, ScanSpec(cumsum={"_rn": "_one"}))
-    # rows without a customer have no place: one chunk a month and hash
-    place = F.coalesce(F.col("_rn"), F.lit(0.0)).cast("long")
-    row = F.struct(place.alias("p"), *[F.col(c).alias(f"o{k}") for k, c in enumerate(keys)], "description")
-    chunks = placed.groupBy("customer_id", month_index("order_date").alias("_mi"), F.floor(place / CHUNK_ROWS).alias("_chunk")).agg(F.array_sort(F.collect_list(row)).alias("_d"))
-    chunks = chunks.select("customer_id", F.struct("_mi", "_chunk", F.array_join(F.col("_d.description"), sep).alias("d")).alias("_s"))
-    joined = chunks.groupBy("customer_id").agg(F.array_sort(F.collect_list("_s")).alias("_d"))
-    upto = lambda a: F.array_join(F.transform(F.filter("_d", lambda s: s["_mi"] < ym_index(a)), lambda s: s["d"]), sep)
-    has = lambda a: F.exists("_d", lambda s: s["_mi"] < ym_index(a))
-    texts = F.explode(F.array(*[F.struct(F.lit(a).alias("year_month"), F.when(has(a), upto(a)).alias("description")) for a in sorted(anchors)]))
-    return joined.select("customer_id", texts.alias("_t")).select("customer_id", "_t.*").where(F.col("description").isNotNull())
+    cut = kept(cut, "descriptions")
+    known = F.col("customer_id").isNotNull()
+    placed = ordered_scan(cut.where(known), "customer_id", keys, ScanSpec(cumsum={"_rn": "_one"}), range_col="_range")
+    row = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(keys)], "description")
+    texts, month = F.array_join(F.array_sort(F.collect_list(row))["description"], sep).alias("d"), month_index("order_date").alias("_mi")
+    # ranges rise along the log's order, as chunks do
+    chunks = placed.groupBy("_range", "customer_id", month, F.floor(F.col("_rn").cast("long") / CHUNK_ROWS).alias("_chunk")).agg(texts)
+    # rows without a customer have no place: one chunk a month
+    others = cut.where(~known).groupBy("customer_id", month).agg(texts).select("customer_id", F.struct("_mi", F.lit(0).cast("long").alias("_chunk"), F.lit(0).alias("_range"), "d").alias("_s"))
+    chunks = chunks.select("customer_id", F.struct("_mi", "_chunk", "_range", "d").alias("_s")).unionByName(others)
+    return chunks.groupBy("customer_id").agg(F.array_sort(F.collect_list("_s")).alias("_d"))
 
 
 def customer_descriptions(log: DataFrame, ym: str, sep: str = ", ", order: list[str] | None = None) -> DataFrame:
@@ -326,4 +340,8 @@ def features_with_text(fs: FeatureSet, log: DataFrame, anchor: str | None = None
     (before ``anchor``, default each row's own month)."""
     if anchor is not None:
         return fs.frame.join(customer_descriptions(log, anchor, order=order), "customer_id", "left")
-    return fs.frame.join(description_rollups(log, [fs.train_month, fs.test_month], order=order), KEYS, "left")
+    # a customer's chunks stay where they were put together; each of its rows takes those before its own month
+    anchors, sep = sorted([fs.train_month, fs.test_month]), ", "
+    rows = fs.frame.join(_chunks(log, anchors, sep, order), "customer_id", "left")
+    own = F.coalesce(*[F.when(F.col("year_month") == a, _upto(a, sep)) for a in anchors])
+    return rows.select(*[F.col(f"`{c}`") for c in KEYS], *[F.col(f"`{c}`") for c in fs.frame.columns if c not in KEYS], own.alias("description"))

@@ -84,3 +84,47 @@ def test_windows_read_the_log_once(spark):
     p = trend_features(log, ["2001-06", "2001-07"])._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("lineitem") + p.count("l_orderkey") > 0 and p.count("Join") == 1
     assert "Generate explode" in p and p.index("Generate explode") < p.index("Join")
+
+
+def test_the_sign_moves_to_the_join_not_the_flag(spark):
+    log = transactions(spark, SF001, description=False, country=False)
+    top = log._jdf.queryExecution().optimizedPlan().toString().split("\n")[0]
+    assert "_sign" in top and "l_returnflag" not in top
+
+
+def test_descriptions_are_joined_where_the_scan_has_put_them(spark):
+    """Rows are dealt by range and customer once; no second exchange by customer, month and chunk."""
+    import re
+
+    p = _plan(FE.description_rollups(transactions(spark, SF001), ["2001-06", "2001-07"]))
+    assert not re.search(r"hashpartitioning\(customer_id#\w+, _groupingexpression#\w+, _groupingexpression", p)
+    assert re.search(r"hashpartitioning\(_rid#\w+, customer_id", p)
+
+
+def test_texts_of_a_customer_are_not_repeated_before_the_join(spark):
+    from tests.fixtures import tiny_log
+
+    fs = FE.fe_baseline(tiny_log(spark), "2001-07")
+    p = FE.features_with_text(fs, tiny_log(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "year_month, 2001-06, description" not in p and "Generate explode" not in p.split("Join")[-1]
+
+
+def test_rollups_of_a_cut_customer_and_of_none(spark, monkeypatch):
+    """A customer whose history is cut into ranges and chunks, others, and rows without a customer: every description once, in log order."""
+    import datetime as dt
+
+    from tests.fixtures import LOG_SCHEMA
+
+    monkeypatch.setattr(FE, "CHUNK_ROWS", 7)
+    rows, start = [], dt.datetime(2001, 1, 1)
+    for i in range(1500):
+        who = 1 if i % 5 < 3 else None if i % 5 == 3 else 2 + i % 11
+        rows.append(("1", "2", f"d{i}" if i % 13 else None, 1.0, start + dt.timedelta(days=i // 8, hours=i % 3), 1.0, who, "X", 1.0, i, i, 1, 1, 1.0))
+    log = spark.createDataFrame(rows, LOG_SCHEMA).repartition(5)
+    got = {(r.customer_id, r.year_month): r.description for r in FE.description_rollups(log, ["2001-07", "2001-04"]).collect()}
+    want = {}
+    for ym, end in (("2001-04", dt.datetime(2001, 4, 1)), ("2001-07", dt.datetime(2001, 7, 1))):
+        for r in sorted(rows, key=lambda r: (r[4], r[9])):
+            if r[4] < end and r[2] is not None:
+                want.setdefault((r[6], ym), []).append(r[2])
+    assert got == {k: ", ".join(v) for k, v in want.items()}
