@@ -76,6 +76,20 @@ def _long(raw):
     return (np.frombuffer(raw, np.uint16).astype(np.uint32) << np.uint32(16)).view(np.float32)
 
 
+def _distinct(h):
+    """Distinct values in order, the place of each entry's value and how often each occurs: numpy's ``unique``, but only the
+    distinct values are sorted."""
+    import numpy as np
+    import pyarrow as pa
+
+    coded = pa.array(h).dictionary_encode()
+    places, values = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    order = np.argsort(values)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return values[order], rank[places], np.bincount(places, minlength=len(order))[order]
+
+
 def _blocks(texts: DataFrame) -> DataFrame:
     """(block, train, doc_id, held_out, tokens, words, counts, ranks): a row for each text with its tokens, places
     in the words of its block, the end last; and a row for each block (tokens null) with its
@@ -93,7 +107,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
         size = {True: 0, False: 0}
 
         def rows(train):
-            words, at, c = np.unique(np.concatenate([x[1] for x in held[train]]), return_inverse=True, return_counts=True)
+            words, at, c = _distinct(np.concatenate([x[1] for x in held[train]]))
             order = np.argsort(-c, kind="stable")
             words, c, rank = words[order], c[order], np.argsort(order).astype(np.uint32)
             lengths = np.concatenate([x[2] for x in held[train]])
@@ -101,7 +115,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
             held[train].clear()
             size[train] = 0
             stops = np.cumsum(lengths)
-            t = np.insert(rank[at.ravel()] + np.uint32(1), stops, np.uint32(END))
+            t = np.insert(rank[at] + np.uint32(1), stops, np.uint32(END))
             ends = stops + np.arange(1, len(stops) + 1)
             out = [_planes(t[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             n, none = len(out), [None] * len(out)

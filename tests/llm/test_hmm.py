@@ -119,3 +119,11 @@ def test_steps_lie_side_by_side():
         assert np.array_equal(hmm.log_likelihoods(seqs, p), want)
     finally:
         hmm.EMISSIONS = before
+
+
+def test_distinct_words_without_sorting_all():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5000):
+        h = rng.integers(0, 2**64, 700, dtype=np.uint64)[rng.integers(0, 700, n)]
+        want = np.unique(h, return_inverse=True, return_counts=True)
+        assert all(np.array_equal(a, b.ravel()) for a, b in zip(hmm._distinct(h), want, strict=True))
