@@ -15,10 +15,10 @@ the set is empty and linked with nothing).  Two documents link when
    documents share sort last and rarely become keys.
 3. Only keys that several classes have go on, and of keys with the very same classes one.
    First, each key's classes are
-   compared with the key's first class (a star: as many pairs as rows), exactly, on sorted
+   compared with one class of the key (a star: as many pairs as rows), exactly, on sorted
    arrays.  Linked classes form components; keys whose classes are by then all in one
-   component are done, as no further link could change a component.  Groups of
-   copies of any size end here, in linear work.
+   component are done, as no further link could change a component.  The other keys take
+   another class, ``STARS`` times in all.  Groups of copies of any size mostly end here, in linear work.
 4. The other keys become tiles (key, size band): a class of band ``b`` (bands grow by
    ``1/t``) meets its own band and the next larger one in tile ``(key, b)``, since linked sets
    differ by one band at most.  Large tiles are cut into blocks that meet
@@ -27,8 +27,9 @@ the set is empty and linked with nothing).  Two documents link when
    in A's bitmap but not in B's, at least ``x`` shingles of A are not in B, so
    ``|A and B| <= min(|A| - x, |B| - y)``.  Bitmaps are as wide as the band needs (folded by halves).
    Only pairs that pass are intersected exactly: in a first round each class's most
-   promising pair of a tile, in a second, in the tiles that had any, all that still join two components.
-5. Components are found by minimum labels over the links, in written rounds.
+   promising pair, one a class, in a second, in the keys that had any, all that still join two components.
+5. Components are found by minimum labels over the links, in written rounds; later links join
+   whole components, each two of them once, so links inside a component don't take part any more.
 
 No link between different texts is lost; no cap on candidates.  Arrays of
 shingles are not stored: they are made again from the text where needed.
@@ -53,6 +54,8 @@ from cartcast.llm.words import mix, word_hashes
 COUNT_BITS = 20
 #: Rows of a tile that are compared at a time; larger tiles are cut into such blocks.
 BLOCK = 512
+#: Classes of a key that all its others are compared with before its tiles are made.
+STARS = 2
 _WIDTHS = [64 << k for k in range(10)]  # bitmap widths, 64 to 32768 bits
 
 
@@ -368,9 +371,26 @@ def components(links: DataFrame) -> DataFrame:
         labels = new
 
 
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` (id, component), as :func:`components` gives it, after further ``links`` (a, b): of the links between
+    the same two components, one is followed."""
+    was = [parts.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}")) for x in ("a", "b")]
+    ends = links.join(was[0], "a", "left").join(was[1], "b", "left").select(F.coalesce("of_a", "a").alias("x"), F.coalesce("of_b", "b").alias("y"))
+    pairs = kept(ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+    if pairs.isEmpty():
+        dropped(pairs)
+        return parts
+    up = components(pairs)
+    dropped(pairs)
+    # a component's label is one of its ids, so only ids without a component are new
+    everyone = parts.select("id", "component").union(up.select("id", F.col("id").alias("component"))).distinct()
+    further = up.select(F.col("id").alias("component"), F.col("component").alias("further"))
+    return kept(everyone.join(further, "component", "left").select("id", F.coalesce("further", "component").alias("component")), "jaccard-parts")
+
+
 def _groups(raw: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(key, node, n, first) of keys that several classes have; of keys with the very same classes,
-    one.  ``first`` is the key's smallest class.  The keys are exchanged once."""
+    """(key, node, n) of keys that several classes have; of keys with the very same classes,
+    one.  The keys are exchanged once."""
     import pyarrow as pa
 
     by_key = Window.partitionBy("key")
@@ -386,14 +406,27 @@ def _groups(raw: DataFrame, nodes: DataFrame) -> DataFrame:
             yield rb.filter(pa.array(_in_filter(wanted.value, rb.column(0).to_numpy())))
 
     rows = named.select("key", "node").mapInArrow(run, "key long, node long").join(one, "key", "left_semi")
-    out = kept(rows.join(nodes.select("node", "n"), "node").withColumn("first", F.min("node").over(by_key)), "jaccard-groups")
+    out = kept(rows.join(nodes.select("node", "n"), "node"), "jaccard-groups")
     dropped(named, one)
     return out
 
 
+def _labelled(keys: DataFrame, part_of: DataFrame) -> DataFrame:
+    """``keys`` with the component of each class; a class without one is its own."""
+    return keys.join(part_of.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _star(keys: DataFrame, part_of: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of one class of each key, another every ``turn``, and those of the key that aren't in its component:
+    fewer pairs than rows.  The order is one for all keys, so that keys with the same classes mostly give the same pairs."""
+    drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), F.col("node"), F.col("component"))
+    rows = _labelled(keys, part_of).withColumn("first", F.min(drawn).over(Window.partitionBy("key"))).where("component <> first.component")
+    return kept(rows.select(F.least("first.node", "node").alias("a"), F.greatest("first.node", "node").alias("b")).distinct(), "jaccard-star")
+
+
 def _tiles(keys: DataFrame, part_of: DataFrame, percent: int) -> DataFrame:
     """Rows (key, tile, i, j, node, n, component, own, block) of the tiles that hold several components, in blocks."""
-    labelled = kept(keys.join(part_of.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node")), "jaccard-labelled")
+    labelled = kept(_labelled(keys, part_of), "jaccard-labelled")
     open_keys = (labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .where("low < high").select("key"))
     band = F.floor(F.log(F.col("n")) / math.log(100 / percent) + F.lit(1e-9)).cast("int")
@@ -425,11 +458,11 @@ def _folded(maps: list, bits: int):
 
 
 def _pairs_of(group, tile, i, j, node, n, comp, own, block, maps, percent: int, best_only: bool):
-    """Pairs of rows that may link, from rows sorted by group.  All groups are compared at once: at
+    """Pairs of rows that may link, and how well, from rows sorted by group.  All groups are compared at once: at
     step d, each row meets the row d places on, if that is in its group."""
     import numpy as np
 
-    out_a, out_b = [], []
+    out_a, out_b, out_s = [], [], []
     rows = np.arange(len(node))
     end = np.searchsorted(group, group, side="right")
     best, partner = np.zeros(len(node)), np.full(len(node), -1)
@@ -450,24 +483,25 @@ def _pairs_of(group, tile, i, j, node, n, comp, own, block, maps, percent: int,
         most = np.minimum(n[x] - only_x, n[y] - only_y)
         ok = 100 * most >= percent * (n[x] + n[y] - most)
         x, y, most = x[ok], y[ok], most[ok]
+        score = most / (n[x] + n[y] - most)
         if best_only:
-            score = most / (n[x] + n[y] - most)
             for p, q in ((x, y), (y, x)):
                 up = score > best[p]
                 best[p[up]], partner[p[up]] = score[up], q[up]
         else:
             out_a.append(x)
             out_b.append(y)
+            out_s.append(score)
     if best_only:
         at = np.flatnonzero(partner >= 0)
-        return at, partner[at]
+        return at, partner[at], best[at]
     none = np.zeros(0, np.int64)
-    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
+    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b]), np.concatenate([np.zeros(0), *out_s])
 
 
 def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """(key, a, b): pairs of different components that size and bitmaps let pass; with
-    ``best_only``, each row's most promising one in its tile.  A key without a pair needs no further look."""
+    """(key, a, b, score): pairs of different components that size and bitmaps let pass; with
+    ``best_only``, each class's (``a``) most promising one in its tile.  A key without a pair needs no further look."""
     import pyarrow as pa
 
     rows = tiles.join(bitmaps.select("node", "data"), "node").select("key", "tile", "i", "j", "node", "n", "component", "own", "block", "data")
@@ -482,16 +516,15 @@ def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, best_only: b
             new[1:] |= c[1:] != c[:-1]
         group, maps = np.cumsum(new), table.column(9).to_pylist()
         width = np.array([_width(t, percent) for t in range(tile.max() + 1)])[tile]
-        a, b, found = [], [], []
+        a, b, found, score = [], [], [], []
         for bits in np.unique(width).tolist():
             at = np.flatnonzero(width == bits)
-            x, y = _pairs_of(*(c[at] for c in (group, tile, i, j, node, n, comp, own, block)), _folded([maps[k] for k in at], bits), percent, best_only)
+            x, y, s = _pairs_of(*(c[at] for c in (group, tile, i, j, node, n, comp, own, block)), _folded([maps[k] for k in at], bits), percent, best_only)
             found.append(key[at][x])
             a.append(node[at][x])
             b.append(node[at][y])
-        found, a, b = np.concatenate(found), np.concatenate(a), np.concatenate(b)
-        rows = np.unique(np.stack([found, np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 3), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)], names=["key", "a", "b"])
+            score.append(s)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, a, b, score)], names=["key", "a", "b", "score"])
 
     def run(batches):
         import numpy as np
@@ -512,11 +545,18 @@ def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, best_only: b
         if held is not None and held.num_rows:
             yield emit(held)
 
-    out = kept(rows.mapInArrow(run, "key long, a long, b long"), "jaccard-pairs")
+    out = kept(rows.mapInArrow(run, "key long, a long, b long, score double"), "jaccard-pairs")
     dropped(tiles)
     return out
 
 
+def _to_compare(found: DataFrame, best_only: bool) -> DataFrame:
+    """The pairs (a, b) of :func:`_candidates`, each once; with ``best_only`` the most promising one of each class over all tiles."""
+    if best_only:
+        found = found.groupBy("a").agg(F.max(F.struct("score", "b")).alias("best")).select("a", "best.b")
+    return kept(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-more")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
     """(``id_col``, n_shingles, component_id) of each row of ``docs``."""
     if id_col.lower() in ("n_shingles", "component_id"):
@@ -532,20 +572,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", col: str = "text",
     live = _live(nodes, keys.select("node"))
     bitmaps = _bitmaps(live, texts, n, percent)
     dropped(live)
-    near = kept(keys.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "jaccard-star")
-    star = _promising(near, bitmaps, percent)
-    dropped(near)
     # rows of a repeated id can be in several classes, which are linked through the id
     twice = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("id", "a")
-    links = named.join(twice, "id").where("node <> a").select("a", F.col("node").alias("b"))
-    links = kept(_linked(star, nodes, texts, n, percent).union(links), "jaccard-links")
-    parts = components(links)
+    parts = components(named.join(twice, "id").where("node <> a").select("a", F.col("node").alias("b")))
+    for turn in range(STARS):
+        near = _star(keys, parts, turn)
+        parts = _joined(parts, _linked(_promising(near, bitmaps, percent), nodes, texts, n, percent))
+        dropped(near)
     for best_only in (True, False):
-        found = _candidates(_tiles(keys.select("key", "node", "n"), parts, percent), bitmaps, percent, best_only)
+        found = _candidates(_tiles(keys, parts, percent), bitmaps, percent, best_only)
         keys = keys.join(found.select("key").distinct(), "key", "left_semi")
-        more = kept(found.select("a", "b").distinct(), "jaccard-more")
-        links = links.union(_linked(more, nodes, texts, n, percent))
-        parts = components(links)
+        parts = _joined(parts, _linked(_to_compare(found, best_only), nodes, texts, n, percent))
     labelled = nodes.join(parts.withColumnRenamed("id", "node"), "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     lowest = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
     named_parts = labelled.join(lowest, "component").select("node", "component_id")

@@ -68,6 +68,34 @@ def test_blocks_of_a_tile(spark, monkeypatch):
     test_against_brute_force(spark)
 
 
+def test_links_followed_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    rnd = random.Random(5)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for k in range(500):  # near copies, of which many pairs link and many don't
+        t = [*base]
+        for _ in range(min(12, int(rnd.expovariate(1 / 3)))):
+            t[rnd.randrange(150)] = f"x{rnd.randrange(10**6)}"
+        rows.append((k, " ".join(t)))
+    followed, compared, components, kept = [], [], jaccard.components, jaccard.kept
+
+    def spied(links):
+        followed.append(links.count())
+        return components(links)
+
+    def written(df, name, **options):
+        out = kept(df, name, **options)
+        if name == "jaccard-more":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "components", spied)
+    monkeypatch.setattr(jaccard, "kept", written)
+    assert _rows(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    classes = len({t for _, t in rows})
+    assert sum(followed) <= 2 * classes and compared[0] <= classes, (followed, compared, classes)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.near_duplicates(df).collect() == []
