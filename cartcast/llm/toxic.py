@@ -32,6 +32,7 @@ scores are 0; repeated rows get equal scores; extra columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import compress
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,30 +53,37 @@ ROUNDS = 4
 LANDMARKS, OTHER_LANDMARKS = 400, 100
 RANK = 256          # coordinates kept, of the largest eigenvalues
 STARTERS = 3000     # hash sample of clean units for the first guess
-_SEEN = 150_000     # units that a task remembers as far from toxic
+_SEEN = 150_000     # units that a task remembers
 _OFFSETS = [(a, b) for a in range(GAP + 1) for b in range(GAP + 1 - a)]
 
 
-def units(text: str) -> set[str]:
+def _words(text: str) -> set[str]:
+    """The distinct words of a text as they stand, and its runs of single letters joined."""
     words = text.lower().split()
-    out = set()
-    run: list[str] = []
-    for w in words:
-        if len(w) == 1:
-            run.append(w)
-            continue
-        if len(run) > 2:
-            _add("".join(run), out)
-        run = []
-        out.add(w)
-    if len(run) > 2:
-        _add("".join(run), out)
-    clean = set()
-    for w in out:
-        _add(w.strip(PUNCTUATION), clean)
+    single = bytes(map((1).__eq__, map(len, words)))
+    out = set(words).difference(compress(words, single))
+    at = single.find(b"\1\1\1")
+    while at >= 0:
+        end = single.find(b"\0", at)
+        end = len(single) if end < 0 else end
+        _add("".join(words[at:end]), out)
+        at = single.find(b"\1\1\1", end)
+    return out
+
+
+def _units_of(words) -> set[str]:
+    clean = {w.strip(PUNCTUATION) for w in words}
+    clean.discard("")
+    for w in [w for w in clean if len(w) > WIDTH - 2]:
+        clean.remove(w)
+        _add(w, clean)
     return clean
 
 
+def units(text: str) -> set[str]:
+    return _units_of(_words(text))
+
+
 def _add(w: str, out: set[str]) -> None:
     most = WIDTH - 2
     if len(w) <= most:
@@ -163,20 +171,43 @@ class Folded:
         a, b, c = (self.letter[((codes >> np.uint64(s)) & mask).astype(np.int32)] for s in (42, 21, 0))
         return self.table[(a * self.n + b) * self.n + c]
 
+    def _near(self, batch: list[str]):
+        """Places of the units whose value can be above the floor: their sums in columns as short as the units are, over a
+        norm that is at most theirs."""
+        import numpy as np
+
+        sizes = np.fromiter(map(len, batch), np.int64, len(batch))
+        if self.sparse or self.bias >= self.floor:
+            return np.flatnonzero(sizes > 0)
+        order, near = np.argsort(sizes, kind="stable"), []
+        for k in range(0, len(batch), 4096):
+            at = order[k:k + 4096]
+            width = min(int(sizes[at[-1]]) + 2, WIDTH)
+            c = np.array(["\x02" + batch[i] + "\x03" for i in at], dtype=f"U{width}").view(np.uint32).reshape(len(at), width)
+            place = self.letter[c]
+            first, second = place * (self.n * self.n), place * self.n
+            total, square = np.zeros(len(at)), np.zeros(len(at))
+            long = np.minimum(sizes[at] + 2, WIDTH)
+            for a, b in _OFFSETS:
+                span = 3 + a + b
+                if span <= width:
+                    end = width - span + 1
+                    total += DECAY ** span * self.table[first[:, :end] + second[:, 1 + a:end + 1 + a] + place[:, span - 1:]].sum(axis=1)
+                    square += DECAY ** (2 * span) * np.maximum(long - span + 1, 0)  # equal codes only make it longer
+            near.append(at[total > (self.floor - self.bias) * np.sqrt(square) - 1e-6])
+        return np.sort(np.concatenate(near)) if near else np.zeros(0, np.int64)
+
     def margins(self, batch: list[str]):
         """Value of each unit, not below the floor."""
         import numpy as np
 
         out = np.full(len(batch), self.floor)
-        for k in range(0, len(batch), 2048):
-            codes, weights = _features(batch[k:k + 2048])
-            some = self.weight_of(codes) * weights
-            total = some.sum(axis=1)
-            least = np.sqrt((np.where(codes > 0, weights, 0.0) ** 2).sum(axis=1))  # equal codes only make it longer
-            near = np.flatnonzero(total > (self.floor - self.bias) * least) if self.bias < self.floor else np.arange(len(codes))
-            near = near[least[near] > 0]
-            if len(near):
-                out[k + near] = np.maximum(self.floor, total[near] / _norms(codes[near], weights) + self.bias)
+        near = self._near(batch)
+        for k in range(0, len(near), 2048):
+            at = near[k:k + 2048]
+            codes, weights = _features([batch[i] for i in at])
+            total, norms = (self.weight_of(codes) * weights).sum(axis=1), _norms(codes, weights)
+            out[at] = np.maximum(self.floor, total / np.where(norms > 0, norms, 1.0) + self.bias)
         return out
 
 
@@ -260,26 +291,56 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, self.slope * margin + self.shift))))
 
 
-def _top_units(texts, folded: Folded, seen: set[str], near: dict[str, float]):
+class Memory:
+    """What a task remembers of units: those that are far from toxic and the values of the others.  Units that
+    can't stand as words, as marks would be taken off their ends, are apart."""
+
+    def __init__(self):
+        self.far: set[str] = set()
+        self.near: dict[str, float] = {}
+        self.cut: dict[str, float] = {}
+
+    def learn(self, words: set[str], folded: Folded) -> None:
+        new = list(_units_of(words - self.far - self.near.keys()) - self.far - self.near.keys() - self.cut.keys())
+        for u, f in zip(new, folded.margins(new).tolist(), strict=True):
+            if u.strip(PUNCTUATION) != u:
+                self.cut[u] = f
+            elif f > folded.floor:
+                self.near[u] = f
+            else:
+                self.far.add(u)
+
+    def hits(self, words: set[str], folded: Folded) -> set[tuple[float, str]]:
+        """(value, unit) of the units above the floor."""
+        own = self.near.keys() & words
+        found = {(self.near[u], u) for u in own}
+        for u in _units_of(words - self.far - own):
+            f = self.near.get(u)
+            if f is None:
+                f = self.cut.get(u, folded.floor)
+            if f > folded.floor:
+                found.add((f, u))
+        return found
+
+    def bounded(self) -> None:
+        if len(self.far) + len(self.near) + len(self.cut) > _SEEN:
+            for some in (self.far, self.near, self.cut):
+                some.clear()
+
+
+def _top_units(texts, folded: Folded, memory: Memory):
     """The (value, unit) of each text's ``TOP`` units above the floor, highest first; ties by the unit."""
     import heapq
 
-    each = [units(t or "") for t in texts]
-    new = list(set().union(*each) - seen - near.keys()) if each else []
-    for u, f in zip(new, folded.margins(new).tolist(), strict=True):
-        if f > folded.floor:
-            near[u] = f
-        else:
-            seen.add(u)
-    out = [heapq.nlargest(TOP, ((near[u], u) for u in us & near.keys())) for us in each]
-    if len(seen) + len(near) > _SEEN:
-        seen.clear()
-        near.clear()
+    each = [_words(t or "") for t in texts]
+    memory.learn(set().union(*each), folded)
+    out = [heapq.nlargest(TOP, memory.hits(ws, folded)) for ws in each]
+    memory.bounded()
     return out
 
 
-def _document_margins(texts, folded: Folded, seen: set[str], near: dict[str, float]):
-    return [sum(f for f, _ in top) for top in _top_units(texts, folded, seen, near)]
+def _document_margins(texts, folded: Folded, memory: Memory):
+    return [sum(f for f, _ in top) for top in _top_units(texts, folded, memory)]
 
 
 def margins(df: DataFrame, folded: Folded, col: str, keep: list[str]) -> DataFrame:
@@ -293,11 +354,11 @@ def margins(df: DataFrame, folded: Folded, col: str, keep: list[str]) -> DataFra
     schema = src.drop("unit_text").withColumn("margin", F.lit(0.0)).schema
 
     def run(batches):
-        seen, near = set(), {}
+        memory = Memory()
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 rb = whole.slice(k, 256)
-                got = _document_margins(rb.column(len(keep)).to_pylist(), sent.value, seen, near)
+                got = _document_margins(rb.column(len(keep)).to_pylist(), sent.value, memory)
                 yield pa.RecordBatch.from_arrays([*rb.columns[:-1], pa.array(got, pa.float64())], names=[*keep, "margin"])
 
     return src.mapInArrow(run, schema)
@@ -346,9 +407,9 @@ def _sentence_rows(sample: DataFrame, coordinates: Coordinates, folded: Folded):
         import pyarrow as pa
 
         where, f = sent.value
-        seen, near = set(), {}
+        memory = Memory()
         for rb in batches:
-            tops = _top_units(rb.column(1).to_pylist(), f, seen, near)
+            tops = _top_units(rb.column(1).to_pylist(), f, memory)
             used = sorted({u for top in tops for _, u in top})
             place = {u: k for k, u in enumerate(used)}
             z = where.of(used)

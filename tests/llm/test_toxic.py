@@ -37,6 +37,36 @@ def test_kernel_and_folded_function():
     assert np.allclose(folded.margins(words), want)
 
 
+def _folded(floor):
+    g = {}
+    for w, d in zip([3.0, 2.0, -1.0], toxic._vectors(["idiot", "moron", "lane"])):
+        for u, t in d.items():
+            g[u] = g.get(u, 0) + w * t
+    return toxic.Folded(g, 0.0, floor)
+
+
+def test_units_far_from_toxic_cost_short_columns_only(monkeypatch):
+    rnd = random.Random(2)
+    words = ["".join(rnd.choices("abcdefghimnorté", k=rnd.randint(1, 30))) for _ in range(300)] + ["idiot", "idi", "mor.on", "moron" * 6, "id", "lane"]
+    exact = np.maximum(0.3, _folded(-1000.0).margins(words))  # no unit is that far
+    full, features = [], toxic._features
+    monkeypatch.setattr(toxic, "_features", lambda batch: full.extend(batch) or features(batch))
+    assert np.array_equal(_folded(0.3).margins(words), exact) and (exact > 0.3).sum() >= 4
+    assert len(full) < len(words) / 2 and {w for w, v in zip(words, exact) if v > 0.3} <= set(full)
+
+
+def test_remembered_units_are_those_of_each_text():
+    folded, memory = _folded(0.3), toxic.Memory()
+    long = "idiot" + "x" * 24 + "-" + "moron" * 5  # its first part ends in a mark, which no word keeps
+    texts = [long, long[:30], "idiot", "IDIOT! idiot", "«moron»,", "i d i o t", "lane a idi", "", None, "-", "idiot" * 9, long[:30] + " a!"]
+    assert any(u.endswith("-") for u in toxic.units(long))
+    for _ in range(2):
+        for t in texts:
+            us = sorted(toxic.units(t or ""))
+            want = sorted(((f, u) for f, u in zip(folded.margins(us).tolist(), us) if f > 0.3), reverse=True)[:toxic.TOP]
+            assert toxic._top_units([t], folded, memory) == [want]
+
+
 def test_units():
     assert toxic.units("You, IDIOT! i d i o t a b") == {"you", "idiot", "idiotab"}
     assert toxic.units("i d i o t you") == {"idiot", "you"} and toxic.units(" \n") == set()
