@@ -91,12 +91,13 @@ def _distinct(h):
 
 
 def _blocks(texts: DataFrame) -> DataFrame:
-    """(block, train, doc_id, held_out, tokens, words, counts, ranks): a row for each text with its tokens, places
+    """(turn, block, train, doc_id, held_out, tokens, words, counts, ranks): a row for each text with its tokens, places
     in the words of its block, the end last; and a row for each block (tokens null) with its
-    distinct words, the commonest first, their counts, and the places of the words by their hashes."""
+    distinct words, the commonest first, their counts, and the places of the words by their hashes.  All blocks of
+    a file have the same ``turn``, the pass they are in, so that a pass leaves out the other files."""
     import pyarrow as pa
 
-    names = ["block", "train", "doc_id", "held_out", "tokens", "words", "counts", "ranks"]
+    names = ["turn", "block", "train", "doc_id", "held_out", "tokens", "words", "counts", "ranks"]
 
     def run(batches):
         import numpy as np
@@ -120,7 +121,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
             out = [_planes(t[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             n, none = len(out), [None] * len(out)
             return pa.RecordBatch.from_arrays([
-                pa.array([first + made] * (n + 1), pa.int64()), pa.array([train] * (n + 1)), pa.concat_arrays([ids, pa.nulls(1, pa.int64())]),
+                pa.array([(first >> 32) % PASSES] * (n + 1), pa.int32()), pa.array([first + made] * (n + 1), pa.int64()), pa.array([train] * (n + 1)), pa.concat_arrays([ids, pa.nulls(1, pa.int64())]),
                 pa.array([not train] * (n + 1)), pa.array([*out, None], pa.binary()),
                 pa.array([*none, words.tobytes()], pa.binary()), pa.array([*none, c.astype(np.int64).tobytes()], pa.binary()),
                 pa.array([*none, np.argsort(words.view(np.uint64)).astype(np.uint32).tobytes()], pa.binary())], names=names)
@@ -145,7 +146,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
                 yield rows(train)
                 made += 1
 
-    return texts.mapInArrow(run, "block long, train boolean, doc_id long, held_out boolean, tokens binary, words binary, counts binary, ranks binary")
+    return texts.mapInArrow(run, "turn int, block long, train boolean, doc_id long, held_out boolean, tokens binary, words binary, counts binary, ranks binary")
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
@@ -272,8 +273,10 @@ def _block_model(model, ranks, answers, short: bool):
     at = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_buffer(), np.int32) for x in answers.column("at"))])
     read = _long if short else lambda raw: np.frombuffer(raw, np.float32)
     e = np.concatenate([np.zeros((0, len(sums)), np.float32), *(read(x.as_buffer()).reshape(-1, len(sums)) for x in answers.column("emit"))])
-    emit = np.empty((len(order) + 1, len(sums)))
-    emit[END], emit[1 + order] = end / sums, np.where((at < 0)[:, None], unknown, e) / sums
+    e = e / sums
+    e[at < 0] = unknown / sums
+    emit = np.empty((len(order) + 1, len(sums)), np.float32)
+    emit[END], emit[1 + order] = end / sums, e
     return Parameters(start, move, emit).packed(), order, answers
 
 
@@ -344,11 +347,11 @@ def log_likelihoods(sequences, p: Parameters):
 
     order, tokens, running, starts = _side_by_side(sequences)
     total = np.zeros(len(order))
-    turn = np.ascontiguousarray(p.move.T)
+    turn, of_state = np.ascontiguousarray(p.move.T), np.ascontiguousarray(p.emit.T)
     a = None
     for first, stop in _steps(starts, EMISSIONS):
         base = starts[first]
-        emit = np.ascontiguousarray(p.emit[tokens[base:starts[stop]]].T)
+        emit = of_state.take(tokens[base:starts[stop]], axis=1)
         scale = np.empty(emit.shape[1], emit.dtype)
         for t in range(first, stop):
             n, low = running[t], starts[t] - base
@@ -374,7 +377,7 @@ def expected_counts(windows, later, p: Parameters):
     states, classes = p.move.shape[0], p.emit.shape[0]
     kind = np.asarray(later, int)[order]
     turn = np.ascontiguousarray(p.move.T)
-    emit = np.ascontiguousarray(p.emit[tokens].T)
+    emit = np.ascontiguousarray(p.emit.T).take(tokens, axis=1)  # state by state: a state's emissions stay in the cache
     alpha = np.empty((states, len(tokens)), np.float32)
     scale = np.empty(len(tokens), np.float32)
     a = None
@@ -488,7 +491,7 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, frequent
         return spark.read.schema(df.schema).parquet(f"{place}-{k}")
 
     def of_pass(df, g):
-        return df.where(F.pmod(F.xxhash64("block"), F.lit(PASSES)) == g)
+        return df.where(F.col("turn") == g) if "turn" in df.columns else df.where(F.shiftright("block", 32) % PASSES == g)
 
     def summed(df):
         rows = [r["sums"] for r in df.select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).orderBy("k").agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias("sums")).collect()]

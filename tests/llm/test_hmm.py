@@ -127,3 +127,10 @@ def test_distinct_words_without_sorting_all():
         h = rng.integers(0, 2**64, 700, dtype=np.uint64)[rng.integers(0, 700, n)]
         want = np.unique(h, return_inverse=True, return_counts=True)
         assert all(np.array_equal(a, b.ravel()) for a, b in zip(hmm._distinct(h), want, strict=True))
+
+
+def test_files_of_blocks_hold_one_pass(spark):
+    rows = [(k, k % 5 == 0, f"a{k} b c") for k in range(40)]
+    texts = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string").repartition(6)
+    turns = {(r.block >> 32, r.turn) for r in hmm._blocks(texts).collect()}
+    assert turns == {(k, k % hmm.PASSES) for k in range(6)}
