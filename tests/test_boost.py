@@ -154,6 +154,36 @@ def test_every_model_of_a_small_table_is_a_task(spark, monkeypatch):
         assert (a["feature"] == b["feature"]).all() and (a["split"] == b["split"]).all() and np.allclose(a["value"], b["value"], atol=1e-9)
 
 
+def test_small_models_wait_for_no_other(spark, monkeypatch):
+    """Models of a small table run at the same time, not one after the other, and each in one job to its end."""
+    import threading
+
+    rng = np.random.default_rng(4)
+    rows = [(k, float(a), int(a + c > 0), k % 3) for k, (a, c) in enumerate(rng.normal(size=(600, 2)))]
+    df = spark.createDataFrame(rows, "customer_id long, a double, label int, fold int")
+    meet, collect, kind, jobs = threading.Barrier(3), type(df).collect, type(df), []
+
+    def met(self):
+        if "tree" in self.columns:
+            jobs.append(self)
+            meet.wait(60)
+        return collect(self)
+
+    monkeypatch.setattr(kind, "collect", met)
+    b = BO.fit(df, ["a"], models=[0, 1, 2], params=BO.BoostParams(trees=30, patience=3, chunk=1), edges=BO.unit_edges(["a"], 8))
+    assert len(jobs) == 3 and len(b.trees) == max(b.best)
+
+
+def test_out_of_fold_scores_need_no_auc(spark, monkeypatch):
+    rows = [(k, k % 10 / 10, int(k % 10 > 4)) for k in range(400)]
+    df = spark.createDataFrame(rows, "customer_id long, a double, label int")
+    asked, auc = [], MD.roc_auc
+    monkeypatch.setattr(MD, "roc_auc", lambda *a, **k: asked.append(k) or auc(*a, **k))
+    r = MD.oof_predictions(df, df, ["a"], folds=2, params=BO.BoostParams(trees=2), edges=BO.unit_edges(["a"], 8))
+    assert r.oof.count() == 400 and not asked
+    assert r.oof_auc.first().auc > 0.9 and len(asked) == 1
+
+
 def test_targets_grow_side_by_side(spark, monkeypatch):
     """Each target's model waits for the other's: one after the other they would never meet."""
     import threading
