@@ -154,6 +154,28 @@ def test_every_model_of_a_small_table_is_a_task(spark, monkeypatch):
         assert (a["feature"] == b["feature"]).all() and (a["split"] == b["split"]).all() and np.allclose(a["value"], b["value"], atol=1e-9)
 
 
+def test_margins_of_held_out_rows_move_as_arrays(spark, monkeypatch):
+    """Exchanged sums: a group a model and tree has the held-out margins, without an ordered scan; beyond ``HELD_ROWS`` the scan gives the same."""
+    rng = np.random.default_rng(6)
+    rows = [(k, float(a), float(b), int(a + 0.3 * c > 0), k % 4) for k, (a, b, c) in enumerate(rng.random((1200, 3)) - 0.5)]
+    df = spark.createDataFrame(rows, "customer_id long, a double, b double, label int, fold int").repartition(3)
+    monkeypatch.setattr(BO, "MODEL_SHARE", 0)
+    monkeypatch.setattr(BO, "ROWS_AT_ONCE", 256)
+    asked, auc = [], BO.roc_auc
+    monkeypatch.setattr(BO, "roc_auc", lambda *a, **k: asked.append(k) or auc(*a, **k))
+    for objective in ("binary", "squared"):
+        p = BO.BoostParams(trees=4, chunk=2, objective=objective)
+        one = BO.fit(df, ["a", "b"], models=[0, 1], params=p, edges=BO.unit_edges(["a", "b"], 8))
+        assert not asked
+        with monkeypatch.context() as m:
+            m.setattr(BO, "HELD_ROWS", 10)
+            two = BO.fit(df, ["a", "b"], models=[0, 1], params=p, edges=BO.unit_edges(["a", "b"], 8))
+        assert len(one.scores) == 8 and [s[:2] for s in one.scores] == [s[:2] for s in two.scores]
+        assert np.allclose([s[2] for s in one.scores], [s[2] for s in two.scores], atol=1e-9)
+        assert bool(asked) == (objective == "binary")
+        asked.clear()
+
+
 def test_small_models_wait_for_no_other(spark, monkeypatch):
     """Models of a small table run at the same time, not one after the other, and each in one job to its end."""
     import threading

@@ -83,6 +83,31 @@ def _sk_uniform(train, test, nq):
     return out
 
 
+def test_quantiles_of_a_column_in_many_ranges(spark, monkeypatch):
+    """Columns of more values than a range holds are cut; ties, nulls and NaN among them change nothing."""
+    rng = np.random.default_rng(2)
+    a, b = np.round(rng.normal(size=3000), 2), np.where(rng.random(3000) < 0.8, 0.0, rng.normal(size=3000))
+    rows = [(float(x) if k % 11 else None, float(y) if k % 7 else float("nan"), k if k < 5 else None) for k, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, c int").repartition(3)
+    want = {"a": a[np.arange(3000) % 11 > 0], "b": b[np.arange(3000) % 7 > 0], "c": np.arange(5.0)}
+    for most in (PR.RANGE_VALUES, 100):
+        monkeypatch.setattr(PR, "RANGE_VALUES", most)
+        monkeypatch.setattr(PR, "CHUNK_CELLS", 600)
+        got = PR.fit_quantiles(df, ["a", "b", "c"], 101)
+        assert set(got) == set(want)
+        for c, x in want.items():
+            refs, q = got[c]
+            assert len(q) == min(101, len(x)) and np.allclose(q, np.quantile(x, refs), atol=1e-12), (c, most)
+    assert PR.quantile_table(df.limit(0), ["a"], 5).count() == 0
+
+
+def test_values_of_quantiles_move_as_arrays(spark):
+    """No row a value is made, and no running window sorts them."""
+    df = spark.range(2000).select(F.rand(1).alias("a"), F.rand(2).alias("b"))
+    plan = PR.quantile_table(df, ["a", "b"], 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan
+
+
 def test_quantile_transform_vs_formula(spark):
     rng = np.random.default_rng(6)
     tr = np.round(rng.exponential(size=400) * 5, 2)
