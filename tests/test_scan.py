@@ -78,3 +78,38 @@ def test_lazy(spark):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     ordered_scan(_table(spark), "k", ["o"], ScanSpec(lag={"l": "v"}))
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def _row_values(df, spark):
+    cols = [f"cumsum_{v}_by_{k}" for k in ("order_id", "cust_id", "prod_id") for v in ("total", "quantity", "price")]
+    return {r.l_linenumber: tuple(None if r[c] is None else round(r[c], 6) for c in cols) for r in df.collect()}
+
+
+def test_sums_by_order_inside_the_customers_scan(spark, monkeypatch):
+    """Orders of one customer take no exchange of their own; those of several, of none and of a customer that is cut are right as well."""
+    import cartcast.operators.rowfeat as RF
+    import cartcast.operators.scan as SC
+    from tests.fixtures import LOG_SCHEMA, d
+
+    def rows(odd):
+        out = []
+        for k in range(400):
+            c = 7 if k % 2 else k % 40
+            o = "x" if odd and k % 23 == 0 else None if odd and k % 29 == 0 else f"{c}-{k % 9}"
+            out.append((o, str(k % 11), "i", float(k % 5), d(2001, 1 + k % 6, 1 + k % 20), 2.0 if k % 13 else None, None if odd and k % 17 == 0 else c, "X", 2.0 * (k % 5), k // 3, k, k % 11, 1, float(k)))
+        return spark.createDataFrame(out, LOG_SCHEMA)
+
+    order = ["order_date", "l_orderkey", "l_linenumber"]
+    for odd in (False, True):
+        log = rows(odd)
+        want = log
+        for key in ("product_id", "order_id", "customer_id"):
+            want = SC.ordered_scan(want, key, order, RF.cumsum_spec(key))
+        want = _row_values(want, spark)
+        for loose, ranges, made in ((10_000, 6, RF.row_features), (0, None, RF.cumsum_features))[:1 + odd]:
+            monkeypatch.setattr(RF, "LOOSE_ORDERS", loose)
+            assert _row_values(made(log, order, ranges), spark) == want, (odd, loose, ranges)
+    # no customer is cut, and none shares an order: rows are dealt by product and by customer only
+    calm = rows(False).where("customer_id <> 7")
+    plan = RF.cumsum_features(calm, order)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "order_id" in x]
